@@ -16,6 +16,8 @@ from checks.fixture import (
     LogData,
     cosine_sql,
     hashed_ctes,
+    mean_sql,
+    rounded_sql,
 )
 from timberline.fixed_values import LOG_COLUMNS, MODEL_ALIASES
 from timberline.functions import similarity
@@ -202,7 +204,7 @@ def level_histogram(data: LogData) -> DataFrame:
   CAST(count(*) FILTER (WHERE normalized_message IN (SELECT normalized_message FROM covered)) AS BIGINT) AS embedded_logs,
   (SELECT count(*) FROM covered) AS embedded_messages,
   count(DISTINCT event_id) AS event_count, min(log_timestamp) AS first_log, max(log_timestamp) AS last_log,
-  round_even(100.0 * count(*) FILTER (WHERE normalized_message IN (SELECT normalized_message FROM covered)) / count(*), 1) AS coverage_pct
+  """ + rounded_sql("(count(*) FILTER (WHERE normalized_message IN (SELECT normalized_message FROM covered)) / count(*)) * 100", 1) + """ AS coverage_pct
 FROM logs""",
         "covered AS (SELECT DISTINCT normalized_message FROM logs WHERE event_template IS NOT NULL)",
     )
@@ -793,11 +795,11 @@ def _quality_ctes(rows: str, queries: str, by: str = "query_id") -> str:
 per_event AS (SELECT {by}, event, count(*) AS n, min(rank) AS first_rank FROM named GROUP BY ALL),
 dominant AS (SELECT * FROM (
   SELECT *, row_number() OVER (PARTITION BY {by} ORDER BY n DESC, first_rank) AS place FROM per_event) WHERE place = 1),
-totals AS (SELECT {by}, avg(similarity) AS mean, count(DISTINCT event) AS events, count(*) AS results FROM named GROUP BY ALL),
+totals AS (SELECT {by}, {mean_sql('similarity')} AS mean, count(DISTINCT event) AS events, count(*) AS results FROM named GROUP BY ALL),
 quality AS (
-  SELECT {keys}, round_even(0.65 * coalesce(t.mean, 0) + 0.35 * coalesce(d.n / t.results, 0), 4) AS score,
-    round_even(coalesce(t.mean, 0), 4) AS average_similarity, d.event AS dominant_event_id,
-    round_even(coalesce(d.n / t.results, 0), 4) AS dominant_event_share,
+  SELECT {keys}, {rounded_sql('coalesce(t.mean, 0) * 0.65e0 + coalesce(d.n / t.results, 0) * 0.35e0', 4)} AS score,
+    {rounded_sql('coalesce(t.mean, 0)', 4)} AS average_similarity, d.event AS dominant_event_id,
+    {rounded_sql('coalesce(d.n / t.results, 0)', 4)} AS dominant_event_share,
     coalesce(t.events, 0) AS distinct_events, coalesce(t.results, 0) AS result_count,
     'proxy_similarity_event_concentration' AS method
   FROM {queries} q LEFT JOIN totals t ON {join} LEFT JOIN dominant d ON {event_join})"""
@@ -859,7 +861,7 @@ def _model_sql() -> str:
             *parts,
             f"scored AS ({scored})",
             f"pairs AS ({pairs})",
-            """best AS (SELECT model, query_id, rank, event_id, round_even(similarity, 4) AS similarity FROM (
+            """best AS (SELECT model, query_id, rank, event_id, """ + rounded_sql("similarity", 4) + """ AS similarity FROM (
   SELECT s.*, c.event_id, row_number() OVER (PARTITION BY model, query_id ORDER BY similarity DESC, normalized_message) AS rank
   FROM scored s JOIN candidates c USING (normalized_message)) WHERE rank <= 10)""",
             _quality_ctes("best", "pairs", "model, query_id"),

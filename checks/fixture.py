@@ -213,6 +213,22 @@ def cosine_sql(left: str, right: str) -> str:
     return f"CASE WHEN {lengths} = 0 THEN 0.0 ELSE {dot_sql(left, right)} / {lengths} END"
 
 
+def rounded_sql(value: str, decimals: int) -> str:
+    """The nearest decimal to the exact double, as the library rounds: via its exact digits."""
+    scale = 10**decimals
+    scaled, high = f"(({value}) * {scale}e0)", f"(({value}) * 134217729e0 - (({value}) * 134217729e0 - ({value})))"
+    rest = f"(({high} * {scale}e0 - {scaled}) + (({value}) - {high}) * {scale}e0)"
+    part = f"({scaled} - floor({scaled}))"
+    up = f"{part} > 0.5e0 OR ({part} = 0.5e0 AND ({rest} > 0 OR ({rest} = 0 AND floor({scaled}) % 2 = 1)))"
+    return f"((floor({scaled}) + CASE WHEN {up} THEN 1 ELSE 0 END) / {scale}e0)"
+
+
+def mean_sql(value: str) -> str:
+    """Mean over exact decimals; texts carry the digits both ways without a rounding of their own."""
+    total = f"sum(CAST(CAST({value} AS VARCHAR) AS DECIMAL(20, 18)))"
+    return f"CAST(CAST({total} AS VARCHAR) AS DOUBLE) / count({value})"
+
+
 def hashed_ctes(name: str, source: str, key: str, text: str, dimension: int) -> str:
     """CTEs that end in ``name(<key>, embedding)``: hashed word vectors of ``text`` as full lists."""
     return f"""{name}_words AS (

@@ -25,7 +25,7 @@ def prefix_parts(line: Column) -> Column:
 def prefix_field(parts: Column, name: str) -> Column:
     """One text field out of ``prefix_parts``; NULL when the line did not match or it is empty."""
     value = F.get(parts, PREFIX_FIELDS.index(name))
-    return F.when(F.size(parts) > 1, F.nullif(value, F.lit("")))
+    return F.when((F.size(parts) > 1) & (value != ""), value)
 
 
 def month_number(month: Column) -> Column:
@@ -49,15 +49,19 @@ def collapse_spaces(text: Column) -> Column:
     return F.regexp_replace(text, r"\s+", " ")
 
 
-def severity(message: Column, collapse: bool = False) -> Column:
-    """First level whose markers occur in the message, ignoring case.
+def marker_text(message: Column, collapse: bool = False) -> Column:
+    """The text in which severity markers are looked up.
 
     ``collapse`` joins runs of white space first, so that a doubled space cannot hide a marker.
     """
-    text = F.lower(F.trim(collapse_spaces(message)) if collapse else message)
+    return F.lower(F.trim(collapse_spaces(message)) if collapse else message)
+
+
+def severity(marker_text: Column) -> Column:
+    """First level whose markers occur in the text."""
     matches = []
     for level, markers in SEVERITY_MARKERS:
-        found = reduce(Column.__or__, [F.contains(text, F.lit(marker)) for marker in markers])
+        found = reduce(Column.__or__, [F.contains(marker_text, F.lit(marker)) for marker in markers])
         matches.append(F.when(found, F.lit(level)))
     return F.coalesce(*matches, F.lit(DEFAULT_LEVEL))
 

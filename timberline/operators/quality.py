@@ -21,12 +21,13 @@ def top_k_quality(rows: DataFrame, queries: DataFrame | None = None, by: tuple[s
         .agg(
             F.count(F.lit(1)).alias("lines"),
             F.min("rank").alias("first_rank"),
-            F.sum("similarity").alias("total"),
+            # Decimal sums do not depend on the order in which tasks deliver their parts.
+            F.sum(F.col("similarity").cast("decimal(20,18)")).alias("total"),
             F.count("similarity").alias("scored"),
         )
     )
     per_query = per_event.groupBy(*by).agg(
-        F.coalesce(F.try_divide(F.sum("total"), F.sum("scored")), F.lit(0.0)).alias("mean"),
+        F.coalesce(F.try_divide(F.sum("total").cast("double"), F.sum("scored")), F.lit(0.0)).alias("mean"),
         F.max_by("event", F.struct(F.col("lines"), -F.col("first_rank"))).alias("dominant_event_id"),
         (F.max("lines") / F.sum("lines")).alias("share"),
         F.count(F.lit(1)).alias("distinct_events"),

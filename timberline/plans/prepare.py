@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from timberline.fixed_values import LOG_COLUMNS, LOG_YEAR, SOURCE_NAME
 from timberline.functions import syslog
+from timberline.operators.once import computed_once
 from timberline.sinks.tables import export_csv, write_logs, write_parquet
 from timberline.sources.delimited import event_templates, structured_lines
 from timberline.sources.tables import LOGS, TEMPLATES, Tables
@@ -22,12 +23,9 @@ def parsed_lines(lines: DataFrame, year: int = LOG_YEAR) -> DataFrame:
     fields["service"] = F.trim(fields["service"])
     fields["day"] = fields["day"].try_cast("int")
     fields["process_id"] = fields["process_id"].try_cast("int")
-    return (
-        lines.withColumn("_parts", syslog.prefix_parts(F.col("raw_line")))
-        .withColumns(fields)
-        .drop("_parts")
-        .withColumn("log_timestamp", syslog.event_time(F.col("month"), F.col("day"), F.col("time_text"), year))
-    )
+    split = lines.withColumn("_parts", syslog.prefix_parts(F.col("raw_line")))
+    time = syslog.event_time(F.col("month"), F.col("day"), F.col("time_text"), year)
+    return computed_once(split, fields).drop("_parts").withColumn("log_timestamp", time)
 
 
 def log_entries(
@@ -42,22 +40,15 @@ def log_entries(
     The message is the structured one, else the parsed one, else the whole line. ``collapse`` makes
     severity and normalised message ignore doubled and outer spaces.
     """
-    message = F.coalesce("raw_message", "content", "raw_line")
-    return (
-        lines.join(structured, "line_id", "left")
-        .transform(parsed_lines, year)
-        .withColumn("raw_message", message)
-        .withColumns(
-            {
-                "source": F.lit(source),
-                "level": syslog.severity(F.col("raw_message"), collapse),
-                "normalized_message": syslog.normalized(
-                    F.coalesce("event_template", "raw_message"), collapse
-                ),
-            }
-        )
-        .select(*LOG_COLUMNS)
+    joined = parsed_lines(lines.join(structured, "line_id", "left"), year).withColumn(
+        "raw_message", F.coalesce("raw_message", "content", "raw_line")
     )
+    marked = joined.withColumn("_markers", syslog.marker_text(F.col("raw_message"), collapse))
+    derived = {
+        "level": syslog.severity(F.col("_markers")),
+        "normalized_message": syslog.normalized(F.coalesce("event_template", "raw_message"), collapse),
+    }
+    return computed_once(marked, derived).withColumn("source", F.lit(source)).select(*LOG_COLUMNS)
 
 
 @dataclass(frozen=True)
