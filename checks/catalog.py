@@ -211,9 +211,10 @@ FROM logs""",
 )
 def table_statistics(data: LogData) -> DataFrame:
     """Vectors exist for the messages of known templates only."""
-    known = distinct_messages(data.logs().where("event_template IS NOT NULL"))
+    logs = data.stored_logs()
+    known = distinct_messages(logs.where("event_template IS NOT NULL"))
     vectors = HashingEncoder(SEARCH_DIMENSION).encode(known, "normalized_message")
-    return analytics.table_statistics(data.logs(), vectors)
+    return analytics.table_statistics(logs, vectors)
 
 
 _FREQUENT = """SELECT event_id, coalesce(event_template, normalized_message) AS template, level, count(*) AS count
@@ -683,7 +684,7 @@ _LOG_SEARCH = (_HASHED_LOGS, _HASHED_REQUESTS, _ASKED, _two_stage_sql("asked", "
 )
 def semantic_text_search(data: LogData) -> DataFrame:
     found = search.semantic_search(
-        data.requests(), data.logs(), data.vectors(), HashingEncoder(SEARCH_DIMENSION)
+        data.requests(), data.stored_logs(), data.vectors(), HashingEncoder(SEARCH_DIMENSION)
     )
     return found.withColumn("similarity", F.round("similarity", 6))
 
@@ -741,7 +742,7 @@ _LOG_KEYWORD = _BOTH_SQL.format(
 @query(over_logs("SELECT query_id, method, rank, id FROM both_methods", *_LOG_SEARCH, _LOG_KEYWORD))
 def compare_search(data: LogData) -> DataFrame:
     both = search.compare_search(
-        data.requests(), data.logs(), data.vectors(), HashingEncoder(SEARCH_DIMENSION)
+        data.requests(), data.stored_logs(), data.vectors(), HashingEncoder(SEARCH_DIMENSION)
     )
     return both.select("query_id", "method", "rank", "id")
 
@@ -761,7 +762,7 @@ _EVENT_SEARCH = (
 @query(over_logs("SELECT query_id, rank, event_id FROM chosen", *_EVENT_SEARCH))
 def nearest_events(data: LogData) -> DataFrame:
     return search.nearest_events(
-        data.requests(), data.logs(), data.vectors(), HashingEncoder(SEARCH_DIMENSION)
+        data.requests(), data.stored_logs(), data.vectors(), HashingEncoder(SEARCH_DIMENSION)
     )
 
 
@@ -778,7 +779,7 @@ GROUP BY r.query_id, bucket""",
 )
 def timeline_query(data: LogData) -> DataFrame:
     table = analytics.timeline_by_text(
-        data.requests(), data.logs(), data.vectors(), HashingEncoder(SEARCH_DIMENSION)
+        data.requests(), data.stored_logs(), data.vectors(), HashingEncoder(SEARCH_DIMENSION)
     )
     return table.withColumn("matched_event_ids", F.array_join("matched_event_ids", ","))
 
@@ -835,7 +836,7 @@ FROM requests r JOIN quality q ON q.query_id = r.query_id""",
 )
 def query_evaluation(data: LogData) -> DataFrame:
     return evaluation.evaluate_requests(
-        data.requests(), data.logs(), data.vectors(), HashingEncoder(SEARCH_DIMENSION)
+        data.requests(), data.stored_logs(), data.vectors(), HashingEncoder(SEARCH_DIMENSION)
     )
 
 
@@ -879,7 +880,7 @@ FROM pairs p JOIN quality q ON q.model = p.model AND q.query_id = p.query_id""",
 )
 def compare_encoders(data: LogData) -> DataFrame:
     encoders = [HashingEncoder(size, f"hashing-{size}") for size in _DIMENSIONS]
-    return evaluation.compare_encoders(data.requests(), data.logs(), encoders)
+    return evaluation.compare_encoders(data.requests(), data.stored_logs(), encoders)
 
 
 @query(
@@ -973,7 +974,7 @@ UNION ALL SELECT 'nothing left', 0, 0""",
 def incremental_vectors(data: LogData) -> DataFrame:
     """The most frequent messages are encoded first, then all others, then none is left."""
     encoder = HashingEncoder(SEARCH_DIMENSION)
-    logs, spark = data.logs(), data.spark
+    logs, spark = data.stored_logs(), data.spark
     folder = Tables(spark, shared_folder(spark, "vectors")).path(VECTORS)
     nothing = data.vectors().withColumn("updated_at", F.current_timestamp().cast("timestamp_ntz")).where("false")
     first = new_vectors(logs, nothing, encoder, limit=7)

@@ -14,6 +14,9 @@ from timberline.fixed_values import SEVERITY_MARKERS, SYSLOG_PREFIX
 from timberline.operators.encoders import HashingEncoder
 from timberline.operators.rollups import distinct_messages
 from timberline.plans.prepare import log_entries
+from timberline.schemas import LOG_ENTRIES
+from timberline.session import shared_folder
+from timberline.sinks.tables import write_logs
 from timberline.sources.tables import with_row_id
 
 CONTENT = """
@@ -81,6 +84,7 @@ class LogData:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._stored: DataFrame | None = None
 
     def given(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
@@ -103,9 +107,17 @@ class LogData:
     def logs(self) -> DataFrame:
         return with_row_id(log_entries(self.raw(), self.structured()))
 
+    def stored_logs(self) -> DataFrame:
+        """The log table written as it is stored, one folder per level, for queries that read it often."""
+        if self._stored is None:
+            path = shared_folder(self.spark, "log-table")
+            write_logs(self.logs().drop("id"), path)
+            self._stored = with_row_id(self.spark.read.schema(LOG_ENTRIES).parquet(path))
+        return self._stored
+
     def vectors(self, dimension: int = SEARCH_DIMENSION) -> DataFrame:
         """Hashed vectors of all distinct log messages."""
-        return HashingEncoder(dimension).encode(distinct_messages(self.logs()), "normalized_message")
+        return HashingEncoder(dimension).encode(distinct_messages(self.stored_logs()), "normalized_message")
 
     def document_logs(self) -> DataFrame:
         """Documents as log entries: source is the event, language the level; German has no time."""

@@ -78,6 +78,15 @@ def _one_scan(compiled: pa.Table, asked: DataFrame, logs: DataFrame) -> DataFram
     )
 
 
+def _needle(pattern: Column) -> Column:
+    """The plain text of a pattern without inner wildcards, NULL for any other: no pattern to compile."""
+    inner = F.substr(pattern, F.lit(2), F.length(pattern) - 2)
+    wild = F.regexp_replace(inner, r"(?s)\\.", "").rlike("[%_]")
+    # An escape that reaches the closing wildcard belongs to the pattern as a whole.
+    cut = F.regexp_replace(inner, r"(?s)\\.", "").contains("\\")
+    return F.when(~wild & ~cut, F.regexp_replace(inner, r"(?s)\\(.)", "$1"))
+
+
 def _block_passes(asked: DataFrame, logs: DataFrame) -> DataFrame:
     """One pass over the logs per block of requests.
 
@@ -88,11 +97,13 @@ def _block_passes(asked: DataFrame, logs: DataFrame) -> DataFrame:
     # A hashed block may be somewhat larger than the average one.
     own_block = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
     prepared = logs.withColumn("_lower", F.lower("raw_message"))
-    found = F.expr("_lower LIKE pattern AND (asked_level IS NULL OR asked_level = level)")
-    renamed = asked.withColumnRenamed("level", "asked_level")
+    named = asked.withColumnRenamed("level", "asked_level").withColumn("needle", _needle(F.col("pattern")))
+    found = F.expr(
+        "(asked_level IS NULL OR asked_level = level)"
+        " AND CASE WHEN needle IS NULL THEN _lower LIKE pattern ELSE contains(_lower, needle) END"
+    )
     passes = [
-        prepared.join(F.broadcast(renamed.where(own_block == block)), found)
-        for block in range(blocks)
+        prepared.join(F.broadcast(named.where(own_block == block)), found) for block in range(blocks)
     ]
     matches = passes[0]
     for one in passes[1:]:

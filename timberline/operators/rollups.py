@@ -40,10 +40,6 @@ def messages_without_vector(messages: DataFrame, vectors: DataFrame) -> DataFram
     return messages.join(vectors.select("normalized_message"), "normalized_message", "left_anti")
 
 
-def messages_with_vector(messages: DataFrame, vectors: DataFrame) -> DataFrame:
-    return messages.join(vectors.select("normalized_message"), "normalized_message", "left_semi")
-
-
 def levels_per_message(logs: DataFrame) -> DataFrame:
     """The levels each message occurs at, as a set that is no larger than the level domain."""
     return (

@@ -9,7 +9,6 @@ from timberline.fixed_values import DEFAULT_GROUP_LIMIT, MAX_GROUP_LIMIT, PROBLE
 from timberline.functions.labels import bucket, percentage, template_or_message, wanted_level
 from timberline.operators.encoders import Encoder
 from timberline.operators.requests import check_number, tidy_requests
-from timberline.operators.rollups import messages_with_vector
 from timberline.plans.search import nearest_events
 
 _ANY_EVENT = "any"
@@ -92,21 +91,21 @@ def timeline_by_text(
         )
         .select("query_id", "asked_level", "matched_event_ids", "_want.kind", "_want.event")
     )
+    # Every count serves its own event and the total, so the log table is read once.
+    serves = F.array(
+        F.struct(F.lit(_ONE_EVENT).alias("kind"), F.col("event_id").alias("event")),
+        F.struct(F.lit(_ANY_EVENT).alias("kind"), F.lit("").alias("event")),
+    )
     counts = (
         logs.where(F.col("log_timestamp").isNotNull())
         .groupBy("event_id", "level", bucket(F.col("log_timestamp"), granularity).alias("bucket"))
         .agg(F.count(F.lit(1)).alias("lines"))
-    )
-    per_event = counts.where(F.col("event_id").isNotNull()).select(
-        F.lit(_ONE_EVENT).alias("kind"), F.col("event_id").alias("event"), "level", "bucket", "lines"
-    )
-    overall = (
-        counts.groupBy("level", "bucket")
+        .select(F.inline(serves), "level", "bucket", "lines")
+        .groupBy("kind", "event", "level", "bucket")
         .agg(F.sum("lines").alias("lines"))
-        .select(F.lit(_ANY_EVENT).alias("kind"), F.lit("").alias("event"), "level", "bucket", "lines")
     )
     return (
-        wanted.join(per_event.unionByName(overall), ["kind", "event"])
+        wanted.join(counts, ["kind", "event"])
         .where("asked_level IS NULL OR asked_level = level")
         .groupBy("query_id", "bucket", "matched_event_ids")
         .agg(F.sum("lines").alias("count"))
@@ -127,23 +126,22 @@ def table_statistics(logs: DataFrame, vectors: DataFrame) -> DataFrame:
     A single pass counts lines per message and event; every figure is then taken from that.
     """
     groups = logs.groupBy("normalized_message", "event_id").agg(
-        F.count(F.lit(1)).alias("occurrences"),
+        F.count(F.lit(1)).alias("lines"),
         F.min("log_timestamp").alias("first_log"),
         F.max("log_timestamp").alias("last_log"),
     )
+    known = vectors.select("normalized_message", F.lit(True).alias("known"))
     zero = F.lit(0).cast("bigint")
-    totals = groups.agg(
-        F.coalesce(F.sum("occurrences"), zero).alias("total_logs"),
+    totals = groups.join(known, "normalized_message", "left").agg(
+        F.coalesce(F.sum("lines"), zero).alias("total_logs"),
+        F.coalesce(F.sum(F.when(F.col("known"), F.col("lines"))), zero).alias("embedded_logs"),
         F.count_distinct("event_id").alias("event_count"),
         F.min("first_log").alias("first_log"),
         F.max("last_log").alias("last_log"),
     )
-    covered = messages_with_vector(groups, vectors).agg(
-        F.coalesce(F.sum("occurrences"), zero).alias("embedded_logs")
-    )
     stored = vectors.agg(F.count(F.lit(1)).alias("embedded_messages"))
-    # Three tables of one row each become one row.
-    parts = totals.unionByName(covered, True).unionByName(stored, True)
+    # Two tables of one row each become one row.
+    parts = totals.unionByName(stored, True)
     whole = parts.agg(*[F.max(name).alias(name) for name in parts.columns])
     return whole.select(
         "total_logs",

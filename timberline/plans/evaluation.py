@@ -23,6 +23,7 @@ from timberline.operators.requests import check_number, tidy_requests
 from timberline.operators.rollups import by_frequency, distinct_messages
 from timberline.operators.vectors import nearest
 from timberline.plans.search import compare_search
+from timberline.session import settled
 
 QUALITY_COLUMNS = (
     "score",
@@ -44,8 +45,8 @@ def evaluate_requests(
     """Per request the number of results of both searches and the quality of the semantic ones."""
     asked = tidy_requests(requests, default_top_k)
     both = compare_search(requests, logs, vectors, encoder, default_top_k)
-    # A row of the keyword search counts as a result but has no similarity and no event here, so
-    # one pass over the results serves both methods.
+    # The searches run once; both reports below read their short results.
+    both = settled(both.select("query_id", "method", "rank", "event_id", "similarity"), "results")
     per_method = both.groupBy("query_id").agg(
         F.count_if(F.col("method") == "semantic").alias("semantic_result_count"),
         F.count_if(F.col("method") == "keyword").alias("keyword_result_count"),
@@ -135,7 +136,8 @@ def compare_encoders(
 
     The quality is taken from the rounded similarities of ``model_results``.
     """
-    candidates = comparison_candidates(logs, top_k, level, candidate_limit)
+    # Every model reads the candidates twice.
+    candidates = settled(comparison_candidates(logs, top_k, level, candidate_limit), "candidates")
     results = model_results(requests, candidates, encoders, top_k)
     asked = [
         requests.select(

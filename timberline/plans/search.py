@@ -30,6 +30,7 @@ from timberline.operators.vectors import MAX_SHARED_QUERIES, nearest
 MAX_SHARED_MESSAGES = 1_000_000
 # Seed ids, 12 bytes each, that are broadcast to look up their lines.
 MAX_SHARED_SEEDS = 100_000
+MAX_LISTED_SEEDS = 1000
 
 
 def keyword_search(
@@ -63,7 +64,7 @@ def vector_search(asked: DataFrame, logs: DataFrame, vectors: DataFrame) -> Data
     if rows is not None:
         # The encoder has run once; what follows starts from its result.
         asked = asked.sparkSession.createDataFrame(rows, asked.schema)
-    levelled = rows is None or pc.any(pc.is_valid(rows["level"])).as_py()
+    levels = None if rows is None else rows["level"].drop_null().unique().to_pylist()
     queries = asked.select(
         "query_id",
         "embedding",
@@ -71,8 +72,10 @@ def vector_search(asked: DataFrame, logs: DataFrame, vectors: DataFrame) -> Data
         F.when(F.col("level").isNotNull(), F.array("level")).alias("scope"),
     )
     items = vectors.select("normalized_message", "embedding")
-    if levelled:
-        items = items.join(levels_per_message(logs), "normalized_message", "left").withColumn(
+    if levels is None or levels:
+        # Only the asked levels are read where they are known.
+        relevant = logs if levels is None else logs.where(F.col("level").isin(levels))
+        items = items.join(levels_per_message(relevant), "normalized_message", "left").withColumn(
             "scopes", F.coalesce("scopes", F.array().cast("array<string>"))
         )
     limit = _largest(rows)
@@ -137,6 +140,9 @@ def similar_logs(
 
     looked_up = logs.select(F.col("id").alias("seed_id"), F.col("normalized_message").alias("_message"))
     if rows is not None:
+        if rows.num_rows <= MAX_LISTED_SEEDS:
+            # Named in the scan, the ids skip files and row groups by their min/max statistics.
+            looked_up = looked_up.where(F.col("seed_id").isin(rows["seed_id"].to_pylist()))
         seeds = F.broadcast(seeds.sparkSession.createDataFrame(rows, seeds.schema))
     located = looked_up.join(seeds, "seed_id")
     stored = vectors.select("normalized_message", "embedding")

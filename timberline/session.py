@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 _local_roots: dict[str, str] = {}
@@ -46,6 +46,13 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def settled(table: DataFrame, purpose: str) -> DataFrame:
+    """The table written once to the shared folder and read back, for results with several readers."""
+    path = shared_folder(table.sparkSession, purpose)
+    table.write.parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)
+
+
 def share_package(spark: SparkSession) -> None:
     """Make this package importable on the executors; nothing to do where they share this machine."""
     context = spark.sparkContext
