@@ -1,19 +1,39 @@
 """Case-insensitive substring and wildcard matching for tables of requests.
 
 ``%`` and ``_`` in a query text act as wildcards and a backslash takes the next character as it is;
-``literal`` switches all three off.
+``literal`` switches all three off. Three forms give the same matches:
+
+* a few requests become literal predicates of one scan;
+* many requests are looked up together: every task runs one pass over its lines for the longest
+  plain stretch of each pattern, so the work does not grow with the number of requests, and
+  patterns with wildcards are then checked in full;
+* requests beyond the checked size, or with nothing plain to look up, are matched against the lines
+  in passes over broadcast blocks.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from timberline.operators.requests import small_table
 
-# Requests compiled into the predicates of one scan, and requests per broadcast beyond that.
-MAX_COMPILED = 256
+try:
+    import ahocorasick
+except ImportError:  # the broadcast form serves instead
+    ahocorasick = None
+
+# Requests compiled into predicates; requests and characters of them that tasks hold for a lookup.
+MAX_COMPILED = 64
+MAX_LOOKED_UP = 20_000
+MAX_LOOKED_UP_TEXT = 16_000_000
+# Requests per broadcast beyond that.
 BROADCAST_BLOCK = 10_000
 
 
@@ -30,73 +50,151 @@ def like_pattern(text: Column, literal: bool = False) -> Column:
 
 
 def keyword_matches(
-    requests: DataFrame, logs: DataFrame, literal: bool = False, max_compiled: int = MAX_COMPILED
+    requests: DataFrame,
+    logs: DataFrame,
+    literal: bool = False,
+    max_compiled: int = MAX_COMPILED,
+    max_looked_up: int = MAX_LOOKED_UP,
 ) -> DataFrame:
     """Every (request, line) match: the log columns plus ``query_id`` and ``top_k``.
 
-    ``requests`` is a tidy request table. Up to ``max_compiled`` requests become literal predicates
-    of a single scan, without any join. More are matched in passes over broadcast blocks.
+    ``requests`` is a tidy request table; requests without a text match nothing.
     """
-    asked = requests.select(
+    asked = requests.where(F.col("text").isNotNull()).select(
         "query_id", F.lower(like_pattern(F.col("text"), literal)).alias("pattern"), "level", "top_k"
     )
-    compiled = small_table(asked, max_compiled)
-    if compiled is not None:
-        return _one_scan(compiled, asked, logs)
-    return _block_passes(asked, logs)
+    few = small_table(asked, max(max_compiled, max_looked_up))
+    prepared = logs.withColumn("_lower", F.lower("raw_message"))
+    if few is None:
+        matches = _block_passes(asked, prepared)
+    elif few.num_rows <= max_compiled:
+        matches = _one_scan(few, asked, prepared)
+    else:
+        matches = _look_up(few, asked, prepared)
+    return matches.select(*logs.columns, "query_id", "top_k")
 
 
-def _one_scan(compiled: pa.Table, asked: DataFrame, logs: DataFrame) -> DataFrame:
+def _one_scan(few: pa.Table, asked: DataFrame, prepared: DataFrame) -> DataFrame:
     id_type = asked.schema["query_id"].dataType
-    rows = compiled.to_pylist()
+    rows = few.to_pylist()
     levels = {row["level"] for row in rows}
-    if levels and None not in levels:
+    if None not in levels:
         # Every request names a level: read those folders only.
-        logs = logs.where(F.col("level").isin(sorted(levels)))
-    lower = F.col("_lower")
+        prepared = prepared.where(F.col("level").isin(sorted(levels)))
 
     def hit(row: dict) -> Column:
-        found = lower.like(row["pattern"])
+        found = F.col("_lower").like(row["pattern"])
         if row["level"] is not None:
             found = found & (F.col("level") == row["level"])
-        return F.when(
-            found,
-            F.struct(
-                F.lit(row["query_id"]).cast(id_type).alias("query_id"),
-                F.lit(row["top_k"]).cast("int").alias("top_k"),
-            ),
+        identity = F.struct(
+            F.lit(row["query_id"]).cast(id_type).alias("query_id"),
+            F.lit(row["top_k"]).cast("int").alias("top_k"),
         )
-
-    prepared = logs.withColumn("_lower", F.lower("raw_message"))
-    if not rows:
-        none = F.lit(None)
-        return logs.where("false").select("*", none.cast(id_type).alias("query_id"), none.cast("int").alias("top_k"))
-    hits = F.explode(F.array_compact(F.array(*[hit(row) for row in rows])))
-    return (
-        prepared.select("*", hits.alias("_hit"))
-        .select(*logs.columns, "_hit.query_id", "_hit.top_k")
+        return F.when(found, identity)
+
+    hit_type = T.ArrayType(T.StructType([T.StructField("query_id", id_type), T.StructField("top_k", T.IntegerType())]))
+    hits = F.array_compact(F.array(*[hit(row) for row in rows])).cast(hit_type)
+    return prepared.select("*", F.inline(hits))
+
+
+def stretches(pattern: str) -> list[str]:
+    """The plain texts before, between and after the wildcards of a pattern."""
+    texts, escaped = [""], False
+    for character in pattern:
+        if escaped:
+            texts[-1] += character
+            escaped = False
+        elif character == "\\":
+            escaped = True
+        elif character in "%_":
+            texts.append("")
+        else:
+            texts[-1] += character
+    return texts
+
+
+def _look_up(few: pa.Table, asked: DataFrame, prepared: DataFrame) -> DataFrame:
+    """Lines by the longest plain stretch of each pattern, all stretches in one pass per line."""
+    patterns = few["pattern"].to_pylist()
+    texts = [stretches(pattern) for pattern in patterns]
+    anchors = [max(parts, key=len) for parts in texts]
+    if ahocorasick is None or not all(anchors) or sum(map(len, anchors)) > MAX_LOOKED_UP_TEXT:
+        return _block_passes(asked, prepared)
+    # A pattern that is one plain text needs no second look.
+    whole = [pattern.startswith("%") and parts == ["", anchor, ""] for pattern, parts, anchor in zip(patterns, texts, anchors)]
+    check = pa.array([None if plain else pattern for plain, pattern in zip(whole, patterns)], pa.string())
+    identity = few.select(["query_id", "top_k"]).append_column("asked_level", few["level"].cast(pa.string()))
+    sent = prepared.sparkSession.sparkContext.broadcast((anchors, identity.append_column("check", check)))
+    added = [
+        asked.schema["query_id"],
+        T.StructField("top_k", T.IntegerType()),
+        T.StructField("asked_level", T.StringType()),
+        T.StructField("check", T.StringType()),
+    ]
+    schema = T.StructType([*prepared.schema, *added])
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, requests = sent.value
+        requests = requests.combine_chunks()
+        search = _automaton(words)
+        for batch in batches:
+            line, request = _hits(search, batch.column("_lower"))
+            # A batch of lines may match many requests: hand the pairs on in pieces of its own size.
+            for start in range(0, len(line), batch.num_rows):
+                at_line = pa.array(line[start : start + batch.num_rows], pa.int64())
+                at_request = pa.array(request[start : start + batch.num_rows], pa.int64())
+                found = requests.take(at_request)
+                columns = [*batch.take(at_line).columns, *[pc.cast(c.combine_chunks(), c.type) for c in found.columns]]
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    candidates = prepared.mapInArrow(find, schema)
+    return candidates.where(
+        "(asked_level IS NULL OR asked_level = level) AND (check IS NULL OR _lower LIKE check)"
     )
 
 
+def _automaton(words: list[str]):
+    """A search automaton over the words; each word leads to the numbers of its requests."""
+    numbers: dict[str, list[int]] = {}
+    for number, word in enumerate(words):
+        numbers.setdefault(word, []).append(number)
+    search = ahocorasick.Automaton()
+    for word, its_numbers in numbers.items():
+        search.add_word(word, its_numbers)
+    search.make_automaton()
+    return search
+
+
+def _hits(search, texts: pa.Array) -> tuple[list[int], list[int]]:
+    """Pairs of line and request numbers, each pair once."""
+    lines: list[int] = []
+    requests: list[int] = []
+    for line, text in enumerate(texts.to_pylist()):
+        if text:
+            found = {number for _, numbers in search.iter(text) for number in numbers}
+            lines.extend([line] * len(found))
+            requests.extend(found)
+    return lines, requests
+
+
 def _needle(pattern: Column) -> Column:
-    """The plain text of a pattern without inner wildcards, NULL for any other: no pattern to compile."""
+    """The plain text of a pattern without inner wildcards, NULL for any other: nothing to compile."""
     inner = F.substr(pattern, F.lit(2), F.length(pattern) - 2)
-    wild = F.regexp_replace(inner, r"(?s)\\.", "").rlike("[%_]")
-    # An escape that reaches the closing wildcard belongs to the pattern as a whole.
-    cut = F.regexp_replace(inner, r"(?s)\\.", "").contains("\\")
-    return F.when(~wild & ~cut, F.regexp_replace(inner, r"(?s)\\(.)", "$1"))
+    unescaped = F.regexp_replace(inner, r"(?s)\\.", "")
+    # A backslash left over escapes the closing wildcard, which makes it part of the text.
+    plain = ~unescaped.rlike("[%_]") & ~unescaped.contains("\\")
+    return F.when(plain, F.regexp_replace(inner, r"(?s)\\(.)", "$1"))
 
 
-def _block_passes(asked: DataFrame, logs: DataFrame) -> DataFrame:
-    """One pass over the logs per block of requests.
+def _block_passes(asked: DataFrame, prepared: DataFrame) -> DataFrame:
+    """One pass over the lines per block of requests.
 
-    Every line has to be held against every pattern anyway, and a block is large enough for that
-    work to outweigh reading the lines again. Nothing but matches leaves a pass.
+    Every line has to be held against every pattern, and a block is large enough for that work to
+    outweigh reading the lines again. Nothing but matches leaves a pass.
     """
-    blocks = -(-asked.count() // BROADCAST_BLOCK)
+    blocks = max(1, -(-asked.count() // BROADCAST_BLOCK))
     # A hashed block may be somewhat larger than the average one.
     own_block = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
-    prepared = logs.withColumn("_lower", F.lower("raw_message"))
     named = asked.withColumnRenamed("level", "asked_level").withColumn("needle", _needle(F.col("pattern")))
     found = F.expr(
         "(asked_level IS NULL OR asked_level = level)"
@@ -105,8 +203,4 @@ def _block_passes(asked: DataFrame, logs: DataFrame) -> DataFrame:
     passes = [
         prepared.join(F.broadcast(named.where(own_block == block)), found) for block in range(blocks)
     ]
-    matches = passes[0]
-    for one in passes[1:]:
-        matches = matches.unionByName(one)
-    return matches.select(*logs.columns, "query_id", "top_k")
-
+    return reduce(DataFrame.unionByName, passes)

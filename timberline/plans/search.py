@@ -25,6 +25,7 @@ from timberline.operators.ranking import in_time_order, top_per_group
 from timberline.operators.requests import small_table, tidy_requests
 from timberline.operators.rollups import levels_per_message
 from timberline.operators.vectors import MAX_SHARED_QUERIES, nearest
+from timberline.session import settled
 
 # Hashes of matched messages, 8 bytes each, that are broadcast to pick log lines.
 MAX_SHARED_MESSAGES = 1_000_000
@@ -80,6 +81,8 @@ def vector_search(asked: DataFrame, logs: DataFrame, vectors: DataFrame) -> Data
         )
     limit = _largest(rows)
     matches = nearest(queries, items, "normalized_message", max(limit, MIN_CANDIDATES)).drop("rank")
+    # Two readers follow; the vectors are scanned once.
+    matches = settled(matches, "matches")
     wanted = matches.join(asked.select("query_id", "level", "top_k"), "query_id")
     return (
         _lines_of(wanted, logs, limit, rows)
@@ -148,7 +151,7 @@ def similar_logs(
     stored = vectors.select("normalized_message", "embedding")
     seed_messages = located.select(F.col("_message").alias("query_id")).distinct()
     queries = stored.withColumnRenamed("normalized_message", "query_id").join(seed_messages, "query_id")
-    matches = nearest(queries, stored, "normalized_message", places)
+    matches = settled(nearest(queries, stored, "normalized_message", places), "matches")
     wanted = (
         located.join(matches.withColumnRenamed("query_id", "_message"), "_message")
         .where(F.col("rank") <= F.greatest(F.col("top_k"), F.lit(MIN_CANDIDATES)))
