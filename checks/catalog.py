@@ -24,7 +24,7 @@ from timberline.functions import similarity
 from timberline.functions.labels import score
 from timberline.operators import contracts
 from timberline.operators.encoders import HashingEncoder, full_model_name
-from timberline.operators.lsh import approximate_nearest, with_signature
+from timberline.operators.lsh import approximate_nearest, recall, with_signature, write_index
 from timberline.operators.quality import top_k_quality
 from timberline.operators.requests import validate_requests
 from timberline.operators.rollups import (
@@ -580,14 +580,11 @@ def lsh_topk(data: LogData) -> DataFrame:
     """Per query the share of the exact ten nearest that the approximate search finds."""
     vectors = data.given("embeddings").select("vec_id", "embedding")
     queries = vectors.withColumnRenamed("vec_id", "query_id")
-    exact = nearest(queries, vectors, "vec_id", 10).select("query_id", "vec_id")
-    found = approximate_nearest(queries, with_signature(vectors), "vec_id", 10)
-    hits = found.select("query_id", "vec_id", F.lit(1).alias("hit"))
-    return (
-        exact.join(hits, ["query_id", "vec_id"], "left")
-        .groupBy("query_id")
-        .agg(F.avg(F.coalesce("hit", F.lit(0))).alias("recall"), F.count(F.lit(1)).alias("exact_results"))
-    )
+    exact = nearest(queries, vectors, "vec_id", 10)
+    folder = shared_folder(data.spark, "index")
+    write_index(vectors, folder)
+    found = approximate_nearest(queries, data.spark.read.parquet(folder), "vec_id", 10)
+    return recall(exact, found, "vec_id")
 
 
 @query(
