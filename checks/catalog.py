@@ -337,6 +337,22 @@ def keyword_documents(data: LogData) -> DataFrame:
     return found.drop("event_template")
 
 
+@query(
+    over_logs(
+        "SELECT * REPLACE (strftime(log_timestamp, '%Y-%m-%dT%H:%M:%S') AS log_timestamp) FROM ("
+        + _keyword_sql(
+            "(SELECT query_id, split_part(text, ' ', 1) AS text, level, 40 AS top_k FROM requests)",
+            "contains(lower(l.raw_message), lower(q.text))",
+        )
+        + ")"
+    )
+)
+def result_export(data: LogData) -> DataFrame:
+    """Results for export, for the first word of every template."""
+    words = data.requests().withColumns({"text": F.split_part("text", F.lit(" "), F.lit(1)), "top_k": F.lit(40)})
+    return search.rendered(search.keyword_search(words, data.logs()))
+
+
 # --- Contracts ----------------------------------------------------------------------------------
 
 
@@ -420,7 +436,7 @@ UNION ALL SELECT 'stored lines', count(*) FROM logs)"""
 def load_append(data: LogData) -> DataFrame:
     """Problem lines are loaded first and the rest appended; all lines are then refused as stored."""
     target = Tables(data.spark, shared_folder(data.spark, "tables"))
-    logs, templates = data.logs(), data.templates()
+    logs, templates = data.stored_logs(), data.templates()
     severe = F.col("level").isin("ERROR", "CRITICAL")
     load(logs.where(severe), templates, target)
     first = contract_report(logs, templates.where("false"), target.logs(), target.templates())
@@ -655,6 +671,25 @@ def semantic_search(data: LogData) -> DataFrame:
     return _document_hits(search.vector_search(asked, data.document_logs(), data.document_vectors()))
 
 
+@query(
+    over_documents(
+        _DOCUMENT_HITS_SQL,
+        f"asked AS (SELECT *, CASE WHEN query_id > 4 THEN {_LANGUAGES} END AS level, 25 AS top_k FROM label_vectors)",
+        _two_stage_sql("asked", "document_logs", "document_vectors", "level"),
+    )
+)
+def semantic_search_index(data: LogData) -> DataFrame:
+    """Through the index; with every signature probed it finds what the exact search finds."""
+    folder = shared_folder(data.spark, "index")
+    write_index(data.document_vectors(), folder, 3)
+    level = F.when(F.col("query_id") > 4, F.expr(_LANGUAGES))
+    asked = data.label_vectors().withColumns({"level": level, "top_k": F.lit(25)})
+    index = search.Index(probes=8, planes=3)
+    return _document_hits(
+        search.vector_search(asked, data.document_logs(), data.spark.read.parquet(folder), index)
+    )
+
+
 @query(
     over_documents(
         _DOCUMENT_HITS_SQL,

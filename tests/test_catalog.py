@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-import compare
+from checks import compare
 from __spark_entry__ import entry, oracle_sql, queries
 
 FOLDER = "/root/testdata/sf0.001"

@@ -33,6 +33,8 @@ MAX_SHARED_NUMBERS = 8_000_000
 QUERY_BLOCK, ITEM_BLOCK = 1024, 16_384
 # Cells of one score matrix in a task (32 MB of doubles).
 SCORE_CELLS = 4_000_000
+# Shortlisted pairs that are scored together (12 MB of doubles for 384 numbers each).
+PAIRS_AT_ONCE = 4096
 # Far above the rounding error of a dot product of unit vectors, far below any real difference.
 SLACK = 1e-9
 
@@ -165,7 +167,7 @@ class Vectors:
             raise ValueError(f"vectors of different lengths in one table: {sorted(sizes)}")
         numbers = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
         numbers = numbers.reshape(rows, sizes[0] if sizes else 0)
-        lengths = np.sqrt(_summed((column * column for column in numbers.T), rows))
+        lengths = np.sqrt(_summed((numbers * numbers).T, rows))
         unit = numbers / np.where(lengths == 0, 1.0, lengths)[:, None]
         columns = table.column_names
         return cls(
@@ -219,11 +221,14 @@ class Leaders:
         scores = self.queries.unit @ items.unit.T
         if self.queries.scope is not None:
             self._close_scopes(scores, items)
-        bar = self.floor
-        if scores.shape[1] > self.limit:
+        bar = self.floor - SLACK
+        better = scores >= bar[:, None]
+        if scores.shape[1] > self.limit and np.count_nonzero(better) > self._room():
+            # Too many beat the leaders so far: only the best of this batch can stay.
             at = scores.shape[1] - self.limit
-            bar = np.maximum(bar, np.partition(scores, at, axis=1)[:, at])
-        query, item = np.nonzero((scores >= (bar - SLACK)[:, None]) & (scores > -np.inf))
+            bar = np.maximum(bar, np.partition(scores, at, axis=1)[:, at] - SLACK)
+            better = scores >= bar[:, None]
+        query, item = np.nonzero(better & (scores > -np.inf))
         if not len(query):
             return
         found = pd.DataFrame(
@@ -248,9 +253,16 @@ class Leaders:
         free = np.array([s is None for s in wanted])
         scores[(shared == 0) & ~free[:, None]] = -np.inf
 
+    def _room(self) -> int:
+        """Pairs that are cheaper to score than to cut down first."""
+        return 2 * self.limit * len(self.floor)
+
     def _exact(self, query: np.ndarray, items: Vectors, item: np.ndarray) -> np.ndarray:
-        left, right = self.queries.numbers[query].T, items.numbers[item].T
-        dots = _summed((x * y for x, y in zip(left, right)), len(query))
+        dots = np.empty(len(query))
+        for start in range(0, len(query), PAIRS_AT_ONCE):
+            part = slice(start, start + PAIRS_AT_ONCE)
+            products = self.queries.numbers[query[part]] * items.numbers[item[part]]
+            dots[part] = _summed(products.T, len(products))
         lengths = self.queries.lengths[query] * items.lengths[item]
         return np.where(lengths == 0, 0.0, dots / np.where(lengths == 0, 1.0, lengths))
 
@@ -266,7 +278,7 @@ class Leaders:
             )
 
 
-def _summed(columns: Iterator[np.ndarray], rows: int) -> np.ndarray:
+def _summed(columns: np.ndarray, rows: int) -> np.ndarray:
     """Element-wise sum in the order given, the same for every row wherever it lies."""
     total = np.zeros(rows)
     for column in columns:

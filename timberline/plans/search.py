@@ -6,6 +6,8 @@ the row ``id`` next to the stored columns (``sources.tables.with_row_id``).
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -19,8 +21,10 @@ from timberline.fixed_values import (
     MIN_CANDIDATES,
     RESULT_COLUMNS,
 )
+from timberline.functions.labels import iso_time
 from timberline.operators.encoders import Encoder
 from timberline.operators.keyword import keyword_matches
+from timberline.operators.lsh import PLANES, PROBES, SEED, approximate_nearest
 from timberline.operators.ranking import in_time_order, top_per_group
 from timberline.operators.requests import small_table, tidy_requests
 from timberline.operators.rollups import levels_per_message
@@ -43,19 +47,35 @@ def keyword_search(
     return ranked.where("rank <= top_k").select("query_id", *RESULT_COLUMNS, "rank")
 
 
+@dataclass(frozen=True)
+class Index:
+    """How the vector index was written, and how many signatures a request probes."""
+
+    probes: int = PROBES
+    planes: int = PLANES
+    seed: int = SEED
+
+
 def semantic_search(
     requests: DataFrame,
     logs: DataFrame,
     vectors: DataFrame,
     encoder: Encoder,
     default_top_k: int = DEFAULT_TOP_K,
+    index: Index | None = None,
 ) -> DataFrame:
-    """Per request the lines whose message is closest in meaning to the text."""
+    """Per request the lines whose message is closest in meaning to the text.
+
+    With ``index`` the ``vectors`` are a table written by ``lsh.write_index`` and the search is
+    approximate; without it, exact.
+    """
     asked = encoder.encode(tidy_requests(requests, default_top_k), "text")
-    return vector_search(asked.drop("text"), logs, vectors)
+    return vector_search(asked.drop("text"), logs, vectors, index)
 
 
-def vector_search(asked: DataFrame, logs: DataFrame, vectors: DataFrame) -> DataFrame:
+def vector_search(
+    asked: DataFrame, logs: DataFrame, vectors: DataFrame, index: Index | None = None
+) -> DataFrame:
     """As ``semantic_search`` for ready vectors: ``query_id, embedding, level, top_k``.
 
     Two stages: the best messages per request, then their lines. A level counts in both, so that
@@ -72,7 +92,7 @@ def vector_search(asked: DataFrame, logs: DataFrame, vectors: DataFrame) -> Data
         F.greatest(F.col("top_k"), F.lit(MIN_CANDIDATES)).alias("top_k"),
         F.when(F.col("level").isNotNull(), F.array("level")).alias("scope"),
     )
-    items = vectors.select("normalized_message", "embedding")
+    items = vectors.select("normalized_message", "embedding", *(["signature"] if index else []))
     if levels is None or levels:
         # Only the asked levels are read where they are known.
         relevant = logs if levels is None else logs.where(F.col("level").isin(levels))
@@ -80,7 +100,14 @@ def vector_search(asked: DataFrame, logs: DataFrame, vectors: DataFrame) -> Data
             "scopes", F.coalesce("scopes", F.array().cast("array<string>"))
         )
     limit = _largest(rows)
-    matches = nearest(queries, items, "normalized_message", max(limit, MIN_CANDIDATES)).drop("rank")
+    places = max(limit, MIN_CANDIDATES)
+    if index is None:
+        matches = nearest(queries, items, "normalized_message", places)
+    else:
+        matches = approximate_nearest(
+            queries, items, "normalized_message", places, index.probes, index.planes, index.seed
+        )
+    matches = matches.drop("rank")
     # Two readers follow; the vectors are scanned once.
     matches = settled(matches, "matches")
     wanted = matches.join(asked.select("query_id", "level", "top_k"), "query_id")
@@ -207,3 +234,8 @@ def nearest_events(
     return top_per_group(first_seen, ["query_id"], [F.asc("first_rank")], max_events).select(
         "query_id", "rank", "event_id"
     )
+
+
+def rendered(results: DataFrame) -> DataFrame:
+    """Search results for export, with ISO 8601 event times."""
+    return results.withColumn("log_timestamp", iso_time(F.col("log_timestamp")))
