@@ -84,6 +84,9 @@ def test_large_request_tables_take_the_other_way(hot, spark, monkeypatch):
     )
     columns = ["query_id", "rank", "line_id", F.round("similarity", 9).alias("s")]
     expected = search.semantic_search(requests, logs, vectors, ENCODER).select(*columns).collect()
+    monkeypatch.setattr(search, "MAX_SHARED_MESSAGES", 2)
+    found = search.semantic_search(requests, logs, vectors, ENCODER).select(*columns).collect()
+    assert sorted(found) == sorted(expected)
     monkeypatch.setattr(search, "MAX_SHARED_QUERIES", 2)
     found = search.semantic_search(requests, logs, vectors, ENCODER).select(*columns).collect()
     assert sorted(found) == sorted(expected)

@@ -29,12 +29,12 @@ try:
 except ImportError:  # the broadcast form serves instead
     ahocorasick = None
 
-# Requests compiled into predicates; requests and characters of them that tasks hold for a lookup.
+# Requests compiled into predicates, and requests that tasks hold for a lookup.
 MAX_COMPILED = 64
 MAX_LOOKED_UP = 20_000
-MAX_LOOKED_UP_TEXT = 16_000_000
-# Requests per broadcast beyond that.
+# Requests per broadcast beyond that, and characters of request text shared in any form.
 BROADCAST_BLOCK = 10_000
+MAX_SHARED_TEXT = 16_000_000
 
 
 def like_pattern(text: Column, literal: bool = False) -> Column:
@@ -63,14 +63,18 @@ def keyword_matches(
     asked = requests.where(F.col("text").isNotNull()).select(
         "query_id", F.lower(like_pattern(F.col("text"), literal)).alias("pattern"), "level", "top_k"
     )
-    few = small_table(asked, max(max_compiled, max_looked_up))
+    size = asked.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.length("pattern")).alias("text")).first()
+    few = None
+    if (size.text or 0) <= MAX_SHARED_TEXT:
+        few = small_table(asked, max(max_compiled, max_looked_up))
     prepared = logs.withColumn("_lower", F.lower("raw_message"))
+    blocks = max(1, -(-size.rows // BROADCAST_BLOCK), -(-(size.text or 0) // MAX_SHARED_TEXT))
     if few is None:
-        matches = _block_passes(asked, prepared)
+        matches = _block_passes(asked, prepared, blocks)
     elif few.num_rows <= max_compiled:
         matches = _one_scan(few, asked, prepared)
     else:
-        matches = _look_up(few, asked, prepared)
+        matches = _look_up(few, asked, prepared, blocks)
     return matches.select(*logs.columns, "query_id", "top_k")
 
 
@@ -113,13 +117,13 @@ def stretches(pattern: str) -> list[str]:
     return texts
 
 
-def _look_up(few: pa.Table, asked: DataFrame, prepared: DataFrame) -> DataFrame:
+def _look_up(few: pa.Table, asked: DataFrame, prepared: DataFrame, blocks: int) -> DataFrame:
     """Lines by the longest plain stretch of each pattern, all stretches in one pass per line."""
     patterns = few["pattern"].to_pylist()
     texts = [stretches(pattern) for pattern in patterns]
     anchors = [max(parts, key=len) for parts in texts]
-    if ahocorasick is None or not all(anchors) or sum(map(len, anchors)) > MAX_LOOKED_UP_TEXT:
-        return _block_passes(asked, prepared)
+    if ahocorasick is None or not all(anchors):
+        return _block_passes(asked, prepared, blocks)
     # A pattern that is one plain text needs no second look.
     whole = [pattern.startswith("%") and parts == ["", anchor, ""] for pattern, parts, anchor in zip(patterns, texts, anchors)]
     check = pa.array([None if plain else pattern for plain, pattern in zip(whole, patterns)], pa.string())
@@ -186,13 +190,12 @@ def _needle(pattern: Column) -> Column:
     return F.when(plain, F.regexp_replace(inner, r"(?s)\\(.)", "$1"))
 
 
-def _block_passes(asked: DataFrame, prepared: DataFrame) -> DataFrame:
+def _block_passes(asked: DataFrame, prepared: DataFrame, blocks: int) -> DataFrame:
     """One pass over the lines per block of requests.
 
     Every line has to be held against every pattern, and a block is large enough for that work to
     outweigh reading the lines again. Nothing but matches leaves a pass.
     """
-    blocks = max(1, -(-asked.count() // BROADCAST_BLOCK))
     # A hashed block may be somewhat larger than the average one.
     own_block = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
     named = asked.withColumnRenamed("level", "asked_level").withColumn("needle", _needle(F.col("pattern")))

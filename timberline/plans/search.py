@@ -33,6 +33,8 @@ from timberline.session import settled
 
 # Hashes of matched messages, 8 bytes each, that are broadcast to pick log lines.
 MAX_SHARED_MESSAGES = 1_000_000
+# Parts that the requests of one message are spread over when they are many.
+MESSAGE_PARTS = 16
 # Seed ids, 12 bytes each, that are broadcast to look up their lines.
 MAX_SHARED_SEEDS = 100_000
 MAX_LISTED_SEEDS = 1000
@@ -134,7 +136,8 @@ def _lines_of(
     """
     per_message = limit + (skip is not None)
     lines = logs.select(*RESULT_COLUMNS, "normalized_message")
-    if rows is not None and rows.num_rows * max(limit, MIN_CANDIDATES) <= MAX_SHARED_MESSAGES:
+    few = rows is not None and rows.num_rows * max(limit, MIN_CANDIDATES) <= MAX_SHARED_MESSAGES
+    if few:
         # At most one 8-byte hash per request and place; a collision only lets a line through to
         # the join on the full message below.
         hashes = wanted.select(F.xxhash64("normalized_message").alias("_hash")).distinct()
@@ -147,7 +150,16 @@ def _lines_of(
         lines, ["normalized_message", "level"], in_time_order(), per_message, rank="_place"
     ).drop("_place")
     asked = wanted.withColumnRenamed("level", "_level")
-    found = asked.join(first, "normalized_message").where("_level IS NULL OR _level = level")
+    join_on = ["normalized_message"]
+    if not few:
+        # Most of many requests may match one message: spread them, next to copies of its lines.
+        matched = wanted.select("normalized_message").distinct()
+        copies = F.explode(F.sequence(F.lit(0), F.lit(MESSAGE_PARTS - 1))).alias("_part")
+        first = first.join(matched, "normalized_message", "left_semi").select("*", copies)
+        part = F.pmod(F.xxhash64("query_id"), F.lit(MESSAGE_PARTS)).cast("int")
+        asked = asked.withColumn("_part", part)
+        join_on.append("_part")
+    found = asked.join(first, join_on).drop("_part").where("_level IS NULL OR _level = level")
     if skip is not None:
         found = found.where(F.col("id") != F.col(skip))
     order = [F.desc("similarity"), *in_time_order()]
