@@ -9,6 +9,7 @@ from timberline.fixed_values import DEFAULT_GROUP_LIMIT, MAX_GROUP_LIMIT, PROBLE
 from timberline.functions.labels import bucket, percentage, template_or_message, wanted_level
 from timberline.operators.encoders import Encoder
 from timberline.operators.requests import check_number, tidy_requests
+from timberline.operators.spread import spread_join
 from timberline.plans.search import nearest_events
 
 _ANY_EVENT = "any"
@@ -105,7 +106,8 @@ def timeline_by_text(
         .agg(F.sum("lines").alias("lines"))
     )
     return (
-        wanted.join(counts, ["kind", "event"])
+        # Most requests may ask for the same event, or for all.
+        spread_join(wanted, counts, ["kind", "event"], "query_id")
         .where("asked_level IS NULL OR asked_level = level")
         .groupBy("query_id", "bucket", "matched_event_ids")
         .agg(F.sum("lines").alias("count"))

@@ -21,6 +21,7 @@ from timberline.operators.encoders import Encoder
 from timberline.operators.quality import top_k_quality
 from timberline.operators.requests import check_number, tidy_requests
 from timberline.operators.rollups import by_frequency, distinct_messages
+from timberline.operators.spread import spread_join
 from timberline.operators.vectors import nearest
 from timberline.plans.search import compare_search
 from timberline.session import settled
@@ -109,7 +110,8 @@ def model_results(
         items = encoder.encode(candidates.select("normalized_message"), "normalized_message")
         found = nearest(queries, items, "normalized_message", top_k)
         results.append(
-            found.join(candidates, "normalized_message").select(
+            # One message may be among the best of most requests.
+            spread_join(found, candidates, ["normalized_message"], "query_id").select(
                 F.lit(encoder.name).alias("model"),
                 "query_id",
                 "rank",

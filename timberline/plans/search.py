@@ -28,13 +28,12 @@ from timberline.operators.lsh import PLANES, PROBES, SEED, approximate_nearest
 from timberline.operators.ranking import in_time_order, top_per_group
 from timberline.operators.requests import small_table, tidy_requests
 from timberline.operators.rollups import levels_per_message
+from timberline.operators.spread import spread_join
 from timberline.operators.vectors import MAX_SHARED_QUERIES, nearest
 from timberline.session import settled
 
 # Hashes of matched messages, 8 bytes each, that are broadcast to pick log lines.
 MAX_SHARED_MESSAGES = 1_000_000
-# Parts that the requests of one message are spread over when they are many.
-MESSAGE_PARTS = 16
 # Seed ids, 12 bytes each, that are broadcast to look up their lines.
 MAX_SHARED_SEEDS = 100_000
 MAX_LISTED_SEEDS = 1000
@@ -150,16 +149,14 @@ def _lines_of(
         lines, ["normalized_message", "level"], in_time_order(), per_message, rank="_place"
     ).drop("_place")
     asked = wanted.withColumnRenamed("level", "_level")
-    join_on = ["normalized_message"]
-    if not few:
-        # Most of many requests may match one message: spread them, next to copies of its lines.
+    if few:
+        found = asked.join(first, "normalized_message")
+    else:
+        # Most of many requests may match one message.
         matched = wanted.select("normalized_message").distinct()
-        copies = F.explode(F.sequence(F.lit(0), F.lit(MESSAGE_PARTS - 1))).alias("_part")
-        first = first.join(matched, "normalized_message", "left_semi").select("*", copies)
-        part = F.pmod(F.xxhash64("query_id"), F.lit(MESSAGE_PARTS)).cast("int")
-        asked = asked.withColumn("_part", part)
-        join_on.append("_part")
-    found = asked.join(first, join_on).drop("_part").where("_level IS NULL OR _level = level")
+        first = first.join(matched, "normalized_message", "left_semi")
+        found = spread_join(asked, first, ["normalized_message"], "query_id")
+    found = found.where("_level IS NULL OR _level = level")
     if skip is not None:
         found = found.where(F.col("id") != F.col(skip))
     order = [F.desc("similarity"), *in_time_order()]
@@ -186,13 +183,15 @@ def similar_logs(
             # Named in the scan, the ids skip files and row groups by their min/max statistics.
             looked_up = looked_up.where(F.col("seed_id").isin(rows["seed_id"].to_pylist()))
         seeds = F.broadcast(seeds.sparkSession.createDataFrame(rows, seeds.schema))
-    located = looked_up.join(seeds, "seed_id")
+    # One row per seed, read several times below; the lines are looked up once.
+    located = settled(looked_up.join(seeds, "seed_id"), "seeds")
     stored = vectors.select("normalized_message", "embedding")
     seed_messages = located.select(F.col("_message").alias("query_id")).distinct()
     queries = stored.withColumnRenamed("normalized_message", "query_id").join(seed_messages, "query_id")
     matches = settled(nearest(queries, stored, "normalized_message", places), "matches")
     wanted = (
-        located.join(matches.withColumnRenamed("query_id", "_message"), "_message")
+        # Most seeds may carry one message; its neighbours are few.
+        spread_join(located, matches.withColumnRenamed("query_id", "_message"), ["_message"], "seed_id")
         .where(F.col("rank") <= F.greatest(F.col("top_k"), F.lit(MIN_CANDIDATES)))
         .select(
             F.col("seed_id").alias("query_id"),
