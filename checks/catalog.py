@@ -534,7 +534,7 @@ def hash_encode(data: LogData) -> DataFrame:
 @query(
     over_documents(
         f"""SELECT e.vec_id, CAST(e.label AS BIGINT) AS label, round({cosine_sql('e.embedding', 'q.embedding')}, 6) AS similarity,
-  round(1 - ({cosine_sql('e.embedding', 'q.embedding')}), 6) AS distance
+  round(1 - ({cosine_sql('e.embedding', 'q.embedding')}), 6) + 0.0e0 AS distance
 FROM embeddings e JOIN label_vectors q ON q.query_id = e.label"""
     )
 )
@@ -549,7 +549,8 @@ def cosine_to_label(data: LogData) -> DataFrame:
         "vec_id",
         "label",
         F.round(similarity.cosine(*pair), 6).alias("similarity"),
-        F.round(similarity.cosine_distance(*pair), 6).alias("distance"),
+        # Adding zero turns a negative zero into zero.
+        (F.round(similarity.cosine_distance(*pair), 6) + F.lit(0.0)).alias("distance"),
     )
 
 

@@ -6,7 +6,6 @@ from timberline.sinks.tables import export_csv
 from timberline.sources.delimited import event_templates, exported_table, structured_lines
 from timberline.sources.tables import file_sizes
 from timberline.sources.text_lines import first_lines, numbered_lines
-from helpers import parsed  # noqa: F401
 
 
 def test_line_numbers_run_through_files_and_blocks(spark, tmp_path):
@@ -60,6 +59,9 @@ def test_exported_table_comes_back(spark, tmp_path):
     assert back.collect() == rows.collect()
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         exported_table(spark, str(tmp_path / "none"), EVENT_TEMPLATES)
+    (tmp_path / "empty").mkdir()
+    with pytest.raises(FileNotFoundError):
+        exported_table(spark, str(tmp_path / "empty"), EVENT_TEMPLATES)
 
 
 def test_file_sizes_lists_files_only(spark, tmp_path):

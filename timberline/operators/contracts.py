@@ -87,11 +87,3 @@ def with_log_defaults(logs: DataFrame) -> DataFrame:
 def with_template_defaults(templates: DataFrame) -> DataFrame:
     return templates.withColumn("occurrences", F.coalesce("occurrences", F.lit(0)))
 
-
-def with_run_defaults(runs: DataFrame) -> DataFrame:
-    return runs.withColumns(
-        {
-            "details": F.coalesce("details", F.lit("{}")),
-            "started_at": F.coalesce("started_at", F.current_timestamp().cast("timestamp_ntz")),
-        }
-    )

@@ -22,8 +22,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from timberline.operators.requests import small_table
-
 try:
     import ahocorasick
 except ImportError:  # the broadcast form serves instead
@@ -64,9 +62,8 @@ def keyword_matches(
         "query_id", F.lower(like_pattern(F.col("text"), literal)).alias("pattern"), "level", "top_k"
     )
     size = asked.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.length("pattern")).alias("text")).first()
-    few = None
-    if (size.text or 0) <= MAX_SHARED_TEXT:
-        few = small_table(asked, max(max_compiled, max_looked_up))
+    small = size.rows <= max(max_compiled, max_looked_up) and (size.text or 0) <= MAX_SHARED_TEXT
+    few = asked.toArrow() if small else None
     prepared = logs.withColumn("_lower", F.lower("raw_message"))
     blocks = max(1, -(-size.rows // BROADCAST_BLOCK), -(-(size.text or 0) // MAX_SHARED_TEXT))
     if few is None:

@@ -70,19 +70,26 @@ def semantic_search(
     With ``index`` the ``vectors`` are a table written by ``lsh.write_index`` and the search is
     approximate; without it, exact.
     """
-    asked = encoder.encode(tidy_requests(requests, default_top_k), "text")
-    return vector_search(asked.drop("text"), logs, vectors, index)
+    tidy = tidy_requests(requests, default_top_k)
+    asked = encoder.encode(tidy, "text").drop("text")
+    return vector_search(asked, logs, vectors, index, small_table(asked, MAX_SHARED_QUERIES, tidy))
 
 
 def vector_search(
-    asked: DataFrame, logs: DataFrame, vectors: DataFrame, index: Index | None = None
+    asked: DataFrame,
+    logs: DataFrame,
+    vectors: DataFrame,
+    index: Index | None = None,
+    rows: pa.Table | None = None,
 ) -> DataFrame:
     """As ``semantic_search`` for ready vectors: ``query_id, embedding, level, top_k``.
 
     Two stages: the best messages per request, then their lines. A level counts in both, so that
-    messages without a line at that level do not use up places.
+    messages without a line at that level do not use up places. ``rows`` are the requests when they
+    have been fetched already.
     """
-    rows = small_table(asked, MAX_SHARED_QUERIES)
+    if rows is None:
+        rows = small_table(asked, MAX_SHARED_QUERIES)
     if rows is not None:
         # The encoder has run once; what follows starts from its result.
         asked = asked.sparkSession.createDataFrame(rows, asked.schema)

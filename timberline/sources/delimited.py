@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from timberline.schemas import STRUCTURED_CSV, TEMPLATES_CSV
+from timberline.sources.tables import file_sizes
 
 # Quotes inside a field are doubled, the usual CSV rule; Spark's own default is a backslash.
 CSV_FORMAT = {"header": "true", "escape": '"'}
@@ -36,7 +37,12 @@ def event_templates(spark: SparkSession, path: str) -> DataFrame:
 
 
 def exported_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A table written by ``sinks.tables.export_csv``; an empty field is NULL, a missing path fails."""
+    """A table written by ``sinks.tables.export_csv``; an empty field is NULL.
+
+    A folder without part files is an error, not an empty table.
+    """
+    if not file_sizes(spark, path, "part-*").select("path").take(1):
+        raise FileNotFoundError(f"no part files in {path}")
     return (
         spark.read.schema(schema)
         .options(**CSV_FORMAT, nullValue="", timestampNTZFormat="yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]")

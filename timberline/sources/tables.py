@@ -44,12 +44,12 @@ def with_row_id(logs: DataFrame) -> DataFrame:
     return logs.withColumn("id", F.col("line_id"))
 
 
-def file_sizes(spark: SparkSession, path: str) -> DataFrame:
+def file_sizes(spark: SparkSession, path: str, names: str = "*.parquet") -> DataFrame:
     """One row per data file below ``path``; lists files only, no content is read."""
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.parquet")
+        .option("pathGlobFilter", names)
         .load(path)
         .select("path", F.col("length").alias("bytes"))
     )
