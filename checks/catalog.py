@@ -811,7 +811,7 @@ GROUP BY r.query_id, bucket""",
     )
 )
 def timeline_query(data: LogData) -> DataFrame:
-    table = analytics.timeline_by_text(
+    table = analytics.timelines(
         data.requests(), data.stored_logs(), data.vectors(), HashingEncoder(SEARCH_DIMENSION)
     )
     return table.withColumn("matched_event_ids", F.array_join("matched_event_ids", ","))

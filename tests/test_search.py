@@ -149,11 +149,20 @@ def test_timelines(spark):
             analytics.timeline(logs, **arguments)
     requests = spark.createDataFrame([(1, "a b", None, None), (2, "a b", "ERROR", None)], REQUESTS)
     vectors = vectors_of(logs.where("event_id = 'E1'"))
-    table = analytics.timeline_by_text(requests, logs, vectors, ENCODER).collect()
+    table = analytics.timelines(requests, logs, vectors, ENCODER).collect()
     assert [(row.query_id, row["count"], row.matched_event_ids) for row in table] == [(1, 2, ["E1"]), (2, 1, ["E1"])]
     # Without a matching event all lines count.
-    unmatched = analytics.timeline_by_text(requests, logs, vectors_of(logs.where("event_id IS NULL")), ENCODER).collect()
+    unmatched = analytics.timelines(requests, logs, vectors_of(logs.where("event_id IS NULL")), ENCODER).collect()
     assert [(row.query_id, row["count"], row.matched_event_ids) for row in unmatched] == [(1, 3, []), (1, 1, []), (2, 1, [])]
+    # A named event wins over the text; without either all lines count.
+    mixed = spark.createDataFrame(
+        [(1, "a b", None, None, "E2"), (2, "", "INFO", None, ""), (3, None, None, None, None)],
+        "query_id bigint, text string, level string, top_k int, event_id string",
+    )
+    table = analytics.timelines(mixed, logs, vectors, ENCODER).collect()
+    assert [(row.query_id, row.bucket.day, row["count"], row.matched_event_ids) for row in table] == [
+        (1, 2, 1, []), (2, 1, 2, []), (2, 2, 1, []), (3, 1, 3, []), (3, 2, 1, []),
+    ]
 
 
 def test_timeline_ignores_the_session_time_zone(spark):

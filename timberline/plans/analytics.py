@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from timberline.fixed_values import DEFAULT_GROUP_LIMIT, MAX_GROUP_LIMIT, PROBLEM_LEVELS
@@ -57,46 +57,49 @@ def timeline(
     )
 
 
-def timeline_by_text(
+def timelines(
     requests: DataFrame,
     logs: DataFrame,
     vectors: DataFrame,
     encoder: Encoder,
     granularity: str = "day",
 ) -> DataFrame:
-    """Per request the timeline of the events nearest to its text, with those event ids.
+    """Per request a timeline, with the event ids found for its text.
 
-    A request without any such event counts all lines. The optional request ``level`` restricts the
-    counted lines, not the choice of events. Lines are counted per event, level and bucket before
-    they meet the requests.
+    A request counts the lines of its ``event_id`` if it names one, else of the events nearest to its
+    ``text``, else all lines. The optional ``level`` restricts the counted lines, not the choice of
+    events. Lines are counted per event, level and bucket before they meet the requests.
     """
-    asked = tidy_requests(requests).select("query_id", F.col("level").alias("asked_level"))
+    if "event_id" not in requests.columns:
+        requests = requests.withColumn("event_id", F.lit(None).cast("string"))
+    asked = tidy_requests(requests).select(
+        "query_id", F.col("level").alias("asked_level"), F.nullif("event_id", F.lit("")).alias("asked_event")
+    )
+    by_text = requests.where("coalesce(event_id, '') = '' AND coalesce(text, '') <> ''")
     events = (
-        nearest_events(requests, logs, vectors, encoder)
+        nearest_events(by_text, logs, vectors, encoder)
         .groupBy("query_id")
         .agg(F.array_sort(F.collect_list(F.struct("rank", "event_id"))).alias("ranked"))
         .select("query_id", F.col("ranked.event_id").alias("matched_event_ids"))
     )
+
+    def one(event: Column) -> Column:
+        return F.struct(F.lit(_ONE_EVENT).alias("kind"), event.alias("event"))
+
+    everything = F.struct(F.lit(_ANY_EVENT).alias("kind"), F.lit("").alias("event"))
+    wants = (
+        F.when(F.col("asked_event").isNotNull(), F.array(one(F.col("asked_event"))))
+        .when(F.size("matched_event_ids") > 0, F.transform("matched_event_ids", one))
+        .otherwise(F.array(everything))
+    )
     no_events = F.array().cast("array<string>")
     wanted = (
         asked.join(events, "query_id", "left")
         .withColumn("matched_event_ids", F.coalesce("matched_event_ids", no_events))
-        .withColumn(
-            "_want",
-            F.explode(
-                F.when(
-                    F.size("matched_event_ids") > 0,
-                    F.transform("matched_event_ids", lambda e: F.struct(F.lit(_ONE_EVENT).alias("kind"), e.alias("event"))),
-                ).otherwise(F.array(F.struct(F.lit(_ANY_EVENT).alias("kind"), F.lit("").alias("event"))))
-            ),
-        )
-        .select("query_id", "asked_level", "matched_event_ids", "_want.kind", "_want.event")
+        .select("query_id", "asked_level", "matched_event_ids", F.inline(wants))
     )
     # Every count serves its own event and the total, so the log table is read once.
-    serves = F.array(
-        F.struct(F.lit(_ONE_EVENT).alias("kind"), F.col("event_id").alias("event")),
-        F.struct(F.lit(_ANY_EVENT).alias("kind"), F.lit("").alias("event")),
-    )
+    serves = F.array(one(F.col("event_id")), everything)
     counts = (
         logs.where(F.col("log_timestamp").isNotNull())
         .groupBy("event_id", "level", bucket(F.col("log_timestamp"), granularity).alias("bucket"))

@@ -72,24 +72,24 @@ def semantic_search(
     """
     tidy = tidy_requests(requests, default_top_k)
     asked = encoder.encode(tidy, "text").drop("text")
-    return vector_search(asked, logs, vectors, index, small_table(asked, MAX_SHARED_QUERIES, tidy))
+    return _search(asked, small_table(asked, MAX_SHARED_QUERIES, tidy), logs, vectors, index)
 
 
 def vector_search(
-    asked: DataFrame,
-    logs: DataFrame,
-    vectors: DataFrame,
-    index: Index | None = None,
-    rows: pa.Table | None = None,
+    asked: DataFrame, logs: DataFrame, vectors: DataFrame, index: Index | None = None
+) -> DataFrame:
+    """As ``semantic_search`` for ready vectors: ``query_id, embedding, level, top_k``."""
+    return _search(asked, small_table(asked, MAX_SHARED_QUERIES), logs, vectors, index)
+
+
+def _search(
+    asked: DataFrame, rows: pa.Table | None, logs: DataFrame, vectors: DataFrame, index: Index | None
 ) -> DataFrame:
-    """As ``semantic_search`` for ready vectors: ``query_id, embedding, level, top_k``.
+    """Two stages: the best messages per request, then their lines.
 
-    Two stages: the best messages per request, then their lines. A level counts in both, so that
-    messages without a line at that level do not use up places. ``rows`` are the requests when they
-    have been fetched already.
+    A level counts in both, so that messages without a line at that level do not use up places.
+    ``rows`` are the requests when they are few.
     """
-    if rows is None:
-        rows = small_table(asked, MAX_SHARED_QUERIES)
     if rows is not None:
         # The encoder has run once; what follows starts from its result.
         asked = asked.sparkSession.createDataFrame(rows, asked.schema)
