@@ -1,1044 +1,18 @@
-"""Every registered query, next to the SQL that must give the same rows."""
+"""All registered queries, each next to the SQL that must give the same rows."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from checks.fixture import (
-    DOCUMENT_CTES,
-    LOG_COLUMN_SQL,
-    LOG_CTES,
-    SEARCH_DIMENSION,
-    LogData,
-    cosine_sql,
-    hashed_ctes,
-    mean_sql,
-    rounded_sql,
-)
-from timberline.fixed_values import LOG_COLUMNS, MODEL_ALIASES
-from timberline.functions import similarity
-from timberline.functions.labels import score
-from timberline.operators import contracts
-from timberline.operators.encoders import HashingEncoder, full_model_name
-from timberline.operators.lsh import approximate_nearest, recall, with_signature, write_index
-from timberline.operators.quality import top_k_quality
-from timberline.operators.requests import validate_requests
-from timberline.operators.rollups import (
-    by_frequency,
-    distinct_messages,
-    messages_without_vector,
-)
-from timberline.operators.vectors import nearest
-from timberline.plans import analytics, evaluation, search
-from timberline.plans.full_run import Inputs, run_all
-from timberline.plans.load import contract_report, load
-from timberline.plans.prepare import log_entries, parsed_lines, prepare
-from timberline.plans.storage import latest_run, step_timings, storage_report, table_sizes
-from timberline.plans.vectorise import encoding_totals, merged_vectors, new_vectors
-from timberline.session import shared_folder
-from timberline.sinks.tables import export_csv, write_parquet
-from timberline.sources.delimited import event_templates, exported_table, structured_lines
-from timberline.sources.tables import LOGS, TEMPLATES, VECTORS, Tables
-from timberline.sources.text_lines import first_lines, numbered_lines
-from timberline.schemas import EVENT_TEMPLATES, LOG_ENTRIES
-
-Query = Callable[[SparkSession, str], DataFrame]
-
-
-@dataclass(frozen=True)
-class Entry:
-    run: Query
-    sql: str | None
-
-
-CATALOG: dict[str, Entry] = {}
-
-
-def query(sql: str | None = None) -> Callable[[Callable[[LogData], DataFrame]], Callable]:
-    """Registers a function of the derived tables under its own name."""
-
-    def register(build: Callable[[LogData], DataFrame]) -> Callable[[LogData], DataFrame]:
-        CATALOG[build.__name__] = Entry(lambda spark, folder: build(LogData(spark, folder)), sql)
-        return build
-
-    return register
-
-
-def over_logs(select: str, *more_ctes: str) -> str:
-    return f"WITH {', '.join([LOG_CTES, *more_ctes])}\n{select}"
-
-
-def over_documents(select: str, *more_ctes: str) -> str:
-    return f"WITH {', '.join([DOCUMENT_CTES, *more_ctes])}\n{select}"
-
-
-# --- Reading raw text and delimited files -------------------------------------------------------
-
-
-def _write_raw_text(data: LogData) -> str:
-    """The raw lines as text files whose names follow the line order."""
-    folder = shared_folder(data.spark, "raw")
-    ordered = data.raw().repartitionByRange(8, "line_id").sortWithinPartitions("line_id")
-    ordered.select("raw_line").write.text(folder)
-    return folder
-
-
-def _write_structured_csv(data: LogData) -> str:
-    folder = shared_folder(data.spark, "structured")
-    export_csv(
-        data.structured().select(
-            F.col("line_id").alias("LineId"),
-            F.lit("sshd").alias("Component"),
-            F.col("raw_message").alias("Content"),
-            F.col("event_id").alias("EventId"),
-            F.col("event_template").alias("EventTemplate"),
-        ),
-        folder,
-    )
-    return folder
-
-
-def _write_templates_csv(data: LogData) -> str:
-    folder = shared_folder(data.spark, "templates")
-    export_csv(
-        data.templates().select(
-            F.col("event_id").alias("EventId"),
-            F.col("event_template").alias("EventTemplate"),
-            F.col("occurrences").alias("Occurrences"),
-        ),
-        folder,
-        single_file=True,
-    )
-    return folder
-
-
-@query(over_logs("SELECT line_id, raw_line FROM log_raw"))
-def line_numbers(data: LogData) -> DataFrame:
-    return numbered_lines(data.spark, _write_raw_text(data))
-
-
-@query(over_logs("SELECT line_id, raw_message, event_id, event_template FROM log_structured"))
-def csv_structured(data: LogData) -> DataFrame:
-    return structured_lines(data.spark, _write_structured_csv(data))
-
-
-@query(over_logs("SELECT event_id, event_template, occurrences FROM event_templates"))
-def csv_templates(data: LogData) -> DataFrame:
-    return event_templates(data.spark, _write_templates_csv(data))
-
-
-@query(over_logs(f"SELECT {LOG_COLUMN_SQL} FROM logs"))
-def csv_log_table(data: LogData) -> DataFrame:
-    folder = shared_folder(data.spark, "export")
-    export_csv(data.logs().select(*LOG_COLUMNS), folder)
-    return exported_table(data.spark, folder, LOG_ENTRIES)
-
-
-@query(over_logs("SELECT line_id, level FROM logs WHERE line_id <= 5000"))
-def limit_lines(data: LogData) -> DataFrame:
-    """The deterministic sample: the first lines, cut before the join."""
-    return log_entries(first_lines(data.raw(), 5000), data.structured()).select("line_id", "level")
-
-
-# --- Parsing ------------------------------------------------------------------------------------
-
-
-@query(
-    over_logs(
-        "SELECT line_id, month, day, time_text, host, service, process_id, log_timestamp FROM parsed"
-    )
-)
-def syslog_parse(data: LogData) -> DataFrame:
-    return parsed_lines(data.raw()).select(
-        "line_id", "month", "day", "time_text", "host", "service", "process_id", "log_timestamp"
-    )
-
-
-@query(over_logs(f"SELECT {LOG_COLUMN_SQL} FROM logs"))
-def log_table(data: LogData) -> DataFrame:
-    return data.logs().select(*LOG_COLUMNS)
-
-
-@query(
-    over_logs(
-        "SELECT line_id, level, normalized_message FROM collapsed",
-        "collapsed AS (SELECT line_id, "
-        + "CASE WHEN contains(t, 'possible break-in attempt') OR contains(t, 'too many authentication failures') THEN 'CRITICAL' "
-        + "WHEN contains(t, 'failed password') OR contains(t, 'authentication failure') OR contains(t, 'fatal') OR contains(t, 'error') OR contains(t, 'invalid user') OR contains(t, 'user unknown') THEN 'ERROR' "
-        + "WHEN contains(t, 'disconnect') OR contains(t, 'closed by') OR contains(t, 'preauth') OR contains(t, 'reverse mapping') THEN 'WARNING' ELSE 'INFO' END AS level, "
-        + "lower(trim(regexp_replace(coalesce(event_template, raw_message), '\\s+', ' ', 'g'))) AS normalized_message "
-        + "FROM (SELECT *, lower(trim(regexp_replace(raw_message, '\\s+', ' ', 'g'))) AS t FROM joined))",
-    )
-)
-def log_table_collapsed(data: LogData) -> DataFrame:
-    """Severity and normalised message with doubled and outer spaces ignored."""
-    table = log_entries(data.raw(), data.structured(), collapse=True)
-    return table.select("line_id", "level", "normalized_message")
-
-
-@query(over_logs(f"SELECT {LOG_COLUMN_SQL} FROM logs"))
-def log_table_roundtrip(data: LogData) -> DataFrame:
-    """Text and CSV files in, partitioned Parquet out, read back."""
-    target = shared_folder(data.spark, "prepared")
-    prepare(
-        data.spark, _write_raw_text(data), _write_structured_csv(data), _write_templates_csv(data), target
-    )
-    return Tables(data.spark, target).read(LOGS)
-
-
-# --- Counts and trends --------------------------------------------------------------------------
-
-
-@query(over_logs("SELECT level, count(*) AS count FROM logs GROUP BY level"))
-def level_histogram(data: LogData) -> DataFrame:
-    return analytics.level_histogram(data.logs())
-
-
-@query(
-    over_logs(
-        """SELECT count(*) AS total_logs,
-  CAST(count(*) FILTER (WHERE normalized_message IN (SELECT normalized_message FROM covered)) AS BIGINT) AS embedded_logs,
-  (SELECT count(*) FROM covered) AS embedded_messages,
-  count(DISTINCT event_id) AS event_count, min(log_timestamp) AS first_log, max(log_timestamp) AS last_log,
-  """ + rounded_sql("(count(*) FILTER (WHERE normalized_message IN (SELECT normalized_message FROM covered)) / count(*)) * 100", 1) + """ AS coverage_pct
-FROM logs""",
-        "covered AS (SELECT DISTINCT normalized_message FROM logs WHERE event_template IS NOT NULL)",
-    )
-)
-def table_statistics(data: LogData) -> DataFrame:
-    """Vectors exist for the messages of known templates only."""
-    logs = data.stored_logs()
-    known = distinct_messages(logs.where("event_template IS NOT NULL"))
-    vectors = HashingEncoder(SEARCH_DIMENSION).encode(known, "normalized_message")
-    return analytics.table_statistics(logs, vectors)
-
-
-_FREQUENT = """SELECT event_id, coalesce(event_template, normalized_message) AS template, level, count(*) AS count
-FROM logs WHERE {levels} GROUP BY ALL ORDER BY count DESC, event_id NULLS LAST, template, level LIMIT {limit}"""
-
-
-@query(over_logs(_FREQUENT.format(levels="level IN ('ERROR', 'CRITICAL', 'WARNING')", limit=15)))
-def frequent_errors(data: LogData) -> DataFrame:
-    return analytics.frequent_errors(data.logs())
-
-
-@query(over_logs(_FREQUENT.format(levels="level = 'INFO'", limit=40)))
-def frequent_errors_level(data: LogData) -> DataFrame:
-    return analytics.frequent_errors(data.logs(), 40, "INFO")
-
-
-_TIMELINE = """SELECT CAST(date_trunc('{unit}', log_timestamp) AS TIMESTAMP) AS bucket, count(*) AS count
-FROM logs WHERE log_timestamp IS NOT NULL {more} GROUP BY bucket"""
-
-
-@query(over_logs(_TIMELINE.format(unit="day", more="")))
-def timeline_day(data: LogData) -> DataFrame:
-    return analytics.timeline(data.logs())
-
-
-@query(over_logs(_TIMELINE.format(unit="hour", more="AND level = 'ERROR'")))
-def timeline_hour(data: LogData) -> DataFrame:
-    return analytics.timeline(data.logs(), "hour", level="ERROR")
-
-
-@query(over_logs(_TIMELINE.format(unit="day", more="AND event_id = 'E5' AND level = 'CRITICAL'")))
-def timeline_event(data: LogData) -> DataFrame:
-    return analytics.timeline(data.logs(), event_id="E5", level="CRITICAL")
-
-
-# --- Keyword search -----------------------------------------------------------------------------
-
-_RESULT_SQL = "id, line_id, log_timestamp, level, event_id, raw_message, event_template"
-_TIME_ORDER_SQL = "log_timestamp NULLS LAST, line_id"
-
-
-def _keyword_sql(requests: str, condition: str, logs: str = "logs", columns: str = _RESULT_SQL) -> str:
-    chosen = ", ".join(f"l.{name}" for name in columns.split(", "))
-    return f"""SELECT query_id, {columns}, rank FROM (
-  SELECT q.query_id, q.top_k, {chosen},
-    CAST(row_number() OVER (PARTITION BY q.query_id ORDER BY {_TIME_ORDER_SQL}) AS BIGINT) AS rank
-  FROM {requests} q JOIN {logs} l ON ({condition}) AND (q.level IN ('ALL', '') OR q.level IS NULL OR l.level = q.level))
-WHERE rank <= coalesce(top_k, 20)"""
-
-
-_USER_REQUESTS = (
-    "SELECT user_id AS query_id, 'FOR U' || CAST(user_id AS STRING) || ' FROM' AS text, "
-    "CAST(NULL AS STRING) AS level, CAST(NULL AS INT) AS top_k FROM {events} GROUP BY user_id"
-)
-
-
-@query(
-    over_logs(
-        _keyword_sql("asked", "contains(lower(l.raw_message), lower(q.text))"),
-        f"asked AS ({_USER_REQUESTS.format(events='events')})",
-    )
-)
-def keyword_search(data: LogData) -> DataFrame:
-    """One request per user, in capitals."""
-    requests = data.spark.sql(_USER_REQUESTS, events=data.given("events"))
-    return search.keyword_search(requests, data.logs())
-
-
-_HOST_REQUESTS = (
-    "SELECT host_id AS query_id, CASE host_id % 2 WHEN 0 THEN 'password' ELSE 'authentication' END AS text, "
-    "CASE host_id % 4 WHEN 0 THEN 'ERROR' WHEN 1 THEN 'CRITICAL' ELSE 'INFO' END AS level, "
-    "CAST(host_id + 10 AS INT) AS top_k FROM (SELECT user_id % 8 AS host_id FROM {events} GROUP BY 1)"
-)
-
-
-@query(
-    over_logs(
-        _keyword_sql("asked", "contains(lower(l.raw_message), lower(q.text))"),
-        f"asked AS ({_HOST_REQUESTS.format(events='events')})",
-    )
-)
-def keyword_search_level(data: LogData) -> DataFrame:
-    requests = data.spark.sql(_HOST_REQUESTS, events=data.given("events"))
-    return search.keyword_search(requests, data.logs())
-
-
-@query(
-    over_logs(
-        _keyword_sql(
-            "(SELECT query_id, replace(text, '<*>', '%') AS text, level, top_k FROM requests)",
-            "l.raw_message ILIKE '%' || q.text || '%' ESCAPE '\\'",
-        )
-    )
-)
-def keyword_wildcard(data: LogData) -> DataFrame:
-    """Every template as a pattern with wildcards."""
-    patterns = data.requests().withColumn("text", F.replace("text", F.lit("<*>"), F.lit("%")))
-    return search.keyword_search(patterns, data.logs())
-
-
-_DOCUMENT_RESULT_SQL = "id, line_id, log_timestamp, level, event_id, raw_message"
-
-
-@query(
-    over_documents(
-        _keyword_sql(
-            "(SELECT item_id AS query_id, text, NULL AS level, 50 AS top_k FROM benchmark)",
-            "contains(lower(l.raw_message), lower(q.text))",
-            "document_logs",
-            _DOCUMENT_RESULT_SQL,
-        )
-    )
-)
-def keyword_documents(data: LogData) -> DataFrame:
-    """Benchmark items looked up, whole and literally, in whole documents."""
-    requests = data.given("benchmark").select(
-        F.col("item_id").alias("query_id"), "text", F.lit(50).alias("top_k")
-    )
-    found = search.keyword_search(requests, data.document_logs(), literal=True)
-    return found.drop("event_template")
-
-
-@query(
-    over_logs(
-        "SELECT * REPLACE (strftime(log_timestamp, '%Y-%m-%dT%H:%M:%S') AS log_timestamp) FROM ("
-        + _keyword_sql(
-            "(SELECT query_id, split_part(text, ' ', 1) AS text, level, 40 AS top_k FROM requests)",
-            "contains(lower(l.raw_message), lower(q.text))",
-        )
-        + ")"
-    )
-)
-def result_export(data: LogData) -> DataFrame:
-    """Results for export, for the first word of every template."""
-    words = data.requests().withColumns({"text": F.split_part("text", F.lit(" "), F.lit(1)), "top_k": F.lit(40)})
-    return search.rendered(search.keyword_search(words, data.logs()))
-
-
-# --- Contracts ----------------------------------------------------------------------------------
-
-
-@query(
-    """SELECT 'customer.c_custkey unique' AS rule, CAST(count(*) - count(DISTINCT c_custkey) AS BIGINT) AS violations FROM customer
-UNION ALL SELECT 'orders.o_custkey unique', CAST(count(*) - count(DISTINCT o_custkey) AS BIGINT) FROM orders
-UNION ALL SELECT 'lineitem.l_orderkey,l_partkey unique', CAST(sum(n - 1) AS BIGINT)
-  FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_partkey)"""
-)
-def check_unique(data: LogData) -> DataFrame:
-    return (
-        contracts.check_unique(data.given("customer"), "customer", ["c_custkey"])
-        .unionByName(contracts.check_unique(data.given("orders"), "orders", ["o_custkey"]))
-        .unionByName(contracts.check_unique(data.given("lineitem"), "lineitem", ["l_orderkey", "l_partkey"]))
-    )
-
-
-@query(
-    over_logs(
-        """SELECT 'log_entries.' || name || ' not null' AS rule, CAST(violations AS BIGINT) AS violations FROM (
-  UNPIVOT (SELECT count(*) FILTER (WHERE line_id IS NULL) AS line_id, count(*) FILTER (WHERE log_timestamp IS NULL) AS log_timestamp,
-    count(*) FILTER (WHERE event_id IS NULL) AS event_id, count(*) FILTER (WHERE raw_message IS NULL) AS raw_message FROM logs)
-  ON line_id, log_timestamp, event_id, raw_message INTO NAME name VALUE violations)"""
-    )
-)
-def check_not_null(data: LogData) -> DataFrame:
-    return contracts.check_not_null(
-        data.logs(), LOGS, ["line_id", "log_timestamp", "event_id", "raw_message"]
-    )
-
-
-@query(
-    """SELECT 'orders.o_custkey references customer.c_custkey' AS rule, count(*) AS violations
-FROM orders WHERE o_custkey IS NOT NULL AND o_custkey NOT IN (SELECT c_custkey FROM customer)
-UNION ALL SELECT 'customer.c_custkey references orders.o_custkey', count(*)
-FROM customer WHERE c_custkey IS NOT NULL AND c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)"""
-)
-def check_fk(data: LogData) -> DataFrame:
-    orders, customer = data.given("orders"), data.given("customer")
-    forward = contracts.check_reference(orders, "orders", "o_custkey", customer, "customer", "c_custkey")
-    backward = contracts.check_reference(customer, "customer", "c_custkey", orders, "orders", "o_custkey")
-    return forward.unionByName(backward)
-
-
-@query(
-    """SELECT 'embeddings.embedding has 64 elements' AS rule, count(*) FILTER (WHERE len(embedding) <> 64) AS violations FROM embeddings
-UNION ALL SELECT 'embeddings.embedding has 384 elements', count(*) FILTER (WHERE len(embedding) <> 384) FROM embeddings"""
-)
-def check_dim(data: LogData) -> DataFrame:
-    vectors = data.given("embeddings")
-    return contracts.check_dimension(vectors, "embeddings", "embedding", 64).unionByName(
-        contracts.check_dimension(vectors, "embeddings", "embedding", 384)
-    )
-
-
-@query(
-    over_logs(
-        """SELECT l.line_id, 'OpenSSH' AS source, l.line_id AS id, coalesce(t.occurrences, 0) AS occurrences
-FROM logs l LEFT JOIN event_templates t ON t.event_id = l.event_id"""
-    )
-)
-def load_defaults(data: LogData) -> DataFrame:
-    logs = contracts.with_log_defaults(data.logs().drop("source", "id"))
-    joined = logs.join(data.templates().drop("event_template"), "event_id", "left")
-    return contracts.with_template_defaults(joined).select("line_id", "source", "id", "occurrences")
-
-
-@query(
-    over_logs(
-        """SELECT * FROM (
-SELECT 'log_entries.line_id unique' AS rule, CAST(0 AS BIGINT) AS violations
-UNION ALL SELECT 'event_templates.event_id unique', 0
-UNION ALL SELECT 'log_entries.' || unnest(['line_id', 'source', 'level', 'raw_message', 'normalized_message']) || ' not null', 0
-UNION ALL SELECT 'event_templates.' || unnest(['event_id', 'event_template']) || ' not null', 0
-UNION ALL SELECT 'log_entries.line_id new', count(*) FROM logs WHERE level IN ('ERROR', 'CRITICAL')
-UNION ALL SELECT 'event_templates.event_id new', 0
-UNION ALL SELECT 'log_entries.event_id references event_templates.event_id', 0
-UNION ALL SELECT 'stored lines', count(*) FROM logs)"""
-    )
-)
-def load_append(data: LogData) -> DataFrame:
-    """Problem lines are loaded first and the rest appended; all lines are then refused as stored."""
-    target = Tables(data.spark, shared_folder(data.spark, "tables"))
-    logs, templates = data.stored_logs(), data.templates()
-    severe = F.col("level").isin("ERROR", "CRITICAL")
-    load(logs.where(severe), templates, target)
-    first = contract_report(logs, templates.where("false"), target.logs(), target.templates())
-    report_folder = shared_folder(data.spark, "report")
-    write_parquet(first, report_folder)
-    load(logs.where(~severe), templates.where("false"), target, reset=False)
-    stored = target.logs().agg(F.lit("stored lines").alias("rule"), F.count(F.lit(1)).alias("violations"))
-    return data.spark.read.parquet(report_folder).unionByName(stored)
-
-
-# --- Messages and vectors -----------------------------------------------------------------------
-
-_DISTINCT_SQL = """SELECT normalized_message, min(event_id) AS representative_event_id,
-  min(level) AS representative_level, count(*) AS occurrences FROM {table} GROUP BY normalized_message"""
-
-
-@query(over_logs(_DISTINCT_SQL.format(table="logs")))
-def distinct_log_messages(data: LogData) -> DataFrame:
-    return distinct_messages(data.logs()).orderBy(*by_frequency())
-
-
-@query(over_documents(_DISTINCT_SQL.format(table="document_logs")))
-def distinct_document_messages(data: LogData) -> DataFrame:
-    return distinct_messages(data.document_logs()).orderBy(*by_frequency())
-
-
-@query(
-    over_documents(
-        """SELECT normalized_message, count(*) AS occurrences FROM document_logs
-WHERE normalized_message NOT IN (SELECT normalized_message FROM document_vectors) GROUP BY normalized_message"""
-    )
-)
-def missing_vectors(data: LogData) -> DataFrame:
-    missing = messages_without_vector(distinct_messages(data.document_logs()), data.document_vectors())
-    return missing.select("normalized_message", "occurrences")
-
-
-@query(
-    """SELECT CAST(vec_id AS VARCHAR) AS normalized_message, 'L' || label AS representative_event_id,
-  CASE WHEN label < 5 THEN 'new' ELSE 'old' END AS representative_level,
-  CASE WHEN label < 5 THEN 2 ELSE 1 END AS occurrences,
-  round(CASE WHEN label < 5 THEN -1 ELSE 1 END * CAST(embedding[1] AS DOUBLE), 6) AS first_number
-FROM embeddings"""
-)
-def vector_upsert(data: LogData) -> DataFrame:
-    """Vectors of low label arrive twice more; the later arrival replaces the stored row."""
-    given = data.given("embeddings")
-
-    def rows(table: DataFrame, level: str, occurrences: int, sign: int, day: int) -> DataFrame:
-        return table.select(
-            F.col("vec_id").cast("string").alias("normalized_message"),
-            F.concat(F.lit("L"), F.col("label").cast("string")).alias("representative_event_id"),
-            F.lit(level).alias("representative_level"),
-            F.lit(occurrences).cast("bigint").alias("occurrences"),
-            F.transform("embedding", lambda x: (x * sign).cast("float")).alias("embedding"),
-            F.lit(f"2024-01-0{day} 00:00:00").cast("timestamp_ntz").alias("updated_at"),
-        )
-
-    # Of the vectors with a high label only the stored row exists; the rest are partly new.
-    stored = rows(given.where("label > 2"), "old", 1, 1, 1)
-    changed = given.where("label < 5")
-    changes = rows(changed, "early", 9, 1, 2).unionByName(rows(changed, "new", 2, -1, 3))
-    return merged_vectors(stored, changes).select(
-        "normalized_message",
-        "representative_event_id",
-        "representative_level",
-        F.col("occurrences").cast("int").alias("occurrences"),
-        F.round(F.col("embedding")[0].cast("double"), 6).alias("first_number"),
-    )
-
-
-_HASHED_LOGS = hashed_ctes(
-    "hashed",
-    "(SELECT DISTINCT normalized_message FROM logs)",
-    "normalized_message",
-    "normalized_message",
-    SEARCH_DIMENSION,
-)
-
-
-@query(
-    over_logs(
-        """SELECT normalized_message, CAST(cell - 1 AS INT) AS cell, round(CAST(embedding[cell] AS DOUBLE), 6) AS weight
-FROM (SELECT *, unnest(range(1, 65)) AS cell FROM hashed) WHERE embedding[cell] <> 0""",
-        _HASHED_LOGS,
-    )
-)
-def hash_encode(data: LogData) -> DataFrame:
-    vectors = data.vectors().select("normalized_message", F.posexplode("embedding").alias("cell", "x"))
-    return vectors.where("x <> 0").select(
-        "normalized_message", "cell", F.round(F.col("x").cast("double"), 6).alias("weight")
-    )
-
-
-@query(
-    over_documents(
-        f"""SELECT e.vec_id, CAST(e.label AS BIGINT) AS label, round({cosine_sql('e.embedding', 'q.embedding')}, 6) AS similarity,
-  round(1 - ({cosine_sql('e.embedding', 'q.embedding')}), 6) + 0.0e0 AS distance
-FROM embeddings e JOIN label_vectors q ON q.query_id = e.label"""
-    )
-)
-def cosine_to_label(data: LogData) -> DataFrame:
-    """Similarity of every vector to the first vector of its label."""
-    first = data.label_vectors().select(
-        F.col("query_id").alias("label"), F.col("embedding").alias("first_embedding")
-    )
-    vectors = data.given("embeddings").withColumn("label", F.col("label").cast("bigint"))
-    pair = (F.col("embedding"), F.col("first_embedding"))
-    return vectors.join(first, "label").select(
-        "vec_id",
-        "label",
-        F.round(similarity.cosine(*pair), 6).alias("similarity"),
-        # Adding zero turns a negative zero into zero.
-        (F.round(similarity.cosine_distance(*pair), 6) + F.lit(0.0)).alias("distance"),
-    )
-
-
-_KNN_SQL = f"""SELECT query_id, item_id, CAST(rank AS BIGINT) AS rank, round(sim, 6) AS sim FROM (
-  SELECT query_id, item_id, sim, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, item_id) AS rank FROM (
-    SELECT a.vec_id AS query_id, b.vec_id AS item_id, {cosine_sql('a.embedding', 'b.embedding')} AS sim
-    FROM embeddings a, embeddings b))
-WHERE rank <= 10"""
-
-
-def _all_neighbours(data: LogData, **options) -> DataFrame:
-    vectors = data.given("embeddings").select("vec_id", "embedding")
-    found = nearest(vectors.withColumnRenamed("vec_id", "query_id"), vectors, "vec_id", 10, **options)
-    return found.select(
-        "query_id", F.col("vec_id").alias("item_id"), "rank", F.round("similarity", 6).alias("sim")
-    )
-
-
-@query(_KNN_SQL)
-def knn_join(data: LogData) -> DataFrame:
-    """The ten nearest vectors of every vector, queries shared with all tasks."""
-    return _all_neighbours(data)
-
-
-@query(_KNN_SQL)
-def knn_join_blocks(data: LogData) -> DataFrame:
-    """The same in blocks, the form for query tables that are too large to share."""
-    return _all_neighbours(data, max_shared=64)
-
-
-@query(_KNN_SQL)
-def signature_index_full(data: LogData) -> DataFrame:
-    """The approximate search with every signature probed is exact."""
-    vectors = data.given("embeddings").select("vec_id", "embedding")
-    queries = vectors.withColumnRenamed("vec_id", "query_id")
-    found = approximate_nearest(queries, with_signature(vectors, 4), "vec_id", 10, probes=16, count=4)
-    return found.select(
-        "query_id", F.col("vec_id").alias("item_id"), "rank", F.round("similarity", 6).alias("sim")
-    )
-
-
-@query()
-def lsh_topk(data: LogData) -> DataFrame:
-    """Per query the share of the exact ten nearest that the approximate search finds."""
-    vectors = data.given("embeddings").select("vec_id", "embedding")
-    queries = vectors.withColumnRenamed("vec_id", "query_id")
-    exact = nearest(queries, vectors, "vec_id", 10)
-    folder = shared_folder(data.spark, "index")
-    write_index(vectors, folder)
-    found = approximate_nearest(queries, data.spark.read.parquet(folder), "vec_id", 10)
-    return recall(exact, found, "vec_id")
-
-
-@query(
-    """SELECT vec_id, CAST(length(literal) AS INT) AS literal_length, CAST(len(embedding) AS INT) AS numbers, TRUE AS exact_to_ten_decimals
-FROM (SELECT *, '[' || array_to_string(list_transform(embedding, lambda x: printf('%.10f', CAST(x AS DOUBLE))), ',') || ']' AS literal
-  FROM embeddings)"""
-)
-def vector_literal_roundtrip(data: LogData) -> DataFrame:
-    written = data.given("embeddings").withColumn("literal", similarity.vector_literal(F.col("embedding")))
-    read = written.withColumn("back", similarity.parse_vector_literal(F.col("literal")))
-    errors = F.zip_with("embedding", "back", lambda x, y: F.abs(x.cast("double") - y))
-    return read.select(
-        "vec_id",
-        F.length("literal").alias("literal_length"),
-        F.size("back").alias("numbers"),
-        (F.array_max(errors) <= 5.1e-11).alias("exact_to_ten_decimals"),
-    )
-
-
-# --- Searches -----------------------------------------------------------------------------------
-
-
-def _two_stage_sql(
-    asked: str, logs: str, vectors: str, level_column: str | None, scope: str = "TRUE"
-) -> str:
-    """CTEs ``matches`` and ``found``: best messages per request, then their ranked lines."""
-    eligible = (
-        f"(q.level IS NULL OR EXISTS (SELECT 1 FROM {logs} f WHERE f.normalized_message = v.normalized_message AND f.level = q.level))"
-        if level_column
-        else "TRUE"
-    )
-    same_level = "(m.level IS NULL OR l.level = m.level)" if level_column else "TRUE"
-    return f"""scored AS (
-  SELECT q.query_id, q.level, q.top_k, v.normalized_message, {cosine_sql('q.embedding', 'v.embedding')} AS similarity
-  FROM {asked} q, {vectors} v WHERE {eligible} AND {scope}),
-matches AS (
-  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, normalized_message) AS place FROM scored)
-  WHERE place <= greatest(top_k, 20)),
-found AS (
-  SELECT * FROM (
-    SELECT m.query_id, m.top_k, l.* EXCLUDE (normalized_message), m.similarity,
-      CAST(row_number() OVER (PARTITION BY m.query_id ORDER BY m.similarity DESC, l.log_timestamp NULLS LAST, l.line_id) AS BIGINT) AS rank
-    FROM matches m JOIN {logs} l ON l.normalized_message = m.normalized_message AND {same_level})
-  WHERE rank <= top_k)"""
-
-
-_DOCUMENT_HITS_SQL = "SELECT query_id, id, level, event_id, round(similarity, 6) AS similarity, rank FROM found"
-_LANGUAGES = "CASE query_id % 4 WHEN 0 THEN 'de' WHEN 1 THEN 'en' WHEN 2 THEN 'es' ELSE 'fr' END"
-
-
-def _document_hits(found: DataFrame) -> DataFrame:
-    return found.select(
-        "query_id", "id", "level", "event_id", F.round("similarity", 6).alias("similarity"), "rank"
-    )
-
-
-@query(
-    over_documents(
-        _DOCUMENT_HITS_SQL,
-        "asked AS (SELECT *, CAST(NULL AS VARCHAR) AS level, 15 + query_id * 3 AS top_k FROM label_vectors)",
-        _two_stage_sql("asked", "document_logs", "document_vectors", None),
-    )
-)
-def semantic_search(data: LogData) -> DataFrame:
-    asked = data.label_vectors().withColumns(
-        {"level": F.lit(None).cast("string"), "top_k": (F.col("query_id") * 3 + 15).cast("int")}
-    )
-    return _document_hits(search.vector_search(asked, data.document_logs(), data.document_vectors()))
-
-
-@query(
-    over_documents(
-        _DOCUMENT_HITS_SQL,
-        f"asked AS (SELECT *, CASE WHEN query_id > 4 THEN {_LANGUAGES} END AS level, 25 AS top_k FROM label_vectors)",
-        _two_stage_sql("asked", "document_logs", "document_vectors", "level"),
-    )
-)
-def semantic_search_index(data: LogData) -> DataFrame:
-    """Through the index; with every signature probed it finds what the exact search finds."""
-    folder = shared_folder(data.spark, "index")
-    write_index(data.document_vectors(), folder, 3)
-    level = F.when(F.col("query_id") > 4, F.expr(_LANGUAGES))
-    asked = data.label_vectors().withColumns({"level": level, "top_k": F.lit(25)})
-    index = search.Index(probes=8, planes=3)
-    return _document_hits(
-        search.vector_search(asked, data.document_logs(), data.spark.read.parquet(folder), index)
-    )
-
-
-@query(
-    over_documents(
-        _DOCUMENT_HITS_SQL,
-        f"asked AS (SELECT *, {_LANGUAGES} AS level, 25 AS top_k FROM label_vectors)",
-        _two_stage_sql("asked", "document_logs", "document_vectors", "level"),
-    )
-)
-def semantic_search_level(data: LogData) -> DataFrame:
-    asked = data.label_vectors().withColumns({"level": F.expr(_LANGUAGES), "top_k": F.lit(25)})
-    return _document_hits(search.vector_search(asked, data.document_logs(), data.document_vectors()))
-
-
-_HASHED_REQUESTS = hashed_ctes("hashed_requests", "requests", "query_id", "text", SEARCH_DIMENSION)
-_ASKED = """asked AS (
-  SELECT r.query_id, CASE WHEN r.level <> 'ALL' THEN r.level END AS level, coalesce(r.top_k, 20) AS top_k, h.embedding
-  FROM requests r JOIN hashed_requests h ON h.query_id = r.query_id)"""
-_LOG_SEARCH = (_HASHED_LOGS, _HASHED_REQUESTS, _ASKED, _two_stage_sql("asked", "logs", "hashed", "level"))
-
-
-@query(
-    over_logs(
-        f"SELECT query_id, {_RESULT_SQL}, round(similarity, 6) AS similarity, rank FROM found", *_LOG_SEARCH
-    )
-)
-def semantic_text_search(data: LogData) -> DataFrame:
-    found = search.semantic_search(
-        data.requests(), data.stored_logs(), data.vectors(), HashingEncoder(SEARCH_DIMENSION)
-    )
-    return found.withColumn("similarity", F.round("similarity", 6))
-
-
-@query(
-    over_documents(
-        _DOCUMENT_HITS_SQL,
-        hashed_ctes("hashed", "(SELECT DISTINCT normalized_message FROM document_logs)", "normalized_message", "normalized_message", SEARCH_DIMENSION),
-        hashed_ctes("hashed_items", "benchmark", "item_id", "text", SEARCH_DIMENSION),
-        "asked AS (SELECT item_id AS query_id, CAST(NULL AS VARCHAR) AS level, 20 AS top_k, embedding FROM hashed_items)",
-        _two_stage_sql("asked", "document_logs", "hashed", None),
-    )
-)
-def semantic_documents(data: LogData) -> DataFrame:
-    """Benchmark items as requests against whole documents, both hashed."""
-    encoder = HashingEncoder(SEARCH_DIMENSION)
-    logs = data.document_logs()
-    vectors = encoder.encode(distinct_messages(logs), "normalized_message")
-    requests = data.given("benchmark").select(F.col("item_id").alias("query_id"), "text")
-    return _document_hits(search.semantic_search(requests, logs, vectors, encoder))
-
-
-@query(
-    over_documents(
-        "SELECT seed_id, id, level, event_id, round(similarity, 6) AS similarity, rank FROM ("
-        "SELECT *, CAST(row_number() OVER (PARTITION BY seed_id ORDER BY similarity DESC, log_timestamp NULLS LAST, line_id) AS BIGINT) AS rank FROM lines) "
-        "WHERE rank <= 20",
-        "seeds AS (SELECT min(id) AS seed_id FROM document_logs GROUP BY event_id)",
-        "asked AS (SELECT seed_id, v.embedding FROM seeds s JOIN document_logs l ON l.id = s.seed_id "
-        "JOIN document_vectors v ON v.normalized_message = l.normalized_message)",
-        f"scored AS (SELECT q.seed_id, v.normalized_message, {cosine_sql('q.embedding', 'v.embedding')} AS similarity FROM asked q, document_vectors v)",
-        "matches AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY seed_id ORDER BY similarity DESC, normalized_message) AS place FROM scored) WHERE place <= 20)",
-        "lines AS (SELECT m.seed_id, m.similarity, l.* FROM matches m JOIN document_logs l ON l.normalized_message = m.normalized_message AND l.id <> m.seed_id)",
-    )
-)
-def similar_logs(data: LogData) -> DataFrame:
-    """Neighbours of the first document of every source."""
-    logs = data.document_logs()
-    seeds = logs.groupBy("event_id").agg(F.min("id").alias("seed_id"))
-    found = search.similar_logs(seeds, logs, data.document_vectors())
-    return found.select(
-        "seed_id", "id", "level", "event_id", F.round("similarity", 6).alias("similarity"), "rank"
-    )
-
-
-_BOTH_SQL = """both_methods AS (
-  SELECT query_id, 'semantic' AS method, rank, id, event_id, similarity FROM found
-  UNION ALL
-  SELECT query_id, 'keyword', rank, id, event_id, NULL FROM ({keyword}))"""
-_LOG_KEYWORD = _BOTH_SQL.format(
-    keyword=_keyword_sql("requests", "l.raw_message ILIKE '%' || q.text || '%' ESCAPE '\\'")
-)
-
-
-@query(over_logs("SELECT query_id, method, rank, id FROM both_methods", *_LOG_SEARCH, _LOG_KEYWORD))
-def compare_search(data: LogData) -> DataFrame:
-    both = search.compare_search(
-        data.requests(), data.stored_logs(), data.vectors(), HashingEncoder(SEARCH_DIMENSION)
-    )
-    return both.select("query_id", "method", "rank", "id")
-
-
-_EVENT_SEARCH = (
-    _HASHED_LOGS,
-    _HASHED_REQUESTS,
-    "asked AS (SELECT query_id, CAST(NULL AS VARCHAR) AS level, 200 AS top_k, embedding FROM hashed_requests)",
-    _two_stage_sql("asked", "logs", "hashed", None),
-    """seen AS (SELECT query_id, event_id, min(rank) AS first_rank FROM found WHERE event_id <> '' GROUP BY ALL)""",
-    """chosen AS (SELECT * FROM (
-  SELECT query_id, event_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY first_rank) AS BIGINT) AS rank FROM seen)
-  WHERE rank <= 5)""",
-)
-
-
-@query(over_logs("SELECT query_id, rank, event_id FROM chosen", *_EVENT_SEARCH))
-def nearest_events(data: LogData) -> DataFrame:
-    return search.nearest_events(
-        data.requests(), data.stored_logs(), data.vectors(), HashingEncoder(SEARCH_DIMENSION)
-    )
-
-
-@query(
-    over_logs(
-        """SELECT r.query_id, CAST(date_trunc('day', l.log_timestamp) AS TIMESTAMP) AS bucket, count(*) AS count, any_value(m.ids) AS matched_event_ids
-FROM requests r LEFT JOIN matched m ON m.query_id = r.query_id
-JOIN logs l ON l.log_timestamp IS NOT NULL AND (r.level = 'ALL' OR l.level = r.level)
-  AND (m.ids IS NULL OR list_contains(m.ids_list, l.event_id))
-GROUP BY r.query_id, bucket""",
-        *_EVENT_SEARCH,
-        "matched AS (SELECT query_id, string_agg(event_id, ',' ORDER BY rank) AS ids, list(event_id) AS ids_list FROM chosen GROUP BY query_id)",
-    )
-)
-def timeline_query(data: LogData) -> DataFrame:
-    table = analytics.timelines(
-        data.requests(), data.stored_logs(), data.vectors(), HashingEncoder(SEARCH_DIMENSION)
-    )
-    return table.withColumn("matched_event_ids", F.array_join("matched_event_ids", ","))
-
-
-# --- Evaluation ---------------------------------------------------------------------------------
-
-
-def _quality_ctes(rows: str, queries: str, by: str = "query_id") -> str:
-    """CTE ``quality`` from ranked ``rows``, with zeros for ``queries`` without rows."""
-    join = " AND ".join(f"q.{key} = t.{key}" for key in by.split(", "))
-    event_join = " AND ".join(f"q.{key} = d.{key}" for key in by.split(", "))
-    keys = ", ".join(f"q.{key}" for key in by.split(", "))
-    return f"""named AS (SELECT *, coalesce(nullif(event_id, ''), 'UNKNOWN') AS event FROM {rows}),
-per_event AS (SELECT {by}, event, count(*) AS n, min(rank) AS first_rank FROM named GROUP BY ALL),
-dominant AS (SELECT * FROM (
-  SELECT *, row_number() OVER (PARTITION BY {by} ORDER BY n DESC, first_rank) AS place FROM per_event) WHERE place = 1),
-totals AS (SELECT {by}, {mean_sql('similarity')} AS mean, count(DISTINCT event) AS events, count(*) AS results FROM named GROUP BY ALL),
-quality AS (
-  SELECT {keys}, {rounded_sql('coalesce(t.mean, 0) * 0.65e0 + coalesce(d.n / t.results, 0) * 0.35e0', 4)} AS score,
-    {rounded_sql('coalesce(t.mean, 0)', 4)} AS average_similarity, d.event AS dominant_event_id,
-    {rounded_sql('coalesce(d.n / t.results, 0)', 4)} AS dominant_event_share,
-    coalesce(t.events, 0) AS distinct_events, coalesce(t.results, 0) AS result_count,
-    'proxy_similarity_event_concentration' AS method
-  FROM {queries} q LEFT JOIN totals t ON {join} LEFT JOIN dominant d ON {event_join})"""
-
-
-@query(
-    f"""WITH ranked AS ({_KNN_SQL}),
-labelled AS (SELECT r.query_id, r.rank, r.sim AS similarity, 'L' || e.label AS event_id FROM ranked r JOIN embeddings e ON e.vec_id = r.item_id),
-all_queries AS (SELECT vec_id AS query_id FROM embeddings),
-{_quality_ctes('labelled', 'all_queries')}
-SELECT * FROM quality"""
-)
-def quality_report(data: LogData) -> DataFrame:
-    """Quality of every vector's ten nearest, with the label as event."""
-    labels = data.given("embeddings").select(
-        F.col("vec_id").alias("item_id"), F.concat(F.lit("L"), F.col("label").cast("string")).alias("event_id")
-    )
-    ranked = _all_neighbours(data).join(labels, "item_id").withColumnRenamed("sim", "similarity")
-    return top_k_quality(ranked, data.given("embeddings").select(F.col("vec_id").alias("query_id")))
-
-
-@query(
-    over_logs(
-        """SELECT r.query_id, r.text AS query, coalesce(r.top_k, 20) AS top_k, r.level,
-  (SELECT count(*) FROM both_methods b WHERE b.query_id = r.query_id AND b.method = 'semantic') AS semantic_result_count,
-  (SELECT count(*) FROM both_methods b WHERE b.query_id = r.query_id AND b.method = 'keyword') AS keyword_result_count,
-  q.score, q.average_similarity, q.dominant_event_id, q.dominant_event_share, q.distinct_events, q.result_count, q.method
-FROM requests r JOIN quality q ON q.query_id = r.query_id""",
-        *_LOG_SEARCH,
-        _LOG_KEYWORD,
-        _quality_ctes("found", "requests"),
-    )
-)
-def query_evaluation(data: LogData) -> DataFrame:
-    return evaluation.evaluate_requests(
-        data.requests(), data.stored_logs(), data.vectors(), HashingEncoder(SEARCH_DIMENSION)
-    )
-
-
-_DIMENSIONS = (64, 128, 256)
-
-
-def _model_sql() -> str:
-    parts = []
-    for size in _DIMENSIONS:
-        parts.append(hashed_ctes(f"items{size}", "candidates", "normalized_message", "normalized_message", size))
-        parts.append(hashed_ctes(f"asked{size}", "requests", "query_id", "text", size))
-    scored = " UNION ALL ".join(
-        f"SELECT 'hashing-{size}' AS model, q.query_id, v.normalized_message, {cosine_sql('q.embedding', 'v.embedding')} AS similarity FROM asked{size} q, items{size} v"
-        for size in _DIMENSIONS
-    )
-    pairs = " UNION ALL ".join(
-        f"SELECT 'hashing-{size}' AS model, {size} AS dimension, query_id FROM requests" for size in _DIMENSIONS
-    )
-    return ",\n".join(
-        [
-            "candidates AS (SELECT normalized_message, min(event_id) AS event_id, count(*) AS occurrences FROM logs GROUP BY normalized_message "
-            "ORDER BY occurrences DESC, normalized_message LIMIT 500)",
-            *parts,
-            f"scored AS ({scored})",
-            f"pairs AS ({pairs})",
-            """best AS (SELECT model, query_id, rank, event_id, """ + rounded_sql("similarity", 4) + """ AS similarity FROM (
-  SELECT s.*, c.event_id, row_number() OVER (PARTITION BY model, query_id ORDER BY similarity DESC, normalized_message) AS rank
-  FROM scored s JOIN candidates c USING (normalized_message)) WHERE rank <= 10)""",
-            _quality_ctes("best", "pairs", "model, query_id"),
-        ]
-    )
-
-
-@query(
-    over_logs(
-        """SELECT p.model, p.query_id, p.dimension, (SELECT count(*) FROM candidates) AS candidate_count,
-  q.score, q.average_similarity, q.dominant_event_id, q.dominant_event_share, q.distinct_events, q.result_count
-FROM pairs p JOIN quality q ON q.model = p.model AND q.query_id = p.query_id""",
-        _model_sql(),
-    )
-)
-def compare_encoders(data: LogData) -> DataFrame:
-    encoders = [HashingEncoder(size, f"hashing-{size}") for size in _DIMENSIONS]
-    return evaluation.compare_encoders(data.requests(), data.stored_logs(), encoders)
-
-
-@query(
-    "SELECT vec_id, CASE label WHEN 0 THEN 'sentence-transformers/all-MiniLM-L6-v2' "
-    "WHEN 1 THEN 'sentence-transformers/multi-qa-MiniLM-L6-cos-v1' "
-    "WHEN 2 THEN 'sentence-transformers/all-mpnet-base-v2' ELSE 'custom/model-' || label END AS model FROM embeddings"
-)
-def model_alias(data: LogData) -> DataFrame:
-    """Labels stand for models; the first three have a short name."""
-    short = F.array(*[F.lit(name) for name, _ in MODEL_ALIASES])
-    name = F.when(F.col("label") < 3, F.get(short, F.col("label"))).otherwise(
-        F.concat(F.lit("custom/model-"), F.col("label").cast("string"))
-    )
-    return data.given("embeddings").select("vec_id", full_model_name(name).alias("model"))
-
-
-# --- Runs, sizes, requests ----------------------------------------------------------------------
-
-
-def _runs(data: LogData) -> DataFrame:
-    """Orders as runs: the priority is the command, prices and customers are step seconds."""
-    timings = F.struct(F.col("o_totalprice").alias("prepare_data"), F.col("o_custkey").cast("double").alias("embed"))
-    details = F.when(F.col("o_orderstatus") != "P", F.to_json(F.struct(timings.alias("timings"))))
-    return data.given("orders").select(
-        F.col("o_orderkey").cast("string").alias("id"),
-        F.col("o_orderpriority").alias("command"),
-        F.when(F.col("o_orderstatus") == "F", "FAILED").otherwise("SUCCESS").alias("status"),
-        F.coalesce(details, F.lit("{}")).alias("details"),
-        F.col("o_orderdate").cast("timestamp_ntz").alias("started_at"),
-        F.col("o_orderdate").cast("timestamp_ntz").alias("finished_at"),
-    )
-
-
-_LATEST_SQL = """latest AS (SELECT * FROM orders WHERE o_orderstatus <> 'F' AND o_orderdate IS NOT NULL
-  ORDER BY o_orderdate DESC, CAST(o_orderkey AS VARCHAR) DESC LIMIT 1)"""
-
-
-@query(
-    f"WITH {_LATEST_SQL} SELECT o_orderpriority AS command, CAST(o_orderdate AS TIMESTAMP) AS finished_at, "
-    "CASE WHEN o_orderstatus = 'P' THEN 0 ELSE 2 END AS steps FROM latest"
-)
-def latest_success(data: LogData) -> DataFrame:
-    return latest_run(_runs(data)).select("command", "finished_at", F.size("timings").alias("steps"))
-
-
-@query(
-    """WITH newest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY o_orderpriority
-    ORDER BY o_orderdate DESC, CAST(o_orderkey AS VARCHAR) DESC) AS place FROM orders WHERE o_orderstatus = 'O') WHERE place = 1)
-SELECT o_orderpriority AS command, CAST(o_orderdate AS TIMESTAMP) AS finished_at, 'prepare_data' AS step, o_totalprice AS seconds FROM newest
-UNION ALL SELECT o_orderpriority, CAST(o_orderdate AS TIMESTAMP), 'embed', CAST(o_custkey AS DOUBLE) FROM newest"""
-)
-def run_timings(data: LogData) -> DataFrame:
-    """Step timings of the latest complete run of every command."""
-    runs = _runs(data).where("details <> '{}'")
-    commands = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
-    tables = [step_timings(latest_run(runs.where(F.col("command") == name))) for name in commands]
-    result = tables[0]
-    for table in tables[1:]:
-        result = result.unionByName(table)
-    return result
-
-
-@query(
-    """SELECT query_id, accepted, CASE WHEN text = '' THEN 'empty query' WHEN NOT (top_k BETWEEN 1 AND 200) THEN 'top_k out of range'
-  WHEN level NOT IN ('', 'ALL', 'CRITICAL', 'ERROR', 'WARNING', 'INFO') THEN 'unknown level' END AS reason
-FROM (SELECT *, text <> '' AND top_k BETWEEN 1 AND 200 AND level IN ('', 'ALL', 'CRITICAL', 'ERROR', 'WARNING', 'INFO') AS accepted
-  FROM (SELECT conv_id * 100 + turn AS query_id, CASE WHEN role = 'system' THEN '' ELSE text END AS text, length(text) AS top_k,
-    CASE WHEN turn % 4 = 0 THEN 'ALL' WHEN turn % 4 = 1 THEN 'NOTICE' WHEN turn % 4 = 2 THEN 'ERROR' ELSE '' END AS level FROM conversations))"""
-)
-def request_validation(data: LogData) -> DataFrame:
-    """Conversation turns as requests; their length is the number of results asked for."""
-    turn = F.col("turn") % 4
-    requests = data.given("conversations").select(
-        (F.col("conv_id") * 100 + F.col("turn")).alias("query_id"),
-        F.when(F.col("role") == "system", "").otherwise(F.col("text")).alias("text"),
-        F.length("text").alias("top_k"),
-        F.when(turn == 0, "ALL").when(turn == 1, "NOTICE").when(turn == 2, "ERROR").otherwise("").alias("level"),
-    )
-    return validate_requests(requests).select("query_id", "accepted", "reason")
-
-
-@query(
-    over_logs(
-        """SELECT 'first' AS batch, count(*) AS distinct_texts, CAST(sum(n) AS BIGINT) AS covered_logs FROM per_message WHERE place <= 7
-UNION ALL SELECT 'rest', count(*), CAST(sum(n) AS BIGINT) FROM per_message WHERE place > 7
-UNION ALL SELECT 'nothing left', 0, 0""",
-        """per_message AS (SELECT *, row_number() OVER (ORDER BY n DESC, normalized_message) AS place
-  FROM (SELECT normalized_message, count(*) AS n FROM logs GROUP BY normalized_message))""",
-    )
+# Importing a module registers its queries.
+from checks import (  # noqa: F401
+    reading,
+    trends,
+    keywords,
+    contract_checks,
+    messages,
+    searches,
+    evaluations,
+    reports,
 )
-def incremental_vectors(data: LogData) -> DataFrame:
-    """The most frequent messages are encoded first, then all others, then none is left."""
-    encoder = HashingEncoder(SEARCH_DIMENSION)
-    logs, spark = data.stored_logs(), data.spark
-    folder = Tables(spark, shared_folder(spark, "vectors")).path(VECTORS)
-    nothing = data.vectors().withColumn("updated_at", F.current_timestamp().cast("timestamp_ntz")).where("false")
-    first = new_vectors(logs, nothing, encoder, limit=7)
-    write_parquet(first, folder)
-    stored = spark.read.parquet(folder)
-    rest = new_vectors(logs, stored, encoder)
-    left = new_vectors(logs, stored.unionByName(rest), encoder)
-
-    def named(name: str, rows: DataFrame) -> DataFrame:
-        return encoding_totals(rows).select(F.lit(name).alias("batch"), "distinct_texts", "covered_logs")
-
-    return named("first", stored).unionByName(named("rest", rest)).unionByName(named("nothing left", left))
-
-
-@query()
-def given_table_sizes(data: LogData) -> DataFrame:
-    names = ("events", "documents", "embeddings", "orders", "lineitem")
-    return table_sizes(data.spark, {name: f"{data.folder}/{name}.parquet" for name in names})
-
-
-@query()
-def full_run(data: LogData) -> DataFrame:
-    """Files in, all tables out, then the storage report over them."""
-    target = shared_folder(data.spark, "run")
-    inputs = Inputs(_write_raw_text(data), _write_structured_csv(data), _write_templates_csv(data))
-    run_all(data.spark, inputs, target, HashingEncoder(SEARCH_DIMENSION))
-    return storage_report(Tables(data.spark, target))
-
+from checks.registry import CATALOG
 
-@query(over_logs("SELECT event_id, event_template, occurrences FROM event_templates"))
-def template_table_roundtrip(data: LogData) -> DataFrame:
-    folder = shared_folder(data.spark, "templates")
-    export_csv(data.templates(), folder)
-    return exported_table(data.spark, folder, EVENT_TEMPLATES)
+__all__ = ["CATALOG"]

@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from checks.catalog import _write_raw_text, _write_structured_csv, _write_templates_csv
+from checks.reading import write_raw_text, write_structured_csv, write_templates_csv
 from checks.fixture import LogData
 from timberline.operators import contracts
 from timberline.operators.encoders import HashingEncoder
@@ -124,7 +124,7 @@ def test_latest_run(spark):
 @pytest.fixture(scope="module")
 def inputs(spark):
     data = LogData(spark, "/root/testdata/sf0.001")
-    return data, Inputs(_write_raw_text(data), _write_structured_csv(data), _write_templates_csv(data))
+    return data, Inputs(write_raw_text(data), write_structured_csv(data), write_templates_csv(data))
 
 
 def test_prepare_with_limit_and_csv(spark, inputs, tmp_path):
