@@ -47,7 +47,10 @@ def check_not_null(table: DataFrame, name: str, columns: Sequence[str]) -> DataF
     """All columns in one pass over the table."""
     counts = table.agg(*[F.count_if(F.col(column).isNull()).alias(column) for column in columns])
     # One row of counts, turned into one row per column.
-    rules = [F.struct(F.lit(f"{name}.{c} not null").alias("rule"), F.col(c).alias("violations")) for c in columns]
+    rules = [
+        F.struct(F.lit(f"{name}.{column} not null").alias("rule"), F.col(column).alias("violations"))
+        for column in columns
+    ]
     return counts.select(F.inline(F.array(*rules)))
 
 

@@ -33,7 +33,11 @@ class Encoder(Protocol):
 def token_codes(text: Column) -> Column:
     """One 32-bit number per word of the whole text: the first 8 hex digits of its MD5."""
     words = F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9]+"), F.lit(0))
-    return F.transform(words, lambda word: F.conv(F.substr(F.md5(word), F.lit(1), F.lit(8)), 16, 10).cast("bigint"))
+
+    def code(word: Column) -> Column:
+        return F.conv(F.substr(F.md5(word), F.lit(1), F.lit(8)), 16, 10).cast("bigint")
+
+    return F.transform(words, code)
 
 
 @dataclass(frozen=True)

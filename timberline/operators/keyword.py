@@ -17,7 +17,6 @@ from collections.abc import Iterator
 from functools import reduce
 
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -93,7 +92,11 @@ def _one_scan(few: pa.Table, asked: DataFrame, prepared: DataFrame) -> DataFrame
         )
         return F.when(found, identity)
 
-    hit_type = T.ArrayType(T.StructType([T.StructField("query_id", id_type), T.StructField("top_k", T.IntegerType())]))
+    # Named here because an array of no requests has no type of its own.
+    identity_type = T.StructType(
+        [T.StructField("query_id", id_type), T.StructField("top_k", T.IntegerType())]
+    )
+    hit_type = T.ArrayType(identity_type)
     hits = F.array_compact(F.array(*[hit(row) for row in rows])).cast(hit_type)
     return prepared.select("*", F.inline(hits))
 
@@ -122,8 +125,13 @@ def _look_up(few: pa.Table, asked: DataFrame, prepared: DataFrame, blocks: int)
     if ahocorasick is None or not all(anchors):
         return _block_passes(asked, prepared, blocks)
     # A pattern that is one plain text needs no second look.
-    whole = [pattern.startswith("%") and parts == ["", anchor, ""] for pattern, parts, anchor in zip(patterns, texts, anchors)]
-    check = pa.array([None if plain else pattern for plain, pattern in zip(whole, patterns)], pa.string())
+    check = pa.array(
+        [
+            None if parts == ["", anchor, ""] else pattern
+            for pattern, parts, anchor in zip(patterns, texts, anchors)
+        ],
+        pa.string(),
+    )
     identity = few.select(["query_id", "top_k"]).append_column("asked_level", few["level"].cast(pa.string()))
     sent = prepared.sparkSession.sparkContext.broadcast((anchors, identity.append_column("check", check)))
     added = [
@@ -145,7 +153,7 @@ def _look_up(few: pa.Table, asked: DataFrame, prepared: DataFrame, blocks: int)
                 at_line = pa.array(line[start : start + batch.num_rows], pa.int64())
                 at_request = pa.array(request[start : start + batch.num_rows], pa.int64())
                 found = requests.take(at_request)
-                columns = [*batch.take(at_line).columns, *[pc.cast(c.combine_chunks(), c.type) for c in found.columns]]
+                columns = [*batch.take(at_line).columns, *[c.combine_chunks() for c in found.columns]]
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     candidates = prepared.mapInArrow(find, schema)

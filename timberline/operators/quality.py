@@ -9,7 +9,9 @@ from timberline.fixed_values import QUALITY_METHOD, SHARE_WEIGHT, SIMILARITY_WEI
 from timberline.functions.labels import event_or_unknown, score
 
 
-def top_k_quality(rows: DataFrame, queries: DataFrame | None = None, by: tuple[str, ...] = ("query_id",)) -> DataFrame:
+def top_k_quality(
+    rows: DataFrame, queries: DataFrame | None = None, by: tuple[str, ...] = ("query_id",)
+) -> DataFrame:
     """One report row per query from ``rows`` with ``rank``, ``event_id`` and ``similarity``.
 
     Of equally frequent events the one ranked first dominates. With ``queries`` given, a query

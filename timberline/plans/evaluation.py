@@ -55,7 +55,12 @@ def evaluate_requests(
     quality = top_k_quality(both.where(F.col("method") == "semantic"), asked)
     none = F.lit(0).cast("bigint")
     return (
-        asked.select("query_id", F.col("text").alias("query"), "top_k", F.coalesce("level", F.lit(ALL_LEVELS)).alias("level"))
+        asked.select(
+            "query_id",
+            F.col("text").alias("query"),
+            "top_k",
+            F.coalesce("level", F.lit(ALL_LEVELS)).alias("level"),
+        )
         .join(per_method, "query_id", "left")
         .join(quality, "query_id", "left")
         .select(

@@ -26,7 +26,10 @@ def latest_run(runs: DataFrame) -> DataFrame:
         ).alias("_run")
     )
     return newest.where("_run IS NOT NULL").select(
-        "_run.command", "_run.finished_at", "_run.details", run_timings(F.col("_run.details")).alias("timings")
+        "_run.command",
+        "_run.finished_at",
+        "_run.details",
+        run_timings(F.col("_run.details")).alias("timings"),
     )
 
 
@@ -62,7 +65,7 @@ def storage_report(tables: Tables) -> DataFrame:
         F.sum("bytes").alias("total_bytes"),
     )
     newest = latest_run(tables.runs()).withColumnsRenamed(
-        {"command": "latest_command", "finished_at": "latest_finished_at", "details": "latest_details", "timings": "latest_timings"}
+        {name: f"latest_{name}" for name in ("command", "finished_at", "details", "timings")}
     )
     parts = [table_statistics(tables.logs(), tables.vectors()), by_name, newest]
     # Tables of at most one row each become one row; a map cannot be compared, so take any value.

@@ -32,7 +32,8 @@ def write_logs(logs: DataFrame, path: str, mode: str = OVERWRITE) -> int:
 
     Rows inside a file follow event time, which gives Parquet narrow min/max ranges to skip by.
     """
-    return write_parquet(logs.sortWithinPartitions("level", "log_timestamp", "line_id"), path, mode, ("level",))
+    ordered = logs.sortWithinPartitions("level", "log_timestamp", "line_id")
+    return write_parquet(ordered, path, mode, ("level",))
 
 
 def export_csv(table: DataFrame, path: str, single_file: bool = False) -> None:
