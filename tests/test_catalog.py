@@ -1,11 +1,16 @@
 """Every registered query against its SQL on the smallest tables."""
 
+import os
+import subprocess
+import sys
+
 import duckdb
 import pytest
 
 from checks import compare
 from __spark_entry__ import entry, oracle_sql, queries
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 FOLDER = "/root/testdata/sf0.001"
 
 
@@ -33,3 +38,21 @@ def test_query(spark, connection, name):
 
 def test_entry(spark):
     assert entry(spark).count() > 0
+
+
+def test_tasks_need_no_copy_of_the_package(tmp_path):
+    """From another folder the Python workers cannot import it; its functions travel with the plan."""
+    script = tmp_path / "elsewhere.py"
+    script.write_text(
+        "import importlib.util\n"
+        f"spec = importlib.util.spec_from_file_location('checked', {os.path.join(ROOT, '__spark_entry__.py')!r})\n"
+        "module = importlib.util.module_from_spec(spec)\n"
+        "spec.loader.exec_module(module)\n"
+        "from pyspark.sql import SparkSession\n"
+        "spark = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        f"print('rows', module.queries()['knn_join'](spark, {FOLDER!r}).count())\n"
+    )
+    done = subprocess.run(
+        [sys.executable, str(script)], cwd=tmp_path, capture_output=True, text=True, timeout=300
+    )
+    assert "rows 5000" in done.stdout, done.stderr[-2000:]

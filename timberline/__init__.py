@@ -1 +1,9 @@
 """Timberline: search and analytics over very large system logs, as Spark DataFrame operators."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# The small functions that run inside tasks travel with the plan, so executors need no copy of this
+# package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -73,14 +73,12 @@ def split_requests(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
     return tidy_requests(accepted), checked.where("NOT accepted").drop("accepted")
 
 
-def small_table(table: DataFrame, max_rows: int, counted: DataFrame | None = None) -> pa.Table | None:
+def small_table(table: DataFrame, max_rows: int) -> pa.Table | None:
     """The rows of a table that has at most ``max_rows``, else None.
 
-    The size is checked on one column by ``take``, which starts no more tasks than it needs to see
-    enough rows; the table itself is fetched only when it is small. ``counted`` may name a cheaper
-    table with as many rows.
+    ``take`` starts no more tasks than it needs to see enough rows, and never fetches more of them.
     """
-    counted = table if counted is None else counted
-    if len(counted.select(counted.columns[0]).take(max_rows + 1)) > max_rows:
+    rows = table.take(max_rows + 1)
+    if len(rows) > max_rows:
         return None
-    return table.toArrow()
+    return table.sparkSession.createDataFrame(rows, table.schema, verifySchema=False).toArrow()

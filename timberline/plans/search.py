@@ -70,28 +70,23 @@ def semantic_search(
     With ``index`` the ``vectors`` are a table written by ``lsh.write_index`` and the search is
     approximate; without it, exact.
     """
-    tidy = tidy_requests(requests, default_top_k)
-    asked = encoder.encode(tidy, "text").drop("text")
-    return _search(asked, small_table(asked, MAX_SHARED_QUERIES, tidy), logs, vectors, index)
+    asked = encoder.encode(tidy_requests(requests, default_top_k), "text").drop("text")
+    return vector_search(asked, logs, vectors, index)
 
 
 def vector_search(
     asked: DataFrame, logs: DataFrame, vectors: DataFrame, index: Index | None = None
 ) -> DataFrame:
-    """As ``semantic_search`` for ready vectors: ``query_id, embedding, level, top_k``."""
-    return _search(asked, small_table(asked, MAX_SHARED_QUERIES), logs, vectors, index)
+    """As ``semantic_search`` for ready vectors: ``query_id, embedding, level, top_k``.
 
-
-def _search(
-    asked: DataFrame, rows: pa.Table | None, logs: DataFrame, vectors: DataFrame, index: Index | None
-) -> DataFrame:
-    """Two stages: the best messages per request, then their lines.
-
-    A level counts in both, so that messages without a line at that level do not use up places.
-    ``rows`` are the requests when they are few.
+    Two stages: the best messages per request, then their lines. A level counts in both, so that
+    messages without a line at that level do not use up places.
     """
-    if rows is not None:
-        # The encoder has run once; what follows starts from its result.
+    rows = small_table(asked, MAX_SHARED_QUERIES)
+    # Either way the encoder has run once, and what follows starts from its result.
+    if rows is None:
+        asked = settled(asked, "requests")
+    else:
         asked = asked.sparkSession.createDataFrame(rows, asked.schema)
     levels = None if rows is None else rows["level"].drop_null().unique().to_pylist()
     queries = asked.select(

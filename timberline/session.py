@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import shutil
 import tempfile
 import uuid
 
@@ -11,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 _local_roots: dict[str, str] = {}
-_shared_with: set[str] = set()
 
 
 def local_session(cores: int | str = "*", app_name: str = "timberline") -> SparkSession:
@@ -51,15 +48,3 @@ def settled(table: DataFrame, purpose: str) -> DataFrame:
     path = shared_folder(table.sparkSession, purpose)
     table.write.parquet(path)
     return table.sparkSession.read.schema(table.schema).parquet(path)
-
-
-def share_package(spark: SparkSession) -> None:
-    """Make this package importable on the executors; nothing to do where they share this machine."""
-    context = spark.sparkContext
-    if context.master.startswith("local") or context.applicationId in _shared_with:
-        return
-    package = os.path.dirname(os.path.abspath(__file__))
-    root, name = os.path.split(package)
-    archive = os.path.join(tempfile.mkdtemp(prefix=f"{name}-"), name)
-    context.addPyFile(shutil.make_archive(archive, "zip", root, name))
-    _shared_with.add(context.applicationId)
