@@ -84,8 +84,12 @@ def _one_scan(few: pa.Table, asked: DataFrame, prepared: DataFrame) -> DataFrame
 
     def hit(row: dict) -> Column:
         found = F.col("_lower").like(row["pattern"])
+        anchor = max(stretches(row["pattern"]), key=len)
+        if anchor:
+            # A plain look at the longest stretch spares most lines the pattern.
+            found = F.contains("_lower", F.lit(anchor)) & found
         if row["level"] is not None:
-            found = found & (F.col("level") == row["level"])
+            found = (F.col("level") == row["level"]) & found
         identity = F.struct(
             F.lit(row["query_id"]).cast(id_type).alias("query_id"),
             F.lit(row["top_k"]).cast("int").alias("top_k"),

@@ -99,7 +99,10 @@ def vector_search(
     if levels is None or levels:
         # Only the asked levels are read where they are known.
         relevant = logs if levels is None else logs.where(F.col("level").isin(levels))
-        items = items.join(levels_per_message(relevant), "normalized_message", "left").withColumn(
+        # If every request names a level, a message without lines at one can answer none.
+        every = rows is not None and rows["level"].null_count == 0
+        scopes = levels_per_message(relevant)
+        items = items.join(scopes, "normalized_message", "inner" if every else "left").withColumn(
             "scopes", F.coalesce("scopes", F.array().cast("array<string>"))
         )
     limit = _largest(rows)
