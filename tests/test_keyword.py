@@ -2,6 +2,7 @@ import re
 
 import pytest
 
+from timberline.operators import keyword
 from timberline.operators.keyword import keyword_matches, stretches
 from timberline.operators.requests import single_request, split_requests, tidy_requests, validate_requests, seed_faults
 from timberline.schemas import REQUESTS
@@ -42,9 +43,11 @@ def tables(spark):
 
 
 @pytest.mark.parametrize("literal", [False, True])
-@pytest.mark.parametrize("compiled, looked_up", [(100, 100), (0, 100), (0, 0)])
-def test_all_forms_find_the_same(tables, literal, compiled, looked_up):
+@pytest.mark.parametrize("compiled, looked_up, library", [(100, 100, True), (0, 100, True), (0, 5, True), (0, 5, False)])
+def test_all_forms_find_the_same(tables, literal, compiled, looked_up, library, monkeypatch):
     logs, requests = tables
+    if not library:
+        monkeypatch.setattr(keyword, "ahocorasick", None)
     expected = set()
     for row in requests.collect():
         matcher = as_regex(row.text, literal)
@@ -52,11 +55,8 @@ def test_all_forms_find_the_same(tables, literal, compiled, looked_up):
             level = ["INFO", "ERROR"][at % 2]
             if message is not None and row.level in (None, level) and matcher.fullmatch(message):
                 expected.add((row.query_id, at))
-    # Requests without plain text fall back to the passes; leave them out to see the lookup.
-    for chosen in (requests, requests.where("query_id NOT IN (0, 10)")):
-        ids = {row.query_id for row in chosen.select("query_id").collect()}
-        found = keyword_matches(chosen, logs, literal, compiled, looked_up).select("query_id", "line_id").collect()
-        assert sorted(map(tuple, found)) == sorted(pair for pair in expected if pair[0] in ids)
+    found = keyword_matches(requests, logs, literal, compiled, looked_up).select("query_id", "line_id").collect()
+    assert sorted(map(tuple, found)) == sorted(expected)
 
 
 def test_no_requests(tables):

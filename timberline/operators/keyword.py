@@ -6,9 +6,10 @@
 * a few requests become literal predicates of one scan;
 * many requests are looked up together: every task runs one pass over its lines for the longest
   plain stretch of each pattern, so the work does not grow with the number of requests, and
-  patterns with wildcards are then checked in full;
-* requests beyond the checked size, or with nothing plain to look up, are matched against the lines
-  in passes over broadcast blocks.
+  patterns with wildcards are then checked in full. Requests beyond the checked size take several
+  such passes;
+* where the lookup library is missing, requests are matched in passes over broadcast blocks, which
+  hold every line against every pattern of a block.
 """
 
 from __future__ import annotations
@@ -21,16 +22,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from timberline.session import settled
+
 try:
     import ahocorasick
 except ImportError:  # the broadcast form serves instead
     ahocorasick = None
 
-# Requests compiled into predicates, and requests that tasks hold for a lookup.
+# Requests compiled into predicates, requests per pass otherwise, and characters of request text
+# that tasks hold in either form.
 MAX_COMPILED = 64
 MAX_LOOKED_UP = 20_000
-# Requests per broadcast beyond that, and characters of request text shared in any form.
-BROADCAST_BLOCK = 10_000
 MAX_SHARED_TEXT = 16_000_000
 
 
@@ -61,17 +63,26 @@ def keyword_matches(
         "query_id", F.lower(like_pattern(F.col("text"), literal)).alias("pattern"), "level", "top_k"
     )
     size = asked.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.length("pattern")).alias("text")).first()
-    small = size.rows <= max(max_compiled, max_looked_up) and (size.text or 0) <= MAX_SHARED_TEXT
-    few = asked.toArrow() if small else None
+    text = size.text or 0
     prepared = logs.withColumn("_lower", F.lower("raw_message"))
-    blocks = max(1, -(-size.rows // BROADCAST_BLOCK), -(-(size.text or 0) // MAX_SHARED_TEXT))
-    if few is None:
-        matches = _block_passes(asked, prepared, blocks)
-    elif few.num_rows <= max_compiled:
-        matches = _one_scan(few, asked, prepared)
+    if size.rows <= max_compiled and text <= MAX_SHARED_TEXT:
+        passes = [_one_scan(asked.toArrow(), asked, prepared)]
     else:
-        matches = _look_up(few, asked, prepared, blocks)
-    return matches.select(*logs.columns, "query_id", "top_k")
+        blocks = max(1, -(-size.rows // max_looked_up), -(-text // MAX_SHARED_TEXT))
+        passes = []
+        for block in _hashed_blocks(asked, blocks):
+            passes += [_broadcast_pass(block, prepared)] if ahocorasick is None else _look_up(block, prepared)
+    columns = [*logs.columns, "query_id", "top_k"]
+    return reduce(DataFrame.unionByName, [one.select(*columns) for one in passes])
+
+
+def _hashed_blocks(asked: DataFrame, blocks: int) -> list[DataFrame]:
+    """The requests in blocks of about equal size, each small enough to share with all tasks."""
+    if blocks == 1:
+        return [asked]
+    asked = settled(asked, "requests")
+    own_block = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
+    return [asked.where(own_block == block) for block in range(blocks)]
 
 
 def _one_scan(few: pa.Table, asked: DataFrame, prepared: DataFrame) -> DataFrame:
@@ -121,13 +132,22 @@ def stretches(pattern: str) -> list[str]:
     return texts
 
 
-def _look_up(few: pa.Table, asked: DataFrame, prepared: DataFrame, blocks: int) -> DataFrame:
+def _look_up(asked: DataFrame, prepared: DataFrame) -> list[DataFrame]:
+    """One lookup for the requests with a plain stretch; those of wildcards alone are compiled."""
+    requests = asked.toArrow()
+    anchored = [max(stretches(pattern), key=len) != "" for pattern in requests["pattern"].to_pylist()]
+    passes = [_by_anchor(requests.filter(pa.array(anchored, pa.bool_())), asked, prepared)]
+    rest = requests.filter(pa.array([not has for has in anchored], pa.bool_()))
+    for start in range(0, rest.num_rows, MAX_COMPILED):
+        passes.append(_one_scan(rest.slice(start, MAX_COMPILED), asked, prepared))
+    return passes
+
+
+def _by_anchor(few: pa.Table, asked: DataFrame, prepared: DataFrame) -> DataFrame:
     """Lines by the longest plain stretch of each pattern, all stretches in one pass per line."""
     patterns = few["pattern"].to_pylist()
     texts = [stretches(pattern) for pattern in patterns]
     anchors = [max(parts, key=len) for parts in texts]
-    if ahocorasick is None or not all(anchors):
-        return _block_passes(asked, prepared, blocks)
     # A pattern that is one plain text needs no second look.
     check = pa.array(
         [
@@ -199,20 +219,11 @@ def _needle(pattern: Column) -> Column:
     return F.when(plain, F.regexp_replace(inner, r"(?s)\\(.)", "$1"))
 
 
-def _block_passes(asked: DataFrame, prepared: DataFrame, blocks: int) -> DataFrame:
-    """One pass over the lines per block of requests.
-
-    Every line has to be held against every pattern, and a block is large enough for that work to
-    outweigh reading the lines again. Nothing but matches leaves a pass.
-    """
-    # A hashed block may be somewhat larger than the average one.
-    own_block = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
+def _broadcast_pass(asked: DataFrame, prepared: DataFrame) -> DataFrame:
+    """Every line against every pattern of a block; nothing but matches leaves the pass."""
     named = asked.withColumnRenamed("level", "asked_level").withColumn("needle", _needle(F.col("pattern")))
     found = F.expr(
         "(asked_level IS NULL OR asked_level = level)"
         " AND CASE WHEN needle IS NULL THEN _lower LIKE pattern ELSE contains(_lower, needle) END"
     )
-    passes = [
-        prepared.join(F.broadcast(named.where(own_block == block)), found) for block in range(blocks)
-    ]
-    return reduce(DataFrame.unionByName, passes)
+    return prepared.join(F.broadcast(named), found)
