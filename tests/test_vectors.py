@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from helpers import final_plan
 from timberline.functions.similarity import cosine, cosine_distance, parse_vector_literal, vector_literal
 from timberline.operators import vectors as vectors_module
 from timberline.operators.encoders import HashingEncoder, ModelEncoder, full_model_name
@@ -45,13 +46,21 @@ def small(spark):
     return queries, items, query_table, item_table.repartition(5)
 
 
-@pytest.mark.parametrize("shared", [1000, 3])
+@pytest.mark.parametrize("shared", ["queries", "items", "neither"])
 def test_nearest_equals_brute_force(small, shared, monkeypatch):
     queries, items, query_table, item_table = small
+    if shared == "items":
+        # More queries than items: every query is asked 30 times over.
+        queries = [(q * 100 + copy, v, s) for q, v, s in queries for copy in range(30)]
+        copies = F.explode(F.sequence(F.lit(0), F.lit(29))).alias("copy")
+        query_table = query_table.select("*", copies).withColumn("query_id", F.expr("query_id * 100 + copy")).drop("copy")
+    limit = {"queries": 1000, "items": 700, "neither": 3}[shared]
     monkeypatch.setattr(vectors_module, "QUERY_BLOCK", 8)
     monkeypatch.setattr(vectors_module, "ITEM_BLOCK", 100)
     found = {}
-    rows = nearest(query_table, item_table, "name", 9, max_shared=shared).collect()
+    found_table = nearest(query_table, item_table, "name", 9, max_shared=limit)
+    assert ("Exchange" in final_plan(found_table).split("MapInArrow")[0]) == (shared != "items")
+    rows = found_table.collect()
     for row in sorted(rows, key=lambda row: (row.query_id, row.rank)):
         assert -1 - 1e-9 <= row.similarity <= 1 + 1e-9
         found.setdefault(row.query_id, []).append(row.name)

@@ -2,8 +2,9 @@
 
 The items are never shuffled when the query vectors fit a checked size: every task compares its own
 batches with all queries by one matrix product and keeps the best few per query, so what leaves a
-task is bounded by queries x k. A larger query table is cut into blocks that meet the item blocks
-in a grouped job; there, too, only the best few per query leave a block.
+task is bounded by queries x k. With many queries and few items the items are sent instead, and
+nothing is shuffled at all. When both are large, blocks of queries meet blocks of items in a grouped
+job; there, too, only the best few per query leave a block.
 
 The matrix product only shortlists. Shortlisted pairs are scored again in element order, in double
 precision, so that equal vectors get equal scores and ties are broken by key, whatever the batch.
@@ -29,6 +30,8 @@ from timberline.operators.requests import small_table
 # Query vectors held by every task: this many rows and numbers at most (64 MB of doubles).
 MAX_SHARED_QUERIES = 4096
 MAX_SHARED_NUMBERS = 8_000_000
+# Characters of item names that are shared in place of the queries.
+MAX_SHARED_TEXT = 16_000_000
 # Rows per block of the grouped form.
 QUERY_BLOCK, ITEM_BLOCK = 1024, 16_384
 # Cells of one score matrix in a task (32 MB of doubles).
@@ -60,13 +63,22 @@ def nearest(
     stored = items.where(F.col("embedding").isNotNull()).select(
         key, "embedding", *(["scopes"] if scoped else [])
     )
+    order = [F.desc("similarity"), F.asc(key)]
     shared = small_table(asked, max_shared)
     if shared is not None and _numbers(shared) <= MAX_SHARED_NUMBERS:
-        best = _scan(shared, asked, stored, key, limit)
+        ranked = top_per_group(_scan(shared, asked, stored, key, limit), ["query_id"], order, limit)
     else:
-        best = _meet_in_blocks(asked, stored, key, limit)
-    order = [F.desc("similarity"), F.asc(key)]
-    ranked = top_per_group(best, ["query_id"], order, limit)
+        size = stored.agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.sum(F.size("embedding")).alias("numbers"),
+            F.sum(F.length(F.col(key).cast("string"))).alias("text"),
+        ).first()
+        few = size.rows <= max_shared and (size.numbers or 0) <= MAX_SHARED_NUMBERS
+        if few and (size.text or 0) <= MAX_SHARED_TEXT:
+            ranked = _answer_in_place(asked, stored, key, limit)
+        else:
+            best = _meet_in_blocks(asked, stored, key, limit, size.rows)
+            ranked = top_per_group(best, ["query_id"], order, limit)
     if "top_k" in queries.columns:
         own_limit = queries.select("query_id", "top_k")
         ranked = ranked.join(own_limit, "query_id").where("rank <= top_k").drop("top_k")
@@ -83,6 +95,7 @@ def _result_schema(queries: DataFrame, items: DataFrame, key: str) -> T.StructTy
             T.StructField("query_id", queries.schema["query_id"].dataType),
             T.StructField(key, items.schema[key].dataType),
             T.StructField("similarity", T.DoubleType()),
+            T.StructField("rank", T.LongType()),
         ]
     )
 
@@ -104,10 +117,27 @@ def _scan(shared: pa.Table, queries: DataFrame, items: DataFrame, key: str, limi
     return items.mapInArrow(best_of_task, _result_schema(queries, items, key))
 
 
-def _meet_in_blocks(queries: DataFrame, items: DataFrame, key: str, limit: int) -> DataFrame:
+def _answer_in_place(queries: DataFrame, items: DataFrame, key: str, limit: int) -> DataFrame:
+    """Every query meets all items in its own task, so its ranks are final there."""
+    sent = queries.sparkSession.sparkContext.broadcast(items.toArrow())
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stored = Vectors.of(sent.value, key)
+        for batch in batches:
+            for part in Vectors.of(pa.Table.from_batches([batch]), "query_id").parts():
+                leaders = Leaders(part, limit)
+                leaders.challenge(stored)
+                yield from leaders.rows(key)
+
+    return queries.mapInArrow(answer, _result_schema(queries, items, key))
+
+
+def _meet_in_blocks(
+    queries: DataFrame, items: DataFrame, key: str, limit: int, item_rows: int
+) -> DataFrame:
     """Every query block meets every item block once, in a group of bounded size of its own."""
     query_blocks = max(1, -(-queries.count() // QUERY_BLOCK))
-    item_blocks = max(1, -(-items.count() // ITEM_BLOCK))
+    item_blocks = max(1, -(-item_rows // ITEM_BLOCK))
 
     def block(column: str, blocks: int):
         return F.pmod(F.xxhash64(column), F.lit(blocks)).cast("int")
@@ -143,6 +173,7 @@ def _empty(asked: pa.Table, stored: pa.Table, key: str) -> pa.Table:
         pa.field("query_id", asked.schema.field("query_id").type),
         pa.field(key, stored.schema.field(key).type),
         pa.field("similarity", pa.float64()),
+        pa.field("rank", pa.int64()),
     ]
     return pa.schema(fields).empty_table()
 
@@ -267,14 +298,17 @@ class Leaders:
         return np.where(lengths == 0, 0.0, dots / np.where(lengths == 0, 1.0, lengths))
 
     def rows(self, key: str) -> Iterator[pa.RecordBatch]:
+        """The best items in order, per query of this part."""
         if len(self.best):
+            place = self.best.groupby("query").cumcount() + 1
             yield pa.RecordBatch.from_arrays(
                 [
                     self.queries.names.take(pa.array(self.best["query"].to_numpy(dtype=np.int64))),
                     pa.array(self.best["name"]),
                     pa.array(self.best["similarity"].to_numpy(dtype=np.float64)),
+                    pa.array(place.to_numpy(dtype=np.int64)),
                 ],
-                names=["query_id", key, "similarity"],
+                names=["query_id", key, "similarity", "rank"],
             )
 
 
