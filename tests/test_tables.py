@@ -9,7 +9,7 @@ from timberline.operators import contracts
 from timberline.operators.encoders import HashingEncoder
 from timberline.operators.upsert import upsert
 from timberline.plans.full_run import Inputs, run_all
-from timberline.plans.load import ContractViolation, load, require, vector_contract_report
+from timberline.plans.load import ContractViolation, create_empty, load, require, vector_contract_report
 from timberline.plans.prepare import prepare
 from timberline.plans.storage import latest_run, step_timings, storage_report
 from timberline.plans.vectorise import new_vectors, refreshed_counts, vectorise
@@ -158,3 +158,12 @@ def test_run_is_recorded_on_success_and_failure(spark, inputs, tmp_path):
     failed = json.loads(tables.runs().where("status = 'FAILED'").first().details)
     assert "error" in failed and "total_until_failure" in failed["timings"]
     assert latest_run(tables.runs()).count() == 1
+
+
+def test_empty_tables_can_be_reported(spark, tmp_path):
+    tables = Tables(spark, str(tmp_path))
+    create_empty(tables)
+    report = storage_report(tables).first()
+    assert (report.total_logs, report.embedded_logs, report.coverage_pct) == (0, 0, 0.0)
+    assert report.latest_command is None
+    assert tables.logs().count() == tables.runs().count() == 0

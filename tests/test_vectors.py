@@ -131,6 +131,8 @@ def test_model_encoder_runs_in_batches_and_scales_to_length_one(spark):
     for row in rows:
         expected = np.array([row.n, 1.0]) / np.hypot(row.n, 1.0)
         assert np.allclose(row.embedding, expected, atol=1e-6)
+    spread = ModelEncoder("lengths", 2, load, batch_size=3, tasks=6).encode(table, "text")
+    assert sorted(row.n for row in spread.collect()) == list(range(10))
     wrong = ModelEncoder("lengths", 3, load, batch_size=3)
     with pytest.raises(Exception, match="expected 3 numbers"):
         wrong.encode(table, "text").collect()

@@ -95,15 +95,19 @@ def _replace(batch: pa.RecordBatch, at: int, vectors: np.ndarray) -> pa.RecordBa
 class ModelEncoder:
     """Runs a sentence model in the tasks: ``load`` is called once per task, on the executor.
 
-    ``load`` returns a function from a list of texts to a matrix with one row per text.
+    ``load`` returns a function from a list of texts to a matrix with one row per text. Messages are
+    small and models slow, so ``tasks`` can spread the texts wider than their bytes would.
     """
 
     name: str
     dimension: int
     load: Callable[[], Callable[[list[str]], np.ndarray]]
     batch_size: int = ENCODE_BATCH
+    tasks: int | None = None
 
     def encode(self, table: DataFrame, text: str, vector: str = "embedding") -> DataFrame:
+        if self.tasks is not None:
+            table = table.repartition(self.tasks)
         prepared = table.withColumn(vector, F.coalesce(F.col(text), F.lit("")))
         schema = T.StructType(
             [T.StructField(vector, VECTOR_TYPE) if f.name == vector else f for f in prepared.schema]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from timberline.operators import contracts
 from timberline.sinks.tables import APPEND, OVERWRITE, write_logs, write_parquet
-from timberline.sources.tables import LOGS, TEMPLATES, VECTORS, Tables
+from timberline.sources.tables import LOGS, SCHEMAS, TEMPLATES, VECTORS, Tables
 from timberline.schemas import MESSAGE_VECTORS
 
 REQUIRED_LOG_COLUMNS = ("line_id", "source", "level", "raw_message", "normalized_message")
@@ -67,6 +67,13 @@ def require(report: DataFrame) -> None:
         raise ContractViolation("; ".join(f"{row.rule}: {row.violations}" for row in broken))
 
 
+def create_empty(target: Tables) -> None:
+    """Replace all stored tables, run log included, by empty ones."""
+    for name, schema in SCHEMAS.items():
+        by = ("level",) if name == LOGS else ()
+        write_parquet(target.spark.createDataFrame([], schema), target.path(name), OVERWRITE, by)
+
+
 def load(logs: DataFrame, templates: DataFrame, target: Tables, reset: bool = True) -> Loaded:
     """Check the contracts, then write. ``reset`` replaces both tables and empties the vectors.
 
