@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from timberline.llm.exact_dedup import exact_groups
+from timberline.llm.minhash_dedup import near_components
 from timberline.llm.registry import given, query
 
 
@@ -18,3 +19,28 @@ from timberline.llm.registry import given, query
 )
 def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_groups(given(spark, folder, "documents"))
+
+
+@query(
+    """WITH RECURSIVE tokens AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM tokens WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  JOIN sizes p ON p.doc_id = a.doc_id JOIN sizes q ON q.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, p.n, q.n
+  HAVING 100 * count(*) >= 85 * (p.n + q.n - count(*))),
+reached AS (
+  SELECT doc_id AS x, doc_id AS y FROM documents
+  UNION SELECT r.x, l.y FROM reached r JOIN links l ON r.y = l.x),
+least AS (SELECT x AS doc_id, min(y) AS component_id FROM reached GROUP BY x)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d JOIN least USING (doc_id) LEFT JOIN sizes USING (doc_id)"""
+)
+def op10_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_components(given(spark, folder, "documents"))
