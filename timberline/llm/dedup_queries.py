@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from timberline.llm.exact_dedup import exact_groups
 from timberline.llm.minhash_dedup import near_components
 from timberline.llm.registry import given, query
+from timberline.llm.substring_dedup import without_repeated_passages
 
 
 @query(
@@ -21,6 +23,28 @@ def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_groups(given(spark, folder, "documents"))
 
 
+@query(
+    """WITH tokens AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, sha256(array_to_string(w[i : i + 34], ' ')) AS passage
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM tokens WHERE len(w) >= 35)),
+repeated AS (
+  SELECT doc_id, i FROM windows WHERE passage IN (SELECT passage FROM windows GROUP BY passage HAVING count(*) > 1)),
+gone AS (SELECT DISTINCT doc_id, i + j AS p FROM repeated, unnest(range(0, 35)) AS t(j)),
+words AS (SELECT doc_id, p, w[p] AS word FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM tokens)),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS text
+  FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM tokens LEFT JOIN kept USING (doc_id)"""
+)
+def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = without_repeated_passages(given(spark, folder, "documents"))
+    digest = F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256")
+    return kept.select("doc_id", "n_words", "n_removed", digest)
+
+
 @query(
     """WITH RECURSIVE tokens AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
