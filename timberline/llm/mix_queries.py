@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from timberline.llm.mixing import mixed_documents
+from timberline.llm.packing import packed_documents
 from timberline.llm.registry import given, query
 
 
@@ -34,3 +35,8 @@ FROM rows r JOIN epochs e ON r.source IS NOT DISTINCT FROM e.source"""
 )
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed_documents(given(spark, folder, "documents"))
+
+
+@query()
+def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packed_documents(given(spark, folder, "documents"))
