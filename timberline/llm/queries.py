@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from timberline.llm import dedup_queries, mix_queries, quality_queries  # noqa: F401
+from timberline.llm import dedup_queries, embedding_queries, mix_queries, quality_queries  # noqa: F401
 from timberline.llm.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
