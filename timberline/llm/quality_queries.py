@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from timberline.llm import secrets_scan, toxicity
+from timberline.llm import quality, secrets_scan, toxicity
 from timberline.llm.registry import given, query
 
 
@@ -43,3 +43,8 @@ def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"),
         listed(F.col("spans")).alias("spans"),
     )
+
+
+@query()
+def op8_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality_scores(given(spark, folder, "documents"))

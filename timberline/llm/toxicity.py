@@ -28,6 +28,7 @@ class Subwords:
     start_margin: float = 5.0
     dimensions: int = 4
     epochs: int = 10
+    least_steps: int = 400
     rate: float = 0.5
     decay: float = 1e-7
     batch_docs: int = 64
@@ -103,6 +104,8 @@ def train(data: np.ndarray, offsets: np.ndarray, labels: np.ndarray, rule: Subwo
     """
     random = np.random.default_rng(rule.seed)
     grams, first, row_segment = segments_of(data, offsets, rule)
+    if not len(first):
+        return np.zeros(rule.buckets, np.float32), -rule.start_margin
     sizes = np.diff(np.append(first, len(grams)))
     smoothed = sizes + rule.prior_grams  # so that a segment of one word is no rash judge
     embedding = random.uniform(-0.5, 0.5, (rule.buckets, rule.dimensions)).astype(np.float32) / rule.dimensions
@@ -112,8 +115,10 @@ def train(data: np.ndarray, offsets: np.ndarray, labels: np.ndarray, rule: Subwo
     seen_softmax, seen_bias = np.full((rule.dimensions, 2), 1e-2, np.float32), np.full(2, 1e-2, np.float32)
     rows = np.flatnonzero(np.diff(row_segment))
     scale = np.float32(rule.segment_words)
-    for epoch in range(rule.epochs):
-        rate = rule.rate * (1 - 0.7 * epoch / rule.epochs)
+    weights = np.where(labels > 0, 0.5 / max(labels[rows].mean(), 1e-9), 0.5 / max(1 - labels[rows].mean(), 1e-9))
+    epochs = max(rule.epochs, -(-rule.least_steps * rule.batch_docs // max(1, len(rows))))
+    for epoch in range(epochs):
+        rate = rule.rate * (1 - 0.7 * epoch / epochs)
         random.shuffle(rows)
         for begin in range(0, len(rows), rule.batch_docs):
             batch = np.sort(rows[begin : begin + rule.batch_docs])
@@ -134,7 +139,7 @@ def train(data: np.ndarray, offsets: np.ndarray, labels: np.ndarray, rule: Subwo
             share = raised / np.repeat(whole, per_row)
             pooled = np.add.reduceat(share * margin, bounds)
             chance = 1 / (1 + np.exp(-np.clip(pooled, -30, 30)))
-            error = (chance - labels[batch]) / len(batch)
+            error = (chance - labels[batch]) * weights[batch] / len(batch)
             pull = (np.repeat(error, per_row) * share).astype(np.float32)
             flow = np.stack([-pull, pull], axis=1)
             grad_softmax = mean.T @ flow
