@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from timberline.llm import dedup_queries, embedding_queries, mix_queries, quality_queries  # noqa: F401
+from timberline.llm import (  # noqa: F401
+    dedup_queries,
+    embedding_queries,
+    language_queries,
+    mix_queries,
+    quality_queries,
+)
 from timberline.llm.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
