@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,7 +14,11 @@ PREFIX_LENGTH = 24
 
 
 def exact_groups(
-    docs: DataFrame, identifier: str = "doc_id", text: str = "text", prefix_length: int = PREFIX_LENGTH
+    docs: DataFrame,
+    identifier: str = "doc_id",
+    text: str = "text",
+    prefix_length: int = PREFIX_LENGTH,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """One row per row of ``docs``: identifier, keep_id, group_size, kept, text_sha256.
 
@@ -28,13 +34,17 @@ def exact_groups(
 
     Null text counts as empty, and empty texts are equal to each other. A null identifier comes after
     all others; keep_id is null only if all identifiers of a group are. Of rows that agree in all, one
-    stays. An empty table gives an empty one. Other columns are ignored, whatever their names.
+    stays. An empty table gives an empty one. Of other columns those in ``keep`` are passed on; the rest
+    are ignored, whatever their names.
     """
     parts = shuffle_parts(docs)
+    carried = [f"_kept_{name}" for name in keep]
+    passed = [F.col(name).alias(f"_kept_{name}") for name in keep]
     whole = F.coalesce(F.col("_text"), F.lit(""))
     normal = (
-        docs.select(F.col(identifier).alias("_id"), F.col(text).alias("_text"))
+        docs.select(*passed, F.col(identifier).alias("_id"), F.col(text).alias("_text"))
         .select(
+            *carried,
             "_id",
             F.char_length(whole).alias("_points"),
             F.regexp_replace(whole, WHITE_SPACE, "").alias("_normal"),
@@ -56,6 +66,7 @@ def exact_groups(
     whole_part = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     rows = settled(
         ranged.select(
+            *carried,
             "_id",
             "_salt",
             F.row_number().over(order).alias("_rank"),
@@ -80,6 +91,7 @@ def exact_groups(
         F.sum("_count").over(text_parts).alias("group_size"),
     )
     return rows.drop("_count").join(heads, ["_digest", "_salt"]).select(
+        *[F.col(f"_kept_{name}").alias(name) for name in keep],
         F.col("_id").alias(identifier),
         F.col("_keep.id").alias("keep_id"),
         "group_size",

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from timberline.session import settled
 
-__all__ = ["row_key", "settled", "shuffle_parts", "with_key"]
+__all__ = ["kept_rows", "row_key", "settled", "shuffle_parts", "with_rows"]
 
 
 def row_key(identifier: str = "doc_id", text: str = "text") -> Column:
@@ -21,8 +23,16 @@ def row_key(identifier: str = "doc_id", text: str = "text") -> Column:
     )
 
 
-def with_key(docs: DataFrame, name: str = "_key") -> DataFrame:
-    return docs.withColumn(name, row_key())
+def with_rows(docs: DataFrame) -> DataFrame:
+    """Adds a number ``_row`` to each row of a stored table: the same whenever its files are read."""
+    return docs.withColumn("_row", F.monotonically_increasing_id())
+
+
+def kept_rows(docs: DataFrame, operator: Callable[..., DataFrame]) -> DataFrame:
+    """The rows of a stored table that an operator with a column ``kept`` keeps, with all columns."""
+    rows = with_rows(docs)
+    kept = operator(rows, keep=("_row",)).where("kept").select("_row")
+    return rows.join(kept, "_row", "left_semi").drop("_row")
 
 
 def shuffle_parts(table: DataFrame) -> int:

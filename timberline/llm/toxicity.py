@@ -10,6 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from timberline.llm.words import chunks, lower_ascii, mixed, text_buffers, words_of
 
@@ -34,6 +35,7 @@ class Subwords:
     batch_docs: int = 64
     documents_per_label: int = 1000
     training_bytes: int = 8_000_000
+    chunk_bytes: int = 4_000_000
     seed: int = 11
 
 
@@ -217,31 +219,48 @@ def fitted(
     return bytes(rows[0]["margin"]), rows[0]["bias"]
 
 
-def scored(
-    docs: DataFrame, model: tuple[bytes, float], rule: Subwords = Subwords(), identifier: str = "doc_id", text: str = "text"
-) -> DataFrame:
-    """Adds score and predicted to identifier and text: the whole text's highest segment decides.
-
-    Null texts and texts without words have no segment and get the score of the bias alone. All rows
-    are scored, whatever repeats in them; other columns are left out. An empty table stays empty.
-    """
+def _scorer(docs: DataFrame, model: tuple[bytes, float], rule: Subwords, text: str, keep_text: bool):
     weights = docs.sparkSession.sparkContext.broadcast(model)  # of a fixed size
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         margin, bias = np.frombuffer(weights.value[0], np.float32), weights.value[1]
-        for chunk in chunks(batches, "_text", 4_000_000):
-            data, offsets = text_buffers(chunk.column("_text"))
+        for chunk in chunks(batches, text, rule.chunk_bytes):
+            data, offsets = text_buffers(chunk.column(text))
             grams, first, row_segment = segments_of(data, offsets, rule)
             sizes = np.diff(np.append(first, len(grams)))
             mean = _segment_sums(margin[grams].astype(np.float64), first) / (sizes + rule.prior_grams)
             pooled = _pooled(mean, row_segment)
             values = 1 / (1 + np.exp(-np.clip(np.where(np.isfinite(pooled), pooled, 0) + bias, -500, 500)))
-            names = [name for name in chunk.schema.names if name != "_text"]
+            names = [name for name in chunk.schema.names if keep_text or name != text]
             yield pa.RecordBatch.from_arrays(
                 [*[chunk.column(name) for name in names], pa.array(values), pa.array((values >= 0.5).astype(np.int32))],
-                names=[*names, "score", "predicted"],
+                names=[*names, "_toxic_score", "_toxic"],
             )
 
+    return score
+
+
+def scored(
+    docs: DataFrame, model: tuple[bytes, float], rule: Subwords = Subwords(), identifier: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """One row per row of ``docs``: identifier, score, predicted. The whole text's highest segment decides.
+
+    Null texts and texts without words have no segment and get the score of the bias alone. All rows
+    are scored, whatever repeats in them, null identifiers too. An empty table gives an empty one.
+    Other columns are ignored, whatever their names.
+    """
     base = docs.select(F.col(identifier).alias("_id"), F.col(text).alias("_text"))
     id_type = base.schema["_id"].dataType.simpleString()
-    return base.mapInArrow(score, f"_id {id_type}, score double, predicted int").withColumnRenamed("_id", identifier)
+    score = _scorer(docs, model, rule, "_text", keep_text=False)
+    return base.mapInArrow(score, f"_id {id_type}, _toxic_score double, _toxic int").select(
+        F.col("_id").alias(identifier), F.col("_toxic_score").alias("score"), F.col("_toxic").alias("predicted")
+    )
+
+
+def accepted(
+    docs: DataFrame, model: tuple[bytes, float], rule: Subwords = Subwords(), text: str = "text"
+) -> DataFrame:
+    """The rows of ``docs``, with all columns, that are not predicted to be toxic."""
+    schema = T.StructType(list(docs.schema.fields)).add("_toxic_score", T.DoubleType()).add("_toxic", T.IntegerType())
+    score = _scorer(docs, model, rule, text, keep_text=True)
+    return docs.mapInArrow(score, schema).where("_toxic = 0").select(*docs.columns)

@@ -126,13 +126,13 @@ class Words:
         return mixed(out ^ (length * np.uint64(0xD6E8FEB86659FD93)))
 
     def _long_word(self, at: int, up: np.ndarray) -> np.uint64:
-        total, shift = np.uint64(0), 1
+        total, shift = 0, 1
         for begin in range(int(self.start[at]), int(self.end[at]), _BLOCK):
             piece = self.data[begin : min(begin + _BLOCK, int(self.end[at]))].astype(np.uint64)
-            part = ((piece + np.uint64(1)) * up[: len(piece)]).sum(dtype=np.uint64)
-            total = total + part * np.uint64(shift)
+            part = int(((piece + np.uint64(1)) * up[: len(piece)]).sum(dtype=np.uint64))
+            total = (total + part * shift) & _MASK
             shift = shift * pow(_BASE, _BLOCK, 1 << 64) & _MASK
-        return total
+        return np.uint64(total)
 
 
 def words_of(data: np.ndarray, offsets: np.ndarray) -> Words:
