@@ -25,7 +25,7 @@ levels AS (
   FROM sources
   WINDOW earlier AS (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 targets AS (
-  SELECT source, source_size, least(cap::DOUBLE, weight * (SELECT min(level) FROM levels WHERE cap >= level * weight)) AS target FROM levels),
+  SELECT source, source_size, least(cap::DOUBLE, weight * (SELECT max(level) FROM levels WHERE cap >= level * weight)) AS target FROM levels),
 epochs AS (
   SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS epochs FROM targets)
 SELECT doc_id, r.source, size, source_size, target, epochs,

@@ -30,7 +30,8 @@ def source_targets(
 
     The sum of all sizes is shared by weight; a target stops at ``most_epochs`` times its source, and
     the excess is shared again until none is above. The level at which this ends is found in one
-    sorted pass: sources are capped in the order of cap to weight.
+    sorted pass: sources are capped in the order of cap to weight, and the level is the share per weight
+    at the first source that it does not lift above its cap, where it is highest.
     """
     numbered = sizes.withColumn(
         "_number", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last()))
@@ -57,7 +58,7 @@ def source_targets(
             ).alias("_open"),
         )
         .withColumn(
-            "_level", F.min(F.when(F.col("_cap") >= level * F.col("weight"), level)).over(everyone)
+            "_level", F.max(F.when(F.col("_cap") >= level * F.col("weight"), level)).over(everyone)
         )
         .select(
             "source",
