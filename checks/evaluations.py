@@ -13,6 +13,7 @@ from timberline.fixed_values import MODEL_ALIASES
 from timberline.operators.encoders import HashingEncoder, full_model_name
 from timberline.operators.quality import top_k_quality
 from timberline.plans import evaluation
+from timberline.session import settled
 
 
 def _quality_ctes(rows: str, queries: str, by: str = "query_id") -> str:
@@ -111,6 +112,22 @@ def compare_encoders(data: LogData) -> DataFrame:
     return evaluation.compare_encoders(data.requests(), data.stored_logs(), encoders)
 
 
+@query(
+    over_logs(
+        """SELECT b.model, b.query_id, b.rank, b.event_id, b.similarity, p.dimension, (SELECT count(*) FROM candidates) AS candidate_count
+FROM best b JOIN pairs p ON p.model = b.model AND p.query_id = b.query_id""",
+        _model_sql(),
+    )
+)
+def model_results(data: LogData) -> DataFrame:
+    """The best candidates of every request per model, with the measured size of its vectors."""
+    encoders = [HashingEncoder(size, f"hashing-{size}") for size in _DIMENSIONS]
+    candidates = settled(evaluation.comparison_candidates(data.stored_logs()), "candidates")
+    return evaluation.model_results(data.requests(), candidates, encoders).select(
+        "model", "query_id", "rank", "event_id", "similarity", "dimension", "candidate_count"
+    )
+
+
 @query(
     "SELECT vec_id, CASE label WHEN 0 THEN 'sentence-transformers/all-MiniLM-L6-v2' "
     "WHEN 1 THEN 'sentence-transformers/multi-qa-MiniLM-L6-cos-v1' "

@@ -7,15 +7,17 @@ statements are one text for both engines.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from timberline.fixed_values import SEVERITY_MARKERS, SYSLOG_PREFIX
 from timberline.operators.encoders import HashingEncoder
 from timberline.operators.rollups import distinct_messages
 from timberline.plans.prepare import log_entries
 from timberline.schemas import LOG_ENTRIES
-from timberline.session import shared_folder
+from timberline.session import released_folders, shared_folder
 from timberline.sinks.tables import write_logs
 from timberline.sources.tables import with_row_id
 
@@ -78,6 +80,32 @@ FROM {event_templates}
 
 SEARCH_DIMENSION = 64
 
+# Derived tables that were written ahead, by folder of the given tables and by name.
+_ahead: dict[tuple[str, str], str] = {}
+
+
+@contextmanager
+def stored_tables(spark: SparkSession, folder: str) -> Iterator[None]:
+    """Writes the derived tables ahead; queries on this folder read them until the end."""
+    with released_folders(spark):
+        data = LogData(spark, folder)
+        for name in ("raw", "structured", "logs", "document_vectors"):
+            path = shared_folder(spark, f"ahead-{name}")
+            table = getattr(data, name)()
+            if name == "logs":
+                write_logs(table.drop("id"), path)
+            else:
+                table.write.parquet(path)
+            _ahead[folder, name] = path
+        vectors = shared_folder(spark, "ahead-vectors")
+        data.vectors().write.parquet(vectors)
+        _ahead[folder, "vectors"] = vectors
+        try:
+            yield
+        finally:
+            for key in [key for key in _ahead if key[0] == folder]:
+                del _ahead[key]
+
 
 class LogData:
     """The derived tables as DataFrames; nothing is computed until a query uses one."""
@@ -92,11 +120,17 @@ class LogData:
     def content(self) -> DataFrame:
         return self.spark.sql(CONTENT, events=self.given("events"))
 
+    def _written(self, name: str) -> DataFrame | None:
+        path = _ahead.get((self.folder, name))
+        return None if path is None else self.spark.read.parquet(path)
+
     def raw(self) -> DataFrame:
-        return self.spark.sql(RAW, log_content=self.content())
+        written = self._written("raw")
+        return written if written is not None else self.spark.sql(RAW, log_content=self.content())
 
     def structured(self) -> DataFrame:
-        return self.spark.sql(STRUCTURED, log_content=self.content())
+        written = self._written("structured")
+        return written if written is not None else self.spark.sql(STRUCTURED, log_content=self.content())
 
     def templates(self) -> DataFrame:
         return self.spark.sql(TEMPLATES, log_structured=self.structured())
@@ -110,13 +144,18 @@ class LogData:
     def stored_logs(self) -> DataFrame:
         """The log table written as it is stored, one folder per level, for queries that read it often."""
         if self._stored is None:
-            path = shared_folder(self.spark, "log-table")
-            write_logs(self.logs().drop("id"), path)
+            path = _ahead.get((self.folder, "logs"))
+            if path is None:
+                path = shared_folder(self.spark, "log-table")
+                write_logs(self.logs().drop("id"), path)
             self._stored = with_row_id(self.spark.read.schema(LOG_ENTRIES).parquet(path))
         return self._stored
 
     def vectors(self, dimension: int = SEARCH_DIMENSION) -> DataFrame:
         """Hashed vectors of all distinct log messages."""
+        written = self._written("vectors") if dimension == SEARCH_DIMENSION else None
+        if written is not None:
+            return written
         return HashingEncoder(dimension).encode(distinct_messages(self.stored_logs()), "normalized_message")
 
     def document_logs(self) -> DataFrame:
@@ -137,6 +176,9 @@ class LogData:
 
     def document_vectors(self) -> DataFrame:
         """A given vector for every distinct document message; those of label 3 are not loaded yet."""
+        written = self._written("document_vectors")
+        if written is not None:
+            return written
         given = self.given("embeddings")
         size = given.count()
         messages = self.document_logs().groupBy("normalized_message").agg(F.min("id").alias("first_id"))
@@ -162,16 +204,21 @@ def _sql(statement: str) -> str:
     return statement.strip()
 
 
+# Fixed values, written out here so that the SQL does not share them with what it checks.
+_PREFIX_SQL = r"^([A-Z][a-z]{2})\s+(\d{1,2})\s+(\d{2}:\d{2}:\d{2})\s+(\S+)\s+([^\[]+)\[(\d+)\]:\s+(.*)$"
+_LEVEL_SQL = """CASE WHEN contains(t, 'possible break-in attempt') OR contains(t, 'too many authentication failures') THEN 'CRITICAL'
+  WHEN contains(t, 'failed password') OR contains(t, 'authentication failure') OR contains(t, 'fatal') OR contains(t, 'error')
+    OR contains(t, 'invalid user') OR contains(t, 'user unknown') THEN 'ERROR'
+  WHEN contains(t, 'disconnect') OR contains(t, 'closed by') OR contains(t, 'preauth') OR contains(t, 'reverse mapping') THEN 'WARNING'
+  ELSE 'INFO' END"""
+
+
 def _level_sql(text: str) -> str:
-    cases = [
-        f"WHEN {' OR '.join(f'contains({text}, {chr(39)}{m}{chr(39)})' for m in markers)} THEN '{level}'"
-        for level, markers in SEVERITY_MARKERS
-    ]
-    return f"CASE {' '.join(cases)} ELSE 'INFO' END"
+    return _LEVEL_SQL.replace("(t,", f"({text},")
 
 
 def _field(number: int) -> str:
-    return f"nullif(regexp_extract(raw_line, '{SYSLOG_PREFIX}', {number}), '')"
+    return f"nullif(regexp_extract(raw_line, '{_PREFIX_SQL}', {number}), '')"
 
 
 LOG_CTES = f"""log_content AS ({_sql(CONTENT)}),

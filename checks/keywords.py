@@ -109,3 +109,25 @@ def result_export(data: LogData) -> DataFrame:
     """Results for export, for the first word of every template."""
     words = data.requests().withColumns({"text": F.split_part("text", F.lit(" "), F.lit(1)), "top_k": F.lit(40)})
     return search.rendered(search.keyword_search(words, data.logs()))
+
+
+_DEEP_REQUESTS = """SELECT code AS query_id, CASE code % 4 WHEN 0 THEN 'password' WHEN 1 THEN 'from 10.0.' || CAST(code % 256 AS STRING)
+    WHEN 2 THEN 'port _2 %' ELSE 'u' || CAST(code % 100 AS STRING) || ' ' END AS text,
+  CASE code % 3 WHEN 0 THEN 'ERROR' ELSE 'ALL' END AS level,
+  CAST(CASE WHEN code % 500 = 0 THEN 1500 ELSE 1 + code % 4 END AS INT) AS top_k
+FROM (SELECT DISTINCT event_id % 4500 AS code FROM {events})"""
+
+
+@query(
+    over_logs(
+        keyword_sql(
+            "asked",
+            "lower(l.raw_message) LIKE '%' || q.text || '%'",
+        ),
+        f"asked AS ({_DEEP_REQUESTS.format(events='events')})",
+    )
+)
+def keyword_search_deep(data: LogData) -> DataFrame:
+    """Many broad requests; a few ask for many more lines than the others."""
+    requests = data.spark.sql(_DEEP_REQUESTS, events=data.given("events"))
+    return search.keyword_search(requests, data.stored_logs())

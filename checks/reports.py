@@ -10,9 +10,11 @@ from checks.reading import write_raw_text, write_structured_csv, write_templates
 from checks.registry import over_logs, query
 from timberline.operators.encoders import HashingEncoder
 from timberline.operators.requests import validate_requests
+from timberline.operators.rollups import distinct_messages
 from timberline.plans.full_run import Inputs, run_all
+from timberline.plans.load import load
 from timberline.plans.storage import latest_run, step_timings, storage_report, table_sizes
-from timberline.plans.vectorise import encoding_totals, new_vectors
+from timberline.plans.vectorise import encoding_totals, new_vectors, refresh_vectors, vectorise
 from timberline.schemas import EVENT_TEMPLATES
 from timberline.session import shared_folder
 from timberline.sinks.tables import export_csv, write_parquet
@@ -115,13 +117,68 @@ def given_table_sizes(data: LogData) -> DataFrame:
     return table_sizes(data.spark, {name: f"{data.folder}/{name}.parquet" for name in names})
 
 
-@query()
+@query(
+    over_logs(
+        """SELECT count(*) AS total_logs, count(*) AS embedded_logs, count(DISTINCT normalized_message) AS embedded_messages,
+  count(DISTINCT event_id) AS event_count, min(log_timestamp) AS first_log, max(log_timestamp) AS last_log, 100.0::DOUBLE AS coverage_pct,
+  TRUE AS has_logs, TRUE AS has_vectors, TRUE AS has_index, TRUE AS adds_up, 'run-all' AS command, 5 AS steps,
+  count(*) AS loaded_logs, (SELECT count(*) FROM event_templates) AS loaded_templates
+FROM logs"""
+    )
+)
 def full_run(data: LogData) -> DataFrame:
     """Files in, all tables out, then the storage report over them."""
     target = shared_folder(data.spark, "run")
     inputs = Inputs(write_raw_text(data), write_structured_csv(data), write_templates_csv(data))
     run_all(data.spark, inputs, target, HashingEncoder(SEARCH_DIMENSION))
-    return storage_report(Tables(data.spark, target))
+    parts = ("log_entries_bytes", "message_embeddings_bytes", "message_index_bytes")
+    loaded = "struct<loaded:struct<log_entries:bigint,event_templates:bigint>>"
+    details = F.from_json("latest_details", loaded)["loaded"]
+    return storage_report(Tables(data.spark, target)).select(
+        "total_logs",
+        "embedded_logs",
+        "embedded_messages",
+        "event_count",
+        "first_log",
+        "last_log",
+        "coverage_pct",
+        *[(F.col(name) > 0).alias(label) for name, label in zip(parts, ("has_logs", "has_vectors", "has_index"))],
+        (F.col("total_bytes") > sum(map(F.col, parts[1:]), F.col(parts[0]))).alias("adds_up"),
+        F.col("latest_command").alias("command"),
+        F.size("latest_timings").alias("steps"),
+        details["log_entries"].alias("loaded_logs"),
+        details["event_templates"].alias("loaded_templates"),
+    )
+
+
+@query(
+    over_logs(
+        """SELECT normalized_message, min(event_id) AS representative_event_id,
+  CASE WHEN contains(normalized_message, 'password') THEN 'CHANGED' ELSE min(level) END AS representative_level,
+  count(*) AS occurrences FROM logs GROUP BY normalized_message"""
+    )
+)
+def vector_refresh(data: LogData) -> DataFrame:
+    """Vectors of half the lines are stored, some come again changed, the rest arrive; counts are anew."""
+    spark, encoder = data.spark, HashingEncoder(SEARCH_DIMENSION)
+    tables = Tables(spark, shared_folder(spark, "refreshed"))
+    logs = data.stored_logs().drop("id")
+    load(logs, data.templates(), tables)
+    vectorise(tables, encoder, limit=6)
+    early = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    late = F.lit("2124-01-01 00:00:00").cast("timestamp_ntz")
+    every = encoder.encode(distinct_messages(tables.logs()), "normalized_message")
+    changed = every.where("contains(normalized_message, 'password')").withColumn("representative_level", F.lit("CHANGED"))
+    missing = every.join(tables.vectors(), "normalized_message", "left_anti")
+    changes = (
+        missing.withColumn("updated_at", early)
+        .unionByName(changed.withColumn("updated_at", late))
+        .select(*tables.vectors().columns)
+    )
+    refresh_vectors(tables, changes, encoder)
+    return tables.vectors().select(
+        "normalized_message", "representative_event_id", "representative_level", "occurrences"
+    )
 
 
 @query(over_logs("SELECT event_id, event_template, occurrences FROM event_templates"))

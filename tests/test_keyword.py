@@ -34,9 +34,9 @@ def as_regex(text: str, literal: bool) -> re.Pattern:
 def tables(spark):
     levels = ["INFO", "ERROR"]
     logs = spark.createDataFrame(
-        [(at, text, levels[at % 2]) for at, text in enumerate(MESSAGES)],
-        "line_id bigint, raw_message string, level string",
-    )
+        [(at, at, text, levels[at % 2]) for at, text in enumerate(MESSAGES)],
+        "id bigint, line_id bigint, raw_message string, level string",
+    ).selectExpr("*", "if(id % 3 = 0, null, timestamp_ntz '2024-01-01' + make_dt_interval(0, 0, 100 - id)) log_timestamp")
     asked = ["ALL", "ERROR", "INFO", None]
     requests = spark.createDataFrame([(at, text, asked[at % 4], 5) for at, text in enumerate(TEXTS)], REQUESTS)
     return logs.repartition(3), tidy_requests(requests)
@@ -87,3 +87,19 @@ def test_request_tables_are_split(spark):
     }
     seeds = spark.createDataFrame([(1, None), (0, 5), (None, 5), (3, 500)], "seed_id bigint, top_k int")
     assert [r.accepted for r in validate_requests(seeds, seed_faults()).collect()] == [True, False, False, False]
+
+
+def test_a_task_keeps_the_first_lines_of_each_request(spark):
+    logs = spark.range(5000).selectExpr(
+        "id", "id line_id", "'same text ' || id % 7 raw_message", "'INFO' level",
+        "if(id % 10 = 0, null, timestamp_ntz '2024-01-01' + make_dt_interval(0, 0, (id * 37) % 911)) log_timestamp",
+    )
+    requests = tidy_requests(
+        spark.createDataFrame([(n, f"text {n % 7}" if n % 2 else "same%t", None, 1 + n % 9) for n in range(90)], REQUESTS)
+    )
+    every = keyword_matches(requests, logs, max_compiled=0)
+    first = keyword_matches(requests, logs, max_compiled=0, first_only=True)
+    order = "row_number() over (partition by query_id order by log_timestamp nulls last, line_id) place"
+    best = lambda table: {tuple(r) for r in table.selectExpr("query_id", "id", "top_k", order).where("place <= top_k").collect()}
+    assert best(first) == best(every)
+    assert first.count() <= 90 * 9 * logs.rdd.getNumPartitions() * 2 < every.count()

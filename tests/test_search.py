@@ -212,3 +212,37 @@ def test_encoders_are_compared_on_the_same_candidates(spark, hot):
     for arguments in ({"top_k": 51}, {"candidate_limit": 9}, {"candidate_limit": 5001}):
         with pytest.raises(ValueError):
             comparison_candidates(logs, **arguments)
+
+
+def test_any_number_of_results_is_given(spark, hot):
+    _, logs, vectors = hot
+    deep = single_deep = spark.createDataFrame([(1, "disk full on node", None, 500), (2, "login", None, 3)], REQUESTS)
+    counts = {r.query_id: r["count"] for r in search.keyword_search(deep, logs).groupBy("query_id").count().collect()}
+    assert counts == {1: 200, 2: 3}
+    counts = {r.query_id: r["count"] for r in search.semantic_search(single_deep, logs, vectors, ENCODER).groupBy("query_id").count().collect()}
+    assert counts == {1: 500, 2: 3}
+    many = spark.range(5000).selectExpr("id query_id", "'disk' text", "cast(null as string) level", "if(id = 7, 250, 1) top_k")
+    counts = {r.query_id: r["count"] for r in search.semantic_search(many, logs, vectors, ENCODER).groupBy("query_id").count().collect()}
+    assert counts.pop(7) == 250 and set(counts.values()) == {1}
+
+
+@pytest.mark.parametrize("rows", [[(1, "a", None, 0)], [(1, "a", "LOUD", 5)], [(1, "a", None, 5), (1, "b", None, 5)]])
+def test_requests_that_cannot_be_answered_are_refused(spark, hot, rows):
+    _, logs, vectors = hot
+    requests = spark.createDataFrame(rows, REQUESTS)
+    for ask in (lambda: search.keyword_search(requests, logs), lambda: search.semantic_search(requests, logs, vectors, ENCODER)):
+        with pytest.raises(ValueError):
+            ask()
+
+
+def test_repeated_requests_and_seeds_count_once(spark, hot):
+    _, logs, vectors = hot
+    once = spark.createDataFrame([(1, "disk", None, 5)], REQUESTS)
+    key = lambda table: sorted((r.rank, r.line_id) for r in table.collect())
+    assert key(search.keyword_search(once.unionAll(once), logs)) == key(search.keyword_search(once, logs))
+    seeds = spark.createDataFrame([(3, 5)], "seed_id bigint, top_k int")
+    assert key(search.similar_logs(seeds.unionAll(seeds), logs, vectors)) == key(search.similar_logs(seeds, logs, vectors))
+    with pytest.raises(ValueError):
+        search.similar_logs(seeds.unionAll(spark.createDataFrame([(3, 6)], seeds.schema)), logs, vectors)
+    with pytest.raises(ValueError):
+        search.similar_logs(spark.createDataFrame([(3, 0)], seeds.schema), logs, vectors)

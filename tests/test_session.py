@@ -38,3 +38,30 @@ def test_spread_join_equals_a_plain_join(spark):
     assert sorted(spread.collect()) == sorted(plain.collect())
     keys = spread_join(many, few, ["k"], "query_id")
     assert "_join_part" not in keys.columns
+
+
+def test_one_local_folder_per_application(monkeypatch):
+    made = []
+    monkeypatch.setattr(session.tempfile, "mkdtemp", lambda prefix: made.append(prefix) or "/somewhere")
+    stub = _stub("local[2]", None)
+    stub.sparkContext.applicationId = "another"
+    paths = {session.shared_folder(stub, "lines") for _ in range(3)}
+    assert len(paths) == 3 and len(made) == 1
+
+
+def test_folders_named_in_a_scope_are_removed(spark):
+    with session.released_folders(spark):
+        inside = session.settled(spark.range(5), "inside").inputFiles()
+        outside = []
+    kept = session.settled(spark.range(5), "outside")
+    assert kept.count() == 5 and inside and outside == []
+    assert not session.folder_exists(spark, inside[0])
+
+
+def test_small_texts_are_replaced(spark, tmp_path):
+    path = str(tmp_path / "pointer")
+    assert session.read_small_text(spark, path) is None
+    for content in ("one", "two"):
+        session.replace_small_text(spark, path, content)
+        assert session.read_small_text(spark, path) == content
+    assert [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["pointer"]

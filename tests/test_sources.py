@@ -69,3 +69,21 @@ def test_file_sizes_lists_files_only(spark, tmp_path):
     sizes = file_sizes(spark, str(tmp_path / "t"))
     assert sizes.count() == 3
     assert "content" not in sizes.columns
+
+
+def test_csv_keeps_outer_spaces_and_finds_columns_per_file(spark, tmp_path):
+
+    rows = [(1, "  outer  ", " E1"), (2, 'quote " and, comma', "\ttab\t"), (3, None, "x")]
+    table = spark.createDataFrame(rows, "line_id bigint, raw_message string, event_id string")
+    export_csv(table, str(tmp_path / "csv"))
+    back = exported_table(spark, str(tmp_path / "csv"), table.schema)
+    assert sorted(back.collect(), key=lambda r: r.line_id) == sorted(table.collect(), key=lambda r: r.line_id)
+    folder = tmp_path / "two orders"
+    folder.mkdir()
+    (folder / "a.csv").write_text("LineId,Content,EventId,EventTemplate\n1, one ,E1,t\n")
+    (folder / "b.csv").write_text("EventId,LineId,Extra,EventTemplate,Content\nE2,2,z,u, two\n")
+    found = structured_lines(spark, str(folder)).orderBy("line_id").collect()
+    assert [tuple(row) for row in found] == [(1, " one ", "E1", "t"), (2, " two", "E2", "u")]
+    (folder / "c.csv").write_text("LineId,Content\n3,three\n")
+    with pytest.raises(Exception, match="EventId"):
+        structured_lines(spark, str(folder)).collect()

@@ -103,3 +103,9 @@ def test_every_line_gives_one_row_with_a_known_level(spark, lines):
         assert row.level in LEVELS
         assert row.raw_message is not None and row.normalized_message is not None
         assert "  " not in row.normalized_message
+
+
+def test_a_row_with_a_line_feed_is_no_syslog_line(spark):
+    found = parsed(spark, ["foo\nbar\nbaz", "Jan  1 00:00:01 h sshd[1]: a"])
+    assert (found[1].month, found[1].time_text, found[1].raw_message) == (None, None, "foo\nbar\nbaz")
+    assert found[2].month == "Jan"

@@ -167,3 +167,87 @@ def test_empty_tables_can_be_reported(spark, tmp_path):
     assert (report.total_logs, report.embedded_logs, report.coverage_pct) == (0, 0, 0.0)
     assert report.latest_command is None
     assert tables.logs().count() == tables.runs().count() == 0
+
+
+@pytest.mark.parametrize("at", range(3))
+def test_a_failed_reload_changes_nothing_for_readers(spark, tmp_path, monkeypatch, at):
+    from timberline.plans import load as module
+
+    target = Tables(spark, str(tmp_path))
+    templates = spark.createDataFrame([("E1", "old", 1)], EVENT_TEMPLATES)
+    load(spark.createDataFrame([_entry(1, message="old")], LOG_ENTRIES), templates, target)
+    vectorise(target, ENCODER)
+    calls = {"count": 0}
+
+    def failing(real):
+        def write(*args, **options):
+            calls["count"] += 1
+            if calls["count"] == at + 1:
+                raise OSError("disk full")
+            return real(*args, **options)
+
+        return write
+
+    monkeypatch.setattr(module, "write_parquet", failing(module.write_parquet))
+    monkeypatch.setattr(module, "write_logs", failing(module.write_logs))
+    more = spark.createDataFrame([("E1", "new", 1)], EVENT_TEMPLATES)
+    with pytest.raises(OSError):
+        load(spark.createDataFrame([_entry(9, message="new")], LOG_ENTRIES), more, target)
+    assert [row.raw_message for row in target.logs().collect()] == ["old"]
+    assert [row.event_template for row in target.templates().collect()] == ["old"]
+    assert [row.normalized_message for row in target.vectors().collect()] == ["old"]
+
+
+def test_versions_before_the_last_are_removed(spark, tmp_path):
+    target = Tables(spark, str(tmp_path))
+    templates = spark.createDataFrame([("E1", "t", 1)], EVENT_TEMPLATES)
+    for line in range(4):
+        load(spark.createDataFrame([_entry(line + 1)], LOG_ENTRIES), templates, target)
+    assert len([path for path in tmp_path.iterdir() if path.name.startswith("version-")]) == 2
+    assert [row.id for row in target.logs().collect()] == [4]
+
+
+def test_vectors_of_another_length_are_refused(spark, tmp_path):
+    target = Tables(spark, str(tmp_path))
+    templates = spark.createDataFrame([("E1", "t", 1)], EVENT_TEMPLATES)
+    load(spark.createDataFrame([_entry(1, message="a"), _entry(2, message="b")], LOG_ENTRIES), templates, target)
+    vectorise(target, ENCODER, limit=1)
+    with pytest.raises(ContractViolation, match="16 elements"):
+        vectorise(target, HashingEncoder(32))
+    assert target.vectors().count() == 1
+
+
+def test_refresh_replaces_counts_and_indexes(spark, tmp_path):
+    from timberline.operators.lsh import write_index
+    from timberline.plans.vectorise import refresh_vectors
+    from timberline.sources.tables import INDEX
+
+    target = Tables(spark, str(tmp_path))
+    templates = spark.createDataFrame([("E1", "t", 1)], EVENT_TEMPLATES)
+    load(spark.createDataFrame([_entry(n, message="ab"[n % 2]) for n in range(1, 8)], LOG_ENTRIES), templates, target)
+    vectorise(target, ENCODER)
+    write_index(target.vectors(), target.path(INDEX))
+    load(spark.createDataFrame([_entry(20, message="c"), _entry(21, message="a")], LOG_ENTRIES), templates.where("false"), target, reset=False)
+    vectorise(target, ENCODER)
+    index = spark.read.parquet(target.path(INDEX))
+    assert sorted(r.normalized_message for r in index.collect()) == ["a", "b", "c"]
+    changed = target.vectors().where("normalized_message = 'a'").withColumn("representative_level", F.lit("NEW"))
+    later = changed.withColumn("updated_at", F.lit("2124-01-01 00:00:00").cast("timestamp_ntz"))
+    assert refresh_vectors(target, later, ENCODER) == 3
+    rows = {r.normalized_message: (r.representative_level, r.occurrences) for r in target.vectors().collect()}
+    assert rows == {"a": ("NEW", 4), "b": ("INFO", 4), "c": ("INFO", 1)}
+    assert spark.read.parquet(target.path(INDEX)).count() == 3
+    double = later.unionAll(later).withColumn("embedding", F.array(F.lit(1.0).cast("float")))
+    with pytest.raises(ContractViolation):
+        refresh_vectors(target, double, ENCODER)
+    assert target.vectors().count() == 3
+
+
+def test_a_full_run_leaves_no_intermediate_tables(spark, inputs, tmp_path, monkeypatch):
+    from timberline import session
+
+    folder = tmp_path / "shared"
+    folder.mkdir()
+    monkeypatch.setattr(session, "_root", lambda spark: str(folder))
+    run_all(spark, inputs[1], str(tmp_path / "run"), ENCODER)
+    assert [path for path in folder.rglob("*") if path.is_file()] == []

@@ -160,3 +160,16 @@ def test_index_probes_prune_folders_and_all_probes_are_exact(spark, given, tmp_p
     known = {(row.query_id, row.vec_id): row.similarity for row in nearest(queries, items, "vec_id", 600).collect()}
     assert all(known[row.query_id, row.vec_id] == row.similarity for row in part.collect())
     assert with_signature(items, 4).select("signature").distinct().count() <= 16
+
+
+def test_signatures_come_by_cost():
+    import numpy as np
+
+    from timberline.operators.lsh import nearest_signatures
+
+    margins = np.random.default_rng(2).standard_normal(7)
+    bits = (np.arange(128)[:, None] >> np.arange(7)) & 1
+    cost = np.maximum(margins, 0) @ (1 - bits).T + np.maximum(-margins, 0) @ bits.T
+    assert nearest_signatures(margins, 50) == np.argsort(cost)[:50].tolist()
+    assert sorted(nearest_signatures(margins, 1000)) == list(range(128))
+    assert len(nearest_signatures(np.random.default_rng(3).standard_normal(30), 40)) == 40

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from timberline.fixed_values import DEFAULT_LEVEL, LOG_YEAR, MONTHS, SEVERITY_MARKERS, SYSLOG_PREFIX
 
 PREFIX_FIELDS = ("month", "day", "time_text", "host", "service", "process_id", "content")
-# A text line never holds a line feed, so it separates the fields without ambiguity.
+# A matching line holds no line feed, so it separates the fields without ambiguity.
 _SPLIT_MATCH = "\n".join(f"${n}" for n in range(1, len(PREFIX_FIELDS) + 1)) + "\n"
 
 
@@ -18,8 +18,11 @@ def prefix_parts(line: Column) -> Column:
     """All prefix fields of a line as one array, or an array of one element without a match.
 
     One pass of the pattern yields all seven fields; ``regexp_extract`` would run it once per field.
+    A text source never gives a line feed; a row from elsewhere that holds one matches nothing, since
+    it is no single line.
     """
-    return F.split(F.regexp_replace(line, SYSLOG_PREFIX, _SPLIT_MATCH), "\n", len(PREFIX_FIELDS) + 1)
+    parts = F.split(F.regexp_replace(line, SYSLOG_PREFIX, _SPLIT_MATCH), "\n", len(PREFIX_FIELDS) + 1)
+    return F.when(F.contains(line, F.lit("\n")), F.array(line)).otherwise(parts)
 
 
 def prefix_field(parts: Column, name: str) -> Column:

@@ -1,22 +1,25 @@
 """Case-insensitive substring and wildcard matching for tables of requests.
 
 ``%`` and ``_`` in a query text act as wildcards and a backslash takes the next character as it is;
-``literal`` switches all three off. Three forms give the same matches:
+``literal`` switches all three off. Two forms give the same matches:
 
 * a few requests become literal predicates of one scan;
 * many requests are looked up together: every task runs one pass over its lines for the longest
   plain stretch of each pattern, so the work does not grow with the number of requests, and
   patterns with wildcards are then checked in full. Requests beyond the checked size take several
-  such passes;
-* where the lookup library is missing, requests are matched in passes over broadcast blocks, which
-  hold every line against every pattern of a block.
+  such passes. Without the lookup library they become predicates, a few per scan.
+
+Matches are keys of lines. Where only the first lines of each request are wanted, a task of the
+second form keeps no more of them than the request asks for.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+import re
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,7 +29,7 @@ from timberline.session import settled
 
 try:
     import ahocorasick
-except ImportError:  # the broadcast form serves instead
+except ImportError:  # predicates serve instead
     ahocorasick = None
 
 # Requests compiled into predicates, requests per pass otherwise, and characters of request text
@@ -34,6 +37,7 @@ except ImportError:  # the broadcast form serves instead
 MAX_COMPILED = 64
 MAX_LOOKED_UP = 20_000
 MAX_SHARED_TEXT = 16_000_000
+KEY_COLUMNS = ("id", "line_id", "log_timestamp")
 
 
 def like_pattern(text: Column, literal: bool = False) -> Column:
@@ -54,26 +58,27 @@ def keyword_matches(
     literal: bool = False,
     max_compiled: int = MAX_COMPILED,
     max_looked_up: int = MAX_LOOKED_UP,
+    first_only: bool = False,
 ) -> DataFrame:
-    """Every (request, line) match: the log columns plus ``query_id`` and ``top_k``.
+    """(request, line) matches: ``id, line_id, log_timestamp, query_id, top_k``.
 
-    ``requests`` is a tidy request table; requests without a text match nothing.
+    ``requests`` is a tidy request table; requests without a text match nothing. With ``first_only``
+    matches that are not among the first ``top_k`` in time of their task may be left out.
     """
     asked = requests.where(F.col("text").isNotNull()).select(
         "query_id", F.lower(like_pattern(F.col("text"), literal)).alias("pattern"), "level", "top_k"
     )
     size = asked.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.length("pattern")).alias("text")).first()
     text = size.text or 0
-    prepared = logs.withColumn("_lower", F.lower("raw_message"))
+    prepared = logs.select(*KEY_COLUMNS, "level", F.lower("raw_message").alias("_lower"))
     if size.rows <= max_compiled and text <= MAX_SHARED_TEXT:
         passes = [_one_scan(asked.toArrow(), asked, prepared)]
     else:
         blocks = max(1, -(-size.rows // max_looked_up), -(-text // MAX_SHARED_TEXT))
         passes = []
         for block in _hashed_blocks(asked, blocks):
-            passes += [_broadcast_pass(block, prepared)] if ahocorasick is None else _look_up(block, prepared)
-    columns = [*logs.columns, "query_id", "top_k"]
-    return reduce(DataFrame.unionByName, [one.select(*columns) for one in passes])
+            passes += _look_up(block, prepared, first_only)
+    return reduce(DataFrame.unionByName, [one.select(*KEY_COLUMNS, "query_id", "top_k") for one in passes])
 
 
 def _hashed_blocks(asked: DataFrame, blocks: int) -> list[DataFrame]:
@@ -132,58 +137,113 @@ def stretches(pattern: str) -> list[str]:
     return texts
 
 
-def _look_up(asked: DataFrame, prepared: DataFrame) -> list[DataFrame]:
+def _look_up(asked: DataFrame, prepared: DataFrame, first_only: bool) -> list[DataFrame]:
     """One lookup for the requests with a plain stretch; those of wildcards alone are compiled."""
     requests = asked.toArrow()
-    anchored = [max(stretches(pattern), key=len) != "" for pattern in requests["pattern"].to_pylist()]
-    passes = [_by_anchor(requests.filter(pa.array(anchored, pa.bool_())), asked, prepared)]
+    anchored = [
+        ahocorasick is not None and max(stretches(pattern), key=len) != ""
+        for pattern in requests["pattern"].to_pylist()
+    ]
     rest = requests.filter(pa.array([not has for has in anchored], pa.bool_()))
-    for start in range(0, rest.num_rows, MAX_COMPILED):
-        passes.append(_one_scan(rest.slice(start, MAX_COMPILED), asked, prepared))
-    return passes
+    passes = [
+        _one_scan(rest.slice(start, MAX_COMPILED), asked, prepared)
+        for start in range(0, rest.num_rows, MAX_COMPILED)
+    ]
+    if any(anchored):
+        passes.append(_by_anchor(requests.filter(pa.array(anchored, pa.bool_())), asked, prepared, first_only))
+    return passes or [_one_scan(rest, asked, prepared)]
+
+
+def as_expression(pattern: str) -> re.Pattern:
+    """The regular expression of a pattern, for a match of the whole text."""
+    out, escaped = [], False
+    for character in pattern:
+        if escaped:
+            out.append(re.escape(character))
+            escaped = False
+        elif character == "\\":
+            escaped = True
+        else:
+            out.append({"%": ".*", "_": "."}.get(character, re.escape(character)))
+    return re.compile("".join(out), re.DOTALL)
+
 
+class _FirstLines:
+    """The keys of the first lines of each request, pruned whenever twice as many are held."""
 
-def _by_anchor(few: pa.Table, asked: DataFrame, prepared: DataFrame) -> DataFrame:
+    def __init__(self, most: list[int] | None):
+        self.most, self.held = most, {}
+
+    def add(self, request: int, key: tuple) -> None:
+        own = self.held.setdefault(request, [])
+        own.append(key)
+        if self.most is not None and len(own) >= 2 * max(self.most[request], 8):
+            own.sort()
+            del own[self.most[request] :]
+
+    def __iter__(self) -> Iterator[tuple[int, tuple]]:
+        for request, own in self.held.items():
+            own.sort()
+            for key in own if self.most is None else own[: self.most[request]]:
+                yield request, key
+
+
+def _by_anchor(few: pa.Table, asked: DataFrame, prepared: DataFrame, first_only: bool) -> DataFrame:
     """Lines by the longest plain stretch of each pattern, all stretches in one pass per line."""
     patterns = few["pattern"].to_pylist()
     texts = [stretches(pattern) for pattern in patterns]
     anchors = [max(parts, key=len) for parts in texts]
     # A pattern that is one plain text needs no second look.
-    check = pa.array(
+    checks = [
+        None if parts == ["", anchor, ""] else pattern
+        for pattern, parts, anchor in zip(patterns, texts, anchors)
+    ]
+    sent = prepared.sparkSession.sparkContext.broadcast(
+        (anchors, checks, few["level"].to_pylist(), few["top_k"].to_pylist(), few["query_id"].combine_chunks())
+    )
+    schema = T.StructType(
         [
-            None if parts == ["", anchor, ""] else pattern
-            for pattern, parts, anchor in zip(patterns, texts, anchors)
-        ],
-        pa.string(),
+            *[prepared.schema[name] for name in KEY_COLUMNS],
+            asked.schema["query_id"],
+            T.StructField("top_k", T.IntegerType()),
+        ]
     )
-    identity = few.select(["query_id", "top_k"]).append_column("asked_level", few["level"].cast(pa.string()))
-    sent = prepared.sparkSession.sparkContext.broadcast((anchors, identity.append_column("check", check)))
-    added = [
-        asked.schema["query_id"],
-        T.StructField("top_k", T.IntegerType()),
-        T.StructField("asked_level", T.StringType()),
-        T.StructField("check", T.StringType()),
-    ]
-    schema = T.StructType([*prepared.schema, *added])
+    last = np.iinfo(np.int64).max
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, requests = sent.value
-        requests = requests.combine_chunks()
+        words, checks, levels, most, names = sent.value
         search = _automaton(words)
+        expressions = [None if check is None else as_expression(check) for check in checks]
+        found, kind = _FirstLines(most if first_only else None), None
         for batch in batches:
-            line, request = _hits(search, batch.column("_lower"))
-            # A batch of lines may match many requests: hand the pairs on in pieces of its own size.
-            for start in range(0, len(line), batch.num_rows):
-                at_line = pa.array(line[start : start + batch.num_rows], pa.int64())
-                at_request = pa.array(request[start : start + batch.num_rows], pa.int64())
-                found = requests.take(at_request)
-                columns = [*batch.take(at_line).columns, *[c.combine_chunks() for c in found.columns]]
-                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
-
-    candidates = prepared.mapInArrow(find, schema)
-    return candidates.where(
-        "(asked_level IS NULL OR asked_level = level) AND (check IS NULL OR _lower LIKE check)"
-    )
+            kind = batch.column("log_timestamp").type
+            times = batch.column("log_timestamp").cast(pa.int64()).fill_null(last).to_pylist()
+            keys = list(zip(times, batch.column("line_id").to_pylist(), batch.column("id").to_pylist()))
+            for key, level, text in zip(keys, batch.column("level").to_pylist(), batch.column("_lower").to_pylist()):
+                if not text:
+                    continue
+                for request in {number for _, numbers in search.iter(text) for number in numbers}:
+                    if levels[request] is not None and levels[request] != level:
+                        continue
+                    if expressions[request] is None or expressions[request].fullmatch(text):
+                        found.add(request, key)
+        pairs = list(found)
+        for start in range(0, len(pairs), 10_000):
+            part = pairs[start : start + 10_000]
+            requests, keys = [request for request, _ in part], [key for _, key in part]
+            times = pa.array([None if time == last else time for time, _, _ in keys], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([name for _, _, name in keys], pa.int64()),
+                    pa.array([line for _, line, _ in keys], pa.int64()),
+                    times.cast(kind),
+                    names.take(pa.array(requests, pa.int64())),
+                    pa.array([most[request] for request in requests], pa.int32()),
+                ],
+                names=schema.names,
+            )
+
+    return prepared.mapInArrow(find, schema)
 
 
 def _automaton(words: list[str]):
@@ -196,34 +256,3 @@ def _automaton(words: list[str]):
         search.add_word(word, its_numbers)
     search.make_automaton()
     return search
-
-
-def _hits(search, texts: pa.Array) -> tuple[list[int], list[int]]:
-    """Pairs of line and request numbers, each pair once."""
-    lines: list[int] = []
-    requests: list[int] = []
-    for line, text in enumerate(texts.to_pylist()):
-        if text:
-            found = {number for _, numbers in search.iter(text) for number in numbers}
-            lines.extend([line] * len(found))
-            requests.extend(found)
-    return lines, requests
-
-
-def _needle(pattern: Column) -> Column:
-    """The plain text of a pattern without inner wildcards, NULL for any other: nothing to compile."""
-    inner = F.substr(pattern, F.lit(2), F.length(pattern) - 2)
-    unescaped = F.regexp_replace(inner, r"(?s)\\.", "")
-    # A backslash left over escapes the closing wildcard, which makes it part of the text.
-    plain = ~unescaped.rlike("[%_]") & ~unescaped.contains("\\")
-    return F.when(plain, F.regexp_replace(inner, r"(?s)\\(.)", "$1"))
-
-
-def _broadcast_pass(asked: DataFrame, prepared: DataFrame) -> DataFrame:
-    """Every line against every pattern of a block; nothing but matches leaves the pass."""
-    named = asked.withColumnRenamed("level", "asked_level").withColumn("needle", _needle(F.col("pattern")))
-    found = F.expr(
-        "(asked_level IS NULL OR asked_level = level)"
-        " AND CASE WHEN needle IS NULL THEN _lower LIKE pattern ELSE contains(_lower, needle) END"
-    )
-    return prepared.join(F.broadcast(named), found)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +43,46 @@ def tidy_requests(requests: DataFrame, default_top_k: int = DEFAULT_TOP_K) -> Da
     )
 
 
+def accepted_requests(
+    requests: DataFrame, key: str = "query_id", levels: Sequence[str] | None = None
+) -> tuple[DataFrame, int]:
+    """Tidy requests, repeated ones once, and the largest ``top_k`` among them.
+
+    Refuses the whole table, with an error, if a ``top_k`` is below 1, if one key stands for different
+    requests or, given ``levels``, if a level is none of them. One aggregate finds all of this.
+    """
+    requests = requests.dropDuplicates()
+    level = F.col("level") if levels is not None else F.lit(None).cast("string")
+    found = (
+        requests.groupBy(key)
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.min("top_k").alias("least"),
+            F.max("top_k").alias("most"),
+            F.max(~level.isin(*(levels or [""]))).alias("odd"),
+        )
+        .agg(
+            F.count_if(F.col("rows") > 1).alias("conflicts"),
+            F.count_if(F.col("least") < 1).alias("numbers"),
+            F.count_if("odd").alias("levels"),
+            F.max("most").alias("most"),
+        )
+        .first()
+    )
+    faults = [
+        f"{count} {what}"
+        for count, what in (
+            (found.conflicts, f"values of {key} with different requests"),
+            (found.numbers, "requests with top_k below 1"),
+            (found.levels, "requests with an unknown level"),
+        )
+        if count
+    ]
+    if faults:
+        raise ValueError("; ".join(faults))
+    return requests, found.most or 1
+
+
 def request_faults() -> Column:
     """Why a request is refused, NULL when it is fine."""
     return F.coalesce(

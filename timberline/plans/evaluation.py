@@ -113,6 +113,7 @@ def model_results(
     for encoder in encoders:
         queries = encoder.encode(requests.select("query_id", "text"), "text").drop("text")
         items = encoder.encode(candidates.select("normalized_message"), "normalized_message")
+        measured = items.agg(F.max(F.size("embedding"))).first()[0]
         found = nearest(queries, items, "normalized_message", top_k)
         results.append(
             # One message may be among the best of most requests.
@@ -126,6 +127,7 @@ def model_results(
                 "occurrences",
                 score(F.col("similarity")).alias("similarity"),
                 "candidate_count",
+                F.lit(measured).cast("int").alias("dimension"),
             )
         )
     return reduce(DataFrame.unionByName, results)
@@ -147,13 +149,13 @@ def compare_encoders(
     candidates = settled(comparison_candidates(logs, top_k, level, candidate_limit), "candidates")
     results = model_results(requests, candidates, encoders, top_k)
     asked = [
-        requests.select(
-            F.lit(encoder.name).alias("model"), F.lit(encoder.dimension).alias("_size"), "query_id"
-        )
+        requests.select(F.lit(encoder.name).alias("model"), "query_id")
         for encoder in encoders
     ]
     pairs = reduce(DataFrame.unionByName, asked)
-    counted = results.groupBy("model").agg(F.max("candidate_count").alias("_candidates"))
+    counted = results.groupBy("model").agg(
+        F.max("candidate_count").alias("_candidates"), F.max("dimension").alias("dimension")
+    )
     return (
         top_k_quality(results, pairs, ("model", "query_id"))
         .join(pairs, ["model", "query_id"])
@@ -161,8 +163,8 @@ def compare_encoders(
         .select(
             "model",
             "query_id",
-            # Without candidates nothing was encoded, so there is no vector to measure.
-            F.when(F.col("_candidates") > 0, F.col("_size")).alias("dimension"),
+            # Measured on the vectors; without candidates there is none.
+            "dimension",
             F.coalesce("_candidates", F.lit(0).cast("bigint")).alias("candidate_count"),
             *QUALITY_COLUMNS,
         )

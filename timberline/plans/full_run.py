@@ -17,12 +17,11 @@ from timberline.plans.load import load
 from timberline.plans.prepare import prepare
 from timberline.plans.storage import FAILED, SUCCESS
 from timberline.plans.vectorise import vectorise
-from timberline.session import shared_folder
+from timberline.session import released_folders, shared_folder
 from timberline.sinks.tables import append_run
-from timberline.sources.tables import RUN_LOG, Tables
+from timberline.sources.tables import INDEX, RUN_LOG, Tables
 
 T = TypeVar("T")
-INDEX = "message_index"
 
 
 @dataclass(frozen=True)
@@ -45,7 +44,23 @@ def run_all(
     year: int = LOG_YEAR,
     command: str = "run-all",
 ) -> dict:
-    """Rebuild all tables below ``target``; a record is kept of success and of failure."""
+    """Rebuild all tables below ``target``; a record is kept of success and of failure.
+
+    Intermediate tables are removed when the run ends.
+    """
+    with released_folders(spark):
+        return _run_steps(spark, inputs, target, encoder, limit, year, command)
+
+
+def _run_steps(
+    spark: SparkSession,
+    inputs: Inputs,
+    target: str,
+    encoder: Encoder,
+    limit: int | None,
+    year: int,
+    command: str,
+) -> dict:
     tables = Tables(spark, target)
     started_at, start = _now(), perf_counter()
     timings: dict[str, float] = {}

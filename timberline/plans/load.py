@@ -69,25 +69,30 @@ def require(report: DataFrame) -> None:
 
 def create_empty(target: Tables) -> None:
     """Replace all stored tables, run log included, by empty ones."""
+    fresh = target.fresh()
     for name, schema in SCHEMAS.items():
         by = ("level",) if name == LOGS else ()
-        write_parquet(target.spark.createDataFrame([], schema), target.path(name), OVERWRITE, by)
+        write_parquet(target.spark.createDataFrame([], schema), fresh.path(name), OVERWRITE, by)
+    target.switch_to(fresh)
 
 
 def load(logs: DataFrame, templates: DataFrame, target: Tables, reset: bool = True) -> Loaded:
     """Check the contracts, then write. ``reset`` replaces both tables and empties the vectors.
 
-    Without ``reset`` the rows are added, and keys that are already stored are refused.
+    A reset writes a new version of all tables and shows it at the end, in one step; if anything
+    fails, readers still have the old tables. Without ``reset`` the rows are added, and keys that are
+    already stored are refused.
     """
     logs = contracts.with_log_defaults(logs).drop("id", "inserted_at")
     templates = contracts.with_template_defaults(templates)
-    if reset:
-        require(contract_report(logs, templates))
-        mode = OVERWRITE
-        write_parquet(target.spark.createDataFrame([], MESSAGE_VECTORS), target.path(VECTORS))
-    else:
+    if not reset:
         require(contract_report(logs, templates, target.logs(), target.templates()))
-        mode = APPEND
-    template_rows = write_parquet(templates, target.path(TEMPLATES), mode)
-    log_rows = write_logs(logs, target.path(LOGS), mode)
+        template_rows = write_parquet(templates, target.path(TEMPLATES), APPEND)
+        return Loaded(write_logs(logs, target.path(LOGS), APPEND), template_rows)
+    require(contract_report(logs, templates))
+    fresh = target.fresh()
+    write_parquet(target.spark.createDataFrame([], MESSAGE_VECTORS), fresh.path(VECTORS))
+    template_rows = write_parquet(templates, fresh.path(TEMPLATES))
+    log_rows = write_logs(logs, fresh.path(LOGS))
+    target.switch_to(fresh)
     return Loaded(log_rows, template_rows)

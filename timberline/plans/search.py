@@ -6,18 +6,18 @@ the row ``id`` next to the stored columns (``sources.tables.with_row_id``).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from timberline.fixed_values import (
     DEFAULT_TOP_K,
     EVENT_SEARCH_TOP_K,
+    LEVELS,
     MAX_EVENTS,
-    MAX_TOP_K,
     MIN_CANDIDATES,
     RESULT_COLUMNS,
 )
@@ -26,7 +26,7 @@ from timberline.operators.encoders import Encoder
 from timberline.operators.keyword import keyword_matches
 from timberline.operators.lsh import PLANES, PROBES, SEED, approximate_nearest
 from timberline.operators.ranking import in_time_order, top_per_group
-from timberline.operators.requests import small_table, tidy_requests
+from timberline.operators.requests import accepted_requests, small_table, tidy_requests
 from timberline.operators.rollups import levels_per_message
 from timberline.operators.spread import spread_join
 from timberline.operators.vectors import MAX_SHARED_QUERIES, nearest
@@ -40,12 +40,24 @@ MAX_LISTED_SEEDS = 1000
 
 
 def keyword_search(
-    requests: DataFrame, logs: DataFrame, default_top_k: int = DEFAULT_TOP_K, literal: bool = False
+    requests: DataFrame,
+    logs: DataFrame,
+    default_top_k: int = DEFAULT_TOP_K,
+    literal: bool = False,
+    levels: Sequence[str] | None = LEVELS,
 ) -> DataFrame:
-    """Per request the earliest lines whose message holds the text: result columns and ``rank``."""
-    matches = keyword_matches(tidy_requests(requests, default_top_k), logs, literal)
-    ranked = top_per_group(matches, ["query_id"], in_time_order(), MAX_TOP_K)
-    return ranked.where("rank <= top_k").select("query_id", *RESULT_COLUMNS, "rank")
+    """Per request the earliest lines whose message holds the text: result columns and ``rank``.
+
+    Only keys of lines are matched and ranked, and a task hands on no more of them than a request
+    asks for; the lines themselves are fetched for the ranked keys. ``levels`` are the levels that a
+    request may name, None for any.
+    """
+    asked = tidy_requests(requests, default_top_k).select("query_id", "text", "level", "top_k")
+    asked, largest = accepted_requests(asked, levels=levels)
+    matches = keyword_matches(asked, logs, literal, first_only=True)
+    ranked = top_per_group(matches, ["query_id"], in_time_order(), largest).where("rank <= top_k")
+    lines = logs.select(*RESULT_COLUMNS)
+    return ranked.select("query_id", "id", "rank").join(lines, "id").select("query_id", *RESULT_COLUMNS, "rank")
 
 
 @dataclass(frozen=True)
@@ -64,23 +76,33 @@ def semantic_search(
     encoder: Encoder,
     default_top_k: int = DEFAULT_TOP_K,
     index: Index | None = None,
+    levels: Sequence[str] | None = LEVELS,
 ) -> DataFrame:
     """Per request the lines whose message is closest in meaning to the text.
 
-    With ``index`` the ``vectors`` are a table written by ``lsh.write_index`` and the search is
+    ``levels`` are the levels that a request may name, None for any. With ``index`` the ``vectors`` are a table written by ``lsh.write_index`` and the search is
     approximate; without it, exact.
     """
-    asked = encoder.encode(tidy_requests(requests, default_top_k), "text").drop("text")
-    return vector_search(asked, logs, vectors, index)
+    asked = tidy_requests(requests, default_top_k).select("query_id", "text", "level", "top_k")
+    asked, largest = accepted_requests(asked, levels=levels)
+    return _nearest_lines(encoder.encode(asked, "text").drop("text"), largest, logs, vectors, index)
 
 
 def vector_search(
     asked: DataFrame, logs: DataFrame, vectors: DataFrame, index: Index | None = None
 ) -> DataFrame:
-    """As ``semantic_search`` for ready vectors: ``query_id, embedding, level, top_k``.
+    """As ``semantic_search`` for ready vectors: ``query_id, embedding, level, top_k``, any levels."""
+    asked, largest = accepted_requests(asked.select("query_id", "embedding", "level", "top_k"))
+    return _nearest_lines(asked, largest, logs, vectors, index)
+
 
-    Two stages: the best messages per request, then their lines. A level counts in both, so that
-    messages without a line at that level do not use up places.
+def _nearest_lines(
+    asked: DataFrame, limit: int, logs: DataFrame, vectors: DataFrame, index: Index | None
+) -> DataFrame:
+    """Two stages: the best messages per request, then their lines.
+
+    A level counts in both, so that messages without a line at that level do not use up places.
+    ``limit`` is the largest number of lines that a request asks for.
     """
     rows = small_table(asked, MAX_SHARED_QUERIES)
     # Either way the encoder has run once, and what follows starts from its result.
@@ -105,7 +127,6 @@ def vector_search(
         items = items.join(scopes, "normalized_message", "inner" if every else "left").withColumn(
             "scopes", F.coalesce("scopes", F.array().cast("array<string>"))
         )
-    limit = _largest(rows)
     places = max(limit, MIN_CANDIDATES)
     if index is None:
         matches = nearest(queries, items, "normalized_message", places)
@@ -124,11 +145,6 @@ def vector_search(
     )
 
 
-def _largest(rows: pa.Table | None) -> int:
-    """The most results any request asks for; the upper end of the domain when not known."""
-    return MAX_TOP_K if rows is None else pc.max(rows["top_k"]).as_py() or MAX_TOP_K
-
-
 def _lines_of(
     wanted: DataFrame, logs: DataFrame, limit: int, rows: pa.Table | None, skip: str | None = None
 ) -> DataFrame:
@@ -150,6 +166,10 @@ def _lines_of(
             .join(F.broadcast(hashes), "_hash", "left_semi")
             .drop("_hash")
         )
+    else:
+        # Lines of messages that nothing asks for are left out before any are ranked.
+        matched = wanted.select("normalized_message").distinct()
+        lines = lines.join(matched, "normalized_message", "left_semi")
     first = top_per_group(
         lines, ["normalized_message", "level"], in_time_order(), per_message, rank="_place"
     ).drop("_place")
@@ -158,8 +178,6 @@ def _lines_of(
         found = asked.join(first, "normalized_message")
     else:
         # Most of many requests may match one message.
-        matched = wanted.select("normalized_message").distinct()
-        first = first.join(matched, "normalized_message", "left_semi")
         found = spread_join(asked, first, ["normalized_message"], "query_id")
     found = found.where("_level IS NULL OR _level = level")
     if skip is not None:
@@ -174,12 +192,13 @@ def similar_logs(
     """Per seed (``seed_id``, optionally ``top_k``) the lines closest to that line.
 
     The seed itself is left out, other lines with its message are not. A seed that does not exist
-    or has no vector gives no rows. Neighbours are looked up once per distinct seed message.
+    or has no vector gives no rows; a seed that repeats counts once. Neighbours are looked up once per
+    distinct seed message.
     """
     top_k = F.col("top_k") if "top_k" in seeds.columns else F.lit(None).cast("int")
-    seeds = seeds.select("seed_id", F.coalesce(top_k, F.lit(default_top_k)).alias("top_k"))
+    seeds = seeds.select("seed_id", F.coalesce(top_k, F.lit(default_top_k)).cast("int").alias("top_k"))
+    seeds, limit = accepted_requests(seeds, "seed_id")
     rows = small_table(seeds, MAX_SHARED_SEEDS)
-    limit = _largest(rows)
     places = max(limit, MIN_CANDIDATES)
 
     looked_up = logs.select(F.col("id").alias("seed_id"), F.col("normalized_message").alias("_message"))
@@ -219,10 +238,11 @@ def compare_search(
     vectors: DataFrame,
     encoder: Encoder,
     default_top_k: int = DEFAULT_TOP_K,
+    levels: Sequence[str] | None = LEVELS,
 ) -> DataFrame:
     """Both searches side by side; ``method`` tells them apart."""
-    by_meaning = semantic_search(requests, logs, vectors, encoder, default_top_k)
-    by_keyword = keyword_search(requests, logs, default_top_k)
+    by_meaning = semantic_search(requests, logs, vectors, encoder, default_top_k, levels=levels)
+    by_keyword = keyword_search(requests, logs, default_top_k, levels=levels)
     return by_meaning.withColumn("method", F.lit("semantic")).unionByName(
         by_keyword.withColumn("method", F.lit("keyword")), allowMissingColumns=True
     )

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from timberline.functions.labels import run_timings
 from timberline.plans.analytics import table_statistics
-from timberline.sources.tables import LOGS, VECTORS, Tables, file_sizes
+from timberline.session import folder_exists
+from timberline.sources.tables import INDEX, LOGS, RUN_LOG, TEMPLATES, VECTORS, Tables, file_sizes
 
 SUCCESS, FAILED = "SUCCESS", "FAILED"
 
@@ -52,15 +53,18 @@ def table_sizes(spark: SparkSession, folders: dict[str, str]) -> DataFrame:
 
 
 def storage_report(tables: Tables) -> DataFrame:
-    """One row: table statistics, bytes per table and the latest successful run."""
+    """One row: table statistics, bytes per table, of the index and in all, and the latest successful run.
+
+    The total is that of all current tables, templates and run log included.
+    """
     spark = tables.spark
-    sizes = table_sizes(
-        spark, {"log_entries_bytes": tables.path(LOGS), "message_embeddings_bytes": tables.path(VECTORS)}
-    )
+    names = {name: f"{name}_bytes" for name in (LOGS, VECTORS, INDEX, TEMPLATES, RUN_LOG)}
+    present = {label: tables.path(name) for name, label in names.items() if folder_exists(spark, tables.path(name))}
+    sizes = table_sizes(spark, present)
     by_name = sizes.agg(
         *[
-            F.max(F.when(F.col("table") == name, F.col("bytes"))).alias(name)
-            for name in ("log_entries_bytes", "message_embeddings_bytes")
+            F.coalesce(F.max(F.when(F.col("table") == names[name], F.col("bytes"))), F.lit(0)).alias(names[name])
+            for name in (LOGS, VECTORS, INDEX)
         ],
         F.sum("bytes").alias("total_bytes"),
     )

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from timberline.operators.encoders import Encoder
+from timberline.operators.lsh import write_index
 from timberline.operators.rollups import by_frequency, distinct_messages, messages_without_vector
 from timberline.operators.upsert import upsert
-from timberline.sinks.tables import APPEND, write_parquet
-from timberline.sources.tables import VECTORS, Tables
+from timberline.plans.load import ContractViolation, require, vector_contract_report
+from timberline.session import folder_exists, released_folders, settled
+from timberline.sinks.tables import APPEND, write_logs, write_parquet
+from timberline.sources.tables import INDEX, LOGS, TEMPLATES, VECTORS, Tables
 
 VECTOR_COLUMNS = (
     "normalized_message",
@@ -69,13 +72,45 @@ def merged_vectors(vectors: DataFrame, changes: DataFrame) -> DataFrame:
     return upsert(vectors, changes, "normalized_message", "updated_at")
 
 
+def stored_dimension(vectors: DataFrame) -> int | None:
+    """The length of the stored vectors, None for an empty table."""
+    row = vectors.select(F.size("embedding").alias("size")).take(1)
+    return row[0]["size"] if row else None
+
+
 def vectorise(tables: Tables, encoder: Encoder, limit: int | None = None) -> Vectorised:
-    """Encode what is missing and add it to the stored vector table."""
-    totals = Observation()
-    rows = new_vectors(tables.logs(), tables.vectors(), encoder, limit).observe(
-        totals,
-        F.count(F.lit(1)).alias("distinct_texts"),
-        F.coalesce(F.sum("occurrences"), F.lit(0)).alias("covered_logs"),
-    )
-    write_parquet(rows, tables.path(VECTORS), APPEND)
-    return Vectorised(**totals.get)
+    """Encode what is missing and add it to the stored vector table, and to its index if there is one.
+
+    Vectors of another length than the stored ones are refused before anything is written.
+    """
+    stored = stored_dimension(tables.vectors())
+    if stored is not None and stored != encoder.dimension:
+        raise ContractViolation(f"stored vectors have {stored} elements, the encoder gives {encoder.dimension}")
+    with released_folders(tables.spark):
+        rows = settled(new_vectors(tables.logs(), tables.vectors(), encoder, limit), "new-vectors")
+        require(vector_contract_report(rows, encoder.dimension))
+        totals = encoding_totals(rows).first()
+        if folder_exists(tables.spark, tables.path(INDEX)):
+            write_index(rows, tables.path(INDEX), mode=APPEND)
+        write_parquet(rows, tables.path(VECTORS), APPEND)
+    return Vectorised(totals.distinct_texts, totals.covered_logs)
+
+
+def refresh_vectors(tables: Tables, changes: DataFrame, encoder: Encoder) -> int:
+    """Store changed vectors: insert new messages, replace stored ones, count lines anew; returns rows.
+
+    ``changes`` has the columns of the vector table. The merged table passes the vector contract, and
+    is written with its index as part of a new version; logs and templates are carried over into it.
+    """
+    merged = refreshed_counts(tables.logs(), merged_vectors(tables.vectors(), changes))
+    with released_folders(tables.spark):
+        merged = settled(merged, "merged-vectors")
+        require(vector_contract_report(merged, encoder.dimension))
+        fresh = tables.fresh()
+        write_parquet(tables.read(TEMPLATES), fresh.path(TEMPLATES))
+        write_logs(tables.read(LOGS), fresh.path(LOGS))
+        rows = write_parquet(merged, fresh.path(VECTORS))
+        if folder_exists(tables.spark, tables.path(INDEX)):
+            write_index(merged, fresh.path(INDEX))
+        tables.switch_to(fresh)
+    return rows

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 import tempfile
 import uuid
 
@@ -9,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 _local_roots: dict[str, str] = {}
+_scopes: list[list[str]] = []
 
 
 def local_session(cores: int | str = "*", app_name: str = "timberline") -> SparkSession:
@@ -32,15 +35,76 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     The folder must be reachable from every executor, so a machine-local one is used only when
     Spark itself runs on one machine and the cluster setting is absent.
     """
+    root = _root(spark)
+    path = f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    for scope in _scopes:
+        scope.append(path)
+    return path
+
+
+def _root(spark: SparkSession) -> str:
     root = spark.conf.get(CHECKPOINT_SETTING, None)
     if not root:
         context = spark.sparkContext
         if not context.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors can reach")
-        root = _local_roots.setdefault(
-            context.applicationId, tempfile.mkdtemp(prefix="timberline-")
-        )
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+        if context.applicationId not in _local_roots:
+            _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="timberline-")
+        root = _local_roots[context.applicationId]
+    return root
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    _file_system(spark, path).delete(_hadoop_path(spark, path), True)
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    return _hadoop_path(spark, path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+@contextmanager
+def released_folders(spark: SparkSession) -> Iterator[None]:
+    """Removes at its end every shared folder named inside; for jobs whose results lie elsewhere."""
+    scope: list[str] = []
+    _scopes.append(scope)
+    try:
+        yield
+    finally:
+        _scopes.remove(scope)
+        for path in scope:
+            remove_folder(spark, path)
+
+
+def read_small_text(spark: SparkSession, path: str) -> str | None:
+    """The content of a small text file, or None where there is none."""
+    system, place = _file_system(spark, path), _hadoop_path(spark, path)
+    if not system.exists(place):
+        return None
+    stream = system.open(place)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def replace_small_text(spark: SparkSession, path: str, content: str) -> None:
+    """Writes a small text file next to its place and moves it there in one step."""
+    system, place = _file_system(spark, path), _hadoop_path(spark, path)
+    fresh = _hadoop_path(spark, f"{path}.{uuid.uuid4().hex}")
+    stream = system.create(fresh, True)
+    stream.write(content.encode())
+    stream.close()
+    options = spark.sparkContext._jvm.org.apache.hadoop.fs.Options.Rename
+    overwrite = spark.sparkContext._gateway.new_array(options, 1)
+    overwrite[0] = options.OVERWRITE
+    context = spark.sparkContext._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        system.getUri(), spark.sparkContext._jsc.hadoopConfiguration()
+    )
+    context.rename(system.makeQualified(fresh), system.makeQualified(place), overwrite)
 
 
 def settled(table: DataFrame, purpose: str) -> DataFrame:
@@ -48,3 +112,14 @@ def settled(table: DataFrame, purpose: str) -> DataFrame:
     path = shared_folder(table.sparkSession, purpose)
     table.write.parquet(path)
     return table.sparkSession.read.schema(table.schema).parquet(path)
+
+
+def version_folders(spark: SparkSession, root: str) -> list[str]:
+    """The names of the version folders below a root."""
+    system, place = _file_system(spark, root), _hadoop_path(spark, root)
+    names = [status.getPath().getName() for status in system.listStatus(place)] if system.exists(place) else []
+    return [name for name in names if name.startswith("version-")]
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    return _file_system(spark, path).exists(_hadoop_path(spark, path))

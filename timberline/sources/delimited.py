@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -9,14 +12,38 @@ from pyspark.sql.types import StructType
 from timberline.schemas import STRUCTURED_CSV, TEMPLATES_CSV
 from timberline.sources.tables import file_sizes
 
-# Quotes inside a field are doubled, the usual CSV rule; Spark's own default is a backslash.
-CSV_FORMAT = {"header": "true", "escape": '"'}
+# Quotes inside a field are doubled, the usual CSV rule; Spark's own default is a backslash. White
+# space belongs to its field; the writer would trim it by default.
+CSV_FORMAT = {
+    "header": "true",
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+MAX_HEADERS = 1000
 
 
 def _read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    # Files may hold more columns than needed, in any order: a fixed schema would bind by position,
-    # so the columns are found by header name, all as text, and the rest is pruned from the scan.
-    return spark.read.options(**CSV_FORMAT).csv(path).select(*schema.fieldNames())
+    """The named columns of all files, each found by the header of its own file.
+
+    Spark binds the columns of all files by the header of one, so files are read in groups of one
+    header. A file without one of the columns is an error.
+    """
+    first_lines = (
+        spark.read.text(path)
+        .where("_metadata.file_block_start = 0")
+        .select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"), "value")
+        .groupBy("file")
+        .agg(F.min_by("value", "at").alias("header"))
+    )
+    headers = first_lines.groupBy("header").agg(F.collect_list("file").alias("files")).take(MAX_HEADERS)
+    if len(headers) <= 1:
+        return spark.read.options(**CSV_FORMAT).csv(path).select(*schema.fieldNames())
+    groups = [
+        spark.read.options(**CSV_FORMAT).csv([unquote(name) for name in row["files"]]).select(*schema.fieldNames())
+        for row in headers
+    ]
+    return reduce(DataFrame.unionByName, groups)
 
 
 def structured_lines(spark: SparkSession, path: str) -> DataFrame:

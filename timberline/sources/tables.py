@@ -2,26 +2,55 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from timberline.session import read_small_text, remove_folder, replace_small_text, version_folders
 from timberline.schemas import EVENT_TEMPLATES, LOG_ENTRIES, MESSAGE_VECTORS, RUNS
 
 LOGS, TEMPLATES, VECTORS, RUN_LOG = "log_entries", "event_templates", "message_embeddings", "pipeline_runs"
 SCHEMAS = {LOGS: LOG_ENTRIES, TEMPLATES: EVENT_TEMPLATES, VECTORS: MESSAGE_VECTORS, RUN_LOG: RUNS}
 
 
+INDEX = "message_index"
+VERSIONED = (LOGS, TEMPLATES, VECTORS, INDEX)
+CURRENT = "current_version"
+
+
 @dataclass(frozen=True)
 class Tables:
-    """Names the folders of the stored tables and reads them with their fixed schema."""
+    """Names the folders of the stored tables and reads them with their fixed schema.
+
+    Tables that a reload replaces together lie in one version folder, and a small file names the
+    version that readers see. Without that file they lie in the root.
+    """
 
     spark: SparkSession
     root: str
+    version: str | None = None
 
     def path(self, name: str) -> str:
-        return f"{self.root.rstrip('/')}/{name}"
+        version = (self.version or self.current()) if name in VERSIONED else None
+        return "/".join(part for part in (self.root.rstrip("/"), version, name) if part)
+
+    def current(self) -> str | None:
+        """The version that readers see; None before the first reload."""
+        return read_small_text(self.spark, f"{self.root.rstrip('/')}/{CURRENT}")
+
+    def fresh(self) -> Tables:
+        """The same tables in a new version, which no reader sees yet."""
+        return replace(self, version=f"version-{uuid.uuid4().hex}")
+
+    def switch_to(self, fresh: Tables) -> None:
+        """Shows readers another version, in one step. The version before stays for those who read it."""
+        before = self.current()
+        replace_small_text(self.spark, f"{self.root.rstrip('/')}/{CURRENT}", fresh.version)
+        for name in version_folders(self.spark, self.root):
+            if name not in (before, fresh.version):
+                remove_folder(self.spark, f"{self.root.rstrip('/')}/{name}")
 
     def read(self, name: str) -> DataFrame:
         return self.spark.read.schema(SCHEMAS[name]).parquet(self.path(name))
