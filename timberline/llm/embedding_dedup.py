@@ -111,8 +111,21 @@ def _exact_cosine(left: np.ndarray, right: np.ndarray) -> float:
     return math.fsum((left * right).tolist())
 
 
+def _joined(label: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Labels after the ends of all links got one label, the least of what they are connected to."""
+    while True:
+        left, right = label[x], label[y]
+        if (left == right).all():
+            return label
+        least = np.minimum(left, right)
+        np.minimum.at(label, left, least)
+        np.minimum.at(label, right, least)
+        while (label[label] != label).any():
+            label = label[label]
+
+
 def _compare(rule: Tiling):
-    """Counts of links and a spanning forest of them for one cell of the grid."""
+    """Counts of links for one cell of the grid, and with whom a vector is connected in it."""
 
     def compare(cell: pd.DataFrame) -> pd.DataFrame:
         cell = cell.sort_values(["side", "tile", "class"], kind="stable")
@@ -124,18 +137,10 @@ def _compare(rule: Tiling):
         head, tail = points[:, :leading], points[:, leading:]
         rest = np.sqrt((tail**2).sum(axis=1))
         links = np.zeros(len(points), np.int64)
-        parent = np.arange(len(points))
-
-        def root(at: int) -> int:
-            while parent[at] != at:
-                parent[at] = parent[parent[at]]
-                at = parent[at]
-            return at
-
+        label = np.arange(len(points))
         edges = np.flatnonzero(np.concatenate([[True], (tile[1:] != tile[:-1]) | (side[1:] != side[:-1]), [True]]))
         tiles = list(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True))
         one_side = side.min() == side.max()
-        forest = []
         for p, (a, b) in enumerate(tiles):
             for q, (c, d) in enumerate(tiles):
                 if (q < p) if one_side else (side[a] != side.min() or side[c] == side.min()):
@@ -163,19 +168,14 @@ def _compare(rule: Tiling):
                 x, y = x[linked] + a, y[linked] + c
                 links += np.bincount(x, copies[y], len(points)).astype(np.int64)
                 links += np.bincount(y, copies[x], len(points)).astype(np.int64)
-                for u, v in zip(x.tolist(), y.tolist(), strict=True):
-                    ru, rv = root(u), root(v)
-                    if ru != rv:
-                        parent[ru] = rv
-                        forest.append((u, v))
+                label = _joined(label, x, y)
+        bound = np.flatnonzero(label != np.arange(len(points)))
         some = np.flatnonzero(links)
-        left = [u for u, _ in forest]
-        right = [v for _, v in forest]
         return pd.DataFrame(
             {
-                "a": np.concatenate([names[some], names[left]]) if len(some) else [],
-                "b": [None] * len(some) + list(names[right]) if len(some) else [],
-                "links": np.concatenate([links[some], np.zeros(len(left), np.int64)]) if len(some) else [],
+                "a": [*names[some], *names[bound]],
+                "b": [*[None] * len(some), *names[label[bound]]],
+                "links": np.concatenate([links[some], np.zeros(len(bound), np.int64)]),
             }
         )
 
@@ -192,7 +192,7 @@ def linked_vectors(
     axes of the whole table, ordered along the first, and cut into tiles; tiles are dealt into groups,
     and each pair of groups is a task that compares their tiles. The leading components are multiplied
     first, and a pair goes on only if they and the product of the norms of the rest can reach the
-    threshold. A task returns counts and a spanning forest of its links, never the links.
+    threshold. A task returns counts and one connection per vector, never the links.
 
     Vectors that are null, empty, zero or hold null or non-finite components link with nothing; neither
     do vectors of different lengths. A vector without links is its own component. Rows that share an

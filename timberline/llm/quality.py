@@ -61,6 +61,7 @@ class Scorer:
     sample_bytes: int = 24_000_000
     rounds: int = 50
     chunk_bytes: int = 4_000_000
+    chunk_rows: int = 2000
 
 
 def _share(part: np.ndarray, whole: np.ndarray) -> np.ndarray:
@@ -160,7 +161,7 @@ def features(data: np.ndarray, offsets: np.ndarray, table: dict[str, np.ndarray]
 def _counter(rule: Scorer):
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(3 ** len(rule.labellers), np.int64)
-        for chunk in chunks(batches, "_text", rule.chunk_bytes):
+        for chunk in chunks(batches, "_text", rule.chunk_bytes, rule.chunk_rows):
             found = patterns(statistics(*text_buffers(chunk.column("_text"))), rule.labellers)
             sums += np.bincount(found, minlength=len(sums))
         some = np.flatnonzero(sums)
@@ -203,7 +204,7 @@ def estimated(counts: dict[int, int], labellers: int, rounds: int) -> tuple[np.n
 def _trainer(rule: Scorer, posterior: np.ndarray):
     def fit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, labels, used = [], [], 0
-        for chunk in chunks(batches, "_text", rule.chunk_bytes):
+        for chunk in chunks(batches, "_text", rule.chunk_bytes, rule.chunk_rows):
             if used >= rule.sample_bytes:
                 continue
             data, offsets = text_buffers(chunk.column("_text"))
@@ -272,7 +273,7 @@ def quality_scores(
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         posterior, weights = model.value
-        for chunk in chunks(batches, "_text", rule.chunk_bytes):
+        for chunk in chunks(batches, "_text", rule.chunk_bytes, rule.chunk_rows):
             data, offsets = text_buffers(chunk.column("_text"))
             table = statistics(data, offsets)
             values = features(data, offsets, table, rule.buckets) @ weights[:-1] + weights[-1]

@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 CHUNK_BYTES = 8_000_000
+CHUNK_ROWS = 100_000
 _BLOCK = 1 << 18
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
@@ -36,28 +37,32 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def chunks(
-    batches: Iterable[pa.RecordBatch], text: str, limit: int = CHUNK_BYTES
+    batches: Iterable[pa.RecordBatch], text: str, limit: int = CHUNK_BYTES, most_rows: int = CHUNK_ROWS
 ) -> Iterator[pa.RecordBatch]:
-    """The rows again, cut so that a piece holds about ``limit`` bytes of text, or one row."""
+    """The rows again, cut so that a piece holds about ``limit`` bytes of text, or one row.
+
+    Very short texts fill a piece by their number, ``most_rows``.
+    """
     held: list[pa.RecordBatch] = []
-    size = 0
+    size = rows = 0
     for batch in batches:
         _, offsets = text_buffers(batch.column(text))
         begin = 0
         while begin < batch.num_rows:
             room = offsets[begin] + max(0, limit - size)
-            end = int(np.searchsorted(offsets, room, "right")) - 1
+            end = min(int(np.searchsorted(offsets, room, "right")) - 1, begin + most_rows - rows)
             if end <= begin and held:
                 yield _joined(held)
-                held, size = [], 0
+                held, size, rows = [], 0, 0
                 continue
             end = max(end, begin + 1)
             held.append(batch.slice(begin, end - begin))
             size += int(offsets[end] - offsets[begin])
+            rows += end - begin
             begin = end
             if size >= limit:
                 yield _joined(held)
-                held, size = [], 0
+                held, size, rows = [], 0, 0
     if held:
         yield _joined(held)
 
