@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,9 +26,10 @@ class Nearness:
     listed_values: int = 16
     longest_list: int = 40
     least_rare: int = 8
-    hot_lists: int = 6
+    hot_lists: int = 5
     deviations: float = 4.0
-    block: int = 256
+    block_classes: int = 2500
+    block_shingles: int = 1_200_000
 
     @property
     def least_estimate(self) -> float:
@@ -96,7 +97,11 @@ def _fits(near: Nearness) -> Column:
 
 
 def near_components(
-    docs: DataFrame, identifier: str = "doc_id", text: str = "text", near: Nearness = Nearness()
+    docs: DataFrame,
+    identifier: str = "doc_id",
+    text: str = "text",
+    near: Nearness = Nearness(),
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """One row per row of ``docs``: identifier, n_shingles, component_id, kept.
 
@@ -113,23 +118,29 @@ def near_components(
 
     Lists longer than ``longest_list`` are never expanded into pairs. A class that keeps
     ``least_rare`` values in shorter lists is found through those. The others, whose text is mostly
-    shared by many, first compare with a few centres of their long lists; then, in each long list
-    that still holds several components, every class outside its largest component is compared with
-    all others, in blocks. Full sets of a candidate are compared only while its ends are in different
-    components, which changes no component.
+    shared by many, are compared on their full sets inside their long lists, in pairs of bounded
+    blocks that return who is connected, never the pairs: first among the classes with the same
+    smallest long list, then in each other long list that still holds several components, where
+    classes that met before form one side and need not meet again. Candidates from short lists are
+    compared only while their ends are in different components, which changes no component.
 
     Null and empty texts, or texts without words, have an empty set and link with nothing. Null
     identifiers count as larger than all others; a component of nulls only has component_id null and
     kept true. Rows that agree in identifier are one another's component only if their sets link.
-    Rows repeated in full share their result. An empty table gives an empty one. Other columns are
-    ignored, whatever their names.
+    Rows repeated in full share their result. An empty table gives an empty one. Of other columns those
+    in ``keep`` are passed on; the rest are ignored, whatever their names.
     """
-    base = docs.select(F.col(identifier).alias("_id"), F.col(text).alias("_text"))
-    id_type = base.schema["_id"].dataType.simpleString()
+    carried = [f"_kept_{name}" for name in keep]
+    base = docs.select(
+        *[F.col(name).alias(f"_kept_{name}") for name in keep],
+        F.col(identifier).alias("_id"),
+        F.col(text).alias("_text"),
+    )
+    types = "".join(f"{name} {base.schema[name].dataType.simpleString()}, " for name in [*carried, "_id"])
     signed = settled(
-        base.select("_id", row_key("_id", "_text").alias("_key"), "_text").mapInArrow(
+        base.select(*carried, "_id", row_key("_id", "_text").alias("_key"), "_text").mapInArrow(
             _signer(near, full=False),
-            f"_id {id_type}, _key struct<a:bigint,b:bigint>, n bigint, fp binary, values array<bigint>",
+            f"{types}_key struct<a:bigint,b:bigint>, n bigint, fp binary, values array<bigint>",
         ),
         "near-signatures",
     )
@@ -147,29 +158,28 @@ def near_components(
     )
     listed, hot = _lists(classes, near)
     sketches = classes.select("fp", "n", "values")
-    candidates = settled(
-        _estimated(_list_pairs(listed, near).union(_centre_pairs(hot)).distinct(), sketches, near), "near-candidates"
-    )
+    candidates = settled(_estimated(_list_pairs(listed, near), sketches, near), "near-candidates")
     best = Window.partitionBy("a").orderBy(F.col("estimate").desc(), "b")
     first = candidates.withColumn("_rank", F.row_number().over(best)).where("_rank = 1").drop("_rank")
     ends = candidates.select(F.col("a").alias("fp")).union(candidates.select("b")).union(hot.select("fp"))
     sets = _full_sets(base, classes, ends.distinct(), near)
-    first_links = settled(_verified(first, sets, near), "near-links")
-    joined = components(first_links)
-    rest = _apart(candidates, joined).union(
-        _apart(_estimated(_cross_pairs(hot, joined, sketches, near), sketches, near), joined)
+    alike = _connected(hot.where("rank = 1").select("value", "fp", "n", F.lit(None).alias("met")), sets, near)
+    links = settled(_verified(first, sets, near).union(alike), "near-links")
+    joined = components(links)
+    members = hot.join(joined.select(F.col("node").alias("fp"), "root"), "fp", "left").select(
+        "value", "fp", "n", F.coalesce("root", "fp").alias("root"), F.col("first").alias("met")
     )
-    rest = settled(rest.distinct(), "near-rest")
+    rest = _verified(_apart(candidates, joined), sets, near).union(_connected(_open(members), sets, near))
+    rest = settled(rest.distinct(), "near-links")
     if not rest.isEmpty():
-        more_links = settled(_verified(rest, sets, near), "near-links")
-        if not more_links.isEmpty():
-            joined = components(first_links.union(more_links))
+        joined = components(links.union(rest))
     rooted = classes.select("fp", "least_id").join(
         joined.select(F.col("node").alias("fp"), "root"), "fp", "left"
     ).select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
     by_class = rooted.join(least, "root").select("fp", "component_id")
     return signed.drop("values").join(by_class, "fp", "left").select(
+        *[F.col(f"_kept_{name}").alias(name) for name in keep],
         F.col("_id").alias(identifier),
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("_id")).alias("component_id"),
@@ -181,7 +191,7 @@ def near_components(
 
 def _lists(classes: DataFrame, near: Nearness) -> tuple[DataFrame, DataFrame]:
     """Entries (value, fp, n) of short lists, and those of long ones for classes that need them."""
-    entries = classes.select("fp", "n", "copies", F.explode(F.slice("values", 1, near.listed_values)).alias("value"))
+    entries = classes.select("fp", "n", F.explode(F.slice("values", 1, near.listed_values)).alias("value"))
     lengths = entries.groupBy("value").agg(F.count(F.lit(1)).alias("length")).where("length > 1")
     placed = settled(entries.join(lengths, "value"), "near-lists")
     short = placed.where(F.col("length") <= near.longest_list)
@@ -194,9 +204,8 @@ def _lists(classes: DataFrame, near: Nearness) -> tuple[DataFrame, DataFrame]:
     order = Window.partitionBy("fp").orderBy("value")
     hot = (
         long.join(needy.select("fp"), "fp", "left_semi")
-        .withColumn("_rank", F.row_number().over(order))
-        .where(F.col("_rank") <= near.hot_lists)
-        .drop("_rank")
+        .select("value", "fp", "n", F.row_number().over(order).alias("rank"), F.first("value").over(order).alias("first"))
+        .where(F.col("rank") <= near.hot_lists)
     )
     return short, settled(hot, "near-long-lists")
 
@@ -208,16 +217,6 @@ def _list_pairs(listed: DataFrame, near: Nearness) -> DataFrame:
     return left.join(right, "value").where((F.col("a") > F.col("b")) & _fits(near)).select("a", "b")
 
 
-def _centre_pairs(hot: DataFrame) -> DataFrame:
-    """Each class of a long list with the class of most copies in it and with one drawn by a hash."""
-    centres = hot.groupBy("value").agg(
-        F.max(F.struct("copies", "fp"))["fp"].alias("first"),
-        F.min(F.struct(F.xxhash64("fp", "value").alias("drawn"), "fp"))["fp"].alias("second"),
-    )
-    centre = centres.select("value", F.explode(F.array("first", "second")).alias("b"))
-    return hot.select("value", F.col("fp").alias("a")).join(centre, "value").where("a != b").select("a", "b")
-
-
 def _estimated(pairs: DataFrame, sketches: DataFrame, near: Nearness) -> DataFrame:
     """Pairs whose sketches estimate a similarity near the threshold or above, with the estimate."""
     left = sketches.select(F.col("fp").alias("a"), F.col("n").alias("an"), F.col("values").alias("av"))
@@ -268,68 +267,106 @@ def _verified(pairs: DataFrame, sets: DataFrame, near: Nearness) -> DataFrame:
     )
 
 
-def _cross_pairs(hot: DataFrame, joined: DataFrame, sketches: DataFrame, near: Nearness) -> DataFrame:
-    """Pairs across components within long lists, where the sketches share most of their values.
+def _open(members: DataFrame) -> DataFrame:
+    """The members of lists that hold several components and several sets of classes that met."""
+    lists = (
+        members.groupBy("value")
+        .agg(
+            (F.min("root") != F.max("root")).alias("several"),
+            (F.min("met") != F.max("met")).alias("apart"),
+        )
+        .where("several and apart")
+    )
+    return members.join(lists.select("value"), "value", "left_semi").select("value", "fp", "n", "met")
+
+
+def _connected(members: DataFrame, sets: DataFrame, near: Nearness) -> DataFrame:
+    """(a, b) that connect all linked members (value, fp, n, met) of each list.
 
-    Members of a list's largest component form one side and the rest form the other, both in blocks:
-    blocks of the rest meet all blocks once.
+    The most members that met form one side of a list and the others the other side, both in blocks
+    of bounded size: blocks of the others meet all blocks once. Without ``met`` all meet all.
     """
-    members = settled(
-        hot.join(joined.select(F.col("node").alias("fp"), "root"), "fp", "left").select(
-            "value", "fp", "n", F.coalesce("root", "fp").alias("root")
-        ),
-        "near-members",
-    )
-    sizes = members.groupBy("value", "root").agg(F.count(F.lit(1)).alias("size"))
-    lists = sizes.groupBy("value").agg(
-        F.count(F.lit(1)).alias("roots"),
-        F.sum("size").alias("length"),
-        F.max(F.struct("size", "root")).alias("main"),
-    ).where("roots > 1")
-    open_lists = lists.select(
+    sizes = members.groupBy("value", "met").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("held"))
+    main = F.max(F.struct(F.when(F.col("met").isNull(), 0).otherwise(F.col("size")).alias("size"), "met", "held"))
+    lists = sizes.groupBy("value").agg(F.sum("size").alias("size"), F.sum("held").alias("held"), main.alias("main"))
+
+    def blocks(size: Column, held: Column) -> Column:
+        return F.ceil(F.greatest(size / near.block_classes, held / near.block_shingles)).cast("int")
+
+    main_held = F.when(F.col("main.met").isNull(), 0).otherwise(F.col("main.held"))
+    plans = lists.select(
         "value",
-        F.col("main.root").alias("main"),
-        F.ceil((F.col("length") - F.col("main.size")) / near.block).cast("int").alias("rest_blocks"),
-        F.ceil(F.col("main.size") / near.block).cast("int").alias("main_blocks"),
+        F.col("main.met").alias("main"),
+        blocks(F.col("size") - F.col("main.size"), F.col("held") - main_held).alias("rest_blocks"),
+        blocks(F.col("main.size"), main_held).alias("main_blocks"),
+    )
+    placed = members.join(plans, "value").withColumn("_rest", F.col("main").isNull() | (F.col("met") != F.col("main")))
+    count = F.when(F.col("_rest"), F.col("rest_blocks")).otherwise(F.col("main_blocks"))
+    placed = placed.withColumn("own", F.pmod(F.xxhash64("fp", "value"), F.greatest(count, F.lit(1))).cast("int"))
+
+    def numbers(count: Column) -> Column:
+        return F.filter(F.sequence(F.lit(0), F.greatest(count, F.lit(1)) - 1), lambda x: x < count)
+
+    # a cell is (block of the rest, any block); blocks of the main side are numbered after the rest's
+    own = F.col("own")
+    to_rest = F.transform(
+        numbers(F.col("rest_blocks")), lambda x: F.struct(F.least(own, x).alias("i"), F.greatest(own, x).alias("j"))
     )
-    placed = members.join(open_lists, "value").withColumn("_rest", F.col("root") != F.col("main"))
-    own = F.pmod(F.xxhash64("fp"), F.when(F.col("_rest"), F.col("rest_blocks")).otherwise(F.col("main_blocks")))
-    placed = placed.withColumn("own", own.cast("int"))
-    rest_others = F.sequence(F.lit(0), F.col("rest_blocks") - 1)
-    main_others = F.sequence(F.lit(0), F.col("main_blocks") - 1)
-    # a cell is (rest block, other block); other blocks of the main component come after the rest's
-    as_row = F.transform(rest_others, lambda x: F.struct(F.least("own", x).alias("i"), F.greatest("own", x).alias("j")))
     to_main = F.transform(
-        main_others, lambda x: F.struct(F.col("own").alias("i"), (x + F.col("rest_blocks")).alias("j"))
+        numbers(F.col("main_blocks")), lambda x: F.struct(own.alias("i"), (x + F.col("rest_blocks")).alias("j"))
     )
     from_main = F.transform(
-        rest_others, lambda x: F.struct(x.alias("i"), (F.col("own") + F.col("rest_blocks")).alias("j"))
-    )
-    cells = F.when(F.col("_rest"), F.concat(as_row, to_main)).otherwise(from_main)
-    dealt = placed.select("value", "fp", "root", "own", "rest_blocks", "_rest", F.explode(cells).alias("cell"))
-    side = F.when(F.col("_rest"), F.col("own")).otherwise(F.col("own") + F.col("rest_blocks"))
-    dealt = dealt.select(
-        "value", "fp", "root", side.alias("side"), F.col("cell.i").alias("i"), F.col("cell.j").alias("j")
+        numbers(F.col("rest_blocks")), lambda x: F.struct(x.alias("i"), (own + F.col("rest_blocks")).alias("j"))
     )
+    cells = F.when(F.col("_rest"), F.concat(to_rest, to_main)).otherwise(from_main)
+    side = F.when(F.col("_rest"), own).otherwise(own + F.col("rest_blocks"))
+    dealt = placed.select("value", "fp", side.alias("side"), F.explode(cells).alias("cell"))
     return (
-        dealt.join(sketches.select("fp", "values"), "fp")
+        dealt.select("value", "fp", "side", F.col("cell.i").alias("i"), F.col("cell.j").alias("j"))
+        .join(sets.select("fp", "values"), "fp")
         .groupBy("value", "i", "j")
-        .applyInPandas(_alike_in_cell, "a binary, b binary")
+        .applyInPandas(_cell_linker(near.percent), "a binary, b binary")
         .distinct()
     )
 
 
-def _alike_in_cell(cell: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of a cell, from different components, whose sketches share 60 % of the shorter one."""
-    values = [np.asarray(row, np.int64) for row in cell["values"]]
-    sizes = np.array([len(row) for row in values])
-    _, column = np.unique(np.concatenate(values), return_inverse=True)
-    held = np.zeros((len(values), column.max() + 1), np.float32)
-    held[np.repeat(np.arange(len(values)), sizes), column] = 1
-    side, prints = cell["side"].to_numpy(), cell["fp"].to_numpy()
-    left, right = np.flatnonzero(side == cell["i"].iloc[0]), np.flatnonzero(side == cell["j"].iloc[0])
-    alike = held[left] @ held[right].T >= 0.6 * np.minimum(sizes[left][:, None], sizes[right][None, :])
-    _, root = np.unique(cell["root"].to_numpy(), return_inverse=True)
-    x, y = np.nonzero(alike & (root[left][:, None] != root[right][None, :]))
-    pairs = {(max(p, q), min(p, q)) for p, q in zip(prints[left[x]], prints[right[y]], strict=True)}
-    return pd.DataFrame(sorted(pairs), columns=["a", "b"])
+def _cell_linker(percent: int, columns_at_once: int = 2048):
+    def link(cell: pd.DataFrame) -> pd.DataFrame:
+        """Compares two blocks on full sets and returns each member with the least one it is connected to."""
+        cell = cell.sort_values("fp", kind="stable")
+        values = [np.asarray(row, np.int64) for row in cell["values"]]
+        sizes = np.array([len(row) for row in values])
+        flat = np.concatenate(values)
+        _, column, uses = np.unique(flat, return_inverse=True, return_counts=True)
+        shared = uses[column] > 1
+        renumbered = np.cumsum(uses > 1) - 1
+        column, row = renumbered[column[shared]], np.repeat(np.arange(len(values)), sizes)[shared]
+        order = np.argsort(column, kind="stable")
+        column, row = column[order], row[order]
+        side = cell["side"].to_numpy()
+        left, right = np.flatnonzero(side == cell["i"].iloc[0]), np.flatnonzero(side == cell["j"].iloc[0])
+        if not len(left) or not len(right):
+            return pd.DataFrame({"a": [], "b": []})
+        both = np.zeros((len(left), len(right)), np.float32)  # counts stay far below 2 ** 24
+        count = int(uses[uses > 1].size)
+        for begin in range(0, count, columns_at_once):
+            x, y = np.searchsorted(column, [begin, begin + columns_at_once])
+            held = np.zeros((len(values), min(columns_at_once, count - begin)), np.float32)
+            held[row[x:y], column[x:y] - begin] = 1
+            both += held[left] @ held[right].T
+        linked = both * 100 >= (sizes[left][:, None] + sizes[right][None, :] - both) * percent
+        linked &= left[:, None] != right[None, :]
+        label = np.arange(len(values))
+        while True:
+            before = label.copy()
+            lowest = np.where(linked, label[left][:, None], len(values)).min(axis=0)
+            label[right] = np.minimum(label[right], lowest)
+            lowest = np.where(linked, label[right][None, :], len(values)).min(axis=1)
+            label[left] = np.minimum(label[left], lowest)
+            if (label == before).all():
+                break
+        names = cell["fp"].to_numpy()
+        some = np.flatnonzero(label != np.arange(len(values)))
+        return pd.DataFrame({"a": names[some], "b": names[label[some]]})
+
+    return link
