@@ -214,11 +214,11 @@ def _trainer(rule: Scorer, posterior: np.ndarray):
             labels.append(posterior[patterns(table, rule.labellers)])
         if not rows:
             return
-        x, y = np.concatenate(rows), np.concatenate(labels)
+        x, y = np.concatenate(rows), np.concatenate(labels).astype(np.float32)
         weights, bias = np.zeros(x.shape[1]), 0.0
         first, second = np.zeros(x.shape[1] + 1), np.zeros(x.shape[1] + 1)
         for step in range(1, rule.steps + 1):
-            error = 1 / (1 + np.exp(-(x @ weights + bias))) - y
+            error = (1 / (1 + np.exp(-(x @ weights.astype(np.float32) + np.float32(bias))))) - y
             slope = np.append(x.T @ error / len(y) + rule.decay * weights, error.mean())
             first = 0.9 * first + 0.1 * slope
             second = 0.999 * second + 0.001 * slope**2
