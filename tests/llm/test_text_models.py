@@ -52,7 +52,9 @@ def test_secret_scan_finds_base_and_random_strings(spark):
     generator = random.Random(1)
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
     planted = "".join(generator.choice(letters) for _ in range(40))
-    clean = [" ".join(prose(generator, 80)) + " some_identifier_of_ordinary_words getOrdinaryValueOfThing" for _ in range(40)]
+    names = "Able Bring Count Delta Event Field Group House Index Jump Key List Model Node Order Page Query Row Store Table Unit Value Word Xylem Yield Zone".split()
+    identifier = lambda: "".join(generator.choice(names) for _ in range(5)) + generator.choice(["", "_old", "2"])
+    clean = [" ".join([*prose(generator, 40), *[identifier() for _ in range(30)], "long_identifier_of_ordinary_words"]) for _ in range(150)]
     rows = [*enumerate(SECRETS), (100, f"é see {planted} there"), *enumerate(clean, 200), (None, "x"), (5, "AKIA" + "Q" * 16)]
     got = secrets(docs(spark, rows)).collect()
     assert len(got) == len(rows)
@@ -62,7 +64,7 @@ def test_secret_scan_finds_base_and_random_strings(spark):
     assert found == wanted
     extra = {r.doc_id: [(s.start, s.end) for s in r.spans if s.kind == "random"] for r in got}
     assert extra[100] == [(6, 46)]
-    assert not any(extra[key] for key in range(200, 240))
+    assert not any(extra[key] for key in range(200, 350))
     assert secrets(docs(spark, EDGES).limit(0)).count() == 0
 
 

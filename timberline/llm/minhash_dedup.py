@@ -28,8 +28,8 @@ class Nearness:
     least_rare: int = 8
     hot_lists: int = 5
     deviations: float = 4.0
-    block_classes: int = 2500
-    block_shingles: int = 1_200_000
+    block_classes: int = 2000
+    block_shingles: int = 600_000
 
     @property
     def least_estimate(self) -> float:

@@ -31,7 +31,7 @@ class RandomStrings:
 
     shortest: int = 20
     least_ratio: float = 0.75
-    uniform_share: float = 0.1
+    prior_transitions: float = 5.0
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -106,11 +106,12 @@ def _transitions(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def random_ratio(docs: DataFrame, rule: RandomStrings = RandomStrings(), text: str = "text") -> np.ndarray:
-    """The log-likelihood ratio of each transition under models of random strings and identifiers.
+    """Log-likelihood ratios of each transition: random strings against ordinary identifiers.
 
     Labelled samples are the corpus itself: transitions inside matches of the fixed patterns are
-    random, all others ordinary. All texts count; a fixed number of sums comes to the driver. To know
-    random strings of other alphabets too, the random model is mixed with a uniform one.
+    random, all others ordinary. All texts count; a fixed number of sums comes to the driver. There
+    are two models of random strings, so two matrices: the one learnt, and a uniform one for random
+    strings of other alphabets. Rare transitions fall back on how often their second symbol occurs.
     """
     width = len(ALPHABET)
     sums = (
@@ -126,10 +127,13 @@ def random_ratio(docs: DataFrame, rule: RandomStrings = RandomStrings(), text: s
     for label, pair, n in sums:
         counts[label, pair] = n
     counts = counts.reshape(2, width, width)
-    ordinary = (counts[0] + 0.5) / (counts[0] + 0.5).sum(axis=1, keepdims=True)
-    random = (counts[1] + 1e-3) / (counts[1] + 1e-3).sum(axis=1, keepdims=True)
-    random = (1 - rule.uniform_share) * random + rule.uniform_share / width
-    return np.log(random / ordinary)
+    share = counts.sum(axis=1) + np.array([[0.5], [1.0]])
+    share /= share.sum(axis=1, keepdims=True)
+    prior = rule.prior_transitions
+    ordinary, learnt = (
+        (counts[k] + prior * share[k]) / (counts[k].sum(axis=1, keepdims=True) + prior) for k in (0, 1)
+    )
+    return np.log(np.stack([learnt, np.full((width, width), 1 / width)]) / ordinary)
 
 
 def _scanner(ratio: np.ndarray, rule: RandomStrings):
@@ -144,13 +148,17 @@ def _scanner(ratio: np.ndarray, rule: RandomStrings):
         end = np.flatnonzero(ends) + 1
         long = end - begin >= rule.shortest
         begin, end = begin[long], end[long]
-        score = np.zeros(len(data) + 1)
-        at = np.flatnonzero(follows)
-        score[at + 1] = ratio.ravel()[code[at - 1].astype(np.int32) * width + code[at]]
-        total = np.cumsum(score)
-        free = np.concatenate([[0], np.cumsum(covered)])
-        mean = (total[end] - total[begin]) / (end - begin - 1)
-        good = (mean >= rule.least_ratio) & (free[end] == free[begin])
+        free = np.concatenate([[0], np.cumsum(covered, dtype=np.int32)])
+        open_runs = free[end] == free[begin]
+        begin, end = begin[open_runs], end[open_runs]
+        # only the long runs are scored
+        size = end - begin - 1
+        heads = np.cumsum(size) - size
+        at = np.arange(size.sum()) + np.repeat(begin + 1 - heads, size)
+        pair = code[at - 1].astype(np.int32) * width + code[at]
+        good = np.zeros(len(begin), bool)
+        for model in ratio if len(begin) else ():
+            good |= np.add.reduceat(model.ravel()[pair], heads) >= rule.least_ratio * size
         return begin[good], end[good]
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
