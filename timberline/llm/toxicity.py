@@ -35,12 +35,12 @@ class Subwords:
     batch_docs: int = 64
     documents_per_label: int = 1000
     training_bytes: int = 8_000_000
-    chunk_bytes: int = 4_000_000
+    chunk_bytes: int = 1_000_000
     seed: int = 11
 
 
-def segments_of(data: np.ndarray, offsets: np.ndarray, rule: Subwords):
-    """N-gram numbers in order, first n-gram of each segment, first segment of each row.
+def gram_parts(data: np.ndarray, offsets: np.ndarray, rule: Subwords):
+    """First segment of each row, and for each length the n-gram numbers and their segments, in order.
 
     A word is its bytes between a start and an end marker. Rows without words have no segment.
     """
@@ -49,7 +49,7 @@ def segments_of(data: np.ndarray, offsets: np.ndarray, rule: Subwords):
     per_row = -(-counts // rule.segment_words)
     row_segment = np.concatenate([[0], np.cumsum(per_row)])
     place = np.arange(len(words.start)) - np.repeat(words.first[:-1], counts)
-    word_segment = np.repeat(row_segment[:-1], counts) + place // rule.segment_words
+    word_segment = (np.repeat(row_segment[:-1], counts) + place // rule.segment_words).astype(np.int32)
     # a word that repeats within its segment counts once
     _, kept = np.unique(words.hashes() ^ mixed(word_segment.astype(np.uint64)), return_index=True)
     kept.sort()
@@ -58,32 +58,54 @@ def segments_of(data: np.ndarray, offsets: np.ndarray, rule: Subwords):
     size = words.end[kept] - starts
     begin = np.cumsum(size + 2) - (size + 2)
     total = int((size + 2).sum())
-    if not total:
+    parts = []
+    if total:
+        at = np.arange(total) - np.repeat(begin - starts + 1, size + 2)
+        marked = words.data[np.clip(at, 0, len(words.data) - 1)]
+        marked[begin] = 2
+        marked[begin + size + 1] = 3
+        left = (np.repeat(begin + size + 2, size + 2) - np.arange(total)).astype(np.int32)
+        segment = np.repeat(word_segment, size + 2)
+        value = np.zeros(total, np.uint64)
+        for length in range(1, min(rule.longest, total) + 1):
+            reach = total - length + 1
+            value = value[:reach] * np.uint64(0x100000001B3) + marked[length - 1 :] + np.uint64(1)
+            if length >= rule.shortest:
+                fits = left[:reach] >= length
+                parts.append(((mixed(value[fits]) % np.uint64(rule.buckets)).astype(np.uint32), segment[:reach][fits]))
+    return row_segment, parts
+
+
+def segments_of(data: np.ndarray, offsets: np.ndarray, rule: Subwords):
+    """N-gram numbers in order of segments, first n-gram of each segment, first segment of each row."""
+    row_segment, parts = gram_parts(data, offsets, rule)
+    if not parts:
         return np.zeros(0, np.uint32), np.zeros(0, np.int64), row_segment
-    at = np.arange(total) - np.repeat(begin, size + 2) + np.repeat(starts - 1, size + 2)
-    marked = words.data[np.clip(at, 0, len(words.data) - 1)]
-    marked[begin] = 2
-    marked[begin + size + 1] = 3
-    left = np.repeat(begin + size + 2, size + 2) - np.arange(total)
-    segment = np.repeat(word_segment, size + 2)
-    letters = marked.astype(np.uint64)
-    grams, owners = [], []
-    value = np.zeros(total, np.uint64)
-    for length in range(1, rule.longest + 1):
-        reach = total - length + 1
-        if reach <= 0:
-            break
-        value = value[:reach] * np.uint64(0x100000001B3) + letters[length - 1 :] + np.uint64(1)
-        if length >= rule.shortest:
-            fits = left[:reach] >= length
-            grams.append((mixed(value[fits]) % np.uint64(rule.buckets)).astype(np.uint32))
-            owners.append(segment[:reach][fits])
-    grams, owners = np.concatenate(grams), np.concatenate(owners)
+    grams = np.concatenate([grams for grams, _ in parts])
+    owners = np.concatenate([owners for _, owners in parts])
     order = np.argsort(owners, kind="stable")
     first = np.searchsorted(owners[order], np.arange(row_segment[-1]))
     return grams[order], first, row_segment
 
 
+def _segments_in_pieces(data: np.ndarray, offsets: np.ndarray, rule: Subwords):
+    """As ``segments_of``, a few rows at a time, so that only the n-gram numbers add up in memory."""
+    grams, first, per_row, begin, held = [], [], [np.zeros(1, np.int64)], 0, 0
+    while begin < len(offsets) - 1:
+        end = int(np.searchsorted(offsets, offsets[begin] + rule.chunk_bytes, "right")) - 1
+        end = max(end, begin + 1)
+        piece = data[offsets[begin] : offsets[end]]
+        found, heads, row_segment = segments_of(piece, offsets[begin : end + 1] - offsets[begin], rule)
+        grams.append(found)
+        first.append(heads + held)
+        per_row.append(np.diff(row_segment))
+        held += len(found)
+        begin = end
+    if not grams:
+        return np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(1, np.int64)
+    return np.concatenate(grams), np.concatenate(first), np.cumsum(np.concatenate(per_row))
+
+
 def _segment_sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Sums of runs; every run has an entry, since a marked word has at least three bytes."""
     return np.add.reduceat(values, first, axis=0) if len(first) else values[:0]
@@ -105,7 +127,7 @@ def train(data: np.ndarray, offsets: np.ndarray, labels: np.ndarray, rule: Subwo
     proportion to their exponentiated margins, that of any other to its highest ones as well.
     """
     random = np.random.default_rng(rule.seed)
-    grams, first, row_segment = segments_of(data, offsets, rule)
+    grams, first, row_segment = _segments_in_pieces(data, offsets, rule)
     if not len(first):
         return np.zeros(rule.buckets, np.float32), -rule.start_margin
     sizes = np.diff(np.append(first, len(grams)))
@@ -226,9 +248,12 @@ def _scorer(docs: DataFrame, model: tuple[bytes, float], rule: Subwords, text: s
         margin, bias = np.frombuffer(weights.value[0], np.float32), weights.value[1]
         for chunk in chunks(batches, text, rule.chunk_bytes):
             data, offsets = text_buffers(chunk.column(text))
-            grams, first, row_segment = segments_of(data, offsets, rule)
-            sizes = np.diff(np.append(first, len(grams)))
-            mean = _segment_sums(margin[grams].astype(np.float64), first) / (sizes + rule.prior_grams)
+            row_segment, parts = gram_parts(data, offsets, rule)
+            sums, sizes = np.zeros(row_segment[-1]), np.full(row_segment[-1], float(rule.prior_grams))
+            for grams, owners in parts:
+                sums += np.bincount(owners, margin[grams], len(sums))
+                sizes += np.bincount(owners, minlength=len(sums))
+            mean = sums / sizes
             pooled = _pooled(mean, row_segment)
             values = 1 / (1 + np.exp(-np.clip(np.where(np.isfinite(pooled), pooled, 0) + bias, -500, 500)))
             names = [name for name in chunk.schema.names if keep_text or name != text]
