@@ -14,11 +14,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from timberline.llm.tables import settled
-from timberline.llm.words import chunks, text_buffers, words_of
+from timberline.llm.words import Words, chunks, lower_ascii, text_buffers, words_of
 
 PIECES = "piece int, start bigint, length bigint, ids_crc32 bigint"
 TOKEN_CHUNK_BYTES = 16_000_000
 ENCODED_AT_ONCE = 8192
+STOPS = ".,"
+SPECIAL = b"<|"
 
 
 @dataclass(frozen=True)
@@ -39,6 +41,21 @@ def _public_vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def _without_stops(words: Words) -> tuple[Words, np.ndarray]:
+    """Words without one stop or comma after an ASCII letter, and the number of the sign cut off.
+
+    The tokenizer parts letters from signs before it looks for tokens, so both are encoded alone.
+    """
+    if not len(words.start):
+        return words, np.zeros(0, np.int64)
+    last, before = words.data[words.end - 1], words.data[np.maximum(words.end - 2, 0)]
+    letter = ((before | 32) >= 97) & ((before | 32) <= 122) & (words.end - words.start > 1)
+    stop = np.zeros(len(words.start), np.int64)
+    for number, sign in enumerate(STOPS, 1):
+        stop[letter & (last == ord(sign))] = number
+    return Words(words.data, words.start, words.end - (stop > 0), words.first), stop
+
+
 def _piecer(vocabulary: str, limit: int, end_id: int, with_ids: bool):
     def pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
@@ -47,9 +64,15 @@ def _piecer(vocabulary: str, limit: int, end_id: int, with_ids: bool):
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(vocabulary if "/" in vocabulary else _public_vocabulary(vocabulary))
+        encode = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+        foldable = encode("A Bc") == encode("a bc")
+        stop_ids = np.array([0, *[encode(sign)[0] for sign in STOPS]], "<u4")
         for chunk in chunks(batches, "_text", TOKEN_CHUNK_BYTES):
             data, offsets = text_buffers(chunk.column("_text"))
+            if foldable and SPECIAL not in data.tobytes():
+                data = lower_ascii(data)
             words = words_of(data, offsets)
+            words, stop = _without_stops(words)
             _, sample, word = np.unique(words.hashes(), return_index=True, return_inverse=True)
             raw = data.tobytes()
             spellings = [
@@ -67,14 +90,17 @@ def _piecer(vocabulary: str, limit: int, end_id: int, with_ids: bool):
             ids = np.concatenate(parts) if parts else np.zeros(0, "<u4")
             count = np.array(counts, np.int64)
             place = np.cumsum(count) - count
-            per_word = count[word]
+            stopped = stop > 0
+            per_word = count[word] + stopped
             reached = np.concatenate([[0], np.cumsum(per_word)])
             first = reached[words.first]
             row, piece, start, length, crc, tokens = [], [], [], [], [], []
             for k in range(chunk.num_rows):
                 x, y = words.first[k], words.first[k + 1]
                 at = np.repeat(place[word[x:y]] - (reached[x:y] - first[k]), per_word[x:y])
-                own = np.append(ids[at + np.arange(len(at))], np.uint32(end_id)).astype("<u4")
+                own = np.append(ids[np.minimum(at + np.arange(len(at)), len(ids) - 1)], np.uint32(end_id)).astype("<u4")
+                some = np.flatnonzero(stopped[x:y])
+                own[reached[x + 1 : y + 1][some] - 1 - first[k]] = stop_ids[stop[x:y][some]]
                 for number, begin in enumerate(range(0, len(own), limit)):
                     cut = own[begin : begin + limit]
                     row.append(k)
