@@ -154,16 +154,28 @@ def vocabulary(counts: DataFrame, shape: Shape) -> Vocabulary:
     """The most frequent tokens, as many as there are symbols but one, and the totals."""
     most = shape.symbols - 1
 
-    def top(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def magnitudes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for hashes, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                sums = np.frombuffer(found, "<i8")
-                best = np.argsort(-sums, kind="stable")[:most]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.frombuffer(hashes, "<i8")[best]), pa.array(sums[best])], names=["hash", "n"]
-                )
+            sums = np.frombuffer(b"".join(batch.column(0).to_pylist()), "<i8")
+            found = np.bincount(np.log2(sums).astype(np.int64), minlength=64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(64)), pa.array(found)], names=["power", "n"])
 
     totals = counts.agg(F.sum("tokens"), F.sum("distinct")).first()
+    sizes = counts.select("counts").mapInArrow(magnitudes, "power bigint, n bigint")
+    above, least = 0, 1
+    for row in sizes.groupBy("power").agg(F.sum("n").alias("n")).orderBy(F.col("power").desc()).collect():
+        above += row["n"]
+        least = 1 << row["power"]
+        if above >= most:
+            break
+
+    def top(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = np.frombuffer(b"".join(batch.column(0).to_pylist()), "<i8")
+            sums = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<i8")
+            some = sums >= least  # what is rarer is not among the most frequent
+            yield pa.RecordBatch.from_arrays([pa.array(hashes[some]), pa.array(sums[some])], names=["hash", "n"])
+
     rows = (
         counts.select("hashes", "counts")
         .mapInArrow(top, "hash bigint, n bigint")
