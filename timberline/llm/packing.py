@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import bisect
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,6 +19,7 @@ from timberline.llm.words import Words, chunks, lower_ascii, text_buffers, words
 PIECES = "piece int, start bigint, length bigint, ids_crc32 bigint"
 TOKEN_CHUNK_BYTES = 16_000_000
 ENCODED_AT_ONCE = 8192
+KNOWN_WORDS = 2_000_000
 STOPS = ".,"
 SPECIAL = b"<|"
 
@@ -56,6 +57,44 @@ def _without_stops(words: Words) -> tuple[Words, np.ndarray]:
     return Words(words.data, words.start, words.end - (stop > 0), words.first), stop
 
 
+class _Encoded:
+    """The ids of the words a task has met, by hash; emptied when there are very many."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer = tokenizer
+        self.clear()
+
+    def clear(self) -> None:
+        self.hashes, self.ids = np.zeros(0, np.uint64), np.zeros(0, "<u4")
+        self.place, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def look_up(self, hashes: np.ndarray, spelled: Callable[[np.ndarray], list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Where in ``ids`` each word's ids begin, and how many they are; new words are encoded."""
+        if len(self.hashes) > KNOWN_WORDS:
+            self.clear()
+        at = np.searchsorted(self.hashes, hashes)
+        new = np.ones(len(hashes), bool)
+        inside = at < len(self.hashes)
+        new[inside] = self.hashes[at[inside]] != hashes[inside]
+        counts, parts = [], [self.ids]
+        missing = np.flatnonzero(new)
+        for begin in range(0, len(missing), ENCODED_AT_ONCE):
+            found = self.tokenizer.encode_batch_fast(
+                spelled(missing[begin : begin + ENCODED_AT_ONCE]), add_special_tokens=False
+            )
+            lists = [one.ids for one in found]
+            counts += map(len, lists)
+            parts.append(np.array([x for ids in lists for x in ids], "<u4"))
+        count = np.array(counts, np.int64)
+        place = np.cumsum(count) - count + len(self.ids)
+        self.ids = np.concatenate(parts)
+        self.place = np.insert(self.place, at[missing], place)
+        self.count = np.insert(self.count, at[missing], count)
+        self.hashes = np.insert(self.hashes, at[missing], hashes[missing])
+        at = np.searchsorted(self.hashes, hashes)
+        return self.place[at], self.count[at]
+
+
 def _piecer(vocabulary: str, limit: int, end_id: int, with_ids: bool):
     def pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
@@ -66,6 +105,7 @@ def _piecer(vocabulary: str, limit: int, end_id: int, with_ids: bool):
         tokenizer = Tokenizer.from_file(vocabulary if "/" in vocabulary else _public_vocabulary(vocabulary))
         encode = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
         foldable = encode("A Bc") == encode("a bc")
+        known = _Encoded(tokenizer)
         stop_ids = np.array([0, *[encode(sign)[0] for sign in STOPS]], "<u4")
         for chunk in chunks(batches, "_text", TOKEN_CHUNK_BYTES):
             data, offsets = text_buffers(chunk.column("_text"))
@@ -73,23 +113,15 @@ def _piecer(vocabulary: str, limit: int, end_id: int, with_ids: bool):
                 data = lower_ascii(data)
             words = words_of(data, offsets)
             words, stop = _without_stops(words)
-            _, sample, word = np.unique(words.hashes(), return_index=True, return_inverse=True)
+            hashes, sample, word = np.unique(words.hashes(), return_index=True, return_inverse=True)
             raw = data.tobytes()
-            spellings = [
-                raw[x:y].decode()
-                for x, y in zip(words.start[sample].tolist(), words.end[sample].tolist(), strict=True)
-            ]
-            counts, parts = [], []
-            for begin in range(0, len(spellings), ENCODED_AT_ONCE):
-                found = tokenizer.encode_batch_fast(
-                    spellings[begin : begin + ENCODED_AT_ONCE], add_special_tokens=False
-                )
-                lists = [one.ids for one in found]
-                counts += map(len, lists)
-                parts.append(np.array([x for ids in lists for x in ids], "<u4"))
-            ids = np.concatenate(parts) if parts else np.zeros(0, "<u4")
-            count = np.array(counts, np.int64)
-            place = np.cumsum(count) - count
+
+            def spelled(some: np.ndarray) -> list[str]:
+                bounds = zip(words.start[sample[some]].tolist(), words.end[sample[some]].tolist(), strict=True)
+                return [raw[x:y].decode() for x, y in bounds]
+
+            place, count = known.look_up(hashes, spelled)
+            ids = known.ids
             stopped = stop > 0
             per_word = count[word] + stopped
             reached = np.concatenate([[0], np.cumsum(per_word)])
