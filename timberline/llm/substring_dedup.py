@@ -26,8 +26,8 @@ class Passages:
     """Windows of ``width`` words; their minimisers are runs of ``minimiser`` words."""
 
     width: int = 35
-    minimiser: int = 8
-    chunk_bytes: int = 8_000_000
+    minimiser: int = 4
+    chunk_bytes: int = 5_000_000
     buckets_per_part: int = 4
 
 
@@ -88,7 +88,7 @@ def _packer(rule: Passages, buckets: int):
     import zstandard
 
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = zstandard.ZstdCompressor(level=3)
+        codec = zstandard.ZstdCompressor(level=8)
         for chunk in chunks(batches, "_text", rule.chunk_bytes):
             data, offsets = text_buffers(chunk.column("_text"))
             words = words_of(data, offsets)
