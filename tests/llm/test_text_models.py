@@ -4,6 +4,7 @@ import collections
 import math
 import random
 import re
+from types import SimpleNamespace
 import zlib
 
 import numpy as np
@@ -12,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from timberline.llm import toxicity
-from timberline.llm.language_model import Network, Shape, Vocabulary, document_scores, language_scores
+from timberline.llm.language_model import Network, Shape, Vocabulary, _trainer, document_scores, language_scores, tokens_of
 from timberline.llm.quality import LABELLERS, estimated, quality_scores, statistics
 from timberline.llm.quality_queries import fold
 from timberline.llm.secrets_scan import base_spans, secrets
@@ -233,6 +234,41 @@ def test_state_is_carried_through_whole_documents(slots):
     assert document_scores(net, symbols, bounds) == pytest.approx(np.array(expected), rel=1e-4)
 
 
+def test_gradient_stops_where_a_document_begins():
+    net = small_network()
+    random_ = np.random.default_rng(5)
+    inputs, targets = random_.integers(0, 32, (6, 2)), random_.integers(0, 32, (6, 2))
+    every, state = np.ones((6, 2), np.float32), random_.normal(size=(2, 6)).astype(np.float32)
+    fresh = np.zeros((6, 2), bool)
+    fresh[2] = True
+    got, after = net.gradient(inputs, targets, every, state, fresh)
+    first, _ = net.gradient(inputs[:2], targets[:2], every[:2], state)
+    second, expected = net.gradient(inputs[2:], targets[2:], every[2:], np.zeros_like(state))
+    assert after == pytest.approx(expected, abs=1e-6)
+    assert got == pytest.approx((first * 4 + second * 8) / 12, abs=1e-5)
+
+
+def test_every_token_of_every_training_document_is_learnt_from(monkeypatch):
+    generator = random.Random(8)
+    texts = [" ".join(f"w{generator.randrange(40)}" for _ in range(size)) for size in (3000, 1, 25, 700, 96, 0)]
+    batch = pa.RecordBatch.from_pydict({"_text": [*texts, None], "_place": np.arange(7) * 977})
+    tokens, _ = tokens_of(batch.column("_text"))
+    hashes, counts = np.unique(tokens, return_counts=True)
+    words = Vocabulary(hashes[:31], np.arange(31), counts[:31], len(tokens), len(hashes))
+    learnt, gradient = [], Network.gradient
+
+    def recorded(self, inputs, targets, weights, *more):
+        learnt.append(targets[weights > 0])
+        return gradient(self, inputs, targets, weights, *more)
+
+    monkeypatch.setattr(Network, "gradient", recorded)
+    model = SimpleNamespace(value=(words.plain, Network(SMALL).initialise(words).vector))
+    (out,) = _trainer(SMALL, model)([batch])
+    symbols, _ = words.look_up(tokens, SMALL.other)
+    assert np.concatenate(learnt).size == len(tokens) == out.column("used")[0].as_py()
+    assert (np.bincount(np.concatenate(learnt), minlength=32) == np.bincount(symbols, minlength=32)).all()
+
+
 def test_language_scores(spark):
     generator = random.Random(7)
     rows = [*EDGES, (50, "A Word a WORD é"), (51, "w0 " * 3000)]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 import heapq
+import math
 
 import numpy as np
 import pandas as pd
@@ -23,8 +24,9 @@ class Shape:
     """Sizes of the network and of its training.
 
     Symbols are the most frequent tokens and one for all others; ``classes`` times ``members`` of them.
-    A training document gives one stretch of ``stretch`` tokens, in windows of ``window`` between which
-    the state is carried and the gradient is cut. Documents are dealt over ``rounds`` of averaging.
+    Training documents are read to their ends in windows of ``window`` tokens, ``batch`` of them side by
+    side; between windows the state is carried and the gradient is cut. Documents are dealt over
+    ``rounds`` of averaging. ``stretch`` bounds nothing any more and is only still accepted.
     """
 
     classes: int = 64
@@ -239,36 +241,61 @@ class Network:
         fresh = np.tanh(given[:, 2 * h :] + reset * held[:, 2 * h :])
         return fresh + keep * (state - fresh), (symbols, state, keep, reset, fresh, held[:, 2 * h :])
 
-    def by_class(self, targets: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    def member_logits(self, states: np.ndarray, targets: np.ndarray) -> tuple[np.ndarray, list, np.ndarray]:
+        """Rows in the order of their targets' classes, the run (class, begin, end) of each, and logits in that order."""
         owner = targets // self.shape.members
         order = np.argsort(owner, kind="stable")
-        edges = _segments(owner[order])
-        for x, y in zip(edges[:-1], edges[1:], strict=True):
-            if y > x:
-                yield int(owner[order[x]]), order[x:y]
+        owner, ordered = owner[order], states[order]
+        edges = _segments(owner).tolist() if len(owner) else []
+        runs = [(int(owner[x]), x, y) for x, y in zip(edges[:-1], edges[1:], strict=True)]
+        logits = np.empty((len(targets), self.shape.members), np.result_type(states, self.vector))
+        for number, x, y in runs:
+            np.matmul(ordered[x:y], self.parts["members"][number], out=logits[x:y])
+        logits += self.parts["member_bias"][owner]
+        return order, runs, logits
 
     @staticmethod
-    def log_softmax(logits: np.ndarray) -> np.ndarray:
-        logits = logits - logits.max(axis=1, keepdims=True)
-        return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+    def log_softmax_at(logits: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+        """The logarithm of each row's softmax at one column; overwrites the logits."""
+        logits -= logits.max(axis=1, keepdims=True)
+        chosen = logits[np.arange(len(wanted)), wanted]
+        return chosen - np.log(np.exp(logits, out=logits).sum(axis=1))
+
+    @staticmethod
+    def softmax_error(logits: np.ndarray, wanted: np.ndarray, share: np.ndarray) -> np.ndarray:
+        """The gradient of the weighted loss by the logits, in their place."""
+        logits -= logits.max(axis=1, keepdims=True)
+        np.exp(logits, out=logits)
+        logits *= (share / logits.sum(axis=1))[:, None]
+        logits[np.arange(len(wanted)), wanted] -= share
+        return logits
 
     def log_chances(self, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Natural logarithms: the class's chance times the member's within the class."""
-        outer = self.log_softmax(states @ self.parts["classes"] + self.parts["class_bias"])
-        out = outer[np.arange(len(targets)), targets // self.shape.members]
-        for number, rows in self.by_class(targets):
-            inner = self.log_softmax(states[rows] @ self.parts["members"][number] + self.parts["member_bias"][number])
-            out[rows] += inner[np.arange(len(rows)), targets[rows] % self.shape.members]
+        m = self.shape.members
+        out = self.log_softmax_at(states @ self.parts["classes"] + self.parts["class_bias"], targets // m)
+        order, _, logits = self.member_logits(states, targets)
+        out[order] += self.log_softmax_at(logits, targets[order] % m)
         return out
 
     def gradient(
-        self, inputs: np.ndarray, targets: np.ndarray, weights: np.ndarray, state: np.ndarray
+        self,
+        inputs: np.ndarray,
+        targets: np.ndarray,
+        weights: np.ndarray,
+        state: np.ndarray,
+        fresh: np.ndarray | None = None,
     ) -> tuple[np.ndarray, np.ndarray]:
-        """The gradient of the mean loss over one window of (steps, rows), and the state after it."""
+        """The gradient of the mean loss over one window of (steps, rows), and the state after it.
+
+        Where ``fresh`` holds a document begins: the state is cleared and no gradient flows back.
+        """
         steps, rows = inputs.shape
         h, m = self.shape.hidden, self.shape.members
         tape, states = [], np.empty((steps, rows, h), np.float32)
         for t in range(steps):
+            if fresh is not None:
+                state = np.where(fresh[t][:, None], state.dtype.type(0), state)
             state, kept = self.step(inputs[t], state)
             states[t] = state
             tape.append(kept)
@@ -276,32 +303,41 @@ class Network:
         parts = self.views(grad, self.sizes)
         flat, wanted = states.reshape(-1, h), targets.ravel()
         share = (weights.ravel() / max(1.0, float(weights.sum()))).astype(np.float32)
-        error = np.exp(self.log_softmax(flat @ self.parts["classes"] + self.parts["class_bias"]))
-        error[np.arange(len(wanted)), wanted // m] -= 1
-        error *= share[:, None]
+        error = self.softmax_error(flat @ self.parts["classes"] + self.parts["class_bias"], wanted // m, share)
         parts["classes"][:] = flat.T @ error
         parts["class_bias"][:] = error.sum(axis=0)
         back = error @ self.parts["classes"].T
-        for number, some in self.by_class(wanted):
-            member = self.parts["members"][number]
-            error = np.exp(self.log_softmax(flat[some] @ member + self.parts["member_bias"][number]))
-            error[np.arange(len(some)), wanted[some] % m] -= 1
-            error *= share[some][:, None]
-            parts["members"][number] = flat[some].T @ error
-            parts["member_bias"][number] = error.sum(axis=0)
-            back[some] += error @ member.T
+        order, runs, logits = self.member_logits(flat, wanted)
+        error, ordered = self.softmax_error(logits, wanted[order] % m, share[order]), flat[order]
+        inner_back = np.empty((len(wanted), h), error.dtype)
+        for number, x, y in runs:
+            np.matmul(ordered[x:y].T, error[x:y], out=parts["members"][number])
+            np.matmul(error[x:y], self.parts["members"][number].T, out=inner_back[x:y])
+        parts["member_bias"][[run[0] for run in runs]] = np.add.reduceat(error, [run[1] for run in runs], axis=0)
+        back[order] += inner_back
         back = back.reshape(steps, rows, h)
-        flow = np.zeros((rows, h), np.float32)
+        flow = np.zeros((rows, h), back.dtype)
+        d_given = np.empty((steps, rows, 3 * h), back.dtype)
+        d_held, befores = np.empty_like(d_given), np.empty((steps, rows, h), back.dtype)
+        turned = np.ascontiguousarray(self.parts["inner"].T)
         for t in range(steps - 1, -1, -1):
-            symbols, before, keep, reset, fresh, held = tape[t]
+            _, before, keep, reset, new, held = tape[t]
             flow = flow + back[t]
-            d_fresh = flow * (1 - keep) * (1 - fresh**2)
-            d_keep = flow * (before - fresh) * keep * (1 - keep)
-            d_reset = d_fresh * held * reset * (1 - reset)
-            d_held = np.concatenate([d_keep, d_reset, d_fresh * reset], axis=1)
-            np.add.at(parts["inputs"], symbols, np.concatenate([d_keep, d_reset, d_fresh], axis=1))
-            parts["inner"] += before.T @ d_held
-            flow = flow * keep + d_held @ self.parts["inner"].T
+            d_fresh = flow * (1 - keep) * (1 - new**2)
+            d_given[t, :, :h] = flow * (before - new) * keep * (1 - keep)
+            d_given[t, :, h : 2 * h] = d_fresh * held * reset * (1 - reset)
+            d_given[t, :, 2 * h :] = d_fresh
+            d_held[t, :, : 2 * h] = d_given[t, :, : 2 * h]
+            d_held[t, :, 2 * h :] = d_fresh * reset
+            befores[t] = before
+            flow = flow * keep + d_held[t] @ turned
+            if fresh is not None:
+                flow[fresh[t]] = 0
+        parts["inner"][:] = befores.reshape(-1, h).T @ d_held.reshape(-1, 3 * h)
+        symbols = inputs.ravel()
+        order = np.argsort(symbols, kind="stable")
+        starts = _segments(symbols[order])[:-1]
+        parts["inputs"][symbols[order][starts]] = np.add.reduceat(d_given.reshape(-1, 3 * h)[order], starts, axis=0)
         return grad, state
 
 
@@ -311,17 +347,82 @@ class Adam:
         self.first, self.second = np.zeros(size, np.float32), np.zeros(size, np.float32)
 
     def apply(self, vector: np.ndarray, grad: np.ndarray) -> None:
+        """One step; overwrites the gradient."""
         self.step += 1
-        grad = grad * min(1.0, 1.0 / (float(np.sqrt((grad**2).sum())) + 1e-8))
+        grad *= min(1.0, 1.0 / (math.sqrt(float(grad @ grad)) + 1e-8))
         self.first += 0.1 * (grad - self.first)
-        self.second += 0.005 * (grad**2 - self.second)
-        scale = self.rate * np.sqrt(1 - 0.995**self.step) / (1 - 0.9**self.step)
-        vector -= scale * self.first / (np.sqrt(self.second) + 1e-6)
+        grad *= grad
+        grad -= self.second
+        grad *= 0.005
+        self.second += grad
+        scale = self.rate * math.sqrt(1 - 0.995**self.step) / (1 - 0.9**self.step)
+        np.sqrt(self.second, out=grad)
+        grad += 1e-6
+        np.divide(self.first, grad, out=grad)
+        grad *= scale
+        vector -= grad
 
 
 # ---------------------------------------------------------------------------------------- training
 
 
+@dataclass
+class Streams:
+    """Documents laid one behind another in slots, all as (steps, slots): ``owner`` is -1 behind the last."""
+
+    owner: np.ndarray
+    given: np.ndarray
+    wanted: np.ndarray
+    fresh: np.ndarray
+
+
+def streams(symbols: np.ndarray, bounds: np.ndarray, most: int, start: int, place: np.ndarray | None = None) -> Streams:
+    """Documents dealt to at most ``most`` slots, the longest first, so that slots are about equally long.
+
+    In a slot they follow in the order of ``place``. ``start`` is given where a document begins.
+    """
+    sizes = np.diff(bounds)
+    count = int(np.clip(sizes.sum() // max(int(sizes.max()), 64), 1, most))
+    load = [(0, slot) for slot in range(count)]
+    dealt: list[list[int]] = [[] for _ in range(count)]
+    for doc in np.argsort(-sizes, kind="stable").tolist():
+        reached, slot = heapq.heappop(load)
+        dealt[slot].append(doc)
+        heapq.heappush(load, (reached + int(sizes[doc]), slot))
+    length = max(reached for reached, _ in load)
+    owner = np.full((count, length), -1, np.int64)
+    given = np.full((count, length), start, np.int64)
+    wanted = np.zeros((count, length), np.int64)
+    fresh = np.ones((count, length), bool)
+    for slot, docs in enumerate(dealt):
+        at = 0
+        for doc in docs if place is None else sorted(docs, key=place.__getitem__):
+            size = int(sizes[doc])
+            own = symbols[bounds[doc] : bounds[doc + 1]]
+            owner[slot, at : at + size] = doc
+            wanted[slot, at : at + size] = own
+            given[slot, at + 1 : at + size] = own[:-1]
+            fresh[slot, at + 1 : at + size] = False
+            at += size
+    return Streams(owner.T, given.T, wanted.T, fresh.T)
+
+
+def learn(net: Network, adam: Adam, symbols: np.ndarray, bounds: np.ndarray, place: np.ndarray) -> int:
+    """Steps along whole documents, every token in one of them; returns the tokens learnt from."""
+    shape = net.shape
+    if len(bounds) < 2:
+        return 0
+    laid = streams(symbols, bounds, shape.batch, shape.symbols, place)
+    state, used = np.zeros((laid.owner.shape[1], shape.hidden), np.float32), 0
+    for begin in range(0, len(laid.owner), shape.window):
+        part = slice(begin, begin + shape.window)
+        inside = (laid.owner[part] >= 0).astype(np.float32)
+        grad, state = net.gradient(laid.given[part], laid.wanted[part], inside, state, laid.fresh[part])
+        adam.apply(net.vector, grad)
+        used += int(inside.sum())
+    return used
+
+
 def _trainer(shape: Shape, model):
     def train(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, vector = Vocabulary(*model.value[0]), model.value[1]
@@ -330,26 +431,7 @@ def _trainer(shape: Shape, model):
         for chunk in chunks(batches, "_text", shape.chunk_bytes):
             tokens, bounds = tokens_of(chunk.column("_text"))
             symbols, _ = words.look_up(tokens, shape.other)
-            place = chunk.column("_place").to_numpy()
-            sizes = np.diff(bounds)
-            starts = place % np.maximum(1, sizes - shape.stretch + 1)
-            for begin in range(0, len(sizes), shape.batch):
-                some = slice(begin, begin + shape.batch)
-                first = bounds[:-1][some] + starts[some]
-                count = np.minimum(sizes[some] - starts[some], shape.stretch)
-                at = first[None, :] + np.arange(shape.stretch)[:, None]
-                inside = (np.arange(shape.stretch)[:, None] < count[None, :]).astype(np.float32)
-                at = np.minimum(at, len(symbols) - 1)
-                inputs = symbols[np.maximum(at - 1, 0)]
-                inputs[0] = np.where(starts[some] == 0, shape.symbols, inputs[0])
-                state = np.zeros((len(count), shape.hidden), np.float32)
-                for t in range(0, shape.stretch, shape.window):
-                    part = slice(t, t + shape.window)
-                    if not inside[part].any():
-                        break
-                    grad, state = net.gradient(inputs[part], symbols[at[part]], inside[part], state)
-                    adam.apply(net.vector, grad)
-                used += int(count.sum())
+            used += learn(net, adam, symbols, bounds, chunk.column("_place").to_numpy())
         if used:
             pieces = np.array_split(net.vector, shape.slices)
             yield pa.RecordBatch.from_arrays(
@@ -373,7 +455,7 @@ def _average(rows: pd.DataFrame) -> pd.DataFrame:
 def trained(base: DataFrame, words: Vocabulary, shape: Shape) -> np.ndarray:
     """Rounds of local training in every task over its documents, then an average weighted by tokens.
 
-    Every training document takes part in one round. What the driver gets is one set of weights.
+    Every training document takes part in one round, with all its tokens. What the driver gets is one set of weights.
     """
     context = base.sparkSession.sparkContext
     vector = Network(shape).initialise(words).vector
@@ -400,47 +482,27 @@ def trained(base: DataFrame, words: Vocabulary, shape: Shape) -> np.ndarray:
 def document_scores(net: Network, symbols: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """The natural log-likelihood of each document's symbols.
 
-    Documents are dealt to slots, the longest first, and read slot by slot in step; a slot's state is
-    carried from window to window and cleared where a document begins.
+    Slots are read in step; a slot's state is carried from window to window and cleared where a document
+    begins.
     """
     shape = net.shape
     sizes = np.diff(bounds)
     if not len(sizes):
         return np.zeros(0)
-    count = int(np.clip(sizes.sum() // max(int(sizes.max()), 64), 1, shape.slots))
-    load = [(0, slot) for slot in range(count)]
-    streams: list[list[int]] = [[] for _ in range(count)]
-    for doc in np.argsort(-sizes, kind="stable").tolist():
-        reached, slot = heapq.heappop(load)
-        streams[slot].append(doc)
-        heapq.heappush(load, (reached + int(sizes[doc]), slot))
-    length = max(reached for reached, _ in load)
-    owner = np.full((count, length), -1, np.int64)
-    given = np.full((count, length), shape.symbols, np.int64)
-    wanted = np.zeros((count, length), np.int64)
-    fresh = np.ones((count, length), bool)
-    for slot, docs in enumerate(streams):
-        at = 0
-        for doc in docs:
-            size = int(sizes[doc])
-            own = symbols[bounds[doc] : bounds[doc + 1]]
-            owner[slot, at : at + size] = doc
-            wanted[slot, at : at + size] = own
-            given[slot, at + 1 : at + size] = own[:-1]
-            fresh[slot, at + 1 : at + size] = False
-            at += size
+    laid = streams(symbols, bounds, shape.slots, shape.symbols)
+    length, count = laid.owner.shape
     total = np.zeros(len(sizes))
     state = np.zeros((count, shape.hidden), np.float32)
     for begin in range(0, length, shape.scoring_window):
         end = min(begin + shape.scoring_window, length)
         states = np.empty((end - begin, count, shape.hidden), np.float32)
         for t in range(begin, end):
-            state[fresh[:, t]] = 0
-            state, _ = net.step(given[:, t], state)
+            state[laid.fresh[t]] = 0
+            state, _ = net.step(laid.given[t], state)
             states[t - begin] = state
-        live = owner[:, begin:end].T.ravel()
+        live = laid.owner[begin:end].ravel()
         used = np.flatnonzero(live >= 0)
-        chances = net.log_chances(states.reshape(-1, shape.hidden)[used], wanted[:, begin:end].T.ravel()[used])
+        chances = net.log_chances(states.reshape(-1, shape.hidden)[used], laid.wanted[begin:end].ravel()[used])
         total += np.bincount(live[used], chances.astype(np.float64), len(sizes))
     return total
 
