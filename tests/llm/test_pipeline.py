@@ -6,9 +6,11 @@ import shutil
 import subprocess
 import sys
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from timberline.llm.queries import QUERIES, SQL
-from timberline.llm.tables import settled
+from timberline.llm.tables import kept_rows, settled
 
 from tests.llm import brute
 from tests.llm.test_mix import check_packing
@@ -57,6 +59,29 @@ def test_every_stage_works_on_what_the_one_before_kept(spark):
     assert corpus_pipeline.ORACLE_SQL is None
 
 
+def test_rows_are_found_again_when_files_are_packed_otherwise(spark, tmp_path):
+    spark.read.parquet(f"{FOLDER}/documents.parquet").repartition(6).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+
+    def packed_in(files_each):
+        spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 30) if files_each == 1 else "1")
+        spark.conf.set("spark.sql.files.minPartitionNum", "6" if files_each == 1 else "1")
+
+    def operator(rows, keep):
+        return settled(rows.select(*keep, (F.col("doc_id") % 3 == 0).alias("kept")), "test-kept")
+
+    try:
+        packed_in(1)
+        kept = kept_rows(docs, operator)
+        packed_in(6)
+        assert sorted(r.doc_id for r in kept.collect()) == sorted(
+            r.doc_id for r in docs.collect() if r.doc_id % 3 == 0
+        )
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+
+
 def test_queries_are_registered_once_per_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
     assert numbers == list(range(1, 11))

@@ -24,12 +24,15 @@ def row_key(identifier: str = "doc_id", text: str = "text") -> Column:
 
 
 def with_rows(docs: DataFrame) -> DataFrame:
-    """Adds a number ``_row`` to each row of a stored table: the same whenever its files are read."""
-    return docs.withColumn("_row", F.monotonically_increasing_id())
+    """The rows with a number ``_row`` each, written once: all who read them see the same numbers.
+
+    The numbers follow how files are packed into partitions, which may differ from one scan to the next.
+    """
+    return settled(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
 
 
 def kept_rows(docs: DataFrame, operator: Callable[..., DataFrame]) -> DataFrame:
-    """The rows of a stored table that an operator with a column ``kept`` keeps, with all columns."""
+    """The rows of a table that an operator with a column ``kept`` keeps, with all columns."""
     rows = with_rows(docs)
     kept = operator(rows, keep=("_row",)).where("kept").select("_row")
     return rows.join(kept, "_row", "left_semi").drop("_row")
