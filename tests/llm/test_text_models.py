@@ -170,6 +170,24 @@ def test_quality_scores(spark):
     assert len(LABELLERS) == len({labeller.statistic for labeller in LABELLERS})
 
 
+def test_long_documents_do_not_push_others_out_of_the_sample():
+    sizes, labels = np.array([900, 10, 30, 20, 40, 10]), np.array([0, 0, 1, 1, 0, 1])
+    assert toxicity.fitting(sizes, labels, 120).tolist() == [1, 2, 3, 4, 5]
+    assert toxicity.fitting(sizes, labels, 2000).tolist() == [0, 1, 2, 3, 4, 5]
+    assert set(labels[toxicity.fitting(sizes, labels, 5)].tolist()) == {0, 1}
+
+
+def test_toxicity_learns_behind_a_document_over_the_bound():
+    rule = toxicity.Subwords(training_bytes=20_000)
+    generator = random.Random(4)
+    texts = ["plain words " * 5000]
+    texts += [" ".join(generator.choice(("plain", "calm", "vile")[at % 2 :][:2]) for _ in range(12)) for at in range(80)]
+    rows = {"_text": texts, "_label": [0, *(at % 2 for at in range(80))], "_order": list(range(81))}
+    (alone,) = toxicity._trainer(rule)([pa.RecordBatch.from_pydict(rows)])
+    (usual,) = toxicity._trainer(rule)([pa.RecordBatch.from_pydict({k: v[1:] for k, v in rows.items()})])
+    assert alone.to_pydict() == usual.to_pydict()
+
+
 # ----------------------------------------------------------------------------------- language model
 
 SMALL = Shape(classes=4, members=8, hidden=6, batch=8, stretch=24, window=8, scoring_window=5)

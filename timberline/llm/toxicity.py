@@ -185,6 +185,31 @@ def train(data: np.ndarray, offsets: np.ndarray, labels: np.ndarray, rule: Subwo
     return margin, float(bias[1] - bias[0])
 
 
+def fitting(sizes: np.ndarray, labels: np.ndarray, most: int) -> np.ndarray:
+    """Rows, in order, that fit in the bound: half of it for each label, then what is left for those skipped.
+
+    Rows too long for what is left are skipped, not those behind them. The shortest row of a label of
+    which none fits is taken all the same.
+    """
+    taken, used = np.zeros(len(sizes), bool), 0
+    for label in (0, 1):
+        own, held = np.flatnonzero(labels == label), 0
+        for row in own.tolist():
+            if held + sizes[row] <= most // 2:
+                taken[row] = True
+                held += int(sizes[row])
+        if len(own) and not taken[own].any():
+            shortest = own[np.argmin(sizes[own])]
+            taken[shortest] = True
+            held = int(sizes[shortest])
+        used += held
+    for row in np.flatnonzero(~taken).tolist():
+        if used + sizes[row] <= most:
+            taken[row] = True
+            used += int(sizes[row])
+    return np.flatnonzero(taken)
+
+
 def _trainer(rule: Subwords):
     def fit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(list(batches))
@@ -192,7 +217,7 @@ def _trainer(rule: Subwords):
             return
         table = table.sort_by([("_order", "ascending")])
         sizes = pc.binary_length(table.column("_text")).to_numpy()
-        table = table.slice(0, max(1, int((np.cumsum(sizes) <= rule.training_bytes).sum())))
+        table = table.take(fitting(sizes, table.column("_label").to_numpy(), rule.training_bytes))
         data, offsets = text_buffers(table.column("_text"))
         margin, bias = train(data, offsets, table.column("_label").to_numpy().astype(np.float64), rule)
         yield pa.RecordBatch.from_arrays(
@@ -214,7 +239,7 @@ def fitted(
     """Fits the model on a bounded sample of labelled documents, in one task; returns its weights.
 
     The sample is ``documents_per_label`` documents of each label, drawn by a hash of the identifier,
-    and of these the first ``training_bytes`` of text. Rows for which ``held_out`` holds are left out.
+    and of these those that fit in ``training_bytes`` of text, half of it for each label first. Rows for which ``held_out`` holds are left out.
     Null labels, identifiers and texts are no training rows. Without both labels nothing is toxic.
     """
     known = labels.select(F.col(identifier).alias("_id"), F.col(label).cast("int").alias("_label")).where(
