@@ -87,3 +87,16 @@ def test_csv_keeps_outer_spaces_and_finds_columns_per_file(spark, tmp_path):
     (folder / "c.csv").write_text("LineId,Content\n3,three\n")
     with pytest.raises(Exception, match="EventId"):
         structured_lines(spark, str(folder)).collect()
+
+
+def test_files_of_any_number_of_headers_are_all_read(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("timberline.sources.delimited.MAX_HEADERS", 2, raising=False)
+    names = ["EventId", "EventTemplate", "Occurrences"]
+    for at in range(9):
+        more = [f"x{at}_{n}" for n in range(at)]  # extra columns of other names and another number
+        header = names[at % 3 :] + names[: at % 3] + more
+        fields = {"EventId": f"E{at}", "EventTemplate": f'"a, {at}"', "Occurrences": str(at)}
+        line = ",".join(fields.get(name, "more") for name in header)
+        (tmp_path / f"f{at}.csv").write_text(",".join(header) + "\n" + line + "\n")
+    found = sorted(tuple(row) for row in event_templates(spark, str(tmp_path)).collect())
+    assert found == [(f"E{at}", f"a, {at}", at) for at in range(9)]

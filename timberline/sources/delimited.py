@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from functools import reduce
 from urllib.parse import unquote
 
@@ -20,14 +21,21 @@ CSV_FORMAT = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
-MAX_HEADERS = 1000
+
+
+def _places(header: str | None, names: list[str]) -> tuple:
+    """Where a header has the named columns; the header itself if not each is there once."""
+    found = next(csv.reader([header or ""]), [])
+    if any(found.count(name) != 1 for name in names):
+        return (header,)
+    return tuple(found.index(name) for name in names)
 
 
 def _read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """The named columns of all files, each found by the header of its own file.
 
-    Spark binds the columns of all files by the header of one, so files are read in groups of one
-    header. A file without one of the columns is an error.
+    Spark binds the columns of all files by the header of one, so files are read in groups that have
+    the named columns in the same places. A file without one of the columns is an error.
     """
     first_lines = (
         spark.read.text(path)
@@ -36,13 +44,12 @@ def _read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
         .groupBy("file")
         .agg(F.min_by("value", "at").alias("header"))
     )
-    headers = first_lines.groupBy("header").agg(F.collect_list("file").alias("files")).take(MAX_HEADERS)
-    if len(headers) <= 1:
+    alike: dict[tuple, list[str]] = {}
+    for row in first_lines.groupBy("header").agg(F.collect_list("file").alias("files")).toLocalIterator():
+        alike.setdefault(_places(row["header"], schema.fieldNames()), []).extend(map(unquote, row["files"]))
+    if len(alike) <= 1:
         return spark.read.options(**CSV_FORMAT).csv(path).select(*schema.fieldNames())
-    groups = [
-        spark.read.options(**CSV_FORMAT).csv([unquote(name) for name in row["files"]]).select(*schema.fieldNames())
-        for row in headers
-    ]
+    groups = [spark.read.options(**CSV_FORMAT).csv(files).select(*schema.fieldNames()) for files in alike.values()]
     return reduce(DataFrame.unionByName, groups)
 
 
