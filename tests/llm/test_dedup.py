@@ -93,6 +93,15 @@ def test_exact_keeps_one_of_a_hot_group(spark):
     assert len(rows) == 1000 and {r.keep_id for r in rows} == {0} and sum(r.kept for r in rows) == 1
 
 
+def test_near_links_classes_whose_other_values_are_all_their_own(spark):
+    generator = random.Random(3)
+    template = prose(generator, 240, 4000)
+    rows = [(at, " ".join([*template, *(f"own{at}x{i}" for i in range(16))])) for at in range(16)]
+    near = Nearness(longest_list=3, least_rare=2)
+    found = {r.doc_id: r.component_id for r in near_components(docs(spark, rows), near=near).collect()}
+    assert {key: root for key, (_, root) in brute.near(rows).items()} == found == dict.fromkeys(range(16), 0)
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 @pytest.mark.parametrize("near", [Nearness(), Nearness(longest_list=3, block_classes=4), Nearness(longest_list=2, block_shingles=900, hot_lists=8)])
 def test_near_like_brute(spark, seed, near):

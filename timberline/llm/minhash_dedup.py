@@ -117,7 +117,7 @@ def near_components(
     ``listed_values``.
 
     Lists longer than ``longest_list`` are never expanded into pairs. A class that keeps
-    ``least_rare`` values in shorter lists is found through those. The others, whose text is mostly
+    ``least_rare`` values in shorter lists of two classes or more is found through those. The others, whose text is mostly
     shared by many, are compared on their full sets inside their long lists, in pairs of bounded
     blocks that return who is connected, never the pairs: first among the classes with the same
     smallest long list, then in each other long list that still holds several components, where
@@ -196,10 +196,10 @@ def _lists(classes: DataFrame, near: Nearness) -> tuple[DataFrame, DataFrame]:
     placed = settled(entries.join(lengths, "value"), "near-lists")
     short = placed.where(F.col("length") <= near.longest_list)
     long = placed.where(F.col("length") > near.longest_list)
-    # values that no other class has are rare as well
-    long_per_class = long.groupBy("fp").agg(F.count(F.lit(1)).alias("long"))
-    needy = long_per_class.join(classes.select("fp", "values"), "fp").where(
-        F.least(F.size("values"), F.lit(near.listed_values)) - F.col("long") < near.least_rare
+    # values that no other class has lead to none, so they do not count as rare
+    is_long = F.col("length") > near.longest_list
+    needy = placed.groupBy("fp").agg(F.count_if(is_long).alias("long"), F.count_if(~is_long).alias("rare")).where(
+        (F.col("long") > 0) & (F.col("rare") < near.least_rare)
     )
     order = Window.partitionBy("fp").orderBy("value")
     hot = (
