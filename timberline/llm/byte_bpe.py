@@ -17,7 +17,7 @@ from timberline.llm.words import chunks
 CHUNK_BYTES = 4_000_000
 LONG_TEXT = 1_000_000
 MATCHES_AT_ONCE = 50_000
-KNOWN_MATCHES = 200_000
+KNOWN_MATCHES = 600_000
 KNOWN_LENGTH = 64
 KNOWN_PAIRS = 500_000
 
@@ -46,73 +46,80 @@ class Merges:
     def __init__(self, ranks: dict[bytes, int]):
         import ahocorasick
 
+        if any(bytes([value]) not in ranks for value in range(256)):
+            raise ValueError("the vocabulary lacks single bytes")
         self.ranks = {piece.decode("latin-1"): rank for piece, rank in ranks.items()}
         self.shorter: dict[str, str | None] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
         self.automaton = ahocorasick.Automaton()
         for piece in self.ranks:
-            self.automaton.add_word(piece, piece)
+            if len(piece) > 1:
+                self.automaton.add_word(piece, (len(piece) - 1, piece))
         self.automaton.make_automaton()
 
-    def merged(self, text: str) -> list[str]:
-        """The merges by their definition, the lowest rank first; for two tokens at a time."""
+    def compatible(self, left: str, right: str) -> bool:
+        """Whether the merges by their definition, the lowest rank first, keep two tokens apart."""
         rank, none = self.ranks.get, float("inf")
-        parts = list(text)
+        parts = [*left, *right]
         joins = [rank(a + b, none) for a, b in zip(parts, parts[1:])]
-        while joins and (least := min(joins)) < none:
+        border, size = len(left) - 1, len(joins)  # the join of the last part of left and the first of right
+        while size and (least := min(joins)) < none:
             at = joins.index(least)
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            if at == border:
+                return False
+            border -= at < border
             del joins[at]
+            size -= 1
+            joined = parts[at] = parts[at] + parts.pop(at + 1)
             if at:
-                joins[at - 1] = rank(parts[at - 1] + parts[at], none)
-            if at < len(joins):
-                joins[at] = rank(parts[at] + parts[at + 1], none)
-        return parts
-
-    def compatible(self, left: str, right: str) -> bool:
-        known = self.pairs.get((left, right))
-        if known is None:
-            if len(self.pairs) >= KNOWN_PAIRS:
-                self.pairs.clear()
-            known = self.pairs[left, right] = self.merged(left + right) == [left, right]
-        return known
+                joins[at - 1] = rank(parts[at - 1] + joined, none)
+            if at < size:
+                joins[at] = rank(joined + parts[at + 1], none)
+        return size == 1
 
     def next_shorter(self, token: str) -> str | None:
         """The longest token that is a proper beginning of this one."""
-        if token not in self.shorter:
-            begins = (token[:size] for size in range(len(token) - 1, 0, -1))
-            self.shorter[token] = next((begin for begin in begins if begin in self.ranks), None)
-        return self.shorter[token]
-
-    def longest(self, text: str) -> list[str | None]:
-        """The longest token that begins at each place."""
-        found: list[str | None] = [None] * len(text)
-        for end, token in self.automaton.iter(text):
-            found[end + 1 - len(token)] = token
-        return found
+        begins = (token[:size] for size in range(len(token) - 1, 0, -1))
+        return next((begin for begin in begins if begin in self.ranks), None)
 
     def encode(self, text: str) -> list[int]:
         if (whole := self.ranks.get(text)) is not None:
             return [whole]
-        longest = self.longest(text)
-        dead = bytearray(len(text) + 1)
+        size, pairs, shorter = len(text), self.pairs, self.shorter
+        if len(pairs) >= KNOWN_PAIRS:
+            pairs.clear()
+        longest = list(text)  # the longest token that begins at each place
+        for end, (length, token) in self.automaton.iter(text):
+            longest[end - length] = token
+        dead = set()
         laid: list[str] = []
-        place, token = 0, longest[0]
-        while place < len(text):
-            while token is not None and (
-                dead[place + len(token)] or (laid and not self.compatible(laid[-1], token))
-            ):
-                token = self.next_shorter(token)
+        place, token, left = 0, longest[0], None
+        while place < size:
+            while token is not None:
+                end = place + len(token)
+                if end not in dead:
+                    if left is None:
+                        break
+                    pair = (left, token)
+                    fits = pairs.get(pair)
+                    if fits is None:
+                        fits = pairs[pair] = self.compatible(left, token)
+                    if fits:
+                        break
+                if token not in shorter:
+                    shorter[token] = self.next_shorter(token)
+                token = shorter[token]
             if token is not None:
                 laid.append(token)
-                place += len(token)
-                token = longest[place] if place < len(text) else None
+                left, place = token, end
+                token = longest[place] if place < size else None
             elif laid:
-                dead[place] = 1
+                dead.add(place)
                 token = laid.pop()
+                left = laid[-1] if laid else None
                 place -= len(token)
             else:
-                raise ValueError("the vocabulary lacks single bytes")
+                raise ValueError("nothing in the vocabulary fits")
         return [self.ranks[token] for token in laid]
 
 
@@ -237,7 +244,7 @@ def byte_pair_ids(
     ``vocabulary`` is a rank file: a path on the executors, or a name in the public vocabulary folder.
     Each match of ``pattern`` (by default the public one) is encoded by itself: by the token it is, else
     by the merges. A task holds one chunk of texts, or one text, and its ids; it remembers the ids of
-    up to 200 000 short matches and whether up to 500 000 pairs of tokens go together.
+    up to 600 000 short matches and whether up to 500 000 pairs of tokens go together.
 
     Null and empty texts give an empty list. Null and repeated identifiers and repeated rows stay as
     they are. An empty table gives an empty one. Other columns are ignored, whatever their names.
