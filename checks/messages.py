@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from checks.fixture import LogData, SEARCH_DIMENSION, cosine_sql, hashed_ctes
 from checks.registry import over_documents, over_logs, query
 from timberline.functions import similarity
+from timberline.operators.cells import fit_cells, nearest_in_cells, read_cells, with_cell, write_cells
 from timberline.operators.lsh import approximate_nearest, recall, with_signature, write_index
 from timberline.operators.rollups import by_frequency, distinct_messages, messages_without_vector
 from timberline.operators.vectors import nearest
@@ -170,6 +171,34 @@ def lsh_topk(data: LogData) -> DataFrame:
     return recall(exact, found, "vec_id")
 
 
+@query(KNN_SQL)
+def cell_index_full(data: LogData) -> DataFrame:
+    """The search over trained cells with every cell probed is exact."""
+    vectors = data.given("embeddings").select("vec_id", "embedding")
+    queries = vectors.withColumnRenamed("vec_id", "query_id")
+    model = fit_cells(vectors, max_cells=16)
+    found = nearest_in_cells(queries, with_cell(vectors, model), model, "vec_id", 10, probes=16)
+    return found.select(
+        "query_id", F.col("vec_id").alias("item_id"), "rank", F.round("similarity", 6).alias("sim")
+    )
+
+
+@query("SELECT count(*) AS queries, 10 * count(*) AS exact_results, TRUE AS recall_reached FROM embeddings")
+def cell_search_recall(data: LogData) -> DataFrame:
+    """The stored index by its default probes finds at least nine tenths of the exact ten nearest."""
+    vectors = data.given("embeddings").select("vec_id", "embedding")
+    queries = vectors.withColumnRenamed("vec_id", "query_id")
+    folder = shared_folder(data.spark, "cells")
+    write_cells(vectors, folder)
+    found = nearest_in_cells(queries, *read_cells(data.spark, folder), "vec_id", 10)
+    found_per_query = recall(nearest(queries, vectors, "vec_id", 10), found, "vec_id")
+    return found_per_query.agg(
+        F.count(F.lit(1)).alias("queries"),
+        F.sum("exact_results").alias("exact_results"),
+        (F.avg("recall") >= 0.9).alias("recall_reached"),
+    )
+
+
 @query(
     """SELECT vec_id, CAST(length(literal) AS INT) AS literal_length, CAST(len(embedding) AS INT) AS numbers, TRUE AS exact_to_ten_decimals
 FROM (SELECT *, '[' || array_to_string(list_transform(embedding, lambda x: printf('%.10f', CAST(x AS DOUBLE))), ',') || ']' AS literal

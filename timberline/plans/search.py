@@ -22,6 +22,7 @@ from timberline.fixed_values import (
     RESULT_COLUMNS,
 )
 from timberline.functions.labels import iso_time
+from timberline.operators.cells import CellModel, nearest_in_cells
 from timberline.operators.encoders import Encoder
 from timberline.operators.keyword import keyword_matches
 from timberline.operators.lsh import PLANES, PROBES, SEED, approximate_nearest
@@ -62,11 +63,27 @@ def keyword_search(
 
 @dataclass(frozen=True)
 class Index:
-    """How the vector index was written, and how many signatures a request probes."""
+    """How an index of signatures was written, and how many of them a request probes."""
 
     probes: int = PROBES
     planes: int = PLANES
     seed: int = SEED
+    columns = ("signature",)
+
+    def nearest(self, queries: DataFrame, items: DataFrame, key: str, limit: int) -> DataFrame:
+        return approximate_nearest(queries, items, key, limit, self.probes, self.planes, self.seed)
+
+
+@dataclass(frozen=True)
+class CellIndex:
+    """The model that an index of cells was written by, and how many cells a request probes if not its default."""
+
+    model: CellModel
+    probes: int | None = None
+    columns = ("cell", "folder")
+
+    def nearest(self, queries: DataFrame, items: DataFrame, key: str, limit: int) -> DataFrame:
+        return nearest_in_cells(queries, items, self.model, key, limit, self.probes)
 
 
 def semantic_search(
@@ -75,12 +92,13 @@ def semantic_search(
     vectors: DataFrame,
     encoder: Encoder,
     default_top_k: int = DEFAULT_TOP_K,
-    index: Index | None = None,
+    index: Index | CellIndex | None = None,
     levels: Sequence[str] | None = LEVELS,
 ) -> DataFrame:
     """Per request the lines whose message is closest in meaning to the text.
 
-    ``levels`` are the levels that a request may name, None for any. With ``index`` the ``vectors`` are a table written by ``lsh.write_index`` and the search is
+    ``levels`` are the levels that a request may name, None for any. With ``index`` the ``vectors`` are
+    the rows of an index (``cells.read_cells``, or what ``lsh.write_index`` wrote) and the search is
     approximate; without it, exact.
     """
     asked = tidy_requests(requests, default_top_k).select("query_id", "text", "level", "top_k")
@@ -89,7 +107,7 @@ def semantic_search(
 
 
 def vector_search(
-    asked: DataFrame, logs: DataFrame, vectors: DataFrame, index: Index | None = None
+    asked: DataFrame, logs: DataFrame, vectors: DataFrame, index: Index | CellIndex | None = None
 ) -> DataFrame:
     """As ``semantic_search`` for ready vectors: ``query_id, embedding, level, top_k``, any levels."""
     asked, largest = accepted_requests(asked.select("query_id", "embedding", "level", "top_k"))
@@ -97,7 +115,7 @@ def vector_search(
 
 
 def _nearest_lines(
-    asked: DataFrame, limit: int, logs: DataFrame, vectors: DataFrame, index: Index | None
+    asked: DataFrame, limit: int, logs: DataFrame, vectors: DataFrame, index: Index | CellIndex | None
 ) -> DataFrame:
     """Two stages: the best messages per request, then their lines.
 
@@ -117,7 +135,7 @@ def _nearest_lines(
         F.greatest(F.col("top_k"), F.lit(MIN_CANDIDATES)).alias("top_k"),
         F.when(F.col("level").isNotNull(), F.array("level")).alias("scope"),
     )
-    items = vectors.select("normalized_message", "embedding", *(["signature"] if index else []))
+    items = vectors.select("normalized_message", "embedding", *(index.columns if index else ()))
     if levels is None or levels:
         # Only the asked levels are read where they are known.
         relevant = logs if levels is None else logs.where(F.col("level").isin(levels))
@@ -131,9 +149,7 @@ def _nearest_lines(
     if index is None:
         matches = nearest(queries, items, "normalized_message", places)
     else:
-        matches = approximate_nearest(
-            queries, items, "normalized_message", places, index.probes, index.planes, index.seed
-        )
+        matches = index.nearest(queries, items, "normalized_message", places)
     matches = matches.drop("rank")
     # Two readers follow; the vectors are scanned once.
     matches = settled(matches, "matches")
