@@ -4,39 +4,39 @@
 ``literal`` switches all three off. Two forms give the same matches:
 
 * a few requests become literal predicates of one scan;
-* many requests are looked up together: every task runs one pass over its lines for the longest
-  plain stretch of each pattern, so the work does not grow with the number of requests, and
-  patterns with wildcards are then checked in full. Requests beyond the checked size take several
-  such passes. Without the lookup library they become predicates, a few per scan.
+* many requests are joined by what lines and patterns must share: the rarest whole word of a pattern's
+  longest plain stretch, or, in a stretch without one, its rarest gram of three characters. Each line
+  gives its distinct words, or grams, and the lines that share one are checked against the pattern in
+  full. Requests beyond the checked size take several such joins.
 
-Matches are keys of lines. Where only the first lines of each request are wanted, a task of the
-second form keeps no more of them than the request asks for.
+Matches are keys of lines. Requests for the same pattern and level are looked up once, and where only
+the first lines of each are wanted, a task of the second form keeps no more of them than that.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 from functools import reduce
 import re
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from timberline.operators.ranking import in_time_order, top_per_group
 from timberline.session import settled
 
-try:
-    import ahocorasick
-except ImportError:  # predicates serve instead
-    ahocorasick = None
-
-# Requests compiled into predicates, requests per pass otherwise, and characters of request text
+# Requests compiled into predicates, requests per join otherwise, and characters of request text
 # that tasks hold in either form.
 MAX_COMPILED = 64
 MAX_LOOKED_UP = 20_000
 MAX_SHARED_TEXT = 16_000_000
+# Characters of a gram, and the words or grams of a pattern among which the rarest is sought.
+GRAM, COMPARED = 3, 16
+WORD_BREAK = "[^a-z0-9]+"
+# Asks are ranked together with others of their size, so that a few large ones do not widen all.
+LIMIT_CLASSES = (32, 1024)
 KEY_COLUMNS = ("id", "line_id", "log_timestamp")
 
 
@@ -77,7 +77,7 @@ def keyword_matches(
         blocks = max(1, -(-size.rows // max_looked_up), -(-text // MAX_SHARED_TEXT))
         passes = []
         for block in _hashed_blocks(asked, blocks):
-            passes += _look_up(block, prepared, first_only)
+            passes += _by_shared_piece(block, prepared, first_only)
     return reduce(DataFrame.unionByName, [one.select(*KEY_COLUMNS, "query_id", "top_k") for one in passes])
 
 
@@ -137,122 +137,128 @@ def stretches(pattern: str) -> list[str]:
     return texts
 
 
-def _look_up(asked: DataFrame, prepared: DataFrame, first_only: bool) -> list[DataFrame]:
-    """One lookup for the requests with a plain stretch; those of wildcards alone are compiled."""
+def _words(text: Column) -> Column:
+    return F.array_distinct(F.split(text, WORD_BREAK))
+
+
+def _grams(text: Column, sizes: list[int]) -> Column:
+    """The distinct stretches of a text of the given sizes; size 0 is the empty one."""
+
+    def of(size: int) -> Column:
+        if not size:
+            return F.array(F.lit(""))
+        # Looking ahead gives overlapping matches in one pass.
+        return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1))
+
+    return F.array_distinct(F.concat(*[of(size) for size in sizes]))
+
+
+def _some(pieces: list[str]) -> list[str]:
+    """Some of many pieces, evenly apart, each once."""
+    last, count = len(pieces) - 1, min(len(pieces), COMPARED)
+    return list({pieces[at * last // max(1, count - 1)]: None for at in range(count)})
+
+
+def whole_words(stretch: str) -> list[str]:
+    """Words that end inside the stretch on both sides, so that they are words of any line with it."""
+    return [word for word in re.split(WORD_BREAK, stretch)[1:-1] if word]
+
+
+def _pieces(anchor: str) -> tuple[bool, list[str]]:
+    """Whether a stretch is sought by whole words, and the words or grams to choose from."""
+    if words := whole_words(anchor):
+        return True, _some(words)
+    if len(anchor) <= GRAM:
+        return False, [anchor]
+    return False, _some([anchor[at : at + GRAM] for at in range(len(anchor) - GRAM + 1)])
+
+
+def _rarest(pieces: list[list[str]], prepared: DataFrame, of: Callable[[Column], Column]) -> list[str]:
+    """Per pattern the piece that the fewest lines hold. Lines are read only where there is a choice."""
+    wanted = sorted({piece for own in pieces if len(own) > 1 for piece in own})
+    lines = {}
+    if wanted:
+        table = prepared.sparkSession.createDataFrame([(piece,) for piece in wanted], "_piece string")
+        counts = (
+            prepared.select(F.explode(of(F.col("_lower"))).alias("_piece"))
+            .join(F.broadcast(table), "_piece")
+            .groupBy("_piece")
+            .agg(F.count(F.lit(1)).alias("lines"))
+        )
+        # One row per piece of the requests, whose text is bounded.
+        lines = {row["_piece"]: row["lines"] for row in counts.collect()}
+    return [min(own, key=lambda piece: (lines.get(piece, 0), piece)) for own in pieces]
+
+
+def _by_shared_piece(asked: DataFrame, prepared: DataFrame, first_only: bool) -> list[DataFrame]:
+    """Lines by the rarest word or gram of each pattern; a join for words, one for grams, per class of limits."""
+    spark = prepared.sparkSession
     requests = asked.toArrow()
-    anchored = [
-        ahocorasick is not None and max(stretches(pattern), key=len) != ""
-        for pattern in requests["pattern"].to_pylist()
-    ]
-    rest = requests.filter(pa.array([not has for has in anchored], pa.bool_()))
-    passes = [
-        _one_scan(rest.slice(start, MAX_COMPILED), asked, prepared)
-        for start in range(0, rest.num_rows, MAX_COMPILED)
-    ]
-    if any(anchored):
-        passes.append(_by_anchor(requests.filter(pa.array(anchored, pa.bool_())), asked, prepared, first_only))
-    return passes or [_one_scan(rest, asked, prepared)]
-
-
-def as_expression(pattern: str) -> re.Pattern:
-    """The regular expression of a pattern, for a match of the whole text."""
-    out, escaped = [], False
-    for character in pattern:
-        if escaped:
-            out.append(re.escape(character))
-            escaped = False
-        elif character == "\\":
-            escaped = True
-        else:
-            out.append({"%": ".*", "_": "."}.get(character, re.escape(character)))
-    return re.compile("".join(out), re.DOTALL)
-
-
-class _FirstLines:
-    """The keys of the first lines of each request, pruned whenever twice as many are held."""
-
-    def __init__(self, most: list[int] | None):
-        self.most, self.held = most, {}
-
-    def add(self, request: int, key: tuple) -> None:
-        own = self.held.setdefault(request, [])
-        own.append(key)
-        if self.most is not None and len(own) >= 2 * max(self.most[request], 8):
-            own.sort()
-            del own[self.most[request] :]
-
-    def __iter__(self) -> Iterator[tuple[int, tuple]]:
-        for request, own in self.held.items():
-            own.sort()
-            for key in own if self.most is None else own[: self.most[request]]:
-                yield request, key
-
-
-def _by_anchor(few: pa.Table, asked: DataFrame, prepared: DataFrame, first_only: bool) -> DataFrame:
-    """Lines by the longest plain stretch of each pattern, all stretches in one pass per line."""
-    patterns = few["pattern"].to_pylist()
-    texts = [stretches(pattern) for pattern in patterns]
-    anchors = [max(parts, key=len) for parts in texts]
-    # A pattern that is one plain text needs no second look.
-    checks = [
-        None if parts == ["", anchor, ""] else pattern
-        for pattern, parts, anchor in zip(patterns, texts, anchors)
-    ]
-    sent = prepared.sparkSession.sparkContext.broadcast(
-        (anchors, checks, few["level"].to_pylist(), few["top_k"].to_pylist(), few["query_id"].combine_chunks())
+    rows = requests.to_pylist()
+    if rows and all(row["level"] is not None for row in rows):
+        prepared = prepared.where(F.col("level").isin(sorted({row["level"] for row in rows})))
+    prepared = prepared.where(F.col("_lower").isNotNull())
+    limits: dict[tuple, int] = {}
+    for row in rows:
+        own = row["pattern"], row["level"]
+        limits[own] = max(limits.get(own, 0), row["top_k"] or 0)
+    number_of = {own: number for number, own in enumerate(limits)}
+    names = pa.table(
+        {
+            "_ask": pa.array([number_of[row["pattern"], row["level"]] for row in rows], pa.int32()),
+            "query_id": requests["query_id"],
+            "top_k": requests["top_k"],
+        }
+    )
+    named = spark.createDataFrame(
+        names,
+        T.StructType([T.StructField("_ask", T.IntegerType()), asked.schema["query_id"], asked.schema["top_k"]]),
     )
-    schema = T.StructType(
-        [
-            *[prepared.schema[name] for name in KEY_COLUMNS],
-            asked.schema["query_id"],
-            T.StructField("top_k", T.IntegerType()),
-        ]
+    asks = []
+    for (pattern, level), number in number_of.items():
+        parts = stretches(pattern)
+        anchor = max(parts, key=len)
+        # A pattern that is one plain text needs no second look.
+        plain = parts == ["", anchor, ""]
+        by_words, pieces = _pieces(anchor)
+        asks.append((by_words, pieces, (number, pattern, level, limits[pattern, level], anchor, plain)))
+    passes = []
+    for by_words in (True, False):
+        own = [(pieces, ask) for words, pieces, ask in asks if words == by_words]
+        if own:
+            passes += _joined(own, by_words, prepared, named, first_only)
+    return passes or [prepared.where("false").join(F.broadcast(named))]
+
+
+def _joined(
+    asks: list[tuple], by_words: bool, prepared: DataFrame, named: DataFrame, first_only: bool
+) -> list[DataFrame]:
+    sizes = sorted({min(GRAM, len(piece)) for pieces, _ in asks for piece in pieces})
+    of = _words if by_words else lambda text: _grams(text, sizes)
+    rarest = _rarest([pieces for pieces, _ in asks], prepared, of)
+    table = prepared.sparkSession.createDataFrame(
+        [(*ask, piece) for (_, ask), piece in zip(asks, rarest)],
+        "_ask int, _pattern string, _level string, _most int, _anchor string, _plain boolean, _piece string",
     )
-    last = np.iinfo(np.int64).max
-
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, checks, levels, most, names = sent.value
-        search = _automaton(words)
-        expressions = [None if check is None else as_expression(check) for check in checks]
-        found, kind = _FirstLines(most if first_only else None), None
-        for batch in batches:
-            kind = batch.column("log_timestamp").type
-            times = batch.column("log_timestamp").cast(pa.int64()).fill_null(last).to_pylist()
-            keys = list(zip(times, batch.column("line_id").to_pylist(), batch.column("id").to_pylist()))
-            for key, level, text in zip(keys, batch.column("level").to_pylist(), batch.column("_lower").to_pylist()):
-                if not text:
-                    continue
-                for request in {number for _, numbers in search.iter(text) for number in numbers}:
-                    if levels[request] is not None and levels[request] != level:
-                        continue
-                    if expressions[request] is None or expressions[request].fullmatch(text):
-                        found.add(request, key)
-        pairs = list(found)
-        for start in range(0, len(pairs), 10_000):
-            part = pairs[start : start + 10_000]
-            requests, keys = [request for request, _ in part], [key for _, key in part]
-            times = pa.array([None if time == last else time for time, _, _ in keys], pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([name for _, _, name in keys], pa.int64()),
-                    pa.array([line for _, line, _ in keys], pa.int64()),
-                    times.cast(kind),
-                    names.take(pa.array(requests, pa.int64())),
-                    pa.array([most[request] for request in requests], pa.int32()),
-                ],
-                names=schema.names,
-            )
-
-    return prepared.mapInArrow(find, schema)
-
-
-def _automaton(words: list[str]):
-    """A search automaton over the words; each word leads to the numbers of its requests."""
-    numbers: dict[str, list[int]] = {}
-    for number, word in enumerate(words):
-        numbers.setdefault(word, []).append(number)
-    search = ahocorasick.Automaton()
-    for word, its_numbers in numbers.items():
-        search.add_word(word, its_numbers)
-    search.make_automaton()
-    return search
+    lines = prepared.select("*", F.explode(of(F.col("_lower"))).alias("_piece"))
+
+    def hits(some: DataFrame) -> DataFrame:
+        met = lines.join(F.broadcast(some), "_piece")
+        return met.where(
+            (F.col("_level").isNull() | (F.col("_level") == F.col("level")))
+            & F.contains("_lower", "_anchor")
+            & (F.col("_plain") | F.like("_lower", "_pattern"))
+        ).select(*KEY_COLUMNS, "_ask", "_most")
+
+    if not first_only:
+        return [hits(table).join(F.broadcast(named), "_ask")]
+    passes, below = [], 0
+    most = [ask[3] for _, ask in asks]
+    for bound in (*LIMIT_CLASSES, max(most)):
+        largest = max((limit for limit in most if below < limit <= bound), default=0)
+        if largest:
+            some = table.where((F.col("_most") > below) & (F.col("_most") <= largest))
+            first = top_per_group(hits(some), ["_ask"], in_time_order(), largest, rank="_place")
+            passes.append(first.join(F.broadcast(named), "_ask").where("_place <= top_k"))
+        below = max(below, bound)
+    return passes
