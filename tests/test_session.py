@@ -58,10 +58,10 @@ def test_folders_named_in_a_scope_are_removed(spark):
     assert not session.folder_exists(spark, inside[0])
 
 
-def test_small_texts_are_replaced(spark, tmp_path):
+def test_small_texts_are_created_once(spark, tmp_path):
     path = str(tmp_path / "pointer")
-    assert session.read_small_text(spark, path) is None
-    for content in ("one", "two"):
-        session.replace_small_text(spark, path, content)
-        assert session.read_small_text(spark, path) == content
-    assert [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["pointer"]
+    assert session.create_small_text(spark, path, "one")
+    assert not session.create_small_text(spark, path, "two")
+    assert session.read_small_text(spark, path) == "one"
+    assert session.names_in(spark, str(tmp_path / "nowhere")) == []
+    assert [name for name in session.names_in(spark, str(tmp_path)) if not name.startswith(".")] == ["pointer"]

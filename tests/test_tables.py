@@ -1,3 +1,4 @@
+import hashlib
 import json
 
 import pytest
@@ -12,9 +13,10 @@ from timberline.plans.full_run import Inputs, run_all
 from timberline.plans.load import ContractViolation, create_empty, load, require, vector_contract_report
 from timberline.plans.prepare import prepare
 from timberline.plans.storage import latest_run, step_timings, storage_report
-from timberline.plans.vectorise import new_vectors, refreshed_counts, vectorise
+from timberline.plans.vectorise import index_vectors, new_vectors, refresh_vectors, refreshed_counts, vectorise
 from timberline.schemas import EVENT_TEMPLATES, LOG_ENTRIES, RUNS
-from timberline.sources.tables import LOGS, Tables
+from timberline.sinks.changes import Change, ConcurrentChange
+from timberline.sources.tables import INDEX, LOGS, TEMPLATES, Tables
 
 ENCODER = HashingEncoder(16)
 
@@ -169,17 +171,14 @@ def test_empty_tables_can_be_reported(spark, tmp_path):
     assert tables.logs().count() == tables.runs().count() == 0
 
 
-@pytest.mark.parametrize("at", range(3))
-def test_a_failed_reload_changes_nothing_for_readers(spark, tmp_path, monkeypatch, at):
-    from timberline.plans import load as module
+def failing_writes(monkeypatch, at):
+    """The write number ``at``, from 0, of any change fails; one more is the manifest."""
+    from timberline.sinks import changes
 
-    target = Tables(spark, str(tmp_path))
-    templates = spark.createDataFrame([("E1", "old", 1)], EVENT_TEMPLATES)
-    load(spark.createDataFrame([_entry(1, message="old")], LOG_ENTRIES), templates, target)
-    vectorise(target, ENCODER)
     calls = {"count": 0}
+    add, create = changes.Change.add, changes.create_small_text
 
-    def failing(real):
+    def counted(real):
         def write(*args, **options):
             calls["count"] += 1
             if calls["count"] == at + 1:
@@ -188,25 +187,168 @@ def test_a_failed_reload_changes_nothing_for_readers(spark, tmp_path, monkeypatc
 
         return write
 
-    monkeypatch.setattr(module, "write_parquet", failing(module.write_parquet))
-    monkeypatch.setattr(module, "write_logs", failing(module.write_logs))
-    more = spark.createDataFrame([("E1", "new", 1)], EVENT_TEMPLATES)
-    with pytest.raises(OSError):
-        load(spark.createDataFrame([_entry(9, message="new")], LOG_ENTRIES), more, target)
-    assert [row.raw_message for row in target.logs().collect()] == ["old"]
-    assert [row.event_template for row in target.templates().collect()] == ["old"]
-    assert [row.normalized_message for row in target.vectors().collect()] == ["old"]
+    monkeypatch.setattr(changes.Change, "add", counted(add))
+    monkeypatch.setattr(changes, "create_small_text", counted(create))
+
+
+def content(target):
+    """What readers see, and the files they see it in."""
+    rows = [sorted(map(str, table.collect())) for table in (target.logs(), target.templates(), target.vectors())]
+    return rows, sorted(map(str, target.read(INDEX).collect())) if target.has_index() else None
+
+
+def data_files(path):
+    return {str(one) for one in path.rglob("*.parquet")}
+
+
+def filled(spark, root):
+    target = Tables(spark, str(root))
+    templates = spark.createDataFrame([("E1", "old", 1)], EVENT_TEMPLATES)
+    load(spark.createDataFrame([_entry(n, message=f"m{n % 30}") for n in range(60)], LOG_ENTRIES), templates, target)
+    vectorise(target, ENCODER)
+    index_vectors(target)
+    return target
+
+
+@pytest.mark.parametrize("at", range(3))
+@pytest.mark.parametrize("reset", [True, False])
+def test_a_failed_load_changes_nothing_for_readers(spark, tmp_path, monkeypatch, at, reset):
+    """Templates, logs, manifest: whichever write fails, readers have the old tables, and a retry works."""
+    target = filled(spark, tmp_path)
+    before, files = content(target), data_files(tmp_path)
+    more = spark.createDataFrame([("E2", "new", 1)], EVENT_TEMPLATES)
+    lines = spark.createDataFrame([_entry(100, "E2", message="new")], LOG_ENTRIES)
+    with monkeypatch.context() as patch, pytest.raises(OSError):
+        failing_writes(patch, at)
+        load(lines, more, target, reset)
+    assert content(target) == before
+    assert data_files(tmp_path) == files
+    assert load(lines, more, target, reset).log_entries == 1
+    assert target.logs().count() == (1 if reset else 61)
+    assert target.vectors().count() == (0 if reset else 30)
+
+
+@pytest.mark.parametrize("at", range(3))
+def test_failed_vectors_leave_no_doubles(spark, tmp_path, monkeypatch, at):
+    """Vectors, index, manifest: after a stop between any two a rerun stores each message once."""
+    target = filled(spark, tmp_path)
+    lines = spark.createDataFrame([_entry(100 + n, message=f"new{n}") for n in range(9)], LOG_ENTRIES)
+    load(lines, target.templates().where("false"), target, reset=False)
+    before = content(target)
+    with monkeypatch.context() as patch, pytest.raises(OSError):
+        failing_writes(patch, at)
+        vectorise(target, ENCODER)
+    assert content(target) == before
+    assert vectorise(target, ENCODER).distinct_texts == 9
+    messages = [sorted(row.normalized_message for row in table.collect()) for table in (target.vectors(), target.read(INDEX))]
+    assert messages[0] == messages[1] == sorted({*messages[0]}) and len(messages[0]) == 39
+
+
+@pytest.mark.parametrize("at", range(3))
+def test_a_failed_refresh_changes_nothing(spark, tmp_path, monkeypatch, at):
+    target = filled(spark, tmp_path)
+    before = content(target)
+    with monkeypatch.context() as patch, pytest.raises(OSError):
+        failing_writes(patch, at)
+        refresh_vectors(target, _changed(target, "m3"), ENCODER)
+    assert content(target) == before
+
+
+def _changed(target, *messages):
+    """Stored vectors turned around, with a new level."""
+    return target.vectors().where(F.col("normalized_message").isin(*messages)).withColumns(
+        {
+            "representative_level": F.lit("NEW"),
+            "embedding": F.transform("embedding", lambda x: (-x).cast("float")),
+            "updated_at": F.lit("2124-01-01 00:00:00").cast("timestamp_ntz"),
+        }
+    )
 
 
-def test_versions_before_the_last_are_removed(spark, tmp_path):
+def test_a_refresh_writes_only_the_buckets_it_touches(spark, tmp_path):
+    """Files of logs, templates and other buckets stay, and the index answers from the new vector."""
+    target = filled(spark, tmp_path)
+    in_use = lambda: {name: {(key, *folders) for key, folders in keys.items()} for name, keys in target.manifest().tables.items()}
+    files, before, rows = data_files(tmp_path), in_use(), {r.normalized_message: r for r in target.vectors().collect()}
+    assert refresh_vectors(target, _changed(target, "m3"), ENCODER) == 30
+    after = in_use()
+    assert before["log_entries"] == after["log_entries"] and before["event_templates"] == after["event_templates"]
+    assert len(before["message_embeddings"] - after["message_embeddings"]) == 1
+    assert len(before["message_index"] - after["message_index"]) <= 2
+    new_files = data_files(tmp_path) - files
+    assert new_files and not any("log_entries" in name or "event_templates" in name for name in new_files)
+    now = {r.normalized_message: r for r in target.vectors().collect()}
+    assert now.pop("m3").representative_level == "NEW"
+    assert now == {message: row for message, row in rows.items() if message != "m3"}
+    index = {r.normalized_message: r.embedding for r in target.read(INDEX).collect()}
+    assert index == {r.normalized_message: r.embedding for r in target.vectors().collect()}
+
+
+def test_lines_of_new_messages_are_counted_anew(spark, tmp_path):
+    """A refresh without changes of its own finds the buckets whose counts are out of date."""
+    target = filled(spark, tmp_path)
+    load(spark.createDataFrame([_entry(100, message="m5")], LOG_ENTRIES), target.templates().where("false"), target, reset=False)
+    before = target.manifest().tables["message_embeddings"]
+    assert refresh_vectors(target, target.vectors().where("false"), ENCODER) == 30
+    counts = {r.normalized_message: r.occurrences for r in target.vectors().collect()}
+    assert counts.pop("m5") == 3 and set(counts.values()) == {2}
+    after = target.manifest().tables["message_embeddings"]
+    assert sum(before[key] != after[key] for key in before) == 1
+
+
+def test_of_two_changes_at_once_one_is_refused(spark, tmp_path):
+    target = filled(spark, tmp_path)
+    files = data_files(tmp_path)
+    with pytest.raises(ConcurrentChange), Change(target) as slow:
+        load(spark.createDataFrame([_entry(100, message="m5")], LOG_ENTRIES), target.templates().where("false"), target, reset=False)
+        slow.add(TEMPLATES, spark.createDataFrame([("E9", "late", 1)], EVENT_TEMPLATES))
+        slow.publish()
+    assert [row.event_id for row in target.templates().collect()] == ["E1"]
+    assert target.logs().count() == 61 and len(data_files(tmp_path) - files) <= 2
+
+
+def test_what_no_manifest_names_is_removed(spark, tmp_path):
+    """The tables before the last change stay for those who still read them."""
     target = Tables(spark, str(tmp_path))
     templates = spark.createDataFrame([("E1", "t", 1)], EVENT_TEMPLATES)
     for line in range(4):
+        readers = target.logs()
         load(spark.createDataFrame([_entry(line + 1)], LOG_ENTRIES), templates, target)
-    assert len([path for path in tmp_path.iterdir() if path.name.startswith("version-")]) == 2
+        assert readers.count() == min(line, 1)
+    assert len(list((tmp_path / "log_entries").iterdir())) == 2
+    assert len([p for p in (tmp_path / "_manifests").iterdir() if p.suffix == ".json"]) == 2
     assert [row.id for row in target.logs().collect()] == [4]
 
 
+def scanned_rows(table):
+    """Rows that the scans of a table handed on, after it was read."""
+    table.collect()
+    plan = table._jdf.queryExecution().executedPlan()
+    plan = plan.executedPlan() if "Adaptive" in plan.getClass().getName() else plan
+    leaves, rows = plan.collectLeaves(), 0
+    for at in range(leaves.size()):
+        metric = leaves.apply(at).metrics().get("numOutputRows")
+        rows += metric.get().value() if metric.isDefined() else 0
+    return rows
+
+
+def test_row_groups_without_a_matched_message_are_not_read(spark, tmp_path):
+    """Messages are all different and mixed, so that only Bloom filters can tell the files apart."""
+    from timberline.plans.search import _any_of
+    from timberline.sinks.tables import write_logs
+
+    rows = [_entry(n, message=hashlib.md5(str(n).encode()).hexdigest()) for n in range(40_000)]
+    write_logs(spark.createDataFrame(rows, LOG_ENTRIES).repartition(20, "line_id"), str(tmp_path / "log_entries"))
+    logs = Tables(spark, str(tmp_path)).logs()
+    wanted = [rows[n][LOG_ENTRIES.names.index("normalized_message")] for n in (7, 30_000)]
+    assert logs.where(_any_of("normalized_message", wanted)).count() == 2
+    assert scanned_rows(logs.where(_any_of("normalized_message", wanted))) <= 3 * 2200
+    absent = [hashlib.md5(f"no{n}".encode()).hexdigest() for n in range(25)]
+    assert scanned_rows(logs.where(_any_of("normalized_message", absent))) < 20_000
+    assert scanned_rows(logs.where(_any_of("id", [7, 30_000]))) <= 3 * 2200
+    assert scanned_rows(logs) == 40_000
+
+
 def test_vectors_of_another_length_are_refused(spark, tmp_path):
     target = Tables(spark, str(tmp_path))
     templates = spark.createDataFrame([("E1", "t", 1)], EVENT_TEMPLATES)
@@ -218,25 +360,20 @@ def test_vectors_of_another_length_are_refused(spark, tmp_path):
 
 
 def test_refresh_replaces_counts_and_indexes(spark, tmp_path):
-    from timberline.operators.lsh import write_index
-    from timberline.plans.vectorise import refresh_vectors
-    from timberline.sources.tables import INDEX
-
     target = Tables(spark, str(tmp_path))
     templates = spark.createDataFrame([("E1", "t", 1)], EVENT_TEMPLATES)
     load(spark.createDataFrame([_entry(n, message="ab"[n % 2]) for n in range(1, 8)], LOG_ENTRIES), templates, target)
     vectorise(target, ENCODER)
-    write_index(target.vectors(), target.path(INDEX))
+    index_vectors(target)
     load(spark.createDataFrame([_entry(20, message="c"), _entry(21, message="a")], LOG_ENTRIES), templates.where("false"), target, reset=False)
     vectorise(target, ENCODER)
-    index = spark.read.parquet(target.path(INDEX))
-    assert sorted(r.normalized_message for r in index.collect()) == ["a", "b", "c"]
+    assert sorted(r.normalized_message for r in target.read(INDEX).collect()) == ["a", "b", "c"]
     changed = target.vectors().where("normalized_message = 'a'").withColumn("representative_level", F.lit("NEW"))
     later = changed.withColumn("updated_at", F.lit("2124-01-01 00:00:00").cast("timestamp_ntz"))
     assert refresh_vectors(target, later, ENCODER) == 3
     rows = {r.normalized_message: (r.representative_level, r.occurrences) for r in target.vectors().collect()}
     assert rows == {"a": ("NEW", 4), "b": ("INFO", 4), "c": ("INFO", 1)}
-    assert spark.read.parquet(target.path(INDEX)).count() == 3
+    assert target.read(INDEX).count() == 3
     double = later.unionAll(later).withColumn("embedding", F.array(F.lit(1.0).cast("float")))
     with pytest.raises(ContractViolation):
         refresh_vectors(target, double, ENCODER)

@@ -12,14 +12,13 @@ from pyspark.sql import SparkSession
 
 from timberline.fixed_values import LOG_YEAR
 from timberline.operators.encoders import Encoder
-from timberline.operators.lsh import write_index
 from timberline.plans.load import load
 from timberline.plans.prepare import prepare
 from timberline.plans.storage import FAILED, SUCCESS
-from timberline.plans.vectorise import vectorise
+from timberline.plans.vectorise import index_vectors, vectorise
 from timberline.session import released_folders, shared_folder
 from timberline.sinks.tables import append_run
-from timberline.sources.tables import INDEX, RUN_LOG, Tables
+from timberline.sources.tables import RUN_LOG, Tables
 
 T = TypeVar("T")
 
@@ -84,7 +83,7 @@ def _run_steps(
         )
         loaded = timed("load", lambda: load(staging.logs(), staging.templates(), tables))
         embedded = timed("embed", lambda: vectorise(tables, encoder))
-        timed("index", lambda: write_index(tables.vectors(), tables.path(INDEX)))
+        timed("index", lambda: index_vectors(tables))
     except Exception as error:
         timings["total_until_failure"] = round(perf_counter() - start, 3)
         record(FAILED, {"error": str(error), "timings": timings})

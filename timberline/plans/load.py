@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from timberline.operators import contracts
-from timberline.sinks.tables import APPEND, OVERWRITE, write_logs, write_parquet
-from timberline.sources.tables import LOGS, SCHEMAS, TEMPLATES, VECTORS, Tables
-from timberline.schemas import MESSAGE_VECTORS
+from timberline.sinks.changes import Change
+from timberline.sinks.tables import write_logs, write_parquet
+from timberline.sources.tables import INDEX, INDEX_MODEL, LOGS, RUN_LOG, SCHEMAS, TEMPLATES, VECTORS, Tables
 
 REQUIRED_LOG_COLUMNS = ("line_id", "source", "level", "raw_message", "normalized_message")
 
@@ -69,30 +69,31 @@ def require(report: DataFrame) -> None:
 
 def create_empty(target: Tables) -> None:
     """Replace all stored tables, run log included, by empty ones."""
-    fresh = target.fresh()
-    for name, schema in SCHEMAS.items():
-        by = ("level",) if name == LOGS else ()
-        write_parquet(target.spark.createDataFrame([], schema), fresh.path(name), OVERWRITE, by)
-    target.switch_to(fresh)
+    with Change(target) as change:
+        change.clear(LOGS, TEMPLATES, VECTORS, INDEX, INDEX_MODEL)
+        change.buckets = 0
+        change.publish()
+    write_parquet(target.spark.createDataFrame([], SCHEMAS[RUN_LOG]), target.path(RUN_LOG))
 
 
 def load(logs: DataFrame, templates: DataFrame, target: Tables, reset: bool = True) -> Loaded:
     """Check the contracts, then write. ``reset`` replaces both tables and empties the vectors.
 
-    A reset writes a new version of all tables and shows it at the end, in one step; if anything
-    fails, readers still have the old tables. Without ``reset`` the rows are added, and keys that are
-    already stored are refused.
+    Without ``reset`` the rows are added, and keys that are already stored are refused. Either way all
+    tables change in one step: if anything fails, readers still have the old tables, and the load can
+    be tried again.
     """
     logs = contracts.with_log_defaults(logs).drop("id", "inserted_at")
     templates = contracts.with_template_defaults(templates)
-    if not reset:
+    if reset:
+        require(contract_report(logs, templates))
+    else:
         require(contract_report(logs, templates, target.logs(), target.templates()))
-        template_rows = write_parquet(templates, target.path(TEMPLATES), APPEND)
-        return Loaded(write_logs(logs, target.path(LOGS), APPEND), template_rows)
-    require(contract_report(logs, templates))
-    fresh = target.fresh()
-    write_parquet(target.spark.createDataFrame([], MESSAGE_VECTORS), fresh.path(VECTORS))
-    template_rows = write_parquet(templates, fresh.path(TEMPLATES))
-    log_rows = write_logs(logs, fresh.path(LOGS))
-    target.switch_to(fresh)
+    with Change(target) as change:
+        if reset:
+            change.clear(LOGS, TEMPLATES, VECTORS, INDEX, INDEX_MODEL)
+            change.buckets = 0
+        template_rows = change.add(TEMPLATES, templates)
+        log_rows = change.add(LOGS, logs, write=write_logs)
+        change.publish()
     return Loaded(log_rows, template_rows)

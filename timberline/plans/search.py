@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from timberline.fixed_values import (
@@ -38,6 +40,10 @@ MAX_SHARED_MESSAGES = 1_000_000
 # Seed ids, 12 bytes each, that are broadcast to look up their lines.
 MAX_SHARED_SEEDS = 100_000
 MAX_LISTED_SEEDS = 1000
+# Matched messages that are named in the scan, their characters, and values per list: up to so many
+# values Parquet looks up one by one, in dictionaries and Bloom filters; of longer lists it knows the
+# least and greatest only.
+MAX_LISTED_MESSAGES, MAX_LISTED_TEXT, VALUES_PER_LIST = 64, 64_000, 10
 
 
 def keyword_search(
@@ -173,7 +179,10 @@ def _lines_of(
     per_message = limit + (skip is not None)
     lines = logs.select(*RESULT_COLUMNS, "normalized_message")
     few = rows is not None and rows.num_rows * max(limit, MIN_CANDIDATES) <= MAX_SHARED_MESSAGES
-    if few:
+    listed = _listed_messages(wanted) if few and rows.num_rows * max(limit, MIN_CANDIDATES) <= MAX_LISTED_MESSAGES else None
+    if listed is not None:
+        lines = lines.where(_any_of("normalized_message", listed))
+    elif few:
         # At most one 8-byte hash per request and place; a collision only lets a line through to
         # the join on the full message below.
         hashes = wanted.select(F.xxhash64("normalized_message").alias("_hash")).distinct()
@@ -202,6 +211,18 @@ def _lines_of(
     return top_per_group(found, ["query_id"], order, limit)
 
 
+def _listed_messages(wanted: DataFrame) -> list[str] | None:
+    """The matched messages, if they are short enough to be named in a scan."""
+    messages = [row[0] for row in wanted.select("normalized_message").distinct().collect()]
+    return messages if sum(map(len, messages)) <= MAX_LISTED_TEXT else None
+
+
+def _any_of(column: str, values: list) -> Column:
+    """Whether a column has one of the values, in lists short enough to skip row groups without one."""
+    starts = range(0, max(1, len(values)), VALUES_PER_LIST)
+    return reduce(or_, [F.col(column).isin(values[at : at + VALUES_PER_LIST]) for at in starts])
+
+
 def similar_logs(
     seeds: DataFrame, logs: DataFrame, vectors: DataFrame, default_top_k: int = DEFAULT_TOP_K
 ) -> DataFrame:
@@ -219,9 +240,12 @@ def similar_logs(
 
     looked_up = logs.select(F.col("id").alias("seed_id"), F.col("normalized_message").alias("_message"))
     if rows is not None:
-        if rows.num_rows <= MAX_LISTED_SEEDS:
+        ids = rows["seed_id"].to_pylist()
+        if len(ids) <= MAX_LISTED_MESSAGES:
+            looked_up = looked_up.where(_any_of("seed_id", ids))
+        elif len(ids) <= MAX_LISTED_SEEDS:
             # Named in the scan, the ids skip files and row groups by their min/max statistics.
-            looked_up = looked_up.where(F.col("seed_id").isin(rows["seed_id"].to_pylist()))
+            looked_up = looked_up.where(F.col("seed_id").isin(ids))
         seeds = F.broadcast(seeds.sparkSession.createDataFrame(rows, seeds.schema))
     # One row per seed, read several times below; the lines are looked up once.
     located = settled(looked_up.join(seeds, "seed_id"), "seeds")

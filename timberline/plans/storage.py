@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from timberline.functions.labels import run_timings
 from timberline.plans.analytics import table_statistics
-from timberline.session import folder_exists
-from timberline.sources.tables import INDEX, LOGS, RUN_LOG, TEMPLATES, VECTORS, Tables, file_sizes
+from timberline.sources.tables import INDEX, INDEX_MODEL, LOGS, RUN_LOG, TEMPLATES, VECTORS, Tables, file_sizes
 
 SUCCESS, FAILED = "SUCCESS", "FAILED"
 
@@ -39,7 +38,7 @@ def step_timings(latest: DataFrame) -> DataFrame:
     return latest.select("command", "finished_at", F.explode("timings").alias("step", "seconds"))
 
 
-def table_sizes(spark: SparkSession, folders: dict[str, str]) -> DataFrame:
+def table_sizes(spark: SparkSession, folders: dict[str, str | list[str]]) -> DataFrame:
     """Files and bytes per table, from file listings alone."""
     listed = [
         file_sizes(spark, path).agg(
@@ -58,9 +57,10 @@ def storage_report(tables: Tables) -> DataFrame:
     The total is that of all current tables, templates and run log included.
     """
     spark = tables.spark
-    names = {name: f"{name}_bytes" for name in (LOGS, VECTORS, INDEX, TEMPLATES, RUN_LOG)}
-    present = {label: tables.path(name) for name, label in names.items() if folder_exists(spark, tables.path(name))}
-    sizes = table_sizes(spark, present)
+    names = {name: f"{name}_bytes" for name in (LOGS, VECTORS, INDEX, INDEX_MODEL, TEMPLATES, RUN_LOG)}
+    present = {label: folders for name, label in names.items() if (folders := tables.folders(name))}
+    none = spark.createDataFrame([], "table string, files bigint, bytes bigint")
+    sizes = table_sizes(spark, present) if present else none
     by_name = sizes.agg(
         *[
             F.coalesce(F.max(F.when(F.col("table") == names[name], F.col("bytes"))), F.lit(0)).alias(names[name])

@@ -7,6 +7,7 @@ from contextlib import contextmanager
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
@@ -79,32 +80,35 @@ def released_folders(spark: SparkSession) -> Iterator[None]:
             remove_folder(spark, path)
 
 
-def read_small_text(spark: SparkSession, path: str) -> str | None:
-    """The content of a small text file, or None where there is none."""
-    system, place = _file_system(spark, path), _hadoop_path(spark, path)
-    if not system.exists(place):
-        return None
-    stream = system.open(place)
+def read_small_text(spark: SparkSession, path: str) -> str:
+    """The content of a small text file."""
+    stream = _file_system(spark, path).open(_hadoop_path(spark, path))
     try:
         return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
 
 
-def replace_small_text(spark: SparkSession, path: str, content: str) -> None:
-    """Writes a small text file next to its place and moves it there in one step."""
+def create_small_text(spark: SparkSession, path: str, content: str) -> bool:
+    """Writes a small text file in one step; False if another has taken its place before."""
     system, place = _file_system(spark, path), _hadoop_path(spark, path)
-    fresh = _hadoop_path(spark, f"{path}.{uuid.uuid4().hex}")
+    folder, name = path.rsplit("/", 1)
+    fresh = _hadoop_path(spark, f"{folder}/.{name}.{uuid.uuid4().hex}")
     stream = system.create(fresh, True)
     stream.write(content.encode())
     stream.close()
-    options = spark.sparkContext._jvm.org.apache.hadoop.fs.Options.Rename
-    overwrite = spark.sparkContext._gateway.new_array(options, 1)
-    overwrite[0] = options.OVERWRITE
     context = spark.sparkContext._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
         system.getUri(), spark.sparkContext._jsc.hadoopConfiguration()
     )
-    context.rename(system.makeQualified(fresh), system.makeQualified(place), overwrite)
+    no_options = spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        context.rename(system.makeQualified(fresh), system.makeQualified(place), no_options)
+    except Py4JJavaError as error:
+        system.delete(fresh, False)
+        if "FileAlreadyExists" in error.java_exception.getClass().getName():
+            return False
+        raise
+    return True
 
 
 def settled(table: DataFrame, purpose: str) -> DataFrame:
@@ -114,11 +118,10 @@ def settled(table: DataFrame, purpose: str) -> DataFrame:
     return table.sparkSession.read.schema(table.schema).parquet(path)
 
 
-def version_folders(spark: SparkSession, root: str) -> list[str]:
-    """The names of the version folders below a root."""
-    system, place = _file_system(spark, root), _hadoop_path(spark, root)
-    names = [status.getPath().getName() for status in system.listStatus(place)] if system.exists(place) else []
-    return [name for name in names if name.startswith("version-")]
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """The names of files and folders in a folder; none if there is no such folder."""
+    system, place = _file_system(spark, path), _hadoop_path(spark, path)
+    return [status.getPath().getName() for status in system.listStatus(place)] if system.exists(place) else []
 
 
 def folder_exists(spark: SparkSession, path: str) -> bool:

@@ -16,11 +16,21 @@ from timberline.sources.delimited import CSV_FORMAT
 OVERWRITE, APPEND = "overwrite", "append"
 
 
-def write_parquet(table: DataFrame, path: str, mode: str = OVERWRITE, by: tuple[str, ...] = ()) -> int:
-    """Write a Parquet table and return its row count, taken during the write itself."""
+def write_parquet(
+    table: DataFrame, path: str, mode: str = OVERWRITE, by: tuple[str, ...] = (), looked_up: tuple[str, ...] = ()
+) -> int:
+    """Write a Parquet table and return its row count, taken during the write itself.
+
+    Columns that are ``looked_up`` get Bloom filters as large as their distinct values ask for, so that
+    a search for single values skips the row groups without them.
+    """
     rows = Observation()
     counted = table.observe(rows, F.count(F.lit(1)).alias("rows"))
     writer = counted.write.mode(mode)
+    if looked_up:
+        writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
+    for name in looked_up:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
     if by:
         writer = writer.partitionBy(*by)
     writer.parquet(path)
@@ -30,10 +40,11 @@ def write_parquet(table: DataFrame, path: str, mode: str = OVERWRITE, by: tuple[
 def write_logs(logs: DataFrame, path: str, mode: str = OVERWRITE) -> int:
     """The log table, one folder per severity level so that a level filter prunes files.
 
-    Rows inside a file follow event time, which gives Parquet narrow min/max ranges to skip by.
+    Rows inside a file follow event time, which gives Parquet narrow min/max ranges to skip by; lines
+    are found by message and by number through Bloom filters.
     """
     ordered = logs.sortWithinPartitions("level", "log_timestamp", "line_id")
-    return write_parquet(ordered, path, mode, ("level",))
+    return write_parquet(ordered, path, mode, ("level",), looked_up=("normalized_message", "line_id"))
 
 
 def export_csv(table: DataFrame, path: str, single_file: bool = False) -> None:
