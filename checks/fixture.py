@@ -175,7 +175,7 @@ class LogData:
         )
 
     def document_vectors(self) -> DataFrame:
-        """A given vector for every distinct document message; those of label 3 are not loaded yet."""
+        """A given vector for every distinct document message."""
         written = self._written("document_vectors")
         if written is not None:
             return written
@@ -184,10 +184,14 @@ class LogData:
         messages = self.document_logs().groupBy("normalized_message").agg(F.min("id").alias("first_id"))
         return (
             messages.withColumn("vec_id", F.col("first_id") % size)
-            .join(given.where("label <> 3"), "vec_id")
-            .select("normalized_message", "embedding", "vec_id")
+            .join(given, "vec_id")
+            .select("normalized_message", "embedding", "vec_id", "label")
         )
 
+    def vectors_without_label(self, label: int) -> DataFrame:
+        """The vectors of document messages but those of one label, as if that had not been loaded yet."""
+        return self.document_vectors().where(F.col("label") != label)
+
     def label_vectors(self) -> DataFrame:
         """The first vector of every label, as query vectors."""
         return (
@@ -254,9 +258,9 @@ DOCUMENT_CTES = r"""document_logs AS (
     lower(trim(regexp_replace(text, '\s+', ' ', 'g'))) AS normalized_message
   FROM documents),
 document_vectors AS (
-  SELECT m.normalized_message, e.embedding, e.vec_id
+  SELECT m.normalized_message, e.embedding, e.vec_id, e.label
   FROM (SELECT normalized_message, min(id) AS first_id FROM document_logs GROUP BY ALL) m
-  JOIN embeddings e ON e.vec_id = m.first_id % (SELECT count(*) FROM embeddings) AND e.label <> 3),
+  JOIN embeddings e ON e.vec_id = m.first_id % (SELECT count(*) FROM embeddings)),
 label_vectors AS (
   SELECT CAST(label AS BIGINT) AS query_id, arg_min(embedding, vec_id) AS embedding FROM embeddings GROUP BY label)"""
 

@@ -33,11 +33,12 @@ def distinct_document_messages(data: LogData) -> DataFrame:
 @query(
     over_documents(
         """SELECT normalized_message, count(*) AS occurrences FROM document_logs
-WHERE normalized_message NOT IN (SELECT normalized_message FROM document_vectors) GROUP BY normalized_message"""
+WHERE normalized_message NOT IN (SELECT normalized_message FROM document_vectors WHERE label <> 3) GROUP BY normalized_message"""
     )
 )
 def missing_vectors(data: LogData) -> DataFrame:
-    missing = messages_without_vector(distinct_messages(data.document_logs()), data.document_vectors())
+    """Those of label 3 have no vector yet."""
+    missing = messages_without_vector(distinct_messages(data.document_logs()), data.vectors_without_label(3))
     return missing.select("normalized_message", "occurrences")
 
 
