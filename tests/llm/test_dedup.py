@@ -7,13 +7,16 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
+from timberline.llm import exact_dedup
 from timberline.llm.components import components
 from timberline.llm.exact_dedup import exact_groups
-from timberline.llm.minhash_dedup import Nearness, near_components
+from timberline.llm.minhash_dedup import Nearness, near_components, shingle_sets
 from timberline.llm.substring_dedup import Passages, without_repeated_passages
 from timberline.llm.words import chunks, text_buffers, words_of
 
+from tests.helpers import final_plan
 from tests.llm import brute
 
 EDGES = [
@@ -160,3 +163,98 @@ def test_windows_of_one_hash_are_told_apart(monkeypatch):
     windows = [tuple(hashes[i : i + 7].tolist()) for i in order]
     assert [bool(x) for x in same[1:]] == [a == b for a, b in zip(windows, windows[1:])]
     assert int((~same).sum()) == len(set(windows))
+
+# --- words and pairs that earlier versions mistook
+
+
+def thue_morse(length, letters="ab"):
+    return "".join(letters[bin(at).count("1") % 2] for at in range(length))
+
+
+def test_words_that_polynomials_modulo_two_to_the_64_confuse(spark):
+    """Thue-Morse words and their complements differ in every letter."""
+    one, other = thue_morse(2048), thue_morse(2048, "ba")
+    rest = " ".join(f"w{k}" for k in range(34))
+    rows = [(1, f"{rest} {one}"), (2, f"{rest} {other}"), (3, one), (4, other)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
+    removed = {r.doc_id: r.n_removed for r in without_repeated_passages(table).collect()}
+    assert removed == {1: 0, 2: 0, 3: 0, 4: 0}
+    assert {r.doc_id: r.component_id for r in near_components(table).collect()} == {1: 1, 2: 1, 3: 3, 4: 4}
+
+
+def test_word_hashes_are_the_same_in_any_block():
+    import numpy as np
+
+    from timberline.llm import words as module
+
+    texts = ["x" * 700_000, "b" + "x" * 300_000, "", "é ñ", *[thue_morse(n) for n in range(1, 60)]]
+    whole = " ".join(texts).encode()
+    alone = []
+    for word in " ".join(texts).split():
+        data = np.frombuffer(word.encode(), np.uint8)
+        alone += module.words_of(data, np.array([0, len(data)])).hashes().tolist()
+    data = np.frombuffer(whole, np.uint8)
+    assert module.words_of(data, np.array([0, len(data)])).hashes().tolist() == alone
+    assert len(set(alone)) == len(set(" ".join(texts).split()))
+
+
+def test_near_copies_with_a_tail_that_unlike_documents_share(spark):
+    """Most listed values of the long one lead to documents unlike it, and still it finds its kind."""
+    generator = random.Random(12)
+    word = lambda: f"w{generator.randrange(10**9)}"
+    template = [word() for _ in range(240)]
+    rows = [(k, " ".join([*template, f"own{k}"])) for k in range(60)]
+    near = Nearness()
+
+    def listed(text):
+        data = np.frombuffer(text.encode(), np.uint8)
+        return next(iter(shingle_sets(words_of(data, np.array([0, len(data)])), 5)))[: near.listed_values]
+
+    plain = set(listed(rows[0][1]).tolist())
+    tail, most = None, -1
+    for _ in range(300):
+        some = [word() for _ in range(36)]
+        own = sum(value not in plain for value in listed(" ".join(template + some)).tolist())
+        if own > most:
+            tail, most = some, own
+    assert most >= 5
+    rows.append((1000, " ".join(template + tail)))
+    rows += [(2000 + k, " ".join(tail + [word() for _ in range(300)])) for k in range(10)]
+    expected = brute.near(rows)
+    assert expected[1000][1] == 0
+    got = near_components(spark.createDataFrame(rows, "doc_id bigint, text string"), near=Nearness(longest_list=20, least_rare=13))
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == expected
+
+
+def test_exact_groups_of_any_identifier_and_over_many_ranges(spark):
+    """String identifiers, rows equal in all, and one text that nearly all rows share."""
+    generator = random.Random(3)
+    rows = [(generator.choice([None, "a", "b", f"k{n}"]), generator.choice(["same text", "sametext ", "same text", f"t {n % 40}", "", None])) for n in range(1500)]
+    table = spark.createDataFrame(rows, "doc_id string, text string").repartition(3)
+    got = exact_groups(table).collect()
+    groups = {}
+    for key, text in rows:
+        normal = "".join((text or "").split())
+        groups.setdefault(normal, []).append((-len(text or ""), key is None, key or ""))
+    assert len(got) == len(rows) and sum(r.kept for r in got) == len(groups)
+    by_digest = {hashlib.sha256(normal.encode()).hexdigest(): own for normal, own in groups.items()}
+    for row in got:
+        own = by_digest[row.text_sha256]
+        assert row.group_size == len(own)
+        assert (row.keep_id is None, row.keep_id or "") == min(own)[1:]
+
+
+def test_exact_groups_meet_in_the_sort(spark):
+    """Only texts that a splitter falls into are joined up afterwards; nothing else is grouped by hash."""
+    rows = [(n, f"text {n % 1000}") for n in range(2000)] + [(5000 + n, "hot") for n in range(1000)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
+    plan = final_plan(exact_groups(table))
+    assert plan.count("BroadcastHashJoin") and "SortMergeJoin" not in plan
+    source = table.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
+    splitters = exact_dedup._splitters(source, 16, 64)
+    placed = exact_dedup._placed(exact_dedup._normal(source, 64), splitters, 64)
+    hot = placed.where("_normal = 'hot'").groupBy("_range").count().collect()
+    assert len(hot) >= 4 and max(r["count"] for r in hot) < 500
+    cut = {r._normal for r in placed.where("_cut").select("_normal").distinct().collect()}
+    apart = {r._normal for r in placed.groupBy("_normal").agg(F.countDistinct("_range").alias("n")).where("n > 1").collect()}
+    assert apart <= cut and len(cut) <= 15

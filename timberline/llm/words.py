@@ -1,7 +1,8 @@
 """Words of many texts at once: NumPy over the bytes of an Arrow text column.
 
 A word is a run of bytes other than space and the controls 0x09 to 0x0D; both are single bytes in
-UTF-8, so no text is decoded to find its words. Words are known by a 64-bit polynomial hash.
+UTF-8, so no text is decoded to find its words. Words are known by 64 bits made of two polynomials
+modulo different primes; modulo a power of two, some long words would meet for every base.
 """
 
 from __future__ import annotations
@@ -16,7 +17,8 @@ CHUNK_BYTES = 8_000_000
 CHUNK_ROWS = 100_000
 _BLOCK = 1 << 18
 _BASE = 0x9E3779B97F4A7C15 | 1
-_MASK = (1 << 64) - 1
+# Primes below 2 ** 31 and a base for each.
+_FIELDS = ((2_147_483_647, 1_610_612_741), (2_147_483_629, 805_306_457))
 
 
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -87,12 +89,6 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(31))
 
 
-def powers(base: int, count: int) -> np.ndarray:
-    steps = np.full(count, base, np.uint64)
-    steps[:1] = 1
-    return np.multiply.accumulate(steps)
-
-
 @dataclass
 class Words:
     """All words of a chunk in order. ``first[d]`` to ``first[d + 1]`` are those of row d."""
@@ -107,37 +103,49 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 
     def hashes(self) -> np.ndarray:
-        """A hash of each word's bytes: prefix sums of a polynomial, in blocks of words."""
-        out = np.empty(len(self.start), np.uint64)
+        """A hash of each word's bytes: prefix sums of polynomials, in blocks of words."""
         if not len(self.start):
-            return out
-        up = powers(_BASE, _BLOCK + 1)
-        down = powers(pow(_BASE, -1, 1 << 64), _BLOCK + 1)
-        begin = 0
+            return np.empty(0, np.uint64)
+        halves = [self._polynomials(prime, base) for prime, base in _FIELDS]
+        length = (self.end - self.start).astype(np.uint64)
+        return mixed((halves[0] | halves[1] << np.uint64(32)) ^ length * np.uint64(0xD6E8FEB86659FD93))
+
+    def _polynomials(self, prime: int, base: int) -> np.ndarray:
+        """Per word the sum of (byte + 1) * base ** place, modulo a prime."""
+        out = np.empty(len(self.start), np.uint64)
+        up, down = _powers(base, prime), _powers(pow(base, -1, prime), prime)
+        modulus, begin = np.uint64(prime), 0
         while begin < len(self.start):
             origin = int(self.start[begin])
             end = int(np.searchsorted(self.end, origin + _BLOCK, "right"))
             if end <= begin:  # one word longer than a block
-                out[begin] = self._long_word(begin, up)
+                out[begin] = self._long_word(begin, up, prime, base)
                 begin += 1
                 continue
             piece = self.data[origin : int(self.end[end - 1])].astype(np.uint64) + np.uint64(1)
-            sums = np.zeros(len(piece) + 1, np.uint64)
+            sums = np.zeros(len(piece) + 1, np.uint64)  # below 2 ** 58
             np.cumsum(piece * up[: len(piece)], out=sums[1:])
             left, right = self.start[begin:end] - origin, self.end[begin:end] - origin
-            out[begin:end] = (sums[right] - sums[left]) * down[left]
+            out[begin:end] = (sums[right] - sums[left]) % modulus * down[left] % modulus
             begin = end
-        length = (self.end - self.start).astype(np.uint64)
-        return mixed(out ^ (length * np.uint64(0xD6E8FEB86659FD93)))
+        return out
 
-    def _long_word(self, at: int, up: np.ndarray) -> np.uint64:
+    def _long_word(self, at: int, up: np.ndarray, prime: int, base: int) -> int:
         total, shift = 0, 1
         for begin in range(int(self.start[at]), int(self.end[at]), _BLOCK):
             piece = self.data[begin : min(begin + _BLOCK, int(self.end[at]))].astype(np.uint64)
             part = int(((piece + np.uint64(1)) * up[: len(piece)]).sum(dtype=np.uint64))
-            total = (total + part * shift) & _MASK
-            shift = shift * pow(_BASE, _BLOCK, 1 << 64) & _MASK
-        return np.uint64(total)
+            total = (total + part * shift) % prime
+            shift = shift * pow(base, _BLOCK, prime) % prime
+        return total
+
+
+def _powers(base: int, prime: int) -> np.ndarray:
+    """The powers of a base modulo a prime, from 0 to a block's length."""
+    steps = np.ones(1, np.uint64)
+    while len(steps) <= _BLOCK:
+        steps = np.concatenate([steps, steps * np.uint64(pow(base, len(steps), prime)) % np.uint64(prime)])
+    return steps[: _BLOCK + 1]
 
 
 def words_of(data: np.ndarray, offsets: np.ndarray) -> Words:
