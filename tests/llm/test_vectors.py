@@ -78,3 +78,20 @@ def test_labels_of_links_that_come_late():
     label = _joined(np.arange(8), np.array([6, 4]), np.array([7, 5]))
     label = _joined(label, np.array([7, 5]), np.array([2, 6]))
     assert label.tolist() == [0, 1, 2, 3, 2, 2, 2, 2]
+
+
+def test_cosine_of_the_threshold_itself(spark):
+    """9 * 10 / (10 * 10) is the threshold in double precision, whatever turning the vectors does to it."""
+    generator = np.random.default_rng(4)
+    rows, size = [(1000 + n, generator.standard_normal(40).tolist()) for n in range(200)], 40
+    for pair in range(10):
+        one, other = np.zeros(size), np.zeros(size)
+        one[4 * pair : 4 * pair + 4], other[4 * pair] = (9, 3, 3, 1), 10
+        rows += [(2 * pair, one.tolist()), (2 * pair + 1, other.tolist())]
+    rows.append((500, rows[-1][1]))  # a copy of the last one
+    table = spark.createDataFrame([(*row, 1, "x", 2) for row in rows], SCHEMA)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in linked_vectors(table).collect()}
+    for pair in range(9):
+        assert got[2 * pair] == got[2 * pair + 1] == (1, 2 * pair)
+    assert (got[18], got[19], got[500]) == ((2, 18), (2, 18), (2, 18))
+    assert all(got[1000 + n] == (0, 1000 + n) for n in range(200))

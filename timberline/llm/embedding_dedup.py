@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-import math
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from timberline.llm.components import components
@@ -86,7 +85,7 @@ def principal_axes(vectors: DataFrame) -> dict[int, np.ndarray]:
 
 
 def _rotator(bases: dict[int, np.ndarray]):
-    """(class, size, unit vector along the axes, the vector as given)."""
+    """(class, copies, size, unit vector along the axes)."""
 
     def rotate(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -107,10 +106,6 @@ def _rotator(bases: dict[int, np.ndarray]):
     return rotate
 
 
-def _exact_cosine(left: np.ndarray, right: np.ndarray) -> float:
-    return math.fsum((left * right).tolist())
-
-
 def _joined(label: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Labels after the ends of all links got one label, the least of what they are connected to."""
     while True:
@@ -125,7 +120,10 @@ def _joined(label: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def _compare(rule: Tiling):
-    """Counts of links for one cell of the grid, and with whom a vector is connected in it."""
+    """Counts of links for one cell of the grid, and with whom a vector is connected in it.
+
+    Pairs too close to the threshold for the turned vectors to tell come out as they are, with -1 links.
+    """
 
     def compare(cell: pd.DataFrame) -> pd.DataFrame:
         cell = cell.sort_values(["side", "tile", "class"], kind="stable")
@@ -141,6 +139,7 @@ def _compare(rule: Tiling):
         edges = np.flatnonzero(np.concatenate([[True], (tile[1:] != tile[:-1]) | (side[1:] != side[:-1]), [True]]))
         tiles = list(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True))
         one_side = side.min() == side.max()
+        doubtful = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
         for p, (a, b) in enumerate(tiles):
             for q, (c, d) in enumerate(tiles):
                 if (q < p) if one_side else (side[a] != side.min() or side[c] == side.min()):
@@ -162,26 +161,47 @@ def _compare(rule: Tiling):
                         ]
                     )
                 near = np.abs(cosine - rule.threshold) <= rule.doubt
-                linked = cosine >= rule.threshold
-                for k in np.flatnonzero(near).tolist():
-                    linked[k] = _exact_cosine(points[a + x[k]], points[c + y[k]]) >= rule.threshold
+                linked = (cosine >= rule.threshold) & ~near
+                doubtful.append((x[near] + a, y[near] + c))
                 x, y = x[linked] + a, y[linked] + c
                 links += np.bincount(x, copies[y], len(points)).astype(np.int64)
                 links += np.bincount(y, copies[x], len(points)).astype(np.int64)
                 label = _joined(label, x, y)
         bound = np.flatnonzero(label != np.arange(len(points)))
         some = np.flatnonzero(links)
+        one, other = (np.concatenate(ends) for ends in zip(*doubtful, strict=True))
         return pd.DataFrame(
             {
-                "a": [*names[some], *names[bound]],
-                "b": [*[None] * len(some), *names[label[bound]]],
-                "links": np.concatenate([links[some], np.zeros(len(bound), np.int64)]),
+                "a": [*names[some], *names[bound], *names[one]],
+                "b": [*[None] * len(some), *names[label[bound]], *names[other]],
+                "links": np.concatenate([links[some], np.zeros(len(bound), np.int64), np.full(len(one), -1)]),
             }
         )
 
     return compare
 
 
+def _decided(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
+    """The pairs whose vectors as given reach the threshold in double precision, with their copies."""
+
+    def end(name: str) -> DataFrame:
+        numbers = F.col("vector").cast("array<double>")
+        # A power of two scales without rounding and keeps the products from running over.
+        scale = F.pow(F.lit(2.0), F.floor(F.log2(F.array_max(F.transform(numbers, F.abs)))))
+        numbers = F.transform(numbers, lambda x: x / scale).alias(f"{name}_vector")
+        return classes.select(F.col("class").alias(name), F.col("copies").alias(f"{name}_copies"), numbers)
+
+    def dot(left: str, right: str) -> Column:
+        products = F.zip_with(left, right, lambda x, y: x * y)
+        return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
+
+    lengths = F.sqrt(dot("a_vector", "a_vector")) * F.sqrt(dot("b_vector", "b_vector"))
+    both = pairs.select("a", "b").join(end("a"), "a").join(end("b"), "b")
+    return both.where(dot("a_vector", "b_vector") / lengths >= threshold).select(
+        "a", "b", F.lit(0).cast("long").alias("links"), "a_copies", "b_copies"
+    )
+
+
 def linked_vectors(
     vectors: DataFrame, identifier: str = "vec_id", embedding: str = "embedding", rule: Tiling = Tiling()
 ) -> DataFrame:
@@ -192,7 +212,8 @@ def linked_vectors(
     axes of the whole table, ordered along the first, and cut into tiles; tiles are dealt into groups,
     and each pair of groups is a task that compares their tiles. The leading components are multiplied
     first, and a pair goes on only if they and the product of the norms of the rest can reach the
-    threshold. A task returns counts and one connection per vector, never the links.
+    threshold. A task returns counts and one connection per vector, never the links; only pairs within
+    rounding of the threshold come back by themselves and are decided on the vectors as given.
 
     Vectors that are null, empty, zero or hold null or non-finite components link with nothing; neither
     do vectors of different lengths. A vector without links is its own component. Rows that share an
@@ -254,8 +275,16 @@ def linked_vectors(
     found = settled(
         dealt.groupBy("size", "i", "j").applyInPandas(_compare(rule), "a binary, b binary, links bigint"), "vector-links"
     )
-    joined = components(found.where("b is not null").select("a", "b"))
-    counts = found.where("b is null").groupBy(F.col("a").alias("class")).agg(F.sum("links").alias("links"))
+    decided = settled(_decided(found.where("links < 0"), classes, rule.threshold), "vector-decided")
+    joined = components(found.where("b is not null and links = 0").select("a", "b").union(decided.select("a", "b")))
+    ends = [
+        F.struct(F.col(one).alias("a"), F.col(f"{other}_copies").alias("links")) for one, other in (("a", "b"), ("b", "a"))
+    ]
+    more = decided.select(F.inline(F.array(*ends)))
+    counts = (
+        found.where("b is null").select("a", "links").union(more)
+        .groupBy(F.col("a").alias("class")).agg(F.sum("links").alias("links"))
+    )
     rooted = (
         classes.join(turned.select(F.col("class"), F.lit(True).alias("valid")), "class", "left")
         .join(counts, "class", "left")
