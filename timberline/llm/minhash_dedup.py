@@ -25,9 +25,9 @@ class Nearness:
     sketch_size: int = 64
     listed_values: int = 16
     longest_list: int = 40
-    least_rare: int = 8
-    hot_lists: int = 5
-    deviations: float = 4.0
+    least_rare: int = 13
+    hot_lists: int = 10
+    deviations: float = 6.0
     block_classes: int = 2000
     block_shingles: int = 600_000
 
@@ -214,7 +214,8 @@ def _list_pairs(listed: DataFrame, near: Nearness) -> DataFrame:
     """Pairs of classes in a short list whose sizes allow a link; the larger fingerprint first."""
     left = listed.select("value", F.col("fp").alias("a"), F.col("n").alias("an"))
     right = listed.select("value", F.col("fp").alias("b"), F.col("n").alias("bn"))
-    return left.join(right, "value").where((F.col("a") > F.col("b")) & _fits(near)).select("a", "b")
+    met = left.join(right, "value").where((F.col("a") > F.col("b")) & _fits(near)).select("a", "b")
+    return met.distinct()  # most pairs meet in many lists
 
 
 def _estimated(pairs: DataFrame, sketches: DataFrame, near: Nearness) -> DataFrame:
