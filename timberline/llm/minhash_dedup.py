@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from timberline.llm.components import components
-from timberline.llm.tables import row_key, settled
+from timberline.llm.tables import row_key, settled_alone
 from timberline.llm.words import Words, chunks, lower_ascii, mixed, rolled, text_buffers, words_of
 
 
@@ -29,7 +29,7 @@ class Nearness:
     hot_lists: int = 10
     deviations: float = 4.0
     block_classes: int = 2000
-    block_shingles: int = 600_000
+    block_shingles: int = 900_000
 
     @property
     def least_estimate(self) -> float:
@@ -137,14 +137,14 @@ def near_components(
         F.col(text).alias("_text"),
     )
     types = "".join(f"{name} {base.schema[name].dataType.simpleString()}, " for name in [*carried, "_id"])
-    signed = settled(
+    signed = settled_alone(
         base.select(*carried, "_id", row_key("_id", "_text").alias("_key"), "_text").mapInArrow(
             _signer(near, full=False),
             f"{types}_key struct<a:bigint,b:bigint>, n bigint, fp binary, values array<bigint>",
         ),
         "near-signatures",
     )
-    classes = settled(
+    classes = settled_alone(
         signed.where("n > 0")
         .groupBy("fp")
         .agg(
@@ -158,19 +158,20 @@ def near_components(
     )
     listed, hot = _lists(classes, near)
     sketches = classes.select("fp", "n", "values")
-    candidates = settled(_estimated(_list_pairs(listed, near), sketches, near), "near-candidates")
+    candidates = settled_alone(_estimated(_list_pairs(listed, near), sketches, near), "near-candidates")
     best = Window.partitionBy("a").orderBy(F.col("estimate").desc(), "b")
     first = candidates.withColumn("_rank", F.row_number().over(best)).where("_rank = 1").drop("_rank")
     ends = candidates.select(F.col("a").alias("fp")).union(candidates.select("b")).union(hot.select("fp"))
     sets = _full_sets(base, classes, ends.distinct(), near)
     alike = _connected(hot.where("rank = 1").select("value", "fp", "n", F.lit(None).alias("met")), sets, near)
-    links = settled(_verified(first, sets, near).union(alike), "near-links")
+    verified = settled_alone(_verified(first, sets, near), "near-verified")
+    links = settled_alone(verified.union(alike), "near-links")
     joined = components(links)
     members = hot.join(joined.select(F.col("node").alias("fp"), "root"), "fp", "left").select(
         "value", "fp", "n", F.coalesce("root", "fp").alias("root"), F.col("first").alias("met")
     )
     rest = _verified(_apart(candidates, joined), sets, near).union(_connected(_open(members), sets, near))
-    rest = settled(rest.distinct(), "near-links")
+    rest = settled_alone(rest.distinct(), "near-links")
     if not rest.isEmpty():
         joined = components(links.union(rest))
     rooted = classes.select("fp", "least_id").join(
@@ -193,7 +194,7 @@ def _lists(classes: DataFrame, near: Nearness) -> tuple[DataFrame, DataFrame]:
     """Entries (value, fp, n) of short lists, and those of long ones for classes that need them."""
     entries = classes.select("fp", "n", F.explode(F.slice("values", 1, near.listed_values)).alias("value"))
     lengths = entries.groupBy("value").agg(F.count(F.lit(1)).alias("length")).where("length > 1")
-    placed = settled(entries.join(lengths, "value"), "near-lists")
+    placed = settled_alone(entries.join(lengths, "value"), "near-lists")
     short = placed.where(F.col("length") <= near.longest_list)
     long = placed.where(F.col("length") > near.longest_list)
     # values that no other class has lead to none, so they do not count as rare
@@ -207,7 +208,7 @@ def _lists(classes: DataFrame, near: Nearness) -> tuple[DataFrame, DataFrame]:
         .select("value", "fp", "n", F.row_number().over(order).alias("rank"), F.first("value").over(order).alias("first"))
         .where(F.col("rank") <= near.hot_lists)
     )
-    return short, settled(hot, "near-long-lists")
+    return short, settled_alone(hot, "near-long-lists")
 
 
 def _list_pairs(listed: DataFrame, near: Nearness) -> DataFrame:
@@ -247,7 +248,7 @@ def _full_sets(base: DataFrame, classes: DataFrame, ends: DataFrame, near: Nearn
     """(fp, values) of the classes in ``ends``, each from the text of one of its documents."""
     wanted = classes.join(ends, "fp", "left_semi").select("_key")
     texts = base.select(row_key("_id", "_text").alias("_key"), "_text").join(wanted, "_key", "left_semi")
-    return settled(
+    return settled_alone(
         texts.dropDuplicates(["_key"])
         .select("_text")
         .mapInArrow(_signer(near, full=True), "n bigint, fp binary, values array<bigint>"),

@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from timberline.session import settled
+from timberline.session import release_shuffles, settled
 
-__all__ = ["kept_rows", "row_key", "settled", "shuffle_parts", "with_rows"]
+__all__ = ["kept_rows", "row_key", "settled", "settled_alone", "shuffle_parts", "with_rows"]
 
 
 def row_key(identifier: str = "doc_id", text: str = "text") -> Column:
@@ -23,6 +23,14 @@ def row_key(identifier: str = "doc_id", text: str = "text") -> Column:
     )
 
 
+def settled_alone(table: DataFrame, purpose: str) -> DataFrame:
+    """As ``settled``, and the shuffle files behind the table go at once: for long chains of large steps."""
+    written = settled(table, purpose)
+    del table
+    release_shuffles(written.sparkSession)
+    return written
+
+
 def with_rows(docs: DataFrame) -> DataFrame:
     """The rows with a number ``_row`` each, written once: all who read them see the same numbers.
 
