@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+import gc
 import tempfile
 import uuid
 
@@ -75,11 +76,36 @@ def released_folders(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        _scopes.remove(scope)
+        _close(scope)
         for path in scope:
             remove_folder(spark, path)
 
 
+@contextmanager
+def named_folders() -> Iterator[list[str]]:
+    """The shared folders that are named inside, for those who remove them later."""
+    scope: list[str] = []
+    _scopes.append(scope)
+    try:
+        yield scope
+    finally:
+        _close(scope)
+
+
+def _close(scope: list[str]) -> None:
+    _scopes[:] = [other for other in _scopes if other is not scope]
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files of finished queries now.
+
+    It does so when the driver's garbage collection finds nothing that refers to them, which may be
+    long after the disk is needed.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def read_small_text(spark: SparkSession, path: str) -> str:
     """The content of a small text file."""
     stream = _file_system(spark, path).open(_hadoop_path(spark, path))
