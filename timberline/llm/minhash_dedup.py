@@ -28,8 +28,8 @@ class Nearness:
     least_rare: int = 13
     hot_lists: int = 10
     deviations: float = 4.0
-    block_classes: int = 2000
-    block_shingles: int = 900_000
+    block_classes: int = 2500
+    block_shingles: int = 1_200_000
 
     @property
     def least_estimate(self) -> float:
@@ -332,7 +332,7 @@ def _connected(members: DataFrame, sets: DataFrame, near: Nearness) -> DataFrame
     )
 
 
-def _cell_linker(percent: int, columns_at_once: int = 2048):
+def _cell_linker(percent: int, columns_at_once: int = 1024):
     def link(cell: pd.DataFrame) -> pd.DataFrame:
         """Compares two blocks on full sets and returns each member with the least one it is connected to."""
         cell = cell.sort_values("fp", kind="stable")
