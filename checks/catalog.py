@@ -12,6 +12,7 @@ from checks import (  # noqa: F401
     searches,
     evaluations,
     reports,
+    stored_reports,
 )
 from checks.registry import CATALOG
 

@@ -35,34 +35,34 @@ def table_statistics(data: LogData) -> DataFrame:
     return analytics.table_statistics(logs, vectors)
 
 
-_FREQUENT = """SELECT event_id, coalesce(event_template, normalized_message) AS template, level, count(*) AS count
+FREQUENT_SQL = """SELECT event_id, coalesce(event_template, normalized_message) AS template, level, count(*) AS count
 FROM logs WHERE {levels} GROUP BY ALL ORDER BY count DESC, event_id NULLS LAST, template, level LIMIT {limit}"""
 
 
-@query(over_logs(_FREQUENT.format(levels="level IN ('ERROR', 'CRITICAL', 'WARNING')", limit=15)))
+@query(over_logs(FREQUENT_SQL.format(levels="level IN ('ERROR', 'CRITICAL', 'WARNING')", limit=15)))
 def frequent_errors(data: LogData) -> DataFrame:
     return analytics.frequent_errors(data.logs())
 
 
-@query(over_logs(_FREQUENT.format(levels="level = 'INFO'", limit=40)))
+@query(over_logs(FREQUENT_SQL.format(levels="level = 'INFO'", limit=40)))
 def frequent_errors_level(data: LogData) -> DataFrame:
     return analytics.frequent_errors(data.logs(), 40, "INFO")
 
 
-_TIMELINE = """SELECT CAST(date_trunc('{unit}', log_timestamp) AS TIMESTAMP) AS bucket, count(*) AS count
+TIMELINE_SQL = """SELECT CAST(date_trunc('{unit}', log_timestamp) AS TIMESTAMP) AS bucket, count(*) AS count
 FROM logs WHERE log_timestamp IS NOT NULL {more} GROUP BY bucket"""
 
 
-@query(over_logs(_TIMELINE.format(unit="day", more="")))
+@query(over_logs(TIMELINE_SQL.format(unit="day", more="")))
 def timeline_day(data: LogData) -> DataFrame:
     return analytics.timeline(data.logs())
 
 
-@query(over_logs(_TIMELINE.format(unit="hour", more="AND level = 'ERROR'")))
+@query(over_logs(TIMELINE_SQL.format(unit="hour", more="AND level = 'ERROR'")))
 def timeline_hour(data: LogData) -> DataFrame:
     return analytics.timeline(data.logs(), "hour", level="ERROR")
 
 
-@query(over_logs(_TIMELINE.format(unit="day", more="AND event_id = 'E5' AND level = 'CRITICAL'")))
+@query(over_logs(TIMELINE_SQL.format(unit="day", more="AND event_id = 'E5' AND level = 'CRITICAL'")))
 def timeline_event(data: LogData) -> DataFrame:
     return analytics.timeline(data.logs(), event_id="E5", level="CRITICAL")

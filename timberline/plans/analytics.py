@@ -20,14 +20,16 @@ def frequent_errors(
     logs: DataFrame, limit: int = DEFAULT_GROUP_LIMIT, level: str | None = None
 ) -> DataFrame:
     """The largest groups of problem lines; an explicit level replaces the default level set."""
+    lines = logs.select("event_id", template_or_message().alias("template"), "level", F.lit(1).alias("lines"))
+    return largest_groups(lines, limit, level)
+
+
+def largest_groups(counts: DataFrame, limit: int, level: str | None) -> DataFrame:
+    """``frequent_errors`` from numbers of ``lines`` per ``event_id, template, level`` and whatever else."""
     check_number("limit", limit, 1, MAX_GROUP_LIMIT)
     only = wanted_level(level)
     levels = F.col("level").isin(*PROBLEM_LEVELS) if only is None else F.col("level") == only
-    groups = (
-        logs.where(levels)
-        .groupBy("event_id", template_or_message().alias("template"), "level")
-        .agg(F.count(F.lit(1)).alias("count"))
-    )
+    groups = counts.where(levels).groupBy("event_id", "template", "level").agg(F.sum("lines").alias("count"))
     order = [
         F.desc("count"),
         F.asc_nulls_last("event_id"),
@@ -135,6 +137,11 @@ def table_statistics(logs: DataFrame, vectors: DataFrame) -> DataFrame:
         F.min("log_timestamp").alias("first_log"),
         F.max("log_timestamp").alias("last_log"),
     )
+    return statistics_of(groups, vectors)
+
+
+def statistics_of(groups: DataFrame, vectors: DataFrame) -> DataFrame:
+    """``table_statistics`` from the lines and times per message, event and whatever else."""
     known = vectors.select("normalized_message", F.lit(True).alias("known"))
     zero = F.lit(0).cast("bigint")
     totals = groups.join(known, "normalized_message", "left").agg(

@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from timberline.operators import contracts
+from timberline.plans import summaries
 from timberline.sinks.changes import Change
 from timberline.sinks.tables import write_logs, write_parquet
-from timberline.sources.tables import INDEX, INDEX_MODEL, LOGS, RUN_LOG, SCHEMAS, TEMPLATES, VECTORS, Tables
+from timberline.sources.tables import HOURS, INDEX, INDEX_MODEL, LOGS, MESSAGES, RUN_LOG, SCHEMAS, TEMPLATES, VECTORS, Tables
 
+# Everything that is loaded or derived from it.
+_ALL = (LOGS, TEMPLATES, VECTORS, INDEX, INDEX_MODEL, MESSAGES, HOURS)
 REQUIRED_LOG_COLUMNS = ("line_id", "source", "level", "raw_message", "normalized_message")
 
 
@@ -70,7 +73,7 @@ def require(report: DataFrame) -> None:
 def create_empty(target: Tables) -> None:
     """Replace all stored tables, run log included, by empty ones."""
     with Change(target) as change:
-        change.clear(LOGS, TEMPLATES, VECTORS, INDEX, INDEX_MODEL)
+        change.clear(*_ALL)
         change.buckets = 0
         change.publish()
     write_parquet(target.spark.createDataFrame([], SCHEMAS[RUN_LOG]), target.path(RUN_LOG))
@@ -80,8 +83,8 @@ def load(logs: DataFrame, templates: DataFrame, target: Tables, reset: bool = Tr
     """Check the contracts, then write. ``reset`` replaces both tables and empties the vectors.
 
     Without ``reset`` the rows are added, and keys that are already stored are refused. Either way all
-    tables change in one step: if anything fails, readers still have the old tables, and the load can
-    be tried again.
+    tables, summaries included, change in one step: if anything fails, readers still have the old ones,
+    and the load can be tried again.
     """
     logs = contracts.with_log_defaults(logs).drop("id", "inserted_at")
     templates = contracts.with_template_defaults(templates)
@@ -91,9 +94,10 @@ def load(logs: DataFrame, templates: DataFrame, target: Tables, reset: bool = Tr
         require(contract_report(logs, templates, target.logs(), target.templates()))
     with Change(target) as change:
         if reset:
-            change.clear(LOGS, TEMPLATES, VECTORS, INDEX, INDEX_MODEL)
+            change.clear(*_ALL)
             change.buckets = 0
         template_rows = change.add(TEMPLATES, templates)
         log_rows = change.add(LOGS, logs, write=write_logs)
+        summaries.extend(change, change.tables[LOGS][""][-1:])
         change.publish()
     return Loaded(log_rows, template_rows)

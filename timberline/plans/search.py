@@ -100,28 +100,39 @@ def semantic_search(
     default_top_k: int = DEFAULT_TOP_K,
     index: Index | CellIndex | None = None,
     levels: Sequence[str] | None = LEVELS,
+    level_sets: DataFrame | None = None,
 ) -> DataFrame:
     """Per request the lines whose message is closest in meaning to the text.
 
     ``levels`` are the levels that a request may name, None for any. With ``index`` the ``vectors`` are
     the rows of an index (``cells.read_cells``, or what ``lsh.write_index`` wrote) and the search is
-    approximate; without it, exact.
+    approximate; without it, exact. ``level_sets`` are the levels that each message of ``logs`` occurs at
+    (``summaries.level_sets``); without them a request that names a level counts them from the lines.
     """
     asked = tidy_requests(requests, default_top_k).select("query_id", "text", "level", "top_k")
     asked, largest = accepted_requests(asked, levels=levels)
-    return _nearest_lines(encoder.encode(asked, "text").drop("text"), largest, logs, vectors, index)
+    return _nearest_lines(encoder.encode(asked, "text").drop("text"), largest, logs, vectors, index, level_sets)
 
 
 def vector_search(
-    asked: DataFrame, logs: DataFrame, vectors: DataFrame, index: Index | CellIndex | None = None
+    asked: DataFrame,
+    logs: DataFrame,
+    vectors: DataFrame,
+    index: Index | CellIndex | None = None,
+    level_sets: DataFrame | None = None,
 ) -> DataFrame:
     """As ``semantic_search`` for ready vectors: ``query_id, embedding, level, top_k``, any levels."""
     asked, largest = accepted_requests(asked.select("query_id", "embedding", "level", "top_k"))
-    return _nearest_lines(asked, largest, logs, vectors, index)
+    return _nearest_lines(asked, largest, logs, vectors, index, level_sets)
 
 
 def _nearest_lines(
-    asked: DataFrame, limit: int, logs: DataFrame, vectors: DataFrame, index: Index | CellIndex | None
+    asked: DataFrame,
+    limit: int,
+    logs: DataFrame,
+    vectors: DataFrame,
+    index: Index | CellIndex | None,
+    level_sets: DataFrame | None = None,
 ) -> DataFrame:
     """Two stages: the best messages per request, then their lines.
 
@@ -143,11 +154,15 @@ def _nearest_lines(
     )
     items = vectors.select("normalized_message", "embedding", *(index.columns if index else ()))
     if levels is None or levels:
-        # Only the asked levels are read where they are known.
-        relevant = logs if levels is None else logs.where(F.col("level").isin(levels))
+        # Only the asked levels count where they are known.
+        if level_sets is None:
+            scopes = levels_per_message(logs if levels is None else logs.where(F.col("level").isin(levels)))
+        elif levels is None:
+            scopes = level_sets
+        else:
+            scopes = level_sets.where(F.arrays_overlap("scopes", F.array(*map(F.lit, levels))))
         # If every request names a level, a message without lines at one can answer none.
         every = rows is not None and rows["level"].null_count == 0
-        scopes = levels_per_message(relevant)
         items = items.join(scopes, "normalized_message", "inner" if every else "left").withColumn(
             "scopes", F.coalesce("scopes", F.array().cast("array<string>"))
         )

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from timberline.functions.labels import run_timings
-from timberline.plans.analytics import table_statistics
-from timberline.sources.tables import INDEX, INDEX_MODEL, LOGS, RUN_LOG, TEMPLATES, VECTORS, Tables, file_sizes
+from timberline.plans.stored_analytics import table_statistics
+from timberline.sources.tables import INDEX, LOGS, SCHEMAS, VECTORS, Tables, file_sizes
 
 SUCCESS, FAILED = "SUCCESS", "FAILED"
 
@@ -54,10 +54,10 @@ def table_sizes(spark: SparkSession, folders: dict[str, str | list[str]]) -> Dat
 def storage_report(tables: Tables) -> DataFrame:
     """One row: table statistics, bytes per table, of the index and in all, and the latest successful run.
 
-    The total is that of all current tables, templates and run log included.
+    The total is that of all current tables, templates, summaries and run log included.
     """
     spark = tables.spark
-    names = {name: f"{name}_bytes" for name in (LOGS, VECTORS, INDEX, INDEX_MODEL, TEMPLATES, RUN_LOG)}
+    names = {name: f"{name}_bytes" for name in SCHEMAS}
     present = {label: folders for name, label in names.items() if (folders := tables.folders(name))}
     none = spark.createDataFrame([], "table string, files bigint, bytes bigint")
     sizes = table_sizes(spark, present) if present else none
@@ -71,7 +71,7 @@ def storage_report(tables: Tables) -> DataFrame:
     newest = latest_run(tables.runs()).withColumnsRenamed(
         {name: f"latest_{name}" for name in ("command", "finished_at", "details", "timings")}
     )
-    parts = [table_statistics(tables.logs(), tables.vectors()), by_name, newest]
+    parts = [table_statistics(tables), by_name, newest]
     # Tables of at most one row each become one row; a map cannot be compared, so take any value.
     side_by_side = reduce(lambda left, right: left.unionByName(right, True), parts)
     return side_by_side.agg(

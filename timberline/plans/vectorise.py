@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from timberline.operators.encoders import Encoder
 from timberline.operators.cells import CellModel, fit_cells, with_cell
-from timberline.operators.rollups import by_frequency, distinct_messages, messages_without_vector
+from timberline.operators.rollups import by_frequency, counted_messages, distinct_messages, messages_without_vector
 from timberline.operators.upsert import newest_per_key, upsert
+from timberline.plans import summaries
 from timberline.plans.load import ContractViolation, require, vector_contract_report
 from timberline.session import released_folders, settled
 from timberline.sinks.changes import Change
@@ -42,9 +43,16 @@ def new_vectors(
     Lines are rolled up before anything else happens, so the join and the encoder only ever see
     distinct messages.
     """
+    return vectors_for(distinct_messages(logs), vectors, encoder, limit)
+
+
+def vectors_for(
+    messages: DataFrame, vectors: DataFrame, encoder: Encoder, limit: int | None = None
+) -> DataFrame:
+    """``new_vectors`` for distinct messages that have been rolled up before."""
     if limit is not None and limit < 1:
         raise ValueError("limit must be at least 1")
-    missing = messages_without_vector(distinct_messages(logs), vectors)
+    missing = messages_without_vector(messages, vectors)
     if limit is not None:
         missing = missing.orderBy(*by_frequency()).limit(limit)
     stamped = missing.withColumn("updated_at", F.current_timestamp().cast("timestamp_ntz"))
@@ -105,7 +113,8 @@ def vectorise(tables: Tables, encoder: Encoder, limit: int | None = None) -> Vec
     if stored is not None and stored != encoder.dimension:
         raise ContractViolation(f"stored vectors have {stored} elements, the encoder gives {encoder.dimension}")
     with released_folders(tables.spark), Change(tables) as change:
-        rows = settled(new_vectors(tables.logs(), tables.vectors(), encoder, limit), "new-vectors")
+        known = counted_messages(summaries.messages(tables))
+        rows = settled(vectors_for(known, tables.vectors(), encoder, limit), "new-vectors")
         require(vector_contract_report(rows, encoder.dimension))
         totals = encoding_totals(rows).first()
         change.buckets = change.buckets or bucket_count(totals.distinct_texts)
@@ -154,7 +163,7 @@ def refresh_vectors(tables: Tables, changes: DataFrame, encoder: Encoder) -> int
         change.buckets = change.buckets or bucket_count(0)
         newest = settled(newest_per_key(changes, "normalized_message", "updated_at"), "changes")
         counts = settled(
-            distinct_messages(tables.logs()).select("normalized_message", "occurrences"), "counts"
+            counted_messages(summaries.messages(tables)).select("normalized_message", "occurrences"), "counts"
         )
         now = counts.withColumnRenamed("occurrences", "_now")
         recounted = (

@@ -57,6 +57,29 @@ MESSAGE_VECTORS = T.StructType(
     ]
 )
 
+MESSAGE_SUMMARIES = T.StructType(
+    [
+        T.StructField("normalized_message", T.StringType()),
+        T.StructField("event_id", T.StringType()),
+        T.StructField("level", T.StringType()),
+        T.StructField("template", T.StringType()),
+        T.StructField("lines", T.LongType()),
+        T.StructField("first_log", T.TimestampNTZType()),
+        T.StructField("last_log", T.TimestampNTZType()),
+    ]
+)
+
+HOUR_SUMMARIES = T.StructType(
+    [
+        T.StructField("bucket", T.TimestampNTZType()),
+        T.StructField("event_id", T.StringType()),
+        T.StructField("level", T.StringType()),
+        T.StructField("lines", T.LongType()),
+        T.StructField("message_sketch", T.BinaryType()),
+        T.StructField("host_sketch", T.BinaryType()),
+    ]
+)
+
 RUNS = T.StructType(
     [
         T.StructField("id", T.StringType()),

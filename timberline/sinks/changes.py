@@ -46,6 +46,12 @@ class Change:
         for name in names:
             self.tables[name] = {}
 
+    def read(self, name: str, folders: Iterable[str] | None = None) -> DataFrame:
+        """A table as this change leaves it so far, or those rows that lie in some of its folders."""
+        if folders is None:
+            folders = [folder for stored in self.tables.get(name, {}).values() for folder in stored]
+        return self.target.read_folders(name, [f"{self.target.path(name)}/{folder}" for folder in folders])
+
     def add(
         self,
         name: str,

@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from timberline.session import names_in, read_small_text
-from timberline.schemas import EVENT_TEMPLATES, LOG_ENTRIES, MESSAGE_VECTORS, RUNS
+from timberline.schemas import EVENT_TEMPLATES, HOUR_SUMMARIES, LOG_ENTRIES, MESSAGE_SUMMARIES, MESSAGE_VECTORS, RUNS
 
 LOGS, TEMPLATES, VECTORS, RUN_LOG = "log_entries", "event_templates", "message_embeddings", "pipeline_runs"
 INDEX, INDEX_MODEL = "message_index", "message_index_model"
+MESSAGES, HOURS = "message_summaries", "hour_summaries"
 INDEX_ROWS = T.StructType(
     [
         T.StructField("normalized_message", T.StringType()),
@@ -38,6 +39,8 @@ SCHEMAS = {
     RUN_LOG: RUNS,
     INDEX: INDEX_ROWS,
     INDEX_MODEL: CELL_MODEL,
+    MESSAGES: MESSAGE_SUMMARIES,
+    HOURS: HOUR_SUMMARIES,
 }
 MANIFESTS = "_manifests"
 
@@ -107,7 +110,11 @@ class Tables:
 
     def read(self, name: str, keys: Iterable[str] | None = None) -> DataFrame:
         """A table, or the rows of some of its keys."""
-        schema, folders = SCHEMAS[name], self.folders(name, keys)
+        return self.read_folders(name, self.folders(name, keys))
+
+    def read_folders(self, name: str, folders: list[str]) -> DataFrame:
+        """The rows of a table that lie in the given folders of it."""
+        schema = SCHEMAS[name]
         if not folders:
             return self.spark.createDataFrame([], schema)
         table = self.spark.read.schema(schema).option("basePath", self.path(name)).parquet(*folders)
