@@ -106,7 +106,15 @@ def test_near_links_classes_whose_other_values_are_all_their_own(spark):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("near", [Nearness(), Nearness(longest_list=3, block_classes=4), Nearness(longest_list=2, block_shingles=900, hot_lists=8)])
+@pytest.mark.parametrize(
+    "near",
+    [
+        Nearness(),
+        Nearness(longest_list=3, block_classes=4),
+        Nearness(longest_list=3, block_classes=3, drawn_sets=5, broadcast_values=0),
+        Nearness(longest_list=2, block_shingles=900, hot_lists=8),
+    ],
+)
 def test_near_like_brute(spark, seed, near):
     rows = variants(seed)
     expected = brute.near(rows)

@@ -30,6 +30,8 @@ class Nearness:
     deviations: float = 4.0
     block_classes: int = 2500
     block_shingles: int = 1_200_000
+    drawn_sets: int = 15
+    broadcast_values: int = 1_000_000
 
     @property
     def least_estimate(self) -> float:
@@ -286,7 +288,9 @@ def _connected(members: DataFrame, sets: DataFrame, near: Nearness) -> DataFrame
     """(a, b) that connect all linked members (value, fp, n, met) of each list.
 
     The most members that met form one side of a list and the others the other side, both in blocks
-    of bounded size: blocks of the others meet all blocks once. Without ``met`` all meet all.
+    of bounded size: blocks of the others meet all blocks once. Without ``met`` all meet all. What
+    travels to the cells is how a set differs from its list's typical one, which is little among near
+    copies, and from which the cells count the same intersections.
     """
     sizes = members.groupBy("value", "met").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("held"))
     main = F.max(F.struct(F.when(F.col("met").isNull(), 0).otherwise(F.col("size")).alias("size"), "met", "held"))
@@ -322,27 +326,74 @@ def _connected(members: DataFrame, sets: DataFrame, near: Nearness) -> DataFrame
     )
     cells = F.when(F.col("_rest"), F.concat(to_rest, to_main)).otherwise(from_main)
     side = F.when(F.col("_rest"), own).otherwise(own + F.col("rest_blocks"))
-    dealt = placed.select("value", "fp", side.alias("side"), F.explode(cells).alias("cell"))
+    sides = F.col("rest_blocks") + F.col("main_blocks")
+    dealt = placed.select("value", "fp", "n", side.alias("side"), sides.alias("sides"), cells.alias("cells")).where(
+        F.size("cells") > 0
+    )
+    typical = _typical(dealt.where("sides > 1").select("value", "fp", "sides"), sets, near)
+    missing = F.array_except("typical", "values")
     return (
-        dealt.select("value", "fp", "side", F.col("cell.i").alias("i"), F.col("cell.j").alias("j"))
+        dealt.drop("sides")
         .join(sets.select("fp", "values"), "fp")
+        .join(typical, ["value", "side"], "left")
+        .withColumn("typical", F.coalesce("typical", F.array().cast("array<bigint>")))
+        .select(
+            "value",
+            "fp",
+            "n",
+            "side",
+            (F.size("typical") - F.size(missing)).alias("held"),
+            F.concat(F.array_except("values", "typical"), missing).alias("differing"),
+            F.size("typical").alias("typical"),
+            "cells",
+        )
+        .withColumn("cell", F.explode("cells"))
+        .select("value", "fp", "n", "side", "held", "typical", "differing", F.col("cell.i").alias("i"), F.col("cell.j").alias("j"))
         .groupBy("value", "i", "j")
         .applyInPandas(_cell_linker(near.percent), "a binary, b binary")
         .distinct()
     )
 
 
+def _typical(members: DataFrame, sets: DataFrame, near: Nearness) -> DataFrame:
+    """(value, side, typical): shingles that most of a few sets of a list hold, for each side of the list.
+
+    Any set would do, a near one only saves space. It holds less than twice the drawn sets' mean size.
+    """
+    order = Window.partitionBy("value").orderBy("fp")
+    drawn = (
+        members.withColumn("_place", F.row_number().over(order))
+        .where(F.col("_place") <= near.drawn_sets)
+        .join(sets.select("fp", "values"), "fp")
+    )
+    counts = drawn.select("value", "sides", F.explode("values").alias("shingle")).groupBy("value", "sides", "shingle").count()
+    typical = settled_alone(
+        counts.where(F.col("count") * 2 > near.drawn_sets)
+        .groupBy("value", "sides")
+        .agg(F.collect_list("shingle").alias("typical")),
+        "near-typical",
+    )
+    dealt = typical.select("value", F.explode(F.sequence(F.lit(0), F.col("sides") - 1)).alias("side"), "typical")
+    values = typical.agg(F.sum(F.col("sides") * F.size("typical"))).first()[0] or 0
+    return F.broadcast(dealt) if values <= near.broadcast_values else dealt
+
+
 def _cell_linker(percent: int, columns_at_once: int = 1024):
     def link(cell: pd.DataFrame) -> pd.DataFrame:
-        """Compares two blocks on full sets and returns each member with the least one it is connected to."""
+        """Compares two blocks and returns each member with the least one it is connected to.
+
+        With the typical set T, two sets that hold s and t of its members share s + t - |T| values and
+        as many more as their differences from T have in common.
+        """
         cell = cell.sort_values("fp", kind="stable")
-        values = [np.asarray(row, np.int64) for row in cell["values"]]
-        sizes = np.array([len(row) for row in values])
+        values = [np.asarray(row, np.int64) for row in cell["differing"]]
+        sizes, held_typical = cell["n"].to_numpy(), cell["held"].to_numpy()
+        lengths = np.array([len(row) for row in values])
         flat = np.concatenate(values)
         _, column, uses = np.unique(flat, return_inverse=True, return_counts=True)
         shared = uses[column] > 1
         renumbered = np.cumsum(uses > 1) - 1
-        column, row = renumbered[column[shared]], np.repeat(np.arange(len(values)), sizes)[shared]
+        column, row = renumbered[column[shared]], np.repeat(np.arange(len(values)), lengths)[shared]
         order = np.argsort(column, kind="stable")
         column, row = column[order], row[order]
         side = cell["side"].to_numpy()
@@ -356,6 +407,7 @@ def _cell_linker(percent: int, columns_at_once: int = 1024):
             held = np.zeros((len(values), min(columns_at_once, count - begin)), np.float32)
             held[row[x:y], column[x:y] - begin] = 1
             both += held[left] @ held[right].T
+        both += (held_typical[left][:, None] + held_typical[right][None, :] - cell["typical"].iloc[0]).astype(np.float32)
         linked = both * 100 >= (sizes[left][:, None] + sizes[right][None, :] - both) * percent
         linked &= left[:, None] != right[None, :]
         label = np.arange(len(values))
