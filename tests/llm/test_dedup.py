@@ -105,6 +105,18 @@ def test_near_links_classes_whose_other_values_are_all_their_own(spark):
     assert {key: root for key, (_, root) in brute.near(rows).items()} == found == dict.fromkeys(range(16), 0)
 
 
+def test_near_in_a_list_whose_members_hold_text_of_their_own(spark):
+    """A passage that all share makes one long list; only copies of some of them link there."""
+    generator = random.Random(8)
+    passage = prose(generator, 60, 5000)
+    rows = [(at, " ".join(passage + prose(generator, 60, 10**6))) for at in range(60)]
+    rows += [(100 + at, rows[at][1] + " more") for at in range(0, 60, 6)]
+    rows += [(200 + at, " ".join([*passage, f"end{at}"])) for at in range(12)]
+    near = Nearness(longest_list=3, block_classes=5, drawn_sets=3)
+    got = near_components(docs(spark, rows), near=near).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute.near(rows)
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 @pytest.mark.parametrize(
     "near",

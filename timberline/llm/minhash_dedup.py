@@ -120,7 +120,8 @@ def near_components(
 
     Lists longer than ``longest_list`` are never expanded into pairs. A class that keeps
     ``least_rare`` values in shorter lists of two classes or more is found through those. The others, whose text is mostly
-    shared by many, are compared on their full sets inside their long lists, in pairs of bounded
+    shared by many, drop out if too many of their shingles are held by none of the others. The rest are
+    compared on their full sets inside their long lists, in pairs of bounded
     blocks that return who is connected, never the pairs: first among the classes with the same
     smallest long list, then in each other long list that still holds several components, where
     classes that met before form one side and need not meet again. Candidates from short lists are
@@ -165,6 +166,7 @@ def near_components(
     first = candidates.withColumn("_rank", F.row_number().over(best)).where("_rank = 1").drop("_rank")
     ends = candidates.select(F.col("a").alias("fp")).union(candidates.select("b")).union(hot.select("fp"))
     sets = _full_sets(base, classes, ends.distinct(), near)
+    hot = settled_alone(_linkable(hot, sets, near), "near-linkable")
     alike = _connected(hot.where("rank = 1").select("value", "fp", "n", F.lit(None).alias("met")), sets, near)
     verified = settled_alone(_verified(first, sets, near), "near-verified")
     links = settled_alone(verified.union(alike), "near-links")
@@ -213,6 +215,29 @@ def _lists(classes: DataFrame, near: Nearness) -> tuple[DataFrame, DataFrame]:
     return short, settled_alone(hot, "near-long-lists")
 
 
+def _linkable(hot: DataFrame, sets: DataFrame, near: Nearness) -> DataFrame:
+    """The entries of classes that may link with another class of the long lists.
+
+    What a class shares with one of them is at most its shingles that any of them holds as well, and the
+    union is at least its own set. So a class that holds too much text of its own links with none of them.
+    """
+    numbered = settled_alone(
+        hot.where("rank = 1").select("fp", "n", F.monotonically_increasing_id().alias("member")), "near-members"
+    )
+    alone = (
+        numbered.join(sets.select("fp", "values"), "fp")
+        .select("member", F.explode("values").alias("shingle"))
+        .groupBy("shingle")
+        .agg(F.min("member").alias("member"), F.max("member").alias("last"))
+        .where("member = last")
+        .groupBy("member")
+        .agg(F.count(F.lit(1)).alias("alone"))
+    )
+    shared = F.col("n") - F.coalesce("alone", F.lit(0))
+    able = numbered.join(alone, "member", "left").where(shared * 100 >= F.col("n") * near.percent)
+    return hot.join(able.select("fp"), "fp", "left_semi")
+
+
 def _list_pairs(listed: DataFrame, near: Nearness) -> DataFrame:
     """Pairs of classes in a short list whose sizes allow a link; the larger fingerprint first."""
     left = listed.select("value", F.col("fp").alias("a"), F.col("n").alias("an"))
