@@ -246,3 +246,20 @@ def test_repeated_requests_and_seeds_count_once(spark, hot):
         search.similar_logs(seeds.unionAll(spark.createDataFrame([(3, 6)], seeds.schema)), logs, vectors)
     with pytest.raises(ValueError):
         search.similar_logs(spark.createDataFrame([(3, 0)], seeds.schema), logs, vectors)
+
+
+def test_pairs_of_many_requests_hold_no_text(spark, hot, monkeypatch):
+    """Of many requests each keeps its own number of matches, by number of the message, in its order."""
+    rows, logs, vectors = hot
+    monkeypatch.setattr(search, "MAX_SHARED_MESSAGES", 2)
+    kept = {}
+    settled = search.settled
+    monkeypatch.setattr(search, "settled", lambda table, purpose: kept.setdefault(purpose, settled(table, purpose)))
+    seeds = spark.createDataFrame([(3, 1), (4, 40)], "seed_id bigint, top_k int")
+    found = search.similar_logs(seeds, logs, vectors).groupBy("seed_id").count().collect()
+    assert {row.seed_id: row["count"] for row in found} == {3: 1, 4: 40}
+    assert "string" not in dict(kept["matches"].dtypes).values()
+    per_query = {row.query_id: row["count"] for row in kept["matches"].groupBy("query_id").count().collect()}
+    assert sorted(per_query.values())[0] <= 20
+    numbers = kept["numbers"].orderBy("_number").collect()
+    assert [row.normalized_message for row in numbers] == sorted({row[4] for row in rows})

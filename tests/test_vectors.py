@@ -173,3 +173,60 @@ def test_signatures_come_by_cost():
     assert nearest_signatures(margins, 50) == np.argsort(cost)[:50].tolist()
     assert sorted(nearest_signatures(margins, 1000)) == list(range(128))
     assert len(nearest_signatures(np.random.default_rng(3).standard_normal(30), 40)) == 40
+
+
+def test_no_more_than_a_query_asks_for_leaves_a_block(spark, monkeypatch):
+    """One query wants many rows; the others must not pay for it."""
+    monkeypatch.setattr(vectors_module, "QUERY_BLOCK", 25)
+    monkeypatch.setattr(vectors_module, "ITEM_BLOCK", 150)
+    random = np.random.Generator(np.random.PCG64(5))
+    queries = [(at, row.tolist(), 200 if at == 9 else 2) for at, row in enumerate(random.standard_normal((50, 6)))]
+    items = [(f"m{at:03d}", row.tolist()) for at, row in enumerate(random.standard_normal((600, 6)))]
+    asked = spark.createDataFrame(queries, "query_id bigint, embedding array<float>, top_k int")
+    stored = spark.createDataFrame(items, "name string, embedding array<float>")
+    limited = asked.withColumnRenamed("top_k", "limit")
+    left = vectors_module._meet_in_blocks(limited, stored, "name", 200, 600, 3600)
+    blocks = -(-600 // 150)
+    assert left.count() <= blocks * (2 * 49 + 200)
+    found = nearest(asked, stored, "name", 200, max_shared=1).groupBy("query_id").count().collect()
+    assert {row.query_id: row["count"] for row in found} == {at: own for at, _, own in queries}
+
+
+def test_a_vector_is_sent_to_few_blocks():
+    """By the sizes of 0.6 million vectors of 64 numbers: copies of a side are blocks of the other."""
+    blocks = vectors_module._blocks(615_000, vectors_module.ITEM_BLOCK, 64)
+    assert 2 * blocks * 615_000 * 64 * 4 < 5e9
+    assert vectors_module._blocks(615_000, vectors_module.ITEM_BLOCK, 768) * vectors_module.BLOCK_NUMBERS >= 615_000 * 768
+
+
+def test_best_are_found_where_most_scores_tie(spark, monkeypatch):
+    """More items than contenders, most of them equal, and one far better at any place."""
+    monkeypatch.setattr(vectors_module, "CONTENDERS", 16)
+    rows = [[1.0, 1.0]] * 300
+    rows[123], rows[299] = [1.0, 0.1], [1.0, 0.0]
+    items = spark.createDataFrame([(at, row) for at, row in enumerate(rows)], "item bigint, embedding array<float>").coalesce(1)
+    asked = spark.createDataFrame([(1, [1.0, 0.0], 5), (2, [1.0, 1.0], 1)], "query_id bigint, embedding array<float>, top_k int")
+    found = nearest(asked, items, "item", 5).orderBy("query_id", "rank").collect()
+    assert [row.item for row in found] == [299, 123, 0, 1, 2, 0]
+
+
+def test_scopes_may_be_numbers(spark):
+    items = spark.createDataFrame([(at, [1.0, float(at)], [at % 3]) for at in range(9)], "item bigint, embedding array<float>, scopes array<int>")
+    asked = spark.createDataFrame([(1, [1.0, 0.0], [0]), (2, [1.0, 0.0], [1, 2]), (3, [1.0, 0.0], []), (4, [1.0, 0.0], None)], "query_id bigint, embedding array<float>, scope array<int>")
+    found = nearest(asked, items, "item", 3).orderBy("query_id", "rank").collect()
+    assert [(row.query_id, row.item) for row in found] == [(1, 0), (1, 3), (1, 6), (2, 1), (2, 2), (2, 4), (4, 0), (4, 1), (4, 2)]
+
+
+def test_words_are_summed_in_steps(monkeypatch):
+    import pyarrow as pa
+
+    from timberline.operators import encoders
+
+    random = np.random.Generator(np.random.PCG64(1))
+    lists = [random.integers(0, 1 << 32, size).tolist() for size in (0, 3, 70, 1, 0, 12, 5, 200, 2)]
+    codes = pa.array([[1]] + lists, pa.list_(pa.int64())).slice(1)
+    whole, sizes, summed = encoders._summed_words(codes, 8), [], encoders._summed_words
+    monkeypatch.setattr(encoders, "WORDS_AT_ONCE", 50)
+    monkeypatch.setattr(encoders, "_summed_words", lambda part, size: sizes.append(len(pa.concat_arrays([part]).flatten())) or summed(part, size))
+    assert (encoders.hashed_vectors(codes, 8) == whole).all()
+    assert len(sizes) > 3 and sum(sizes) == 293 and sorted(sizes)[-3] <= 50
