@@ -142,3 +142,29 @@ def test_few_sequences(spark):
 def test_words_are_counted_like_the_pattern(spark):
     got = mixed_documents(docs(spark, [(i, text) for i, (_, text) in enumerate(EDGES)]), source="kept").collect()
     assert {r.doc_id: r.size for r in got} == {i: len(brute.words(text)) for i, (_, text) in enumerate(EDGES)}
+
+
+def test_words_of_letters_are_encoded_in_lines():
+    from tokenizers import Tokenizer
+
+    from timberline.llm.packing import WORDS_IN_A_LINE, _Encoded, _public_vocabulary
+
+    tokenizer = Tokenizer.from_file(_public_vocabulary("word_bpe_49k.json"))
+    asked = []
+
+    class Counting:
+        model, get_vocab, get_vocab_size = tokenizer.model, tokenizer.get_vocab, tokenizer.get_vocab_size
+
+        def encode_batch_fast(self, texts, add_special_tokens):
+            asked.extend(texts)
+            return tokenizer.encode_batch_fast(texts, add_special_tokens=add_special_tokens)
+
+    random_words = random.Random(6)
+    words = ["".join(random_words.choices("aeiostréß한", k=random_words.randint(1, 9))) for _ in range(1500)]
+    odd = ["don't", "</w>", "a1", "a̧b", "İstanbul", "x²", "a</w>b", "<|endoftext|>"]
+    words[700:700] = odd
+    known = _Encoded(Counting())
+    place, count = known.look_up(np.arange(len(words), dtype=np.uint64), lambda some: [words[at] for at in some])
+    got = [known.ids[x : x + n].tolist() for x, n in zip(place, count, strict=True)]
+    assert got == [tokenizer.encode(word, add_special_tokens=False).ids for word in words]
+    assert len(asked) <= len(odd) + -(-len(words) // WORDS_IN_A_LINE)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import bisect
+import unicodedata
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
@@ -17,8 +18,9 @@ from timberline.llm.tables import settled
 from timberline.llm.words import Words, chunks, lower_ascii, text_buffers, words_of
 
 PIECES = "piece int, start bigint, length bigint, ids_crc32 bigint"
-TOKEN_CHUNK_BYTES = 16_000_000
+TOKEN_CHUNK_BYTES = 8_000_000
 ENCODED_AT_ONCE = 8192
+WORDS_IN_A_LINE = 512
 KNOWN_WORDS = 2_000_000
 STOPS = ".,"
 SPECIAL = b"<|"
@@ -57,11 +59,21 @@ def _without_stops(words: Words) -> tuple[Words, np.ndarray]:
     return Words(words.data, words.start, words.end - (stop > 0), words.first), stop
 
 
+def _only_letters(word: str) -> bool:
+    """Whether a word is letters only, also as the tokenizer writes it before it looks for tokens."""
+    return word.isalpha() and (word.isascii() or unicodedata.normalize("NFC", word).lower().isalpha())
+
+
 class _Encoded:
     """The ids of the words a task has met, by hash; emptied when there are very many."""
 
     def __init__(self, tokenizer):
         self.tokenizer = tokenizer
+        suffix = getattr(tokenizer.model, "end_of_word_suffix", None)
+        # which tokens end a run of letters, by id; none if the vocabulary doesn't say
+        self.last = np.zeros(tokenizer.get_vocab_size() + 1, bool)
+        if suffix:
+            self.last[[number for token, number in tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
         self.clear()
 
     def clear(self) -> None:
@@ -76,17 +88,15 @@ class _Encoded:
         new = np.ones(len(hashes), bool)
         inside = at < len(self.hashes)
         new[inside] = self.hashes[at[inside]] != hashes[inside]
-        counts, parts = [], [self.ids]
+        places, counts, parts, held = [], [], [self.ids], len(self.ids)
         missing = np.flatnonzero(new)
         for begin in range(0, len(missing), ENCODED_AT_ONCE):
-            found = self.tokenizer.encode_batch_fast(
-                spelled(missing[begin : begin + ENCODED_AT_ONCE]), add_special_tokens=False
-            )
-            lists = [one.ids for one in found]
-            counts += map(len, lists)
-            parts.append(np.array([x for ids in lists for x in ids], "<u4"))
-        count = np.array(counts, np.int64)
-        place = np.cumsum(count) - count + len(self.ids)
+            ids, place, count = self.encoded(spelled(missing[begin : begin + ENCODED_AT_ONCE]))
+            places.append(place + held)
+            counts.append(count)
+            parts.append(ids)
+            held += len(ids)
+        place, count = (np.concatenate([np.zeros(0, np.int64), *some]) for some in (places, counts))
         self.ids = np.concatenate(parts)
         self.place = np.insert(self.place, at[missing], place)
         self.count = np.insert(self.count, at[missing], count)
@@ -94,6 +104,35 @@ class _Encoded:
         at = np.searchsorted(self.hashes, hashes)
         return self.place[at], self.count[at]
 
+    def encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of all words, and where each word's begin and how many they are.
+
+        Words of letters are encoded many in a line, and parted behind the tokens that end a run of letters.
+        """
+        plain = [at for at, word in enumerate(words) if _only_letters(word)] if self.last.any() else []
+        lines = [plain[x : x + WORDS_IN_A_LINE] for x in range(0, len(plain), WORDS_IN_A_LINE)]
+        found = self.tokenizer.encode_batch_fast(
+            [" ".join([words[at] for at in line]) for line in lines], add_special_tokens=False
+        )
+        place, count, parts, held = np.zeros(len(words), np.int64), np.full(len(words), -1), [], 0
+        for line, one in zip(lines, found, strict=True):
+            ids = np.array(one.ids, "<u4")
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) == len(line) and ends[-1] == len(ids):  # else the tokenizer parts words otherwise
+                starts = np.concatenate([[0], ends[:-1]])
+                place[line], count[line] = starts + held, ends - starts
+                parts.append(ids)
+                held += len(ids)
+        rest = np.flatnonzero(count < 0)
+        lists = [
+            one.ids
+            for one in self.tokenizer.encode_batch_fast([words[at] for at in rest.tolist()], add_special_tokens=False)
+        ]
+        count[rest] = [len(ids) for ids in lists]
+        place[rest] = np.cumsum(count[rest]) - count[rest] + held
+        parts.append(np.array([x for ids in lists for x in ids], "<u4"))
+        return np.concatenate(parts), place, count
+
 
 def _piecer(vocabulary: str, limit: int, end_id: int, with_ids: bool):
     def pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
