@@ -9,12 +9,13 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from timberline.llm import exact_dedup
+from timberline.llm import exact_dedup, minhash_dedup
 from timberline.llm.components import components
 from timberline.llm.exact_dedup import exact_groups
 from timberline.llm.minhash_dedup import Nearness, near_components, shingle_sets
 from timberline.llm.substring_dedup import Passages, without_repeated_passages
 from timberline.llm.words import chunks, text_buffers, words_of
+from timberline.session import folder_exists, named_folders
 
 from tests.helpers import final_plan
 from tests.llm import brute
@@ -278,3 +279,36 @@ def test_exact_groups_meet_in_the_sort(spark):
     cut = {r._normal for r in placed.where("_cut").select("_normal").distinct().collect()}
     apart = {r._normal for r in placed.groupBy("_normal").agg(F.countDistinct("_range").alias("n")).where("n > 1").collect()}
     assert apart <= cut and len(cut) <= 15
+
+
+def test_near_keeps_no_sketches_and_moves_few_texts(spark, monkeypatch, tmp_path):
+    random_words = random.Random(12)
+    rows = [(i, " ".join(random_words.choices("abcdefghij", k=30))) for i in range(300)]
+    rows += [(300 + i, text) for i, text in rows[:3]] + [(400, rows[0][1] + " x"), (401, None)]
+    texts = spark.createDataFrame(rows, "doc_id bigint, text string")
+    marked = minhash_dedup._perhaps_wanted
+    moved = []
+
+    def counted(some, wanted, most_marks):
+        met = marked(some, wanted, most_marks)
+        moved.append((met.count(), wanted.count(), met.join(wanted, ["a", "b"]).count()))
+        return met
+
+    monkeypatch.setattr(minhash_dedup, "_perhaps_wanted", counted)
+    with named_folders() as folders:
+        got = {r.doc_id: r.component_id for r in near_components(texts).collect()}
+    assert got == {i: i for i, _ in rows} | {300: 0, 301: 1, 302: 2, 400: 0}
+    left = [spark.read.parquet(path).columns for path in folders if folder_exists(spark, path)]
+    assert sum("values" in columns for columns in left) == 1  # the full sets; nothing keeps sketches
+    [(met, wanted, found)] = moved
+    assert wanted == 2 and found >= 2 and met < 20
+
+
+def test_near_with_fewer_marks_than_texts(spark):
+    random_words = random.Random(13)
+    rows = [(i, " ".join(random_words.choices("abcdefghij", k=30))) for i in range(400)]
+    texts = spark.createDataFrame(rows, "b bigint, _text string").withColumn("a", F.xxhash64("b"))
+    wanted = texts.where("b % 3 = 0").select("a", "b")
+    few = minhash_dedup._perhaps_wanted(texts, wanted, 128).select("b").collect()
+    assert {r.b for r in few} >= set(range(0, 400, 3))
+    assert minhash_dedup._perhaps_wanted(texts, wanted.limit(0), 128).count() == 0

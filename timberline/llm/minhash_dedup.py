@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from timberline.llm.components import components
 from timberline.llm.tables import row_key, settled_alone
+from timberline.session import named_folders, remove_folder
 from timberline.llm.words import Words, chunks, lower_ascii, mixed, rolled, text_buffers, words_of
 
 
@@ -32,6 +33,7 @@ class Nearness:
     block_shingles: int = 1_200_000
     drawn_sets: int = 15
     broadcast_values: int = 1_000_000
+    most_marks: int = 1 << 26
 
     @property
     def least_estimate(self) -> float:
@@ -133,49 +135,55 @@ def near_components(
     Rows repeated in full share their result. An empty table gives an empty one. Of other columns those
     in ``keep`` are passed on; the rest are ignored, whatever their names.
     """
-    carried = [f"_kept_{name}" for name in keep]
+    spark, carried = docs.sparkSession, [f"_kept_{name}" for name in keep]
     base = docs.select(
         *[F.col(name).alias(f"_kept_{name}") for name in keep],
         F.col(identifier).alias("_id"),
         F.col(text).alias("_text"),
     )
     types = "".join(f"{name} {base.schema[name].dataType.simpleString()}, " for name in [*carried, "_id"])
-    signed = settled_alone(
-        base.select(*carried, "_id", row_key("_id", "_text").alias("_key"), "_text").mapInArrow(
-            _signer(near, full=False),
-            f"{types}_key struct<a:bigint,b:bigint>, n bigint, fp binary, values array<bigint>",
-        ),
-        "near-signatures",
-    )
-    classes = settled_alone(
-        signed.where("n > 0")
-        .groupBy("fp")
-        .agg(
-            F.min("_key").alias("_key"),
-            F.min("_id").alias("least_id"),
-            F.first("n").alias("n"),
-            F.count(F.lit(1)).alias("copies"),
-            F.first("values").alias("values"),
-        ),
-        "near-classes",
-    )
-    listed, hot = _lists(classes, near)
-    sketches = classes.select("fp", "n", "values")
-    candidates = settled_alone(_estimated(_list_pairs(listed, near), sketches, near), "near-candidates")
+    with named_folders() as sketched:
+        signed = settled_alone(
+            base.select(*carried, "_id", row_key("_id", "_text").alias("_key"), "_text").mapInArrow(
+                _signer(near, full=False),
+                f"{types}_key struct<a:bigint,b:bigint>, n bigint, fp binary, values array<bigint>",
+            ),
+            "near-signatures",
+        )
+    with named_folders() as compared:
+        sketches = settled_alone(
+            signed.where("n > 0")
+            .groupBy("fp")
+            .agg(
+                F.min("_key").alias("_key"),
+                F.min("_id").alias("least_id"),
+                F.first("n").alias("n"),
+                F.first("values").alias("values"),
+            ),
+            "near-sketches",
+        )
+    rows = _narrowed(signed.drop("_key", "values"), "near-rows", sketched)
+    with named_folders() as lists:
+        listed, long = _lists(sketches, near)
+        hot = settled_alone(long, "near-long-lists")
+        candidates = settled_alone(_estimated(_list_pairs(listed, near), sketches, near), "near-candidates")
+    remove_folder(spark, lists[0])
+    classes = _narrowed(sketches.drop("values"), "near-classes", compared)
     best = Window.partitionBy("a").orderBy(F.col("estimate").desc(), "b")
     first = candidates.withColumn("_rank", F.row_number().over(best)).where("_rank = 1").drop("_rank")
-    ends = candidates.select(F.col("a").alias("fp")).union(candidates.select("b")).union(hot.select("fp"))
-    sets = _full_sets(base, classes, ends.distinct(), near)
-    hot = settled_alone(_linkable(hot, sets, near), "near-linkable")
-    alike = _connected(hot.where("rank = 1").select("value", "fp", "n", F.lit(None).alias("met")), sets, near)
-    verified = settled_alone(_verified(first, sets, near), "near-verified")
-    links = settled_alone(verified.union(alike), "near-links")
+    sets = _full_sets(base, classes, _ends(candidates, hot), near)
+    paired, grouped = sets.where("paired"), sets.where("hot")
+    hot = settled_alone(_linkable(hot, grouped, near), "near-linkable")
+    start = hot.where("rank = 1").select("value", "fp", "n", F.lit(None).alias("met"))
+    alike = settled_alone(_connected(start, grouped, near), "near-alike")
+    links = settled_alone(_verified(first, paired, near).union(alike), "near-links")
     joined = components(links)
     members = hot.join(joined.select(F.col("node").alias("fp"), "root"), "fp", "left").select(
         "value", "fp", "n", F.coalesce("root", "fp").alias("root"), F.col("first").alias("met")
     )
-    rest = _verified(_apart(candidates, joined), sets, near).union(_connected(_open(members), sets, near))
-    rest = settled_alone(rest.distinct(), "near-links")
+    apart = settled_alone(_apart(candidates, joined), "near-apart")
+    more = settled_alone(_verified(apart, paired, near), "near-verified")
+    rest = settled_alone(more.union(_connected(_open(members), grouped, near)).distinct(), "near-links")
     if not rest.isEmpty():
         joined = components(links.union(rest))
     rooted = classes.select("fp", "least_id").join(
@@ -183,7 +191,7 @@ def near_components(
     ).select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
     by_class = rooted.join(least, "root").select("fp", "component_id")
-    return signed.drop("values").join(by_class, "fp", "left").select(
+    return rows.join(by_class, "fp", "left").select(
         *[F.col(f"_kept_{name}").alias(name) for name in keep],
         F.col("_id").alias(identifier),
         F.col("n").alias("n_shingles"),
@@ -194,6 +202,14 @@ def near_components(
     )
 
 
+def _narrowed(table: DataFrame, purpose: str, folders: list[str]) -> DataFrame:
+    """Some columns of a settled table, written anew; the folders of the wider one go at once."""
+    written = settled_alone(table, purpose)
+    for path in folders:
+        remove_folder(table.sparkSession, path)
+    return written
+
+
 def _lists(classes: DataFrame, near: Nearness) -> tuple[DataFrame, DataFrame]:
     """Entries (value, fp, n) of short lists, and those of long ones for classes that need them."""
     entries = classes.select("fp", "n", F.explode(F.slice("values", 1, near.listed_values)).alias("value"))
@@ -212,21 +228,17 @@ def _lists(classes: DataFrame, near: Nearness) -> tuple[DataFrame, DataFrame]:
         .select("value", "fp", "n", F.row_number().over(order).alias("rank"), F.first("value").over(order).alias("first"))
         .where(F.col("rank") <= near.hot_lists)
     )
-    return short, settled_alone(hot, "near-long-lists")
+    return short, hot
 
 
-def _linkable(hot: DataFrame, sets: DataFrame, near: Nearness) -> DataFrame:
-    """The entries of classes that may link with another class of the long lists.
+def _linkable(hot: DataFrame, grouped: DataFrame, near: Nearness) -> DataFrame:
+    """The entries of classes that may link with another class of the long lists, whose sets are ``grouped``.
 
     What a class shares with one of them is at most its shingles that any of them holds as well, and the
     union is at least its own set. So a class that holds too much text of its own links with none of them.
     """
-    numbered = settled_alone(
-        hot.where("rank = 1").select("fp", "n", F.monotonically_increasing_id().alias("member")), "near-members"
-    )
     alone = (
-        numbered.join(sets.select("fp", "values"), "fp")
-        .select("member", F.explode("values").alias("shingle"))
+        grouped.select("member", F.explode("values").alias("shingle"))
         .groupBy("shingle")
         .agg(F.min("member").alias("member"), F.max("member").alias("last"))
         .where("member = last")
@@ -234,7 +246,7 @@ def _linkable(hot: DataFrame, sets: DataFrame, near: Nearness) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("alone"))
     )
     shared = F.col("n") - F.coalesce("alone", F.lit(0))
-    able = numbered.join(alone, "member", "left").where(shared * 100 >= F.col("n") * near.percent)
+    able = grouped.select("fp", "n", "member").join(alone, "member", "left").where(shared * 100 >= F.col("n") * near.percent)
     return hot.join(able.select("fp"), "fp", "left_semi")
 
 
@@ -271,18 +283,51 @@ def _apart(pairs: DataFrame, joined: DataFrame) -> DataFrame:
     )
 
 
+def _ends(candidates: DataFrame, hot: DataFrame) -> DataFrame:
+    """The classes whose full sets are needed: whether for pairs, and whether for long lists."""
+    yes, no = F.lit(True), F.lit(False)
+    pairs = candidates.select(F.col("a").alias("fp")).union(candidates.select("b"))
+    both = pairs.select("fp", yes.alias("paired"), no.alias("hot")).union(hot.select("fp", no, yes))
+    return both.groupBy("fp").agg(F.max("paired").alias("paired"), F.max("hot").alias("hot"))
+
+
 def _full_sets(base: DataFrame, classes: DataFrame, ends: DataFrame, near: Nearness) -> DataFrame:
-    """(fp, values) of the classes in ``ends``, each from the text of one of its documents."""
-    wanted = classes.join(ends, "fp", "left_semi").select("_key")
-    texts = base.select(row_key("_id", "_text").alias("_key"), "_text").join(wanted, "_key", "left_semi")
+    """(paired, hot, n, fp, values, member) of the classes in ``ends``, each from the text of one of its documents."""
+    wanted = settled_alone(
+        classes.join(ends, "fp").select("_key.a", "_key.b", "paired", "hot"), "near-wanted"
+    )
+    texts = base.select(row_key("_id", "_text").alias("_key"), "_text").select("_key.a", "_key.b", "_text")
     return settled_alone(
-        texts.dropDuplicates(["_key"])
-        .select("_text")
-        .mapInArrow(_signer(near, full=True), "n bigint, fp binary, values array<bigint>"),
+        _perhaps_wanted(texts, wanted, near.most_marks)
+        .join(wanted, ["a", "b"])
+        .dropDuplicates(["a", "b"])
+        .select("paired", "hot", "_text")
+        .mapInArrow(
+            _signer(near, full=True), "paired boolean, hot boolean, n bigint, fp binary, values array<bigint>"
+        )
+        .withColumn("member", F.monotonically_increasing_id()),
         "near-sets",
     )
 
 
+def _perhaps_wanted(texts: DataFrame, wanted: DataFrame, most_marks: int) -> DataFrame:
+    """The rows whose ``a`` has its mark in a bitmap of the wanted ones, so that few other texts are shuffled.
+
+    All wanted rows stay, and of the others those that meet a mark: with up to ``most_marks`` bits, sent
+    to all tasks, 1 in 16 or fewer as long as the bits are 16 times the wanted.
+    """
+    bits = min(most_marks, max(1 << 15, 1 << (32 * wanted.count()).bit_length()))
+    place = F.pmod("a", F.lit(bits)) + 1
+    marks = F.broadcast(
+        wanted.groupBy(F.bitmap_bucket_number(place).alias("_bucket")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("_marks")
+        )
+    )
+    met = texts.withColumn("_place", place).withColumn("_bucket", F.bitmap_bucket_number("_place")).join(marks, "_bucket")
+    byte = F.conv(F.hex(F.expr("substring(_marks, cast(bitmap_bit_position(_place) div 8 as int) + 1, 1)")), 16, 10)
+    return met.where(F.getbit(byte.cast("long"), F.bitmap_bit_position("_place") % 8) == 1).select(texts.columns)
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, near: Nearness) -> DataFrame:
     """The pairs whose full sets reach the threshold."""
     left = sets.select(F.col("fp").alias("a"), F.col("values").alias("av"))
