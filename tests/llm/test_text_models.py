@@ -318,3 +318,41 @@ def test_language_scores(spark):
     assert empty.count() == 0
     unlearnt = language_scores(docs(spark, EDGES), F.lit(True), SMALL).collect()
     assert all(r.train_tokens == 0 and r.n_known == 0 and r.base_score == 0 for r in unlearnt)
+
+
+@pytest.mark.parametrize("scale, shift", [(3, 0), (90, 0), (3, 500), (3, -500)])
+def test_softmax_of_any_logits(scale, shift):
+    random_numbers = np.random.default_rng(4)
+    logits = (random_numbers.normal(0, scale, (40, 64)) + shift).astype(np.float32)
+    wanted, share = random_numbers.integers(0, 64, 40), np.full(40, 0.025, np.float32)
+    exact = logits.astype(np.float64)
+    exact -= exact.max(axis=1, keepdims=True)
+    chances = np.exp(exact) / np.exp(exact).sum(axis=1, keepdims=True)
+    error = chances * 0.025
+    error[np.arange(40), wanted] -= 0.025
+    given = logits.copy()
+    Network.bounded(given)
+    assert (given is not logits and np.array_equal(given, logits)) == (scale == 3 and shift == 0)
+    expected = exact[np.arange(40), wanted] - np.log(np.exp(exact).sum(axis=1))
+    assert Network.log_softmax_at(logits.copy(), wanted) == pytest.approx(expected, rel=1e-4, abs=1e-4)
+    assert np.abs(Network.softmax_error(logits.copy(), wanted, share) - error).max() < 1e-6
+
+
+def test_windows_of_other_sizes_share_no_arrays():
+    shape = Shape(classes=4, members=4, hidden=6)
+    net = Network(shape)
+    net.vector[:] = np.random.default_rng(3).normal(0, 0.5, len(net.vector))
+
+    def gradient(own, steps, rows):
+        inputs = np.arange(steps * rows).reshape(steps, rows) % shape.symbols
+        begun = np.zeros((rows, shape.hidden), np.float32)
+        return own.gradient(inputs, inputs[::-1], np.ones((steps, rows), np.float32), begun)
+
+    first, state = gradient(net, 5, 3)
+    kept, held = first.copy(), state.copy()
+    rooms = dict(net.rooms)
+    again, _ = gradient(net, 5, 3)
+    assert rooms and all(net.rooms[name] is room for name, room in rooms.items())
+    gradient(net, 2, 4)
+    gradient(net, 5, 3)
+    assert np.array_equal(first, kept) and np.array_equal(state, held) and np.array_equal(again, kept)

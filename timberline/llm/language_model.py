@@ -17,6 +17,8 @@ from timberline.llm.tables import settled, shuffle_parts
 from timberline.llm.words import chunks, lower_ascii, text_buffers, words_of
 
 END_HASH = np.uint64(0x8F1BBCDCBFA53E0B)
+SAFE_LOGIT = 60.0
+ADAM_BLOCK = 1 << 15
 
 
 @dataclass(frozen=True)
@@ -208,6 +210,14 @@ class Network:
         self.vector = np.zeros(total, np.float32) if vector is None else vector.astype(np.float32)
         self.parts: dict[str, np.ndarray] = self.views(self.vector, sizes)
         self.sizes = sizes
+        self.rooms: dict[str, np.ndarray] = {}
+
+    def room(self, name: str, size: tuple, kind: np.dtype) -> np.ndarray:
+        """An array of any content that the next call for this name gets again, as long as its size is the same."""
+        found = self.rooms.get(name)
+        if found is None or found.shape != size or found.dtype != kind:
+            found = self.rooms[name] = np.empty(size, kind)
+        return found
 
     @staticmethod
     def views(vector: np.ndarray, sizes: dict[str, tuple]) -> dict[str, np.ndarray]:
@@ -254,19 +264,29 @@ class Network:
         logits += self.parts["member_bias"][owner]
         return order, runs, logits
 
+    @staticmethod
+    def bounded(logits: np.ndarray) -> None:
+        """Takes each row's maximum off, if some logit is so large or small that its exponential might not fit."""
+        if logits.size and not (logits.max() < SAFE_LOGIT and logits.min() > -SAFE_LOGIT):
+            logits -= logits.max(axis=1, keepdims=True)
+
+    @staticmethod
+    def row_sums(values: np.ndarray) -> np.ndarray:
+        return values @ np.ones(values.shape[1], values.dtype)
+
     @staticmethod
     def log_softmax_at(logits: np.ndarray, wanted: np.ndarray) -> np.ndarray:
         """The logarithm of each row's softmax at one column; overwrites the logits."""
-        logits -= logits.max(axis=1, keepdims=True)
+        Network.bounded(logits)
         chosen = logits[np.arange(len(wanted)), wanted]
-        return chosen - np.log(np.exp(logits, out=logits).sum(axis=1))
+        return chosen - np.log(Network.row_sums(np.exp(logits, out=logits)))
 
     @staticmethod
     def softmax_error(logits: np.ndarray, wanted: np.ndarray, share: np.ndarray) -> np.ndarray:
         """The gradient of the weighted loss by the logits, in their place."""
-        logits -= logits.max(axis=1, keepdims=True)
+        Network.bounded(logits)
         np.exp(logits, out=logits)
-        logits *= (share / logits.sum(axis=1))[:, None]
+        logits *= (share / Network.row_sums(logits))[:, None]
         logits[np.arange(len(wanted)), wanted] -= share
         return logits
 
@@ -292,16 +312,36 @@ class Network:
         """
         steps, rows = inputs.shape
         h, m = self.shape.hidden, self.shape.members
-        tape, states = [], np.empty((steps, rows, h), np.float32)
+        kind = np.result_type(state, self.vector)
+        # within a step all lies as (unit, row), so that gates are runs in memory
+        given = self.room("given", (steps, 3 * h, rows), self.vector.dtype)
+        taken = self.room("taken", (steps, rows, 3 * h), self.vector.dtype)
+        given[:] = np.take(self.parts["inputs"], inputs, axis=0, out=taken, mode="clip").transpose(0, 2, 1)
+        befores, states, new = (self.room(name, (steps, h, rows), kind) for name in ("befores", "states", "new"))
+        held = self.room("held", (steps, 3 * h, rows), kind)
+        begins = np.zeros(steps, bool) if fresh is None else fresh.any(axis=1)
+        state, turned = state.T, np.ascontiguousarray(self.parts["inner"].T)
         for t in range(steps):
-            if fresh is not None:
-                state = np.where(fresh[t][:, None], state.dtype.type(0), state)
-            state, kept = self.step(inputs[t], state)
-            states[t] = state
-            tape.append(kept)
+            before, gate, reached = befores[t], given[t, : 2 * h], new[t]
+            before[:] = state
+            if begins[t]:
+                before[:, fresh[t]] = 0
+            np.matmul(turned, before, out=held[t])
+            gate += held[t, : 2 * h]
+            np.negative(gate, out=gate)
+            np.exp(gate, out=gate)
+            gate += 1
+            np.reciprocal(gate, out=gate)
+            np.multiply(gate[h:], held[t, 2 * h :], out=reached)
+            reached += given[t, 2 * h :]
+            np.tanh(reached, out=reached)
+            state = np.subtract(before, reached, out=states[t])
+            state *= gate[:h]
+            state += reached
+        keep, reset = given[:, :h], given[:, h : 2 * h]
         grad = np.zeros_like(self.vector)
         parts = self.views(grad, self.sizes)
-        flat, wanted = states.reshape(-1, h), targets.ravel()
+        flat, wanted = states.transpose(0, 2, 1).reshape(-1, h), targets.ravel()
         share = (weights.ravel() / max(1.0, float(weights.sum()))).astype(np.float32)
         error = self.softmax_error(flat @ self.parts["classes"] + self.parts["class_bias"], wanted // m, share)
         parts["classes"][:] = flat.T @ error
@@ -315,30 +355,39 @@ class Network:
             np.matmul(error[x:y], self.parts["members"][number].T, out=inner_back[x:y])
         parts["member_bias"][[run[0] for run in runs]] = np.add.reduceat(error, [run[1] for run in runs], axis=0)
         back[order] += inner_back
-        back = back.reshape(steps, rows, h)
-        flow = np.zeros((rows, h), back.dtype)
-        d_given = np.empty((steps, rows, 3 * h), back.dtype)
-        d_held, befores = np.empty_like(d_given), np.empty((steps, rows, h), back.dtype)
-        turned = np.ascontiguousarray(self.parts["inner"].T)
+        flows = self.room("flows", (steps, h, rows), back.dtype)
+        flows[:] = back.reshape(steps, rows, h).transpose(0, 2, 1)
+        # what the flow of a step is multiplied by, for all steps at once
+        to_keep = (befores - new) * keep * (1 - keep)
+        to_new = (1 - keep) * (1 - new**2)
+        to_held = self.room("to_held", (steps, 2, h, rows), back.dtype)
+        np.multiply(held[:, 2 * h :] * reset, 1 - reset, out=to_held[:, 0])
+        to_held[:, 1] = reset
+        flow = np.zeros((h, rows), back.dtype)
+        d_held = self.room("d_held", (steps, 3, h, rows), back.dtype)
+        d_new = self.room("d_new", (steps, h, rows), back.dtype)
         for t in range(steps - 1, -1, -1):
-            _, before, keep, reset, new, held = tape[t]
-            flow = flow + back[t]
-            d_fresh = flow * (1 - keep) * (1 - new**2)
-            d_given[t, :, :h] = flow * (before - new) * keep * (1 - keep)
-            d_given[t, :, h : 2 * h] = d_fresh * held * reset * (1 - reset)
-            d_given[t, :, 2 * h :] = d_fresh
-            d_held[t, :, : 2 * h] = d_given[t, :, : 2 * h]
-            d_held[t, :, 2 * h :] = d_fresh * reset
-            befores[t] = before
-            flow = flow * keep + d_held[t] @ turned
-            if fresh is not None:
-                flow[fresh[t]] = 0
-        parts["inner"][:] = befores.reshape(-1, h).T @ d_held.reshape(-1, 3 * h)
+            flow += flows[t]
+            np.multiply(flow, to_new[t], out=d_new[t])
+            np.multiply(flow, to_keep[t], out=d_held[t, 0])
+            np.multiply(d_new[t], to_held[t], out=d_held[t, 1:])
+            flow *= keep[t]
+            flow += self.parts["inner"] @ d_held[t].reshape(3 * h, rows)
+            if begins[t]:
+                flow[:, fresh[t]] = 0
+        along = self.room("along", (3, h, steps, rows), back.dtype)
+        along[:] = d_held.transpose(1, 2, 0, 3)
+        parts["inner"][:] = befores.transpose(1, 0, 2).reshape(h, -1) @ along.reshape(3 * h, -1).T
+        d_held[:, 2] = d_new
+        d_given = self.room("d_given", (steps, rows, 3 * h), back.dtype)
+        d_given[:] = d_held.reshape(steps, 3 * h, rows).transpose(0, 2, 1)
         symbols = inputs.ravel()
         order = np.argsort(symbols, kind="stable")
         starts = _segments(symbols[order])[:-1]
-        parts["inputs"][symbols[order][starts]] = np.add.reduceat(d_given.reshape(-1, 3 * h)[order], starts, axis=0)
-        return grad, state
+        ordered = self.room("ordered", (steps * rows, 3 * h), back.dtype)
+        np.take(d_given.reshape(-1, 3 * h), order, axis=0, out=ordered, mode="clip")
+        parts["inputs"][symbols[order][starts]] = np.add.reduceat(ordered, starts, axis=0)
+        return grad, states[-1].T.copy()
 
 
 class Adam:
@@ -349,18 +398,23 @@ class Adam:
     def apply(self, vector: np.ndarray, grad: np.ndarray) -> None:
         """One step; overwrites the gradient."""
         self.step += 1
-        grad *= min(1.0, 1.0 / (math.sqrt(float(grad @ grad)) + 1e-8))
-        self.first += 0.1 * (grad - self.first)
-        grad *= grad
-        grad -= self.second
-        grad *= 0.005
-        self.second += grad
+        clip = min(1.0, 1.0 / (math.sqrt(float(grad @ grad)) + 1e-8))
         scale = self.rate * math.sqrt(1 - 0.995**self.step) / (1 - 0.9**self.step)
-        np.sqrt(self.second, out=grad)
-        grad += 1e-6
-        np.divide(self.first, grad, out=grad)
-        grad *= scale
-        vector -= grad
+        for begin in range(0, len(vector), ADAM_BLOCK):  # a block at a time, which stays in the cache
+            part = slice(begin, begin + ADAM_BLOCK)
+            g, first, second = grad[part], self.first[part], self.second[part]
+            g *= clip
+            first *= 0.9
+            first += 0.1 * g
+            g *= g
+            g -= second
+            g *= 0.005
+            second += g
+            np.sqrt(second, out=g)
+            g += 1e-6
+            np.divide(first, g, out=g)
+            g *= scale
+            vector[part] -= g
 
 
 # ---------------------------------------------------------------------------------------- training
