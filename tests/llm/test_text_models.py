@@ -13,7 +13,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from timberline.llm import toxicity
-from timberline.llm.language_model import Network, Shape, Vocabulary, _trainer, document_scores, language_scores, tokens_of
+from timberline.llm import words as words_module
+from timberline.llm.language_model import (
+    Adam, Network, Shape, Vocabulary, _sums, _trainer, document_scores, language_scores, tokens_of,
+)
 from timberline.llm.quality import LABELLERS, estimated, quality_scores, statistics
 from timberline.llm.quality_queries import fold
 from timberline.llm.secrets_scan import base_spans, secrets
@@ -356,3 +359,106 @@ def test_windows_of_other_sizes_share_no_arrays():
     gradient(net, 2, 4)
     gradient(net, 5, 3)
     assert np.array_equal(first, kept) and np.array_equal(state, held) and np.array_equal(again, kept)
+
+
+def test_rows_moved_once_they_are_needed_are_where_every_step_moves_them():
+    shape = Shape(classes=4, members=4, hidden=6)
+    random_numbers = np.random.default_rng(5)
+    net = Network(shape)
+    net.vector[:] = random_numbers.normal(0, 0.1, len(net.vector))
+    exact = net.vector.astype(np.float64)
+    first, second = np.zeros_like(exact), np.zeros_like(exact)
+    adam, width, rows = Adam(net, 0.01), 3 * shape.hidden, shape.symbols + 1
+    for step in range(1, 61):
+        # some rows have a gradient again and again, some only early, one never
+        symbols = np.unique(random_numbers.integers(0, 4 if step > 40 else rows - 1, 5))
+        grad = random_numbers.normal(0, 10.0 ** random_numbers.integers(-6, 0), len(exact))
+        inputs = grad[: rows * width].reshape(rows, width)
+        inputs[np.setdiff1d(np.arange(rows), symbols)] = 0
+        before = net.parts["inputs"].copy()
+        adam.need(symbols)
+        adam.grad[:] = grad
+        adam.apply()
+        others = np.setdiff1d(np.arange(rows), symbols)
+        assert np.array_equal(net.parts["inputs"][others], before[others])  # no work on rows without a token
+        grad *= min(1.0, 1.0 / (np.sqrt(grad @ grad) + 1e-8))
+        first = 0.9 * first + 0.1 * grad
+        second = 0.995 * second + 0.005 * grad**2
+        exact -= 0.01 * np.sqrt(1 - 0.995**step) / (1 - 0.9**step) * first / (np.sqrt(second) + 1e-6)
+    start, kept = exact.copy(), net.vector.copy()
+    for step in range(61, 1300):  # only row 0 from here on, through more steps than are kept at first
+        grad = np.zeros(len(exact))
+        grad[:width] = random_numbers.normal(0, 1e-3, width)
+        adam.need(np.zeros(1, np.int64))
+        adam.grad[:] = grad
+        adam.apply()
+        first = 0.9 * first + 0.1 * grad
+        second = 0.995 * second + 0.005 * grad**2
+        exact -= 0.01 * np.sqrt(1 - 0.995**step) / (1 - 0.9**step) * first / (np.sqrt(second) + 1e-6)
+    adam.need(np.arange(rows))
+    late = slice(width, rows * width)
+    assert np.abs(exact - start)[late].max() > 1e-2 and np.abs(net.vector - kept)[late].max() > 1e-2
+    assert net.vector == pytest.approx(exact, abs=1e-4)
+
+
+def test_gradient_leaves_input_rows_of_other_symbols_alone():
+    net = small_network()
+    random_ = np.random.default_rng(6)
+    inputs, targets = random_.integers(0, 9, (6, 2)), random_.integers(0, 32, (6, 2))
+    every, state = np.ones((6, 2), np.float32), np.zeros((2, 6), np.float32)
+    expected, _ = net.gradient(inputs, targets, every, state)
+    given = np.full(len(net.vector), 7, np.float32)
+    got, _ = net.gradient(inputs, targets, every, state, None, given)
+    rows, wanted = (net.views(grad, net.sizes)["inputs"] for grad in (got, expected))
+    own = np.unique(inputs)
+    others = np.setdiff1d(np.arange(33), own)
+    assert got is given and (rows[others] == 7).all() and (wanted[others] == 0).all()
+    rows[others] = 0
+    assert np.array_equal(got, expected)
+
+
+@pytest.mark.parametrize("most", [0, 5, 400])
+def test_sums_of_rows_by_number(most):
+    random_ = np.random.default_rng(7)
+    numbers = np.minimum(random_.integers(0, most + 1, 500), random_.integers(0, most + 1, 500))
+    rows = random_.normal(size=(500, 6))
+    expected = np.zeros((most + 1, 6))
+    np.add.at(expected, numbers, rows)
+    found, sums = _sums(rows, numbers, most)
+    assert found.tolist() == sorted(set(numbers.tolist()))
+    assert sums == pytest.approx(expected[found])
+
+
+@pytest.mark.parametrize("spread", [True, False])
+def test_look_up_finds_exactly_the_known_hashes(spread):
+    random_ = np.random.default_rng(8)
+    hashes = random_.integers(0, 2**64, 300, dtype=np.uint64)
+    if not spread:
+        hashes >>= np.uint64(40)
+    hashes = np.unique(np.concatenate([hashes, hashes[:40] + np.uint64(1), np.array([0, 2**64 - 1], np.uint64)]))
+    words = Vocabulary(hashes, random_.permutation(len(hashes)), np.arange(1, len(hashes) + 1), 10_000, len(hashes))
+    asked = np.concatenate([hashes, hashes + np.uint64(1), hashes - np.uint64(1), random_.integers(0, 2**64, 500, dtype=np.uint64)])
+    symbols, counts = words.look_up(asked, 999)
+    place = {key: at for at, key in enumerate(hashes.tolist())}
+    expected = [(999, 0) if key not in place else (words.symbols[place[key]], words.counts[place[key]]) for key in asked.tolist()]
+    assert list(zip(symbols.tolist(), counts.tolist())) == expected
+
+
+def test_hashes_of_words_of_any_length():
+    texts = ["", "a b", "x" * 32767 + " y", "q " + "z" * 32768, "é" * 20000 + " end " + "w" * 70000, None, "t " * 20000]
+    data, offsets = words_module.text_buffers(pa.array(texts))
+    found = words_module.words_of(data, offsets).hashes().tolist()
+    split = [word.encode() for text in texts for word in (text or "").split()]
+    expected = {}
+    for word in set(split):
+        low, high = (sum((byte + 1) * power for byte, power in zip(word, powers(base, prime))) % prime for prime, base in words_module._FIELDS)
+        both = (low | high << 32) ^ len(word) * 0xD6E8FEB86659FD93 % 2**64
+        expected[word] = int(words_module.mixed(np.array([both], np.uint64))[0])
+    assert found == [expected[word] for word in split]
+
+
+def powers(base, prime):
+    power = 1
+    while True:
+        yield power
+        power = power * base % prime

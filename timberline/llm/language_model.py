@@ -18,7 +18,14 @@ from timberline.llm.words import chunks, lower_ascii, text_buffers, words_of
 
 END_HASH = np.uint64(0x8F1BBCDCBFA53E0B)
 SAFE_LOGIT = 60.0
+LOGIT_ROWS = 1 << 11
+LONG_RUN = 8
+LOOK_UP_BITS = 16
+SCORED_STEPS = 8
 ADAM_BLOCK = 1 << 15
+KEPT_FIRST, KEPT_SECOND, ADAM_LEAST = 0.9, 0.995, 1e-6
+# Terms of a series, and steps after which a weight without gradient has come to rest: 0.9 ** 256 < 2e-12.
+LATE_TERMS, LATE_STEPS = 5, 256
 
 
 @dataclass(frozen=True)
@@ -74,7 +81,15 @@ class Vocabulary:
         """Symbols of tokens, and the counts of those that have one of their own."""
         if not len(self.hashes):
             return np.full(len(hashes), other), np.zeros(len(hashes), np.int64)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        last = len(self.hashes) - 1
+        edges = np.searchsorted(self.hashes, np.arange(1 << LOOK_UP_BITS, dtype=np.uint64) << np.uint64(64 - LOOK_UP_BITS))
+        most = int(np.diff(edges, append=last + 1).max())
+        if most > 8:  # hashes that share their first bits; those of words do not
+            at = np.minimum(np.searchsorted(self.hashes, hashes), last)
+        else:
+            at = np.minimum(edges[hashes >> np.uint64(64 - LOOK_UP_BITS)], last)
+            for _ in range(1, most):
+                at += (self.hashes[at] < hashes) & (at < last)
         own = self.hashes[at] == hashes
         return np.where(own, self.symbols[at], other), np.where(own, self.counts[at], 0)
 
@@ -101,6 +116,29 @@ def _segments(sorted_values: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], change, [len(sorted_values)]])
 
 
+def _order(numbers: np.ndarray, most: int) -> np.ndarray:
+    """The stable order of numbers from 0 to ``most``; in few bytes each, which sort by radix."""
+    return np.argsort(numbers.astype(np.min_scalar_type(most)), kind="stable")
+
+
+def _sums(rows: np.ndarray, numbers: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct numbers, and for each the sum of its rows."""
+    order = _order(numbers, most)
+    ordered = numbers[order]
+    edges = _segments(ordered)
+    starts, sizes = edges[:-1], np.diff(edges)
+    rows = np.take(rows, order, axis=0, mode="clip")
+    sums = np.take(rows, starts, axis=0, mode="clip")
+    every = np.ones(len(rows), rows.dtype)
+    for at in np.flatnonzero(sizes >= LONG_RUN).tolist():
+        np.matmul(every[: sizes[at]], rows[starts[at] : edges[at + 1]], out=sums[at])
+    some = np.flatnonzero(sizes < LONG_RUN)  # most numbers: their second rows are added at once, then their third ones
+    for further in range(1, LONG_RUN - 1):
+        some = some[sizes[some] > further]
+        sums[some] += np.take(rows, starts[some] + further, axis=0, mode="clip")
+    return ordered[starts], sums
+
+
 # ---------------------------------------------------------------------------------------- counting
 
 
@@ -110,7 +148,7 @@ def _counter(shape: Shape, buckets: int):
             tokens, _ = tokens_of(chunk.column("_text"))
             hashes, counts = np.unique(tokens, return_counts=True)
             bucket = (hashes % np.uint64(buckets)).astype(np.int32)
-            order = np.argsort(bucket, kind="stable")
+            order = _order(bucket, buckets)
             edges = _segments(bucket[order])
             rows = [order[x:y] for x, y in zip(edges[:-1], edges[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
@@ -197,16 +235,13 @@ def vocabulary(counts: DataFrame, shape: Shape) -> Vocabulary:
 
 
 class Network:
-    """Weights: input rows per symbol, recurrence, class output, member outputs and their biases."""
+    """Weights: input rows per symbol, recurrence, class output and member outputs, biases in their last rows."""
 
     def __init__(self, shape: Shape, vector: np.ndarray | None = None):
         self.shape = shape
         h, c, m = shape.hidden, shape.classes, shape.members
-        sizes = {
-            "inputs": (shape.symbols + 1, 3 * h), "inner": (h, 3 * h), "classes": (h, c), "class_bias": (c,),
-            "members": (c, h, m), "member_bias": (c, m),
-        }
-        total = sum(int(np.prod(size)) for size in sizes.values())
+        sizes = {"inputs": (shape.symbols + 1, 3 * h), "inner": (h, 3 * h), "classes": (h + 1, c), "members": (c, h + 1, m)}
+        total = sum(math.prod(size) for size in sizes.values())
         self.vector = np.zeros(total, np.float32) if vector is None else vector.astype(np.float32)
         self.parts: dict[str, np.ndarray] = self.views(self.vector, sizes)
         self.sizes = sizes
@@ -223,23 +258,26 @@ class Network:
     def views(vector: np.ndarray, sizes: dict[str, tuple]) -> dict[str, np.ndarray]:
         parts, at = {}, 0
         for name, size in sizes.items():
-            count = int(np.prod(size))
+            count = math.prod(size)
             parts[name] = vector[at : at + count].reshape(size)
             at += count
         return parts
 
     def initialise(self, words: Vocabulary) -> "Network":
         """Small random weights, and biases at which the network is the unigram model of its symbols."""
-        random = np.random.default_rng(self.shape.seed)
-        self.vector[:] = random.normal(0, 0.1, len(self.vector))
+        random, h = np.random.default_rng(self.shape.seed), self.shape.hidden
+        for name in ("inputs", "inner"):
+            self.parts[name][:] = random.normal(0, 0.1, self.sizes[name])
+        self.parts["classes"][:] = random.normal(0, 0.1, self.sizes["classes"])
+        self.parts["members"][:, :h] = random.normal(0, 0.1, (self.shape.classes, h, self.shape.members))
         mass = np.full(self.shape.symbols, 1e-3)
         mass[words.symbols] += words.counts
         mass[self.shape.other] += words.tokens - words.counts.sum() + 1
         mass = mass.reshape(self.shape.classes, self.shape.members)
-        self.parts["class_bias"][:] = np.log(mass.sum(axis=1) / mass.sum())
-        self.parts["member_bias"][:] = np.log(mass / mass.sum(axis=1, keepdims=True))
-        self.parts["classes"][:] *= 0.1
-        self.parts["members"][:] *= 0.1
+        self.parts["classes"][:h] *= 0.1
+        self.parts["members"][:, :h] *= 0.1
+        self.parts["classes"][h] = np.log(mass.sum(axis=1) / mass.sum())
+        self.parts["members"][:, h] = np.log(mass / mass.sum(axis=1, keepdims=True))
         return self
 
     def step(self, symbols: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, tuple]:
@@ -251,18 +289,52 @@ class Network:
         fresh = np.tanh(given[:, 2 * h :] + reset * held[:, 2 * h :])
         return fresh + keep * (state - fresh), (symbols, state, keep, reset, fresh, held[:, 2 * h :])
 
-    def member_logits(self, states: np.ndarray, targets: np.ndarray) -> tuple[np.ndarray, list, np.ndarray]:
-        """Rows in the order of their targets' classes, the run (class, begin, end) of each, and logits in that order."""
-        owner = targets // self.shape.members
-        order = np.argsort(owner, kind="stable")
-        owner, ordered = owner[order], states[order]
+    def forward(self, inputs: np.ndarray, state: np.ndarray, fresh: np.ndarray | None) -> tuple[np.ndarray, ...]:
+        """``step`` over a window of (steps, rows) from a state of (unit, row): states before, gates, held, new, states after.
+
+        Within a step all lies as (unit, row), so that gates are runs in memory. What is returned is
+        overwritten by the next call for a window of this size.
+        """
+        steps, rows = inputs.shape
+        h = self.shape.hidden
+        kind = np.result_type(state, self.vector)
+        given = self.room("given", (steps, 3 * h, rows), self.vector.dtype)
+        taken = self.room("taken", (steps, rows, 3 * h), self.vector.dtype)
+        given[:] = np.take(self.parts["inputs"], inputs, axis=0, out=taken, mode="clip").transpose(0, 2, 1)
+        befores, states, new = (self.room(name, (steps, h, rows), kind) for name in ("befores", "states", "new"))
+        held = self.room("held", (steps, 3 * h, rows), kind)
+        begins = np.zeros(steps, bool) if fresh is None else fresh.any(axis=1)
+        turned = np.ascontiguousarray(self.parts["inner"].T)
+        turned[: 2 * h] *= -1  # gates need the exponential of what is taken off
+        for t in range(steps):
+            before, gate, reached, kept = befores[t], given[t, : 2 * h], new[t], held[t]
+            before[:] = state
+            if begins[t]:
+                before[:, fresh[t]] = 0
+            np.dot(turned, before, out=kept)
+            np.subtract(kept[: 2 * h], gate, out=gate)
+            np.exp(gate, out=gate)
+            gate += 1
+            np.reciprocal(gate, out=gate)
+            np.multiply(gate[h:], kept[2 * h :], out=reached)
+            reached += given[t, 2 * h :]
+            np.tanh(reached, out=reached)
+            state = np.subtract(before, reached, out=states[t])
+            state *= gate[:h]
+            state += reached
+        return befores, given, held, new, states
+
+    @staticmethod
+    def runs(owner: np.ndarray) -> list[tuple[int, int, int]]:
+        """The run (class, begin, end) of each class, of classes in ascending order."""
         edges = _segments(owner).tolist() if len(owner) else []
-        runs = [(int(owner[x]), x, y) for x, y in zip(edges[:-1], edges[1:], strict=True)]
-        logits = np.empty((len(targets), self.shape.members), np.result_type(states, self.vector))
+        return [(number, x, y) for number, x, y in zip(owner[edges[:-1]].tolist(), edges[:-1], edges[1:], strict=True)]
+
+    def member_logits(self, states: np.ndarray, runs: list, out: np.ndarray) -> np.ndarray:
+        weights = list(self.parts["members"])
         for number, x, y in runs:
-            np.matmul(ordered[x:y], self.parts["members"][number], out=logits[x:y])
-        logits += self.parts["member_bias"][owner]
-        return order, runs, logits
+            np.dot(states[x:y], weights[number], out=out[x:y])
+        return out
 
     @staticmethod
     def bounded(logits: np.ndarray) -> None:
@@ -275,27 +347,49 @@ class Network:
         return values @ np.ones(values.shape[1], values.dtype)
 
     @staticmethod
-    def log_softmax_at(logits: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-        """The logarithm of each row's softmax at one column; overwrites the logits."""
-        Network.bounded(logits)
+    def log_softmax_at(logits: np.ndarray, wanted: np.ndarray, safe: bool = False) -> np.ndarray:
+        """The logarithm of each row's softmax at one column; overwrites the logits. ``safe``: none is too large."""
+        if not safe:
+            Network.bounded(logits)
         chosen = logits[np.arange(len(wanted)), wanted]
         return chosen - np.log(Network.row_sums(np.exp(logits, out=logits)))
 
     @staticmethod
     def softmax_error(logits: np.ndarray, wanted: np.ndarray, share: np.ndarray) -> np.ndarray:
         """The gradient of the weighted loss by the logits, in their place."""
+        logits *= Network.unscaled_error(logits, wanted, share)
+        return logits
+
+    @staticmethod
+    def unscaled_error(logits: np.ndarray, wanted: np.ndarray, share: np.ndarray) -> np.ndarray:
+        """Puts in the logits' place what has to be multiplied, row by row, by what is returned."""
         Network.bounded(logits)
         np.exp(logits, out=logits)
-        logits *= (share / Network.row_sums(logits))[:, None]
-        logits[np.arange(len(wanted)), wanted] -= share
-        return logits
+        sums = Network.row_sums(logits)
+        logits[np.arange(len(wanted)), wanted] -= sums
+        return (share / sums)[:, None]
 
     def log_chances(self, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Natural logarithms: the class's chance times the member's within the class."""
-        m = self.shape.members
-        out = self.log_softmax_at(states @ self.parts["classes"] + self.parts["class_bias"], targets // m)
-        order, _, logits = self.member_logits(states, targets)
-        out[order] += self.log_softmax_at(logits, targets[order] % m)
+        c, m = self.shape.classes, self.shape.members
+        owner = targets // m
+        order = _order(owner, c)
+        owner, member = owner[order], targets[order] % m
+        kind = np.result_type(states, self.vector)
+        ordered = np.ones((len(targets), self.shape.hidden + 1), kind)
+        np.take(states, order, axis=0, out=ordered[:, :-1], mode="clip")
+        out = np.empty(len(targets), kind)
+        # units within -1 and 1 and the one of the biases: no logit is larger than its column's weights together
+        widest = max(float(np.abs(self.parts[name]).sum(axis=-2).max()) for name in ("classes", "members"))
+        safe = widest < SAFE_LOGIT and bool(np.abs(ordered).max(initial=0) <= 1)
+        for begin in range(0, len(targets), LOGIT_ROWS):  # so many logits stay in the cache
+            part = slice(begin, begin + LOGIT_ROWS)
+            rows, own = ordered[part], owner[part]
+            logits = self.room("class_logits", (len(rows), c), kind)
+            found = self.log_softmax_at(np.matmul(rows, self.parts["classes"], out=logits), own, safe)
+            logits = self.member_logits(rows, self.runs(own), self.room("logits", (len(rows), m), kind))
+            found += self.log_softmax_at(logits, member[part], safe)
+            out[order[part]] = found
         return out
 
     def gradient(
@@ -305,116 +399,174 @@ class Network:
         weights: np.ndarray,
         state: np.ndarray,
         fresh: np.ndarray | None = None,
+        grad: np.ndarray | None = None,
     ) -> tuple[np.ndarray, np.ndarray]:
         """The gradient of the mean loss over one window of (steps, rows), and the state after it.
 
         Where ``fresh`` holds a document begins: the state is cleared and no gradient flows back.
+        ``grad`` is overwritten but for the input rows of other symbols than ``inputs``.
         """
         steps, rows = inputs.shape
-        h, m = self.shape.hidden, self.shape.members
-        kind = np.result_type(state, self.vector)
-        # within a step all lies as (unit, row), so that gates are runs in memory
-        given = self.room("given", (steps, 3 * h, rows), self.vector.dtype)
-        taken = self.room("taken", (steps, rows, 3 * h), self.vector.dtype)
-        given[:] = np.take(self.parts["inputs"], inputs, axis=0, out=taken, mode="clip").transpose(0, 2, 1)
-        befores, states, new = (self.room(name, (steps, h, rows), kind) for name in ("befores", "states", "new"))
-        held = self.room("held", (steps, 3 * h, rows), kind)
+        c, h, m = self.shape.classes, self.shape.hidden, self.shape.members
+        befores, given, held, new, states = self.forward(inputs, state.T, fresh)
         begins = np.zeros(steps, bool) if fresh is None else fresh.any(axis=1)
-        state, turned = state.T, np.ascontiguousarray(self.parts["inner"].T)
-        for t in range(steps):
-            before, gate, reached = befores[t], given[t, : 2 * h], new[t]
-            before[:] = state
-            if begins[t]:
-                before[:, fresh[t]] = 0
-            np.matmul(turned, before, out=held[t])
-            gate += held[t, : 2 * h]
-            np.negative(gate, out=gate)
-            np.exp(gate, out=gate)
-            gate += 1
-            np.reciprocal(gate, out=gate)
-            np.multiply(gate[h:], held[t, 2 * h :], out=reached)
-            reached += given[t, 2 * h :]
-            np.tanh(reached, out=reached)
-            state = np.subtract(before, reached, out=states[t])
-            state *= gate[:h]
-            state += reached
+        kind, count = states.dtype, steps * rows
         keep, reset = given[:, :h], given[:, h : 2 * h]
-        grad = np.zeros_like(self.vector)
+        if grad is None:
+            grad = np.zeros_like(self.vector)
         parts = self.views(grad, self.sizes)
-        flat, wanted = states.transpose(0, 2, 1).reshape(-1, h), targets.ravel()
-        share = (weights.ravel() / max(1.0, float(weights.sum()))).astype(np.float32)
-        error = self.softmax_error(flat @ self.parts["classes"] + self.parts["class_bias"], wanted // m, share)
-        parts["classes"][:] = flat.T @ error
-        parts["class_bias"][:] = error.sum(axis=0)
-        back = error @ self.parts["classes"].T
-        order, runs, logits = self.member_logits(flat, wanted)
-        error, ordered = self.softmax_error(logits, wanted[order] % m, share[order]), flat[order]
-        inner_back = np.empty((len(wanted), h), error.dtype)
+        flat, wanted = self.room("flat", (count, h + 1), kind), targets.ravel()
+        flat[:, h] = 1
+        flat.reshape(steps, rows, h + 1)[:, :, :h] = states.transpose(0, 2, 1)
+        order = _order(wanted // m, c)
+        ordered = np.take(flat, order, axis=0, out=self.room("ordered", (count, h + 1), kind), mode="clip")
+        share = (weights.ravel()[order] / max(1.0, float(weights.sum()))).astype(np.float32)
+        wanted = wanted[order]
+        owner = wanted // m
+        logits = np.matmul(ordered, self.parts["classes"], out=self.room("class_logits", (count, c), kind))
+        # rows of few units are scaled rather than those of many errors
+        scaled = self.room("scaled", (count, h + 1), kind)
+        scale = self.unscaled_error(logits, owner, share)
+        np.matmul(np.multiply(ordered, scale, out=scaled).T, logits, out=parts["classes"])
+        back = logits @ self.parts["classes"][:h].T
+        back *= scale
+        runs = self.runs(owner)
+        logits = self.member_logits(ordered, runs, self.room("logits", (count, m), kind))
+        scale = self.unscaled_error(logits, wanted % m, share)
+        np.multiply(ordered, scale, out=scaled)
+        inner_back = self.room("inner_back", (count, h), kind)
+        parts["members"][:] = 0
+        grads, weights_back = list(parts["members"]), list(self.parts["members"][:, :h].transpose(0, 2, 1))
         for number, x, y in runs:
-            np.matmul(ordered[x:y].T, error[x:y], out=parts["members"][number])
-            np.matmul(error[x:y], self.parts["members"][number].T, out=inner_back[x:y])
-        parts["member_bias"][[run[0] for run in runs]] = np.add.reduceat(error, [run[1] for run in runs], axis=0)
-        back[order] += inner_back
-        flows = self.room("flows", (steps, h, rows), back.dtype)
-        flows[:] = back.reshape(steps, rows, h).transpose(0, 2, 1)
+            own = logits[x:y]
+            np.dot(scaled[x:y].T, own, out=grads[number])
+            np.dot(own, weights_back[number], out=inner_back[x:y])
+        inner_back *= scale
+        back += inner_back
+        inner_back[order] = back
+        flows = self.room("flows", (steps, h, rows), kind)
+        flows[:] = inner_back.reshape(steps, rows, h).transpose(0, 2, 1)
         # what the flow of a step is multiplied by, for all steps at once
-        to_keep = (befores - new) * keep * (1 - keep)
-        to_new = (1 - keep) * (1 - new**2)
-        to_held = self.room("to_held", (steps, 2, h, rows), back.dtype)
-        np.multiply(held[:, 2 * h :] * reset, 1 - reset, out=to_held[:, 0])
+        less = np.subtract(1, keep, out=self.room("less", (steps, h, rows), kind))
+        to_keep = np.subtract(befores, new, out=self.room("to_keep", (steps, h, rows), kind))
+        to_keep *= keep
+        to_keep *= less
+        to_new = np.multiply(new, new, out=new)
+        np.subtract(1, to_new, out=to_new)
+        to_new *= less
+        to_held = self.room("to_held", (steps, 2, h, rows), kind)
+        np.subtract(1, reset, out=less)
+        less *= reset
+        np.multiply(held[:, 2 * h :], less, out=to_held[:, 0])
         to_held[:, 1] = reset
-        flow = np.zeros((h, rows), back.dtype)
-        d_held = self.room("d_held", (steps, 3, h, rows), back.dtype)
-        d_new = self.room("d_new", (steps, h, rows), back.dtype)
+        flow = np.zeros((h, rows), kind)
+        d_held = self.room("d_held", (steps, 3, h, rows), kind)
+        d_new = self.room("d_new", (steps, h, rows), kind)
+        inner, d_rows = self.parts["inner"], d_held.reshape(steps, 3 * h, rows)
+        turned_back = self.room("turned_back", (h, rows), kind)
         for t in range(steps - 1, -1, -1):
             flow += flows[t]
             np.multiply(flow, to_new[t], out=d_new[t])
             np.multiply(flow, to_keep[t], out=d_held[t, 0])
             np.multiply(d_new[t], to_held[t], out=d_held[t, 1:])
             flow *= keep[t]
-            flow += self.parts["inner"] @ d_held[t].reshape(3 * h, rows)
+            flow += np.dot(inner, d_rows[t], out=turned_back)
             if begins[t]:
                 flow[:, fresh[t]] = 0
-        along = self.room("along", (3, h, steps, rows), back.dtype)
+        along = self.room("along", (3, h, steps, rows), kind)
         along[:] = d_held.transpose(1, 2, 0, 3)
         parts["inner"][:] = befores.transpose(1, 0, 2).reshape(h, -1) @ along.reshape(3 * h, -1).T
         d_held[:, 2] = d_new
-        d_given = self.room("d_given", (steps, rows, 3 * h), back.dtype)
+        d_given = self.room("d_given", (steps, rows, 3 * h), kind)
         d_given[:] = d_held.reshape(steps, 3 * h, rows).transpose(0, 2, 1)
-        symbols = inputs.ravel()
-        order = np.argsort(symbols, kind="stable")
-        starts = _segments(symbols[order])[:-1]
-        ordered = self.room("ordered", (steps * rows, 3 * h), back.dtype)
-        np.take(d_given.reshape(-1, 3 * h), order, axis=0, out=ordered, mode="clip")
-        parts["inputs"][symbols[order][starts]] = np.add.reduceat(ordered, starts, axis=0)
+        symbols, sums = _sums(d_given.reshape(-1, 3 * h), inputs.ravel(), self.shape.symbols)
+        parts["inputs"][symbols] = sums
         return grad, states[-1].T.copy()
 
 
 class Adam:
-    def __init__(self, size: int, rate: float):
-        self.rate, self.step = rate, 0
-        self.first, self.second = np.zeros(size, np.float32), np.zeros(size, np.float32)
+    """Adam's steps on a network's weights. Input rows without gradient are moved once they are needed.
+
+    Such a row goes on moving by its running means alone: in the j-th step by scale * first * a ** j /
+    (b ** j * root + least), with root the square root of the second mean, a = 0.9 and b ** 2 = 0.995.
+    As 1 / (b ** j * root + least) is the sum over n of ((1 - b ** j) * part) ** n / (root + least), with
+    part = root / (root + least), all its steps come to a polynomial in part, whose coefficients depend
+    on the step of its last gradient only. Five terms give the sum to about 1e-6 of itself.
+    """
 
-    def apply(self, vector: np.ndarray, grad: np.ndarray) -> None:
-        """One step; overwrites the gradient."""
+    def __init__(self, net: Network, rate: float):
+        self.net, self.rate, self.step = net, rate, 0
+        self.grad = np.zeros_like(net.vector)
+        # without the factors 0.1 and 0.005 of new gradients, which cancel out but for one of all steps
+        self.first, self.second = np.zeros_like(net.vector), np.zeros_like(net.vector)
+        self.factor, self.least = 0.1 / math.sqrt(0.005), ADAM_LEAST / math.sqrt(0.005)
+        rows = net.parts["inputs"].shape
+        self.rest = rows[0] * rows[1]
+        self.rows = tuple(part[: self.rest].reshape(rows) for part in (net.vector, self.grad, self.first, self.second))
+        self.done = np.zeros(rows[0], np.int64)
+        self.due: tuple[np.ndarray, ...] = ()
+        late = np.arange(LATE_STEPS, 0, -1)
+        self.fading = KEPT_FIRST**late * (1 - KEPT_SECOND ** (late / 2)) ** np.arange(LATE_TERMS)[:, None]
+        self.late = np.zeros((LATE_TERMS, 0))
+
+    def need(self, symbols: np.ndarray) -> None:
+        """Brings the input rows of distinct symbols to where all steps so far have moved them; ``apply`` has to follow."""
+        rows, _, *means = self.rows
+        done = self.done[symbols]
+        if self.step >= self.late.shape[1]:
+            self.late = np.concatenate([self.late, np.zeros((LATE_TERMS, 1024))], axis=1)
+            self.fades = (np.array([[KEPT_FIRST], [KEPT_SECOND]]) ** np.arange(self.late.shape[1])).astype(np.float32)
+        fades = self.fades[:, self.step - done, None]
+        weights, first, second = (np.take(part, symbols, axis=0, mode="clip") for part in (rows, *means))
+        root = np.sqrt(second)
+        below = root + np.float32(self.least)
+        root /= below
+        terms = self.late[:, done].astype(np.float32)[:, :, None]
+        moved = root * terms[-1]
+        for term in terms[-2:0:-1]:
+            moved += term
+            moved *= root
+        moved += terms[0]
+        moved *= first
+        moved /= below
+        weights -= moved
+        rows[symbols] = weights
+        first *= fades[0]
+        second *= fades[1]
+        self.due = symbols, weights, first, second
+
+    def apply(self) -> None:
+        """One step along the gradient in ``grad``, of whose input rows only those of the last ``need`` are looked at."""
         self.step += 1
-        clip = min(1.0, 1.0 / (math.sqrt(float(grad @ grad)) + 1e-8))
-        scale = self.rate * math.sqrt(1 - 0.995**self.step) / (1 - 0.9**self.step)
-        for begin in range(0, len(vector), ADAM_BLOCK):  # a block at a time, which stays in the cache
+        symbols, *due = self.due
+        given, rest = np.take(self.rows[1], symbols, axis=0, mode="clip"), self.grad[self.rest :]
+        size = math.sqrt(float(rest @ rest) + float(given.ravel() @ given.ravel())) + 1e-8
+        clip = min(1.0, 1.0 / size)
+        scale = self.factor * self.rate * math.sqrt(1 - KEPT_SECOND**self.step) / (1 - KEPT_FIRST**self.step)
+        self._move(due[0], given, *due[1:], clip, scale)
+        for part, moved in zip((self.rows[0], *self.rows[2:]), due, strict=True):
+            part[symbols] = moved
+        self.done[symbols] = self.step
+        for begin in range(self.rest, len(self.grad), ADAM_BLOCK):  # a block at a time, which stays in the cache
             part = slice(begin, begin + ADAM_BLOCK)
-            g, first, second = grad[part], self.first[part], self.second[part]
-            g *= clip
-            first *= 0.9
-            first += 0.1 * g
-            g *= g
-            g -= second
-            g *= 0.005
-            second += g
-            np.sqrt(second, out=g)
-            g += 1e-6
-            np.divide(first, g, out=g)
-            g *= scale
-            vector[part] -= g
+            self._move(self.net.vector[part], self.grad[part], self.first[part], self.second[part], clip, scale)
+        count = min(self.step, LATE_STEPS)
+        self.late[:, self.step - count : self.step] += scale * self.fading[:, LATE_STEPS - count :]
+
+    def _move(self, weights, grad, first, second, clip: float, scale: float) -> None:
+        """Dense steps; overwrites the gradient."""
+        if clip < 1:
+            grad *= clip
+        first *= KEPT_FIRST
+        first += grad
+        grad *= grad
+        second *= KEPT_SECOND
+        second += grad
+        np.sqrt(second, out=grad)
+        grad += self.least
+        np.divide(first, grad, out=grad)
+        grad *= scale
+        weights -= grad
 
 
 # ---------------------------------------------------------------------------------------- training
@@ -471,8 +623,10 @@ def learn(net: Network, adam: Adam, symbols: np.ndarray, bounds: np.ndarray, pla
     for begin in range(0, len(laid.owner), shape.window):
         part = slice(begin, begin + shape.window)
         inside = (laid.owner[part] >= 0).astype(np.float32)
-        grad, state = net.gradient(laid.given[part], laid.wanted[part], inside, state, laid.fresh[part])
-        adam.apply(net.vector, grad)
+        given, wanted, fresh = (np.ascontiguousarray(each[part]) for each in (laid.given, laid.wanted, laid.fresh))
+        adam.need(np.flatnonzero(np.bincount(given.ravel())))
+        _, state = net.gradient(given, wanted, inside, state, fresh, adam.grad)
+        adam.apply()
         used += int(inside.sum())
     return used
 
@@ -481,12 +635,13 @@ def _trainer(shape: Shape, model):
     def train(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, vector = Vocabulary(*model.value[0]), model.value[1]
         net, used = Network(shape, vector), 0
-        adam = Adam(len(net.vector), shape.rate)
+        adam = Adam(net, shape.rate)
         for chunk in chunks(batches, "_text", shape.chunk_bytes):
             tokens, bounds = tokens_of(chunk.column("_text"))
             symbols, _ = words.look_up(tokens, shape.other)
             used += learn(net, adam, symbols, bounds, chunk.column("_place").to_numpy())
         if used:
+            adam.need(np.arange(len(adam.done)))
             pieces = np.array_split(net.vector, shape.slices)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -546,18 +701,21 @@ def document_scores(net: Network, symbols: np.ndarray, bounds: np.ndarray) -> np
     laid = streams(symbols, bounds, shape.slots, shape.symbols)
     length, count = laid.owner.shape
     total = np.zeros(len(sizes))
-    state = np.zeros((count, shape.hidden), np.float32)
+    state = np.zeros((shape.hidden, count), np.float32)
     for begin in range(0, length, shape.scoring_window):
         end = min(begin + shape.scoring_window, length)
         states = np.empty((end - begin, count, shape.hidden), np.float32)
-        for t in range(begin, end):
-            state[laid.fresh[t]] = 0
-            state, _ = net.step(laid.given[t], state)
-            states[t - begin] = state
-        live = laid.owner[begin:end].ravel()
-        used = np.flatnonzero(live >= 0)
-        chances = net.log_chances(states.reshape(-1, shape.hidden)[used], laid.wanted[begin:end].ravel()[used])
-        total += np.bincount(live[used], chances.astype(np.float64), len(sizes))
+        given, fresh = (np.ascontiguousarray(each[begin:end]) for each in (laid.given, laid.fresh))
+        for t in range(0, end - begin, SCORED_STEPS):
+            part = slice(t, t + SCORED_STEPS)
+            reached = net.forward(given[part], state, fresh[part])[-1]
+            state = reached[-1].copy()
+            states[part] = reached.transpose(0, 2, 1)
+        states, live, wanted = states.reshape(-1, shape.hidden), laid.owner[begin:end].ravel(), laid.wanted[begin:end].ravel()
+        if live.min() < 0:  # behind a slot's last document
+            used = np.flatnonzero(live >= 0)
+            states, live, wanted = states[used], live[used], wanted[used]
+        total += np.bincount(live, net.log_chances(states, wanted), len(sizes))
     return total
 
 
@@ -595,15 +753,18 @@ def _scorer(shape: Shape, model, buckets: int, id_type):
             )
             # tokens without a symbol of their own are asked for in the buckets of their hashes
             rest = np.flatnonzero(~own)
-            order = rest[np.lexsort((row[rest], tokens[rest], tokens[rest] % np.uint64(buckets)))]
+            rest = rest[np.argsort(tokens[rest], kind="stable")]  # a token's places stay in the order of rows
+            bucket = (tokens[rest] % np.uint64(buckets)).astype(np.int64)
+            turn = _order(bucket, buckets)
+            order, bucket = rest[turn], bucket[turn]
             hashes = tokens[order]
-            edges = _segments(hashes % np.uint64(buckets))
+            edges = _segments(bucket)
             asked: dict[str, list] = {key: [] for key in ("bucket", "hashes", "repeats", "owners")}
             for x, y in zip(edges[:-1], edges[1:], strict=True):
                 if x == y:
                     continue
                 runs = _segments(hashes[x:y])
-                asked["bucket"].append(int(hashes[x] % np.uint64(buckets)))
+                asked["bucket"].append(int(bucket[x]))
                 asked["hashes"].append(hashes[x:y][runs[:-1]].tobytes())
                 asked["repeats"].append(codec.compress(np.diff(runs).astype("<u4").tobytes()))
                 asked["owners"].append(codec.compress(row[order[x:y]].astype("<u4").tobytes()))
@@ -655,9 +816,8 @@ def _answer(asked: pd.DataFrame, counted: pd.DataFrame) -> pd.DataFrame:
             found = np.where(hashes[at] == own, counts[at], 0)
         times = np.frombuffer(codec.decompress(repeats), "<u4")
         owner = np.frombuffer(codec.decompress(owners), "<u4")
-        each = np.repeat(found, times)
-        sums.append(np.bincount(owner, np.log10(each + 1.0), rows).astype("<f8").tobytes())
-        known.append(np.bincount(owner[each > 0], minlength=rows).astype("<u4").tobytes())
+        sums.append(np.bincount(owner, np.repeat(np.log10(found + 1.0), times), rows).astype("<f8").tobytes())
+        known.append(np.bincount(owner[np.repeat(found > 0, times)], minlength=rows).astype("<u4").tobytes())
     return pd.DataFrame({"chunk": asked["chunk"], "sums": sums, "known": known})
 
 

@@ -9,13 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 
 CHUNK_BYTES = 8_000_000
 CHUNK_ROWS = 100_000
-_BLOCK = 1 << 18
+_BLOCK = 1 << 15
 _BASE = 0x9E3779B97F4A7C15 | 1
 # Primes below 2 ** 31 and a base for each.
 _FIELDS = ((2_147_483_647, 1_610_612_741), (2_147_483_629, 805_306_457))
@@ -103,30 +104,36 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 
     def hashes(self) -> np.ndarray:
-        """A hash of each word's bytes: prefix sums of polynomials, in blocks of words."""
-        if not len(self.start):
-            return np.empty(0, np.uint64)
-        halves = [self._polynomials(prime, base) for prime, base in _FIELDS]
-        length = (self.end - self.start).astype(np.uint64)
-        return mixed((halves[0] | halves[1] << np.uint64(32)) ^ length * np.uint64(0xD6E8FEB86659FD93))
-
-    def _polynomials(self, prime: int, base: int) -> np.ndarray:
-        """Per word the sum of (byte + 1) * base ** place, modulo a prime."""
+        """A hash of each word's bytes: prefix sums of polynomials, in blocks of words.
+
+        A polynomial is the sum of (byte + 1) * base ** place, modulo a prime.
+        """
         out = np.empty(len(self.start), np.uint64)
-        up, down = _powers(base, prime), _powers(pow(base, -1, prime), prime)
-        modulus, begin = np.uint64(prime), 0
+        fields = [(np.uint64(p), _powers(base, p), _powers(pow(base, -1, p), p)) for p, base in _FIELDS]
+        sums = np.zeros(_BLOCK + 1, np.uint64)  # below 2 ** 58
+        begin = 0
         while begin < len(self.start):
             origin = int(self.start[begin])
             end = int(np.searchsorted(self.end, origin + _BLOCK, "right"))
             if end <= begin:  # one word longer than a block
-                out[begin] = self._long_word(begin, up, prime, base)
-                begin += 1
-                continue
-            piece = self.data[origin : int(self.end[end - 1])].astype(np.uint64) + np.uint64(1)
-            sums = np.zeros(len(piece) + 1, np.uint64)  # below 2 ** 58
-            np.cumsum(piece * up[: len(piece)], out=sums[1:])
-            left, right = self.start[begin:end] - origin, self.end[begin:end] - origin
-            out[begin:end] = (sums[right] - sums[left]) % modulus * down[left] % modulus
+                end = begin + 1
+                length = self.end[begin:end] - self.start[begin:end]
+                halves = [np.array([self._long_word(begin, _powers(base, p), p, base)], np.uint64) for p, base in _FIELDS]
+            else:
+                piece = self.data[origin : int(self.end[end - 1])].astype(np.uint64)
+                piece += np.uint64(1)
+                left, right = self.start[begin:end] - origin, self.end[begin:end] - origin
+                length, halves = right - left, []
+                for modulus, up, down in fields:
+                    np.cumsum(piece * up[: len(piece)], out=sums[1 : len(piece) + 1])
+                    half = sums[right]
+                    half -= sums[left]
+                    half %= modulus
+                    half *= down[left]
+                    half %= modulus
+                    halves.append(half)
+            both = halves[0] | halves[1] << np.uint64(32)
+            out[begin:end] = mixed(both ^ length.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
             begin = end
         return out
 
@@ -140,6 +147,7 @@ class Words:
         return total
 
 
+@cache
 def _powers(base: int, prime: int) -> np.ndarray:
     """The powers of a base modulo a prime, from 0 to a block's length."""
     steps = np.ones(1, np.uint64)
