@@ -6,7 +6,8 @@ from timberline.fixed_values import RESULT_COLUMNS
 from timberline.operators.encoders import HashingEncoder
 from timberline.operators.ranking import in_time_order, top_per_group
 from timberline.operators.requests import single_request
-from timberline.operators.rollups import distinct_messages
+from timberline.operators.rollups import distinct_messages, short_name
+from timberline.operators.spread import spread_common_join
 from timberline.plans import analytics, search
 from timberline.plans.evaluation import compare_encoders, comparison_candidates, evaluate_requests
 from timberline.schemas import REQUESTS
@@ -263,3 +264,51 @@ def test_pairs_of_many_requests_hold_no_text(spark, hot, monkeypatch):
     assert sorted(per_query.values())[0] <= 20
     numbers = kept["numbers"].orderBy("_number").collect()
     assert [row.normalized_message for row in numbers] == sorted({row[4] for row in rows})
+
+
+def _with_long_messages(spark):
+    """Lines of long messages that differ in their last letter only, of short ones, and of none."""
+    long = "disk full on node " * 20
+    rows = [(at, at % 50, "ERROR", f"E{at % 3}", [f"{long}{at % 4}", f"login {at % 5}", None][at % 3]) for at in range(120)]
+    logs = logs_of(spark, rows)
+    return long, logs, ENCODER.encode(distinct_messages(logs.where("raw_message IS NOT NULL")), "normalized_message")
+
+
+def test_many_requests_match_messages_by_short_names_and_enough_lines(spark, monkeypatch):
+    long, logs, vectors = _with_long_messages(spark)
+    requests = spark.createDataFrame(
+        [(at, ["disk full", "login 3", "node 2"][at % 3], [None, "ERROR"][at % 2], at % 4 + 1) for at in range(12)], REQUESTS
+    )
+    unleveled = requests.withColumn("level", F.lit(None).cast("string"))
+    columns = ["query_id", "rank", "line_id", F.round("similarity", 9).alias("s")]
+    answers = lambda asked: sorted(search.semantic_search(asked, logs, vectors, ENCODER).select(*columns).collect())
+    expected = [answers(requests), answers(unleveled)]
+    monkeypatch.setattr(search, "MAX_SHARED_MESSAGES", 2)
+    monkeypatch.setattr(search, "MAX_SHARED_QUERIES", 2)
+    assert answers(requests) == expected[0]
+    kept = {}
+    settled = search.settled
+    monkeypatch.setattr(search, "settled", lambda table, purpose: kept.setdefault(purpose, settled(table, purpose)))
+    assert answers(unleveled) == expected[1]
+    # Every message has ten lines or eight, more than any request asks for: only the best ones count.
+    names = [row.normalized_message for row in kept["numbers"].orderBy("_number").collect()]
+    assert len(names) == 9 and all(len(name) == 65 for name in names[:4]) and names[4:] == [f"login {at}" for at in range(5)]
+    assert kept["matches"].count() < 12 * 9
+
+
+def test_short_names_tell_messages_apart(spark):
+    texts = ["", "a", "a" * 64, "a" * 65, "a" * 66, "é" * 64, None, "#"]
+    table = spark.createDataFrame([(text,) for text in texts], "m string").select("m", short_name("m").alias("n"))
+    names = {row.m: row.n for row in table.collect()}
+    assert len(set(names.values())) == len(texts) and names[None] is None
+    assert all(name == text or len(name) == 65 and len(text) > 64 for text, name in names.items() if text is not None)
+
+
+def test_only_common_keys_are_copied(spark):
+    many = spark.range(300).selectExpr("id AS query_id", "IF(id % 3 = 0, 0, id % 17) AS k")
+    few = spark.createDataFrame([(k, copy) for k in [*range(0, 17, 2), None] for copy in range(3)], "k bigint, copy int")
+    plain = many.join(few, "k").select("query_id", "k", "copy")
+    for common in (0, 50, 1000):
+        spread = spread_common_join(many, few, ["k"], "query_id", 5, common)
+        assert sorted(spread.select("query_id", "k", "copy").collect()) == sorted(plain.collect())
+        assert "_join_part" not in spread.columns and "_common" not in spread.columns

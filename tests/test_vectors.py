@@ -230,3 +230,75 @@ def test_words_are_summed_in_steps(monkeypatch):
     monkeypatch.setattr(encoders, "_summed_words", lambda part, size: sizes.append(len(pa.concat_arrays([part]).flatten())) or summed(part, size))
     assert (encoders.hashed_vectors(codes, 8) == whole).all()
     assert len(sizes) > 3 and sum(sizes) == 293 and sorted(sizes)[-3] <= 50
+
+
+def _lined(spark, monkeypatch):
+    """Queries and items of few directions, so that many tie, and what each query is to find."""
+    monkeypatch.setattr(vectors_module, "QUERY_BLOCK", 10)
+    monkeypatch.setattr(vectors_module, "ITEM_BLOCK", 40)
+    random = np.random.Generator(np.random.PCG64(8))
+    directions = random.standard_normal((30, 5)).astype(np.float32)
+    items = [(f"m{at:03d}", directions[at % 30].tolist(), int(at * 7 % 4)) for at in range(200)]
+    queries = [(at, directions[(at * 11) % 30].tolist(), at % 9 + 1, [None, 0, 1, 5, 40][at % 5]) for at in range(40)]
+    expected = set()
+    for query_id, vector, top_k, enough in queries:
+        scores = {}
+        for name, other, _ in items:
+            a, b = np.array(vector, dtype=np.float64), np.array(other, dtype=np.float64)
+            scores[name] = round(float(a @ b / np.sqrt((a @ a) * (b @ b))), 9)
+        ordered = sorted(items, key=lambda item: (-scores[item[0]], item[0]))[:top_k]
+        for rank, (name, _, _) in enumerate(ordered, 1):
+            before = sum(lines for other, _, lines in ordered if scores[other] > scores[name])
+            if enough is None or before < enough:
+                expected.add((query_id, name, rank, before))
+    return (
+        spark.createDataFrame(queries, "query_id bigint, embedding array<float>, top_k int, _enough bigint"),
+        spark.createDataFrame(items, "name string, embedding array<float>, _lines bigint"),
+        expected,
+    )
+
+
+@pytest.mark.parametrize("tasks", [1, 24])
+@pytest.mark.parametrize("shared", [4096, 60, 1], ids=["queries", "queries few", "neither"])
+def test_items_beyond_enough_lines_are_left_out(spark, monkeypatch, shared, tasks):
+    asked, stored, expected = _lined(spark, monkeypatch)
+    monkeypatch.setattr(vectors_module, "LEAST_TASKS", tasks, raising=False)
+    found = nearest(asked, stored, "name", 9, max_shared=shared).select("query_id", "name", "rank", "_before").collect()
+    assert sorted(map(tuple, found)) == sorted(expected)
+
+
+def test_items_are_answered_in_place_with_enough_lines(spark, monkeypatch):
+    asked, stored, expected = _lined(spark, monkeypatch)
+    copies = asked.select("*", F.explode(F.sequence(F.lit(0), F.lit(9))).alias("copy"))
+    many = copies.withColumn("query_id", F.expr("query_id * 10 + copy")).drop("copy")
+    found = nearest(many, stored, "name", 9, max_shared=250).select("query_id", "name", "rank", "_before").collect()
+    assert sorted(map(tuple, found)) == sorted((q * 10 + copy, *rest) for q, *rest in expected for copy in range(10))
+
+
+def test_large_tables_meet_without_copies(spark, monkeypatch, tmp_path):
+    """Of a block only the final rows come out, and no side is shuffled once per block of the other."""
+    monkeypatch.setattr(vectors_module, "QUERY_BLOCK", 25)
+    monkeypatch.setattr(vectors_module, "ITEM_BLOCK", 150)
+    monkeypatch.setattr(vectors_module, "LEAST_TASKS", 1, raising=False)
+    random = np.random.Generator(np.random.PCG64(5))
+    queries = [(at, row.tolist(), 20) for at, row in enumerate(random.standard_normal((50, 6)))]
+    items = [(f"m{at:03d}", row.tolist()) for at, row in enumerate(random.standard_normal((600, 6)))]
+    asked = spark.createDataFrame(queries, "query_id bigint, embedding array<float>, limit int")
+    stored = spark.createDataFrame(items, "name string, embedding array<float>")
+    met = vectors_module._meet_in_blocks(asked, stored, "name", 20, 600, 3600)
+    assert met.count() == 50 * 20
+    tree = final_plan(met).split("\n\n")[0]
+    assert tree.count("Exchange") == 1 and "Generate" not in tree
+
+
+def test_a_repeated_query_is_ranked_once_over_blocks(spark, monkeypatch):
+    """As one query, in whichever form its blocks meet the items."""
+    items = spark.createDataFrame([(at, [1.0, float(at)]) for at in range(300)], "item bigint, embedding array<float>")
+    asked = spark.createDataFrame([(1, [1.0, 0.0], 2), (1, [1.0, 9.0], 3), (2, [1.0, 9.0], 1)], "query_id bigint, embedding array<float>, top_k int")
+    found = []
+    for tasks in (1, 24):
+        monkeypatch.setattr(vectors_module, "LEAST_TASKS", tasks, raising=False)
+        monkeypatch.setattr(vectors_module, "ITEM_BLOCK", 100)
+        table = nearest(asked, items, "item", 5, max_shared=1)
+        found.append(sorted((row.query_id, row.rank, row.item) for row in table.collect()))
+    assert found[0] == found[1] == [(1, 1, 0), (1, 2, 9), (1, 3, 10), (2, 1, 9)]
