@@ -296,6 +296,21 @@ def test_many_requests_match_messages_by_short_names_and_enough_lines(spark, mon
     assert kept["matches"].count() < 12 * 9
 
 
+def test_similar_logs_of_many_seeds_equal_those_of_few(spark, monkeypatch):
+    _, logs, vectors = _with_long_messages(spark)
+    seeds = logs.select(F.col("id").alias("seed_id"), F.expr("IF(id % 10 = 0, 90, 1 + id % 5)").cast("int").alias("top_k"))
+    answers = lambda: sorted(search.similar_logs(seeds, logs, vectors).select("seed_id", "rank", "line_id").collect())
+    expected = answers()
+    monkeypatch.setattr(search, "MAX_SHARED_MESSAGES", 2)
+    monkeypatch.setattr(search, "MAX_SHARED_SEEDS", 2)
+    kept = {}
+    settled = search.settled
+    monkeypatch.setattr(search, "settled", lambda table, purpose: kept.setdefault(purpose, settled(table, purpose)))
+    assert answers() == expected
+    # Nine messages have ten or eight lines each; a seed that asks for five needs its own message or two.
+    assert kept["wanted"].where("top_k <= 5").groupBy("query_id").count().agg(F.max("count")).first()[0] <= 4
+
+
 def test_short_names_tell_messages_apart(spark):
     texts = ["", "a", "a" * 64, "a" * 65, "a" * 66, "é" * 64, None, "#"]
     table = spark.createDataFrame([(text,) for text in texts], "m string").select("m", short_name("m").alias("n"))
